@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from linkforge.operators import blocking, comparisons, explore, graph, model, scoring  # noqa: E402
+from linkforge.functions import text  # noqa: E402
+from linkforge.operators import blocking, comparisons, explore, graph, model, scoring, tables  # noqa: E402
 from linkforge.plans import fixtures, linkage  # noqa: E402
+from linkforge.sources import delimited, listing, manifest, pages  # noqa: E402
 from linkforge.schema import LINK_COLUMNS  # noqa: E402
 from linkforge.settings import LinkSettings  # noqa: E402
 
@@ -177,6 +179,101 @@ def q_name_search_fallback(spark, d):
     return explore.search_registrations(_st(spark, d).latest(), "gizmo", 25)
 
 
+# --------------------------------------------------------- ingest keys ----
+
+def _registrations(spark, d):
+    return tables.dedupe_keep_last(fixtures.history_view(spark, d))
+
+
+def q_dedupe_keep_last(spark, d):
+    return _registrations(spark, d)
+
+
+def q_upsert_by_key(spark, d):
+    h = fixtures.history_view(spark, d)
+    stored = tables.dedupe_keep_last(h.where(F.col("line_no") % 2 == 0))
+    incoming = tables.dedupe_keep_last(h.where(F.col("line_no") % 2 == 1))
+    return tables.upsert_by_key(stored, incoming)
+
+
+def q_latest_per_key(spark, d):
+    return tables.latest_per_key(_registrations(spark, d))
+
+
+def q_history_names(spark, d):
+    return tables.history_names(_registrations(spark, d))
+
+
+def q_history_locations(spark, d):
+    return tables.history_locations(_registrations(spark, d))
+
+
+def q_sample_latest(spark, d):
+    return tables.sample_latest(tables.latest_per_key(_registrations(spark, d)), 5, name_col="name_norm",
+                                columns=["uei", "name_norm", "phys_city", "zip5", "snapshot_date"])
+
+
+def q_ingest_counts(spark, d):
+    return tables.ingest_counts(_registrations(spark, d))
+
+
+def q_scan_delimited(spark, d):
+    return delimited.registrations_from_lines(fixtures.customer_lines(spark, d))
+
+
+def q_snapshot_dates(spark, d):
+    return listing.snapshot_dates(fixtures.archive_listing(spark, d))
+
+
+def _selected(df):
+    return df.select("folder", "name", "snapshot_date")
+
+
+def q_source_file_select(spark, d):
+    return _selected(listing.source_file_select(fixtures.archive_listing(spark, d), "all"))
+
+
+def q_source_file_first(spark, d):
+    return _selected(listing.source_file_select(fixtures.archive_listing(spark, d), "first"))
+
+
+def q_source_file_latest(spark, d):
+    return _selected(listing.source_file_select(fixtures.archive_listing(spark, d), "latest"))
+
+
+def q_incremental_new_files(spark, d):
+    selected = listing.source_file_select(fixtures.archive_listing(spark, d), "all")
+    return _selected(listing.incremental_new_files(selected, fixtures.loaded_registrations(spark, d)))
+
+
+def _expected(spark, d):
+    return manifest.listing_flatten(fixtures.listing_documents(spark, d))
+
+
+def q_listing_flatten(spark, d):
+    return _expected(spark, d)
+
+
+def q_manifest_status(spark, d):
+    return manifest.manifest_status(_expected(spark, d), fixtures.present_files(spark, d))
+
+
+def q_manifest_progress(spark, d):
+    return manifest.manifest_progress(q_manifest_status(spark, d))
+
+
+def q_manifest_missing(spark, d):
+    return manifest.manifest_missing(_expected(spark, d), fixtures.present_files(spark, d))
+
+
+def q_page_links(spark, d):
+    return pages.page_links(fixtures.read_table(spark, d, "pages"), css_class=None)
+
+
+def q_page_link_counts(spark, d):
+    return pages.page_link_counts(q_page_links(spark, d))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_names": q_normalize_names,
     "blocking_keys": q_blocking_keys,
@@ -207,6 +304,25 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_lookup": q_entity_lookup,
     "name_search": q_name_search,
     "name_search_fallback": q_name_search_fallback,
+    "dedupe_keep_last": q_dedupe_keep_last,
+    "upsert_by_key": q_upsert_by_key,
+    "latest_per_key": q_latest_per_key,
+    "history_names": q_history_names,
+    "history_locations": q_history_locations,
+    "sample_latest": q_sample_latest,
+    "ingest_counts": q_ingest_counts,
+    "scan_delimited": q_scan_delimited,
+    "snapshot_dates": q_snapshot_dates,
+    "source_file_select": q_source_file_select,
+    "source_file_first": q_source_file_first,
+    "source_file_latest": q_source_file_latest,
+    "incremental_new_files": q_incremental_new_files,
+    "listing_flatten": q_listing_flatten,
+    "manifest_status": q_manifest_status,
+    "manifest_progress": q_manifest_progress,
+    "manifest_missing": q_manifest_missing,
+    "page_links": q_page_links,
+    "page_link_counts": q_page_link_counts,
 }
 
 
@@ -218,4 +334,5 @@ def oracle_sql() -> dict[str, str]:
     import duckdb_oracle
     out = {}
     out.update(duckdb_oracle.link_queries())
+    out.update(duckdb_oracle.ingest_queries())
     return {k: v for k, v in out.items() if k in _QUERIES}

@@ -208,3 +208,113 @@ def link_queries() -> dict[str, str]:
         f"phys_city, phys_state, zip5 FROM latest WHERE {like.format(q='gizmo')} "
         "ORDER BY legal_name NULLS LAST, uei LIMIT 25")
     return q
+
+
+# ------------------------------------------------------------ ingest keys ----
+
+from linkforge.plans.fixtures import (  # noqa: E402
+    LINES_SOURCE_FILE, customer_lines_sql, listing_sql, loaded_sql, present_sql)
+from linkforge.schema import REGISTRATION_COLUMNS, SOURCE_POSITIONS  # noqa: E402
+from linkforge.functions.text import MONTHS  # noqa: E402
+
+H_COLS = "uei, snapshot_date, line_no, name_norm, phys_city, zip5, source_file"
+
+
+def snapshot_sql(name: str) -> str:
+    d = r"'_(\d{4})(\d{2})(\d{2})\.'"
+    m = r"'(?i)_(\d{4})_([A-Z]{3})_'"
+    mon = "CASE upper(regexp_extract({n}, {m}, 2)) ".format(n=name, m=m) + " ".join(
+        f"WHEN '{x}' THEN '{i + 1:02d}'" for i, x in enumerate(MONTHS)) + " ELSE '01' END"
+    return (f"CASE WHEN regexp_matches({name}, {d}) THEN CAST(regexp_extract({name}, {d}, 1) || '-' || "
+            f"regexp_extract({name}, {d}, 2) || '-' || regexp_extract({name}, {d}, 3) AS DATE) "
+            f"WHEN regexp_matches({name}, {m}) THEN CAST(regexp_extract({name}, {m}, 1) || '-' || {mon} || '-01' AS DATE) "
+            "ELSE DATE '1970-01-01' END")
+
+
+def _h(where: str = "") -> str:
+    return f"SELECT * FROM ({HISTORY_SQL.replace('{orders}', 'orders')}) h {where}"
+
+
+def _dedupe(src: str) -> str:
+    return (f"SELECT {H_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY uei, snapshot_date "
+            f"ORDER BY line_no DESC) AS rn FROM ({src}) x) y WHERE rn = 1")
+
+
+def ingest_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    reg = _dedupe(_h())
+    q["dedupe_keep_last"] = reg
+    stored, incoming = _dedupe(_h("WHERE line_no % 2 = 0")), _dedupe(_h("WHERE line_no % 2 = 1"))
+    q["upsert_by_key"] = (
+        f"SELECT {H_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY uei, snapshot_date ORDER BY seq DESC) rn "
+        f"FROM (SELECT *, 0 AS seq FROM ({stored}) s UNION ALL SELECT *, 1 FROM ({incoming}) i) u) z WHERE rn = 1")
+    latest = (f"SELECT r.* FROM ({reg}) r JOIN (SELECT uei, max(snapshot_date) AS md FROM ({reg}) g GROUP BY uei) m "
+              "ON r.uei = m.uei AND r.snapshot_date = m.md")
+    q["latest_per_key"] = latest
+    q["history_names"] = (f"SELECT uei, list_sort(list(DISTINCT name_norm)) AS all_names FROM ({reg}) r "
+                          "WHERE name_norm IS NOT NULL GROUP BY uei")
+    q["history_locations"] = (
+        f"SELECT uei, list_sort(list(DISTINCT phys_city || '|' || zip5), 'ASC', 'NULLS LAST') AS all_locations "
+        f"FROM ({reg}) r WHERE zip5 IS NOT NULL GROUP BY uei")
+    q["sample_latest"] = (f"SELECT uei, name_norm, phys_city, zip5, snapshot_date FROM ({latest}) l "
+                          "ORDER BY name_norm NULLS LAST, uei LIMIT 5")
+    q["ingest_counts"] = (f"SELECT count(*) AS total_rows, count(DISTINCT snapshot_date) AS snapshots, "
+                          f"count(DISTINCT uei) AS unique_ueis FROM ({reg}) r")
+
+    fields = ", ".join(f"nullif(trim(f[{pos + 1}]), '') AS {name}" for pos, name in SOURCE_POSITIONS)
+    parsed = f"""
+WITH lines AS ({customer_lines_sql('customer')}),
+k AS (SELECT source_file, line_no, regexp_replace(raw, '[\\r\\n]+$', '') AS raw FROM lines),
+s AS (SELECT source_file, line_no, string_split(raw, '|') AS f FROM k
+      WHERE NOT (line_no = 0 AND starts_with(raw, 'BOF')) AND raw <> '' AND NOT starts_with(raw, '!end')),
+r AS (SELECT source_file, line_no, {fields} FROM s WHERE len(f) >= 122),
+r2 AS (SELECT *, {normalizer('legal_name')} AS name_norm, substr(phys_zip, 1, 5) AS zip5,
+              {snapshot_sql('source_file')} AS snapshot_date
+       FROM r WHERE uei IS NOT NULL AND uei <> '!end'),
+r3 AS (SELECT *, substr(name_norm, 1, 4) AS name_first4,
+              row_number() OVER (PARTITION BY uei, snapshot_date ORDER BY line_no DESC) AS rn FROM r2)
+SELECT {', '.join(REGISTRATION_COLUMNS)} FROM r3 WHERE rn = 1"""
+    q["scan_delimited"] = parsed
+
+    lst = f"WITH listing AS ({listing_sql('orders')}) "
+    q["snapshot_dates"] = lst + f"SELECT name, {snapshot_sql('name')} AS snapshot_date FROM listing"
+    ordered = lst + f""", r AS (
+  SELECT folder, name, CASE folder WHEN 'Public V2' THEN 0 WHEN 'Public - Historical' THEN 1 END AS fr,
+         CASE WHEN ends_with(name, '.ZIP') THEN 0 WHEN ends_with(name, '.zip') THEN 1 END AS sr FROM listing),
+o AS (SELECT *, {snapshot_sql('name')} AS snapshot_date,
+             row_number() OVER (PARTITION BY lower(name) ORDER BY fr, sr, name) AS rn
+      FROM r WHERE fr IS NOT NULL AND sr IS NOT NULL)
+"""
+    q["source_file_select"] = ordered + "SELECT folder, name, snapshot_date FROM o WHERE rn = 1 AND NOT contains(name, 'UTF-8')"
+    q["source_file_first"] = ordered + (
+        "SELECT folder, name, snapshot_date FROM (SELECT *, 0 AS pref FROM o WHERE rn = 1 AND contains(name, 'V2') "
+        "AND NOT contains(name, 'UTF-8') UNION ALL SELECT *, 1 FROM o WHERE rn = 1) ORDER BY pref, fr, sr, name LIMIT 1")
+    q["source_file_latest"] = ordered + (
+        "SELECT folder, name, snapshot_date FROM o WHERE rn = 1 AND contains(name, 'V2') AND NOT contains(name, 'UTF-8') "
+        "ORDER BY snapshot_date DESC, fr, sr, name LIMIT 1")
+    q["incremental_new_files"] = ordered.replace("WITH listing AS", f"WITH loaded AS ({loaded_sql('orders')}), listing AS") + (
+        "SELECT folder, name, snapshot_date FROM o WHERE rn = 1 AND NOT contains(name, 'UTF-8') "
+        "AND name NOT IN (SELECT source_file FROM loaded)")
+    flat = (lst + ", e AS (SELECT folder, 'Entity Registration/' || folder || '/' || name AS key, name AS display_key, "
+            "CAST(y AS VARCHAR) || '-' || lpad(CAST(mo AS VARCHAR), 2, '0') || '-15' AS date_modified, "
+            "folder || '/' || name AS local_path FROM listing)")
+    present = f", p AS ({present_sql('listing', 'orders')})"
+    q["listing_flatten"] = flat + " SELECT * FROM e"
+    status = (flat + present + ", st AS (SELECT e.folder, e.display_key AS name, e.date_modified, "
+              "p.size_bytes IS NOT NULL AS downloaded, round(p.size_bytes / (1024.0 * 1024.0), 1) AS size_mb "
+              "FROM e LEFT JOIN (SELECT lower(name) AS lname, max(size_bytes) AS size_bytes FROM p GROUP BY 1) p "
+              "ON lower(e.display_key) = p.lname) ")
+    q["manifest_status"] = status + "SELECT * FROM st"
+    q["manifest_progress"] = status + ("SELECT folder, CAST(sum(CAST(downloaded AS BIGINT)) AS BIGINT) AS done, "
+                                       "count(*) AS total FROM st GROUP BY folder")
+    q["manifest_missing"] = flat + present + (" SELECT folder, key, display_key AS name FROM e "
+                                              "WHERE lower(display_key) NOT IN (SELECT lower(name) FROM p)")
+    ent = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+    links = f"""
+WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>')) AS anchor,
+                  unnest(range(len(regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>')))) AS link_pos FROM pages),
+t AS (SELECT page_id, link_pos, trim({ent.format(x="regexp_replace(regexp_extract(anchor, '(?is)^<a\\b[^>]*>(.*)</a>$', 1), '<[^>]*>', '', 'g')")}) AS link_text FROM a)
+"""
+    q["page_links"] = links + "SELECT page_id, link_pos, link_text FROM t WHERE link_text <> ''"
+    q["page_link_counts"] = links + "SELECT page_id, count(*) AS n_links FROM t WHERE link_text <> '' GROUP BY page_id"
+    return q

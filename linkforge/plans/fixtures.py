@@ -94,3 +94,128 @@ FIXED_LEVELS = {
 
 def fixed_parameters(prior: float = 1e-4) -> ParameterSet:
     return ParameterSet(prior=prior, levels=level_params(FIXED_LEVELS))
+
+
+# ----------------------------------------------------------------------
+# Source fixtures. SQL text in the subset Spark SQL and DuckDB both run.
+
+# Fields of a rendered snapshot line (position -> expression over customer).
+CUSTOMER_FIELDS = {
+    0: "CASE WHEN c_custkey % 17 = 0 THEN '   ' ELSE lpad(CAST(c_custkey AS STRING), 12, '0') END",
+    3: "'K' || CAST(c_custkey % 50 AS STRING)",
+    5: "'A'",
+    7: "'2020' || lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0') || '15'",
+    11: "'  ' || c_name || CASE c_custkey % 5 WHEN 0 THEN ' Inc.' WHEN 1 THEN ' LLC' "
+        "WHEN 2 THEN ', Corp' WHEN 3 THEN '' ELSE ' Company' END || ' '",
+    12: "CASE WHEN c_custkey % 3 = 0 THEN upper(c_mktsegment) ELSE '' END",
+    17: "c_mktsegment",
+    18: "'S' || CAST(c_nationkey % 10 AS STRING)",
+    19: "lpad(CAST(c_nationkey * 1000 + c_custkey % 1000 AS STRING), 5, '0') "
+        "|| CASE WHEN c_custkey % 2 = 0 THEN '-0001' ELSE '' END",
+    26: "CASE WHEN c_custkey % 7 = 0 THEN 'http://c' || CAST(c_custkey AS STRING) || '.example' ELSE '' END",
+    27: "'2L'",
+    32: "lpad(CAST(c_custkey % 100 AS STRING), 6, '0')",
+    48: "'POC' || CAST(c_custkey % 37 AS STRING)",
+    121: "'E'",
+}
+LINES_SOURCE_FILE = "SAM_PUBLIC_MONTHLY_V2_20240101.ZIP"
+
+
+def _line_sql(name_expr: str) -> str:
+    fields = dict(CUSTOMER_FIELDS)
+    fields[11] = name_expr
+    head = " || '|' || ".join(fields.get(i, "''") for i in range(121))
+    tail = ("CASE WHEN c_custkey % 10 = 0 THEN '' WHEN c_custkey % 10 = 1 THEN '|' || " + fields[121]
+            + " ELSE '|' || " + fields[121] + " || '" + "|" * 20 + "' END")
+    cr = "CASE WHEN c_custkey % 4 = 3 THEN chr(13) ELSE '' END"
+    return f"{head} || {tail} || {cr}"
+
+
+def customer_lines_sql(customer: str = "customer") -> str:
+    src = f"'{LINES_SOURCE_FILE}'"
+    main = _line_sql(CUSTOMER_FIELDS[11])
+    dup = _line_sql("c_name || ' DUP'")
+    return f"""
+SELECT {src} AS source_file, CAST(0 AS BIGINT) AS line_no,
+       'BOF PUBLIC V2 20240101 ' || CAST(count(*) AS STRING) AS raw FROM {customer}
+UNION ALL SELECT {src}, CAST(c_custkey * 4 + 1 AS BIGINT), {main} FROM {customer}
+UNION ALL SELECT {src}, CAST(c_custkey * 4 + 2 AS BIGINT), {dup} FROM {customer} WHERE c_custkey % 11 = 0
+UNION ALL SELECT {src}, CAST(c_custkey * 4 + 3 AS BIGINT), '!end' FROM {customer} WHERE c_custkey % 13 = 0
+UNION ALL SELECT {src}, CAST(c_custkey * 4 + 4 AS BIGINT),
+       CASE WHEN c_custkey % 2 = 0 THEN '' ELSE chr(13) END FROM {customer} WHERE c_custkey % 19 = 0
+"""
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot lines rendered from ``customer``: a header, records of 142,
+    122 and 121 fields, blank keys, repeated keys, '!end' and blank lines,
+    trailing carriage returns."""
+    return spark.sql(customer_lines_sql("{customer}"), customer=read_table(spark, sf_dir, "customer"))
+
+
+MONTH_CASE = "CASE mo " + " ".join(
+    f"WHEN {i + 1} THEN '{m}'" for i, m in enumerate(text.MONTHS)) + " END"
+V2_NAME = "'SAM_PUBLIC_MONTHLY_V2_' || CAST(y AS STRING) || lpad(CAST(mo AS STRING), 2, '0') || '01.ZIP'"
+HIST_NAME = f"'SAM_PUBLIC_MONTHLY_' || CAST(y AS STRING) || '_' || {MONTH_CASE} || '_MODIFIED.zip'"
+
+
+def listing_sql(orders: str = "orders") -> str:
+    """(folder, name, y, mo): archive names for every month with orders."""
+    return f"""
+WITH m AS (SELECT DISTINCT year(o_orderdate) AS y, month(o_orderdate) AS mo FROM {orders})
+SELECT 'Public V2' AS folder, {V2_NAME} AS name, y, mo FROM m WHERE mo % 2 = 1
+UNION ALL SELECT 'Public - Historical', {HIST_NAME}, y, mo FROM m WHERE mo % 2 = 0
+UNION ALL SELECT 'Public V2', 'SAM_PUBLIC_UTF-8_MONTHLY_V2_' || CAST(y AS STRING)
+          || lpad(CAST(mo AS STRING), 2, '0') || '01.ZIP', y, mo FROM m WHERE mo % 3 = 0
+UNION ALL SELECT 'Public - Historical', lower({V2_NAME}), y, mo FROM m WHERE mo = 11
+UNION ALL SELECT 'Public - Historical', 'SAM_PUBLIC_MONTHLY_' || CAST(y AS STRING) || '_XYZ_EXTRACT.zip', y, mo
+          FROM m WHERE mo = 6
+UNION ALL SELECT 'Public V2', 'README_' || CAST(y AS STRING) || '.txt', y, mo FROM m WHERE mo = 9
+"""
+
+
+def loaded_sql(orders: str = "orders") -> str:
+    """Registrations already loaded: orders before 1998 stamped with their
+    month's archive name."""
+    return f"""
+SELECT o_orderkey, CASE WHEN mo % 2 = 1 THEN {V2_NAME} ELSE {HIST_NAME} END AS source_file
+FROM (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS mo FROM {orders}) o WHERE y < 1998
+"""
+
+
+def present_sql(listing: str = "listing", orders: str = "orders") -> str:
+    """Files present locally: most months, some under a lower-cased name."""
+    return f"""
+SELECT CASE WHEN l.mo % 4 = 1 THEN lower(l.name) ELSE l.name END AS name,
+       CAST(c.cnt * 1000 AS BIGINT) AS size_bytes
+FROM {listing} l JOIN (SELECT year(o_orderdate) AS y, month(o_orderdate) AS mo, count(*) AS cnt
+                       FROM {orders} GROUP BY year(o_orderdate), month(o_orderdate)) c
+  ON c.y = l.y AND c.mo = l.mo
+WHERE l.mo % 4 <> 0
+"""
+
+
+def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(listing_sql("{orders}"), orders=read_table(spark, sf_dir, "orders"))
+
+
+def loaded_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(loaded_sql("{orders}"), orders=read_table(spark, sf_dir, "orders"))
+
+
+def present_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(present_sql("{listing}", "{orders}"), listing=archive_listing(spark, sf_dir),
+                     orders=read_table(spark, sf_dir, "orders"))
+
+
+def listing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON listing document per folder, in the service's nested shape."""
+    listing = archive_listing(spark, sf_dir)
+    entry = F.struct(
+        F.concat(F.lit("Entity Registration/"), F.col("folder"), F.lit("/"), F.col("name")).alias("key"),
+        F.col("name").alias("displayKey"),
+        F.concat_ws("-", F.col("y").cast("string"), F.lpad(F.col("mo").cast("string"), 2, "0"),
+                    F.lit("15")).alias("dateModified"))
+    return (listing.groupBy("folder").agg(F.collect_list(entry).alias("items"))
+                   .select("folder", F.to_json(F.struct(F.struct(F.col("items").alias(
+                       "customS3ObjectSummaryList")).alias("_embedded"))).alias("json")))
