@@ -179,6 +179,31 @@ def q_name_search_fallback(spark, d):
     return explore.search_registrations(_st(spark, d).latest(), "gizmo", 25)
 
 
+# ---------------------------------------------------------- model keys ----
+
+def q_u_estimates(spark, d):
+    return model.u_estimates(_st(spark, d).records(), SETTINGS)
+
+
+def q_em_one_step(spark, d):
+    patterns = comparisons.gamma_patterns(_st(spark, d).gammas(), SETTINGS)
+    step = model.em_one_step_frame(patterns, fixtures.fixed_parameters(), SETTINGS)
+    return step.select("comparison", "gamma", _r6("m_probability"), _r6("match_share"))
+
+
+def q_match_weight_table(spark, d):
+    """Parameters trained on E (u by random pairs, two EM passes)."""
+    params = model.train(_st(spark, d).records(), SETTINGS)
+    return params.to_dataframe(spark)
+
+
+def q_trained_cluster_stats(spark, d):
+    """Full run: train, predict at 2.0, cluster at 5.0, report."""
+    st = _st(spark, d)
+    out = linkage.run_linkage(spark, st.latest(), SETTINGS, tf=True)
+    return explore.cluster_stats(out["clusters"], st.latest())
+
+
 # --------------------------------------------------------- ingest keys ----
 
 def _registrations(spark, d):
@@ -304,6 +329,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_lookup": q_entity_lookup,
     "name_search": q_name_search,
     "name_search_fallback": q_name_search_fallback,
+    "u_estimates": q_u_estimates,
+    "em_one_step": q_em_one_step,
+    "match_weight_table": q_match_weight_table,
+    "trained_cluster_stats": q_trained_cluster_stats,
     "dedupe_keep_last": q_dedupe_keep_last,
     "upsert_by_key": q_upsert_by_key,
     "latest_per_key": q_latest_per_key,
@@ -335,4 +364,5 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(duckdb_oracle.link_queries())
     out.update(duckdb_oracle.ingest_queries())
+    out.update(duckdb_oracle.model_queries())
     return {k: v for k, v in out.items() if k in _QUERIES}

@@ -318,3 +318,47 @@ t AS (SELECT page_id, link_pos, trim({ent.format(x="regexp_replace(regexp_extrac
     q["page_links"] = links + "SELECT page_id, link_pos, link_text FROM t WHERE link_text <> ''"
     q["page_link_counts"] = links + "SELECT page_id, count(*) AS n_links FROM t WHERE link_text <> '' GROUP BY page_id"
     return q
+
+
+# ------------------------------------------------------------- model keys ----
+
+def model_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    comps = DEFAULT_COMPARISONS
+    h = "('0x' || substr(md5({k}), 1, 8))::BIGINT"
+    sel = ", ".join([f"a.{c} AS {c}_l" for c in COLS] + [f"b.{c} AS {c}_r" for c in COLS])
+    gam = ", ".join(f"{_gamma_sql(c)} AS gamma_{c.column}" for c in comps)
+    stack = " UNION ALL ".join(
+        f"SELECT '{c.column}' AS comparison, gamma_{c.column} AS gamma FROM rg" for c in comps)
+    q["u_estimates"] = with_base(f""",
+np AS (SELECT count(*) AS n FROM li),
+plan AS (SELECT n AS slots, least(CAST(ceil(2.0 * 5000000 / (n - 1)) AS BIGINT), n) AS claims FROM np),
+sa AS (SELECT li.*, {h.format(k="uei || ':a42'")} % plan.slots AS st, unnest(range(0, plan.claims)) AS k
+       FROM li, plan),
+a AS (SELECT sa.*, (st + k) % plan.slots AS slot FROM sa, plan),
+b AS (SELECT li.*, {h.format(k="uei || ':b42'")} % plan.slots AS slot FROM li, plan),
+rp AS (SELECT {sel} FROM a JOIN b ON a.slot = b.slot AND a.uei < b.uei),
+rg AS (SELECT {gam} FROM rp),
+lv AS (SELECT comparison, gamma, count(*) AS c FROM ({stack}) WHERE gamma >= 0 GROUP BY ALL)
+SELECT comparison, gamma, c / sum(c) OVER (PARTITION BY comparison) AS u_probability FROM lv""".replace(
+        "WITH RECURSIVE", "WITH RECURSIVE", 1)).replace("\n,\nnp AS", ",\nnp AS")
+
+    def lsum(key: int) -> str:
+        terms = []
+        for c in comps:
+            parts = " ".join(f"WHEN gamma_{c.column} = {g} THEN {_lit(math.log(FIXED_LEVELS[c.column][g][key]))}"
+                             for g in c.levels)
+            terms.append(f"(CASE {parts} ELSE CAST(0 AS DOUBLE) END)")
+        return " + ".join(terms)
+    gcols = ", ".join(f"gamma_{c.column}" for c in comps)
+    stack2 = " UNION ALL ".join(
+        f"SELECT '{c.column}' AS comparison, gamma_{c.column} AS gamma, pn FROM post" for c in comps)
+    q["em_one_step"] = with_base(f""",
+pat AS (SELECT {gcols}, count(*) AS n_pairs FROM gammas GROUP BY ALL),
+lp AS (SELECT *, {lsum(0)} + {_lit(math.log(PRIOR))} AS lm, {lsum(1)} + {_lit(math.log(1 - PRIOR))} AS lu FROM pat),
+post AS (SELECT *, 1.0 / (1.0 + exp(lu - lm)) * n_pairs AS pn FROM lp),
+share AS (SELECT sum(pn) / sum(n_pairs) AS s FROM post),
+per AS (SELECT comparison, gamma, sum(pn) AS pn FROM ({stack2}) WHERE gamma >= 0 GROUP BY ALL)
+SELECT comparison, gamma, round(pn / sum(pn) OVER (PARTITION BY comparison), 6) AS m_probability,
+       round((SELECT s FROM share), 6) AS match_share FROM per""").replace("\n,\npat AS", ",\npat AS")
+    return q
