@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,9 +62,40 @@ def jaro_winkler(a: str | None, b: str | None) -> float | None:
     return jaro
 
 
-@F.pandas_udf(T.DoubleType())
-def jaro_winkler_udf(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([jaro_winkler(a, b) for a, b in zip(left, right)], dtype="float64")
+# Per-worker memo of scored string pairs (Python workers are reused across
+# tasks); bounded so a worker's memory stays flat whatever the data size.
+_MEMO: dict = {}
+MEMO_LIMIT = 500_000
+
+
+def _score(a: str, b: str) -> float:
+    key = (a, b)
+    v = _MEMO.get(key)
+    if v is None:
+        v = jaro_winkler(a, b)
+        if len(_MEMO) >= MEMO_LIMIT:
+            _MEMO.clear()
+        _MEMO[key] = v
+    return v
+
+
+def score_arrays(left: pa.Array, right: pa.Array) -> pa.Array:
+    """NULL in -> NULL out. Only rows with both strings become Python
+    objects; a repeated pair is scored once per worker."""
+    valid = pc.and_(pc.is_valid(left), pc.is_valid(right)).to_numpy(zero_copy_only=False)
+    out = np.zeros(len(left), dtype=np.float64)
+    idx = np.flatnonzero(valid)
+    if len(idx):
+        take = pa.array(idx)
+        ls = pc.take(left, take).to_pylist()
+        rs = pc.take(right, take).to_pylist()
+        out[idx] = [_score(a, b) for a, b in zip(ls, rs)]
+    return pa.array(out, type=pa.float64(), mask=~valid)
+
+
+@F.arrow_udf(T.DoubleType())
+def jaro_winkler_udf(left: pa.Array, right: pa.Array) -> pa.Array:
+    return score_arrays(left, right)
 
 
 def upper_bound(left: Column, right: Column) -> Column:

@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import work_partitions
 from ..settings import LinkSettings
 
 # Hot-block keys are broadcast only while their count is at most this.
@@ -74,6 +75,7 @@ def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,
                 cols.append(k)
     limit = hot_block_rows if hot_block_rows is not None else settings.hot_block_rows
     recs = records.select(*cols)
+    parts = work_partitions(records.sparkSession)
 
     hot = hot_blocks(recs, rules, limit)
     n_hot = hot.count()
@@ -102,6 +104,13 @@ def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,
                                .otherwise(F.sequence(F.lit(0), F.col("n_salt") - 1))))
                           .drop("bk_r", "n_salt"))
             cond.append(F.col("salt_l") == F.col("salt_r"))
+        # Hash-partition both sides on the join keys with an explicit count:
+        # the join's output (pairs) dwarfs its input (records), so the
+        # partition count must follow the work, not the input bytes.
+        lkeys = [f"{k}_l" for k in rule] + (["salt_l"] if salted else [])
+        rkeys = [f"{k}_r" for k in rule] + (["salt_r"] if salted else [])
+        left = left.repartition(parts, *lkeys)
+        right = right.repartition(parts, *rkeys)
         cond.append(F.col(f"{uid}_l") < F.col(f"{uid}_r"))
         joined = left.join(right, reduce(lambda a, b: a & b, cond), "inner")
         if salted:

@@ -1,12 +1,12 @@
 """Comparison vectors: one gamma level per comparison column for each pair.
 
 Exact comparisons are pure column expressions. Jaro-Winkler comparisons
-call the Arrow UDF only where the answer is not already known:
-  * either side NULL          -> gamma -1 (no call)
-  * both sides equal          -> exact level (no call)
-  * length bound < threshold  -> level 0 (no call)
-and the remaining string pairs are de-duplicated before scoring, then joined
-back on the pair strings. Rows that need no score bypass the join.
+score only the pairs whose answer is not already known:
+  * either side NULL          -> gamma -1 (not scored)
+  * both sides equal          -> exact level (not scored)
+  * length bound < threshold  -> level 0 (not scored)
+The scores are computed in the same projection as the pairs (an Arrow
+batched UDF, no shuffle); repeated string pairs are scored once per worker.
 """
 
 from __future__ import annotations
@@ -34,21 +34,14 @@ def needs_jaro(column: str, min_threshold: float) -> Column:
         F.lit(False))
 
 
-def with_jaro_scores(pairs: DataFrame, column: str, min_threshold: float,
-                     dedupe_strings: bool = True) -> DataFrame:
-    """Adds ``jw_<column>``: the similarity where it is needed, else NULL."""
-    l, r = f"{column}_l", f"{column}_r"
-    out = jw_column(column)
+def jaro_score(column: str, min_threshold: float) -> Column:
+    """Similarity where it is needed, else NULL. The UDF runs on every row
+    of its input (Spark evaluates Python UDFs outside ``CASE``), so rows that
+    need no score pass NULL strings in, which the UDF skips without work."""
     need = needs_jaro(column, min_threshold)
-    todo = pairs.where(need)
-    rest = pairs.where(~need).withColumn(out, F.lit(None).cast("double"))
-    if dedupe_strings:
-        scores = (todo.select(l, r).distinct()
-                      .withColumn(out, jaro_winkler_udf(F.col(l), F.col(r))))
-        scored = todo.join(scores, [l, r], "inner")
-    else:
-        scored = todo.withColumn(out, jaro_winkler_udf(F.col(l), F.col(r)))
-    return scored.unionByName(rest)
+    l = F.when(need, F.col(f"{column}_l"))
+    r = F.when(need, F.col(f"{column}_r"))
+    return jaro_winkler_udf(l, r)
 
 
 def gamma_expr(comp: Comparison) -> Column:
@@ -62,21 +55,35 @@ def gamma_expr(comp: Comparison) -> Column:
 
 
 def gamma_vectors(pairs: DataFrame, settings: LinkSettings | None = None,
-                  dedupe_strings: bool = True, keep_scores: bool = True) -> DataFrame:
+                  keep_scores: bool = True) -> DataFrame:
     """Pairs plus ``gamma_<col>`` for every comparison (and ``jw_<col>``
-    similarity columns for the fuzzy ones when ``keep_scores``)."""
+    similarity columns for the fuzzy ones when ``keep_scores``). One Python
+    pass evaluates every fuzzy comparison; no shuffle."""
     settings = settings or LinkSettings()
-    out = pairs
-    for comp in settings.comparisons:
-        if comp.kind == "jaro_winkler":
-            out = with_jaro_scores(out, comp.column, min(comp.thresholds), dedupe_strings)
+    fuzzy = [c for c in settings.comparisons if c.kind == "jaro_winkler"]
+    out = pairs.select("*", *[jaro_score(c.column, min(c.thresholds)).alias(jw_column(c.column))
+                              for c in fuzzy])
     out = out.select("*", *[gamma_expr(c).alias(c.gamma) for c in settings.comparisons])
     if not keep_scores:
-        out = out.drop(*[jw_column(c.column) for c in settings.comparisons
-                         if c.kind == "jaro_winkler"])
+        out = out.drop(*[jw_column(c.column) for c in fuzzy])
     return out
 
 
+def lean_gammas(gammas: DataFrame, settings: LinkSettings | None = None,
+                keep: tuple[str, ...] = ("name_norm", "phys_city", "zip5")) -> DataFrame:
+    """What later stages read: ids, rule, gammas, term frequencies, the
+    columns reports show, and the columns training blocks test for equality."""
+    settings = settings or LinkSettings()
+    uid = settings.unique_id
+    cols = [f"{uid}_l", f"{uid}_r", "match_key"] + [c.gamma for c in settings.comparisons]
+    for c in keep + tuple(k for b in settings.training_blocks for k in b):
+        for side in ("_l", "_r"):
+            if f"{c}{side}" in gammas.columns and f"{c}{side}" not in cols:
+                cols.append(f"{c}{side}")
+    cols += [c for c in gammas.columns if c.startswith("log2_tf_") and c not in cols]
+    return gammas.select(*cols)
+
+
 def jaro_winkler_pairs(pairs: DataFrame, column: str) -> DataFrame:
     """Similarity of every distinct non-null string pair of a compared column."""
     l, r = f"{column}_l", f"{column}_r"

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 MAX_ROUNDS = 200
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
@@ -66,13 +66,13 @@ def component_labels(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r",
     """(node, label): label = smallest node of the node's component.
     Only nodes with at least one edge appear."""
     ensure_checkpoint_dir(edges.sparkSession)
-    e = canonical_edges(edges, src, dst).checkpoint()
+    e = materialize(canonical_edges(edges, src, dst), "cc-edges")
     rounds = 0
     while _unsettled(e):
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        e = _small_star(_large_star(e)).checkpoint()
+        e = materialize(_small_star(_large_star(e)), f"cc-edges-{rounds}")
     leaves = e.select(F.col("a").alias("node"), F.col("b").alias("label"))
     centres = e.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     return leaves.unionByName(centres)
@@ -86,8 +86,9 @@ def dense_ids(keys: DataFrame, key: str, id_col: str = "id") -> DataFrame:
     spark = keys.sparkSession
     ensure_checkpoint_dir(spark)
     ordered = (keys.repartitionByRange(key).sortWithinPartitions(key)
-                   .withColumn("_mid", F.monotonically_increasing_id())
-                   .checkpoint())
+                   .withColumn("_mid", F.monotonically_increasing_id()))
+    # Written before use: the ids must not be recomputed with other partitions.
+    ordered = materialize(ordered, "dense-ids")
     with_part = ordered.withColumn("_part", F.shiftright("_mid", _POS_BITS)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
     counts = with_part.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

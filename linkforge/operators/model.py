@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model_params import ParameterSet
+from ..session import materialize, work_partitions
 from ..settings import LinkSettings
 from . import blocking, comparisons
 
@@ -46,13 +47,16 @@ def term_frequencies(records: DataFrame, column: str) -> DataFrame:
 
 
 def with_term_frequencies(records: DataFrame, settings: LinkSettings | None = None) -> DataFrame:
-    """Adds ``tf_<col>`` for every TF-adjusted comparison column."""
+    """Adds ``tf_<col>`` and ``log2_tf_<col>`` for every TF-adjusted column.
+    The logarithm is taken once per record here, so pair scoring only
+    subtracts (log2 max(tf_l, tf_r) = max(log2 tf_l, log2 tf_r))."""
     settings = settings or LinkSettings()
     out = records
     for comp in settings.comparisons:
         if comp.tf_adjust:
             tf = term_frequencies(records, comp.column).select(
-                F.col("value").alias(comp.column), F.col("tf").alias(f"tf_{comp.column}"))
+                F.col("value").alias(comp.column), F.col("tf").alias(f"tf_{comp.column}"),
+                F.log2("tf").alias(f"log2_tf_{comp.column}"))
             out = out.join(tf, comp.column, "left")
     return out
 
@@ -79,8 +83,11 @@ def random_pairs(records: DataFrame, max_pairs: int, seed: int = 42, id_col: str
     n = records.count()
     slots, claims = random_pair_plan(n, max_pairs)
     recs = records.select(*cols)
+    parts = work_partitions(records.sparkSession)
+    # Spread the records before the K-fold explode so it runs in every task.
     left = (recs.select([F.col(c).alias(f"{c}_l") for c in cols])
                 .withColumn("_start", _hash_slot(F.col(f"{id_col}_l"), f":a{seed}", slots))
+                .repartition(parts, "_start")
                 .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(claims - 1))))
                 .select("*", F.pmod(F.col("_start") + F.col("_k"), F.lit(slots)).alias("_slot"))
                 .drop("_start", "_k"))
@@ -88,6 +95,8 @@ def random_pairs(records: DataFrame, max_pairs: int, seed: int = 42, id_col: str
                  .withColumn("_slot", _hash_slot(F.col(f"{id_col}_r"), f":b{seed}", slots)))
     if claims == 0:
         left = left.limit(0)
+    left = left.repartition(parts, "_slot")
+    right = right.repartition(parts, "_slot")
     return (left.join(right, "_slot").where(F.col(f"{id_col}_l") < F.col(f"{id_col}_r"))
                 .drop("_slot"))
 
@@ -104,13 +113,46 @@ def level_counts(patterns: DataFrame, settings: LinkSettings | None = None) -> D
 
 def u_estimates(records: DataFrame, settings: LinkSettings | None = None,
                 max_pairs: int | None = None) -> DataFrame:
-    """(comparison, gamma, u_probability) from random pairs."""
+    """(comparison, gamma, u_probability): level frequencies among random
+    pairs (non-null levels only).
+
+    u is a per-comparison marginal, so the pairs are reduced in ONE
+    grouping-sets aggregation: the exact-match gammas as one set, and each
+    fuzzy column's (left, right) strings as its own set. The Jaro-Winkler
+    UDF then scores narrow distinct string pairs (weighted by their count)
+    instead of every wide pair row."""
     settings = settings or LinkSettings()
     max_pairs = max_pairs or settings.u_max_pairs
+    exact = [c for c in settings.comparisons if c.kind != "jaro_winkler"]
+    fuzzy = [c for c in settings.comparisons if c.kind == "jaro_winkler"]
     pairs = random_pairs(records, max_pairs, settings.seed, settings.unique_id,
                          settings.compared_columns)
-    gammas = comparisons.gamma_vectors(pairs, settings, keep_scores=False)
-    counts = level_counts(comparisons.gamma_patterns(gammas, settings), settings)
+    cols = [comparisons.gamma_expr(c).alias(c.gamma) for c in exact]
+    strings = [f"{c.column}{side}" for c in fuzzy for side in ("_l", "_r")]
+    narrow = pairs.select(*cols, *strings)
+    sets = [[c.gamma for c in exact]] + [[f"{c.column}_l", f"{c.column}_r"] for c in fuzzy]
+    grouped = (narrow.groupingSets(sets, *[c.gamma for c in exact], *strings)
+                     .agg(F.count(F.lit(1)).alias("n_pairs"), F.grouping_id().alias("_gid"))
+                     )
+    grouped = materialize(grouped, "u-level-groups")
+    all_bits = len(exact) + len(strings)
+    gid_exact = (1 << len(strings)) - 1          # exact gammas grouped, strings rolled up
+    parts = []
+    exact_rows = grouped.where(F.col("_gid") == gid_exact)
+    stacked = F.inline(F.array(*[F.struct(F.lit(c.column).alias("comparison"), F.col(c.gamma).alias("gamma"))
+                                 for c in exact]))
+    parts.append(exact_rows.select(stacked, "n_pairs"))
+    for i, comp in enumerate(fuzzy):
+        # bits are ordered as the grouping columns: exact gammas first, then strings
+        keep = {len(exact) + 2 * i, len(exact) + 2 * i + 1}
+        gid = sum(1 << (all_bits - 1 - b) for b in range(all_bits) if b not in keep)
+        rows = grouped.where(F.col("_gid") == gid).select(f"{comp.column}_l", f"{comp.column}_r", "n_pairs")
+        scored = rows.select("*", comparisons.jaro_score(comp.column, min(comp.thresholds))
+                             .alias(comparisons.jw_column(comp.column)))
+        parts.append(scored.select(F.lit(comp.column).alias("comparison"),
+                                   comparisons.gamma_expr(comp).alias("gamma"), "n_pairs"))
+    counts = reduce(DataFrame.unionByName, parts).where(F.col("gamma") >= 0).groupBy(
+        "comparison", "gamma").agg(F.sum("n_pairs").alias("n_pairs"))
     w = Window.partitionBy("comparison")  # <= a few dozen rows in all
     return counts.select("comparison", "gamma",
                          (F.col("n_pairs") / F.sum("n_pairs").over(w)).alias("u_probability"))
@@ -231,15 +273,33 @@ def em_pass(params: ParameterSet, settings: LinkSettings, patterns: DataFrame,
     return params, trained, iterations
 
 
+def covered_by_rules(block: tuple[str, ...], rules) -> bool:
+    """Pairs agreeing on every key of ``block`` agree on some blocking rule,
+    so they are all candidate pairs already."""
+    return any(set(rule) <= set(block) for rule in rules)
+
+
+def block_patterns(records: DataFrame, block: tuple[str, ...], settings: LinkSettings,
+                   candidate_gammas: DataFrame | None = None) -> DataFrame:
+    """Pattern counts of the pairs agreeing on ``block``: filtered from the
+    candidate comparison vectors when the block implies a blocking rule (no
+    new self-join), else from a dedicated blocking join."""
+    if candidate_gammas is not None and covered_by_rules(block, settings.blocking_rules):
+        agree = reduce(lambda a, b: a & b, [F.col(f"{k}_l") == F.col(f"{k}_r") for k in block])
+        return comparisons.gamma_patterns(candidate_gammas.where(agree), settings)
+    return training_patterns(records, block, settings)
+
+
 def train(records: DataFrame, settings: LinkSettings | None = None,
-          max_pairs: int | None = None) -> ParameterSet:
+          max_pairs: int | None = None, candidate_gammas: DataFrame | None = None) -> ParameterSet:
     """u by random sampling, then one EM pass per training block; a
     comparison's m is the mean over the passes that trained it."""
     settings = settings or LinkSettings()
     start = parameters_from_u(u_estimates(records, settings, max_pairs), settings)
     trained_m: dict[tuple[str, int], list[float]] = {}
     for block in settings.training_blocks:
-        params, trained, _ = em_pass(start, settings, training_patterns(records, block, settings), block)
+        patterns = block_patterns(records, block, settings, candidate_gammas)
+        params, trained, _ = em_pass(start, settings, patterns, block)
         for c in trained:
             for k in settings.comparison(c).levels:
                 trained_m.setdefault((c, k), []).append(params.levels[(c, k)]["m"])

@@ -7,11 +7,13 @@ match_probability = 2^w / (1 + 2^w)
 
 Parameters are a few dozen numbers; they are compiled into literal
 ``CASE`` expressions, so scoring is a narrow projection inside codegen with
-no join and no broadcast.
+no join and no broadcast. Term-frequency logarithms come precomputed per
+record.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,12 +45,20 @@ def log2_bf_expr(params: ParameterSet, comp) -> Column:
     return e.otherwise(F.lit(0.0))
 
 
-def tf_adjustment_expr(params: ParameterSet, comp) -> Column:
+def tf_adjustment_expr(params: ParameterSet, comp, columns: list[str] | None = None) -> Column:
+    """log2(u_exact / max(tf_l, tf_r)) on the exact level, else 0. Uses the
+    per-record ``log2_tf_`` columns when present (no logarithm per pair)."""
     u_exact = params.u(comp.column, comp.exact_level)
-    tf = F.greatest(F.col(f"tf_{comp.column}_l"), F.col(f"tf_{comp.column}_r"))
-    return (F.when((F.col(comp.gamma) == comp.exact_level) & tf.isNotNull() & F.lit(bool(u_exact)),
-                   F.log2(F.lit(u_exact or 1.0) / tf))
-             .otherwise(F.lit(0.0)))
+    if not u_exact:
+        return F.lit(0.0)
+    exact = F.col(comp.gamma) == comp.exact_level
+    if columns is None or f"log2_tf_{comp.column}_l" in columns:
+        ltf = F.greatest(F.col(f"log2_tf_{comp.column}_l"), F.col(f"log2_tf_{comp.column}_r"))
+        adj = F.lit(math.log2(u_exact)) - ltf
+    else:
+        tf = F.greatest(F.col(f"tf_{comp.column}_l"), F.col(f"tf_{comp.column}_r"))
+        adj = F.log2(F.lit(u_exact) / tf)
+    return F.coalesce(F.when(exact, adj), F.lit(0.0))
 
 
 def score_pairs(gammas: DataFrame, params: ParameterSet, settings: LinkSettings | None = None,
@@ -64,13 +74,15 @@ def score_pairs(gammas: DataFrame, params: ParameterSet, settings: LinkSettings
     if tf_adjust:
         for comp in settings.comparisons:
             if comp.tf_adjust:
-                extra.append(tf_adjustment_expr(params, comp).alias(tf_adj_column(comp.column)))
+                extra.append(tf_adjustment_expr(params, comp, gammas.columns)
+                             .alias(tf_adj_column(comp.column)))
                 terms.append(F.col(tf_adj_column(comp.column)))
     scored = gammas.select("*", *extra)
     w = reduce(lambda a, b: a + b, terms)
+    # 2^w / (1 + 2^w) written with one reference to w, so the optimizer
+    # never inlines the weight expression twice into the projection.
     scored = scored.withColumn("match_weight", w).withColumn(
-        "match_probability", F.pow(F.lit(2.0), F.col("match_weight"))
-        / (F.lit(1.0) + F.pow(F.lit(2.0), F.col("match_weight"))))
+        "match_probability", F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(2.0), -F.col("match_weight"))))
     if threshold is not None:
         scored = scored.where(F.col("match_weight") >= F.lit(float(threshold)))
     return scored

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import REGISTRATION_COLUMNS
+from ..session import materialize
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -54,7 +55,7 @@ def write_upsert(spark: SparkSession, incoming: DataFrame, path: str,
     else:
         touched = incoming.select(partition_col).distinct()
         current = existing.join(touched, partition_col, "left_semi").select(*incoming.columns)
-        merged = upsert_by_key(current, incoming, keys).checkpoint()
+        merged = materialize(upsert_by_key(current, incoming, keys), "upsert-merge")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..model_params import ParameterSet
 from ..operators import blocking, comparisons, graph, model, scoring
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..settings import DEFAULT_CLUSTER_THRESHOLD, DEFAULT_PREDICT_THRESHOLD, LinkSettings
 from . import fixtures
 
@@ -25,18 +25,24 @@ def link_records(link_input: DataFrame, settings: LinkSettings, tf: bool = False
     return model.with_term_frequencies(recs, settings) if tf else recs
 
 
-def score_stage(records: DataFrame, params: ParameterSet, settings: LinkSettings,
+def comparison_stage(records: DataFrame, settings: LinkSettings) -> DataFrame:
+    """Candidate pairs -> comparison vectors in one pass (the wide pair rows
+    are never materialised); the lean result is checkpointed because both
+    training and scoring read it."""
+    pairs = blocking.candidate_pairs(records, settings, carry=list(records.columns))
+    return materialize(comparisons.lean_gammas(
+        comparisons.gamma_vectors(pairs, settings, keep_scores=False), settings), "gammas")
+
+
+def score_stage(gammas: DataFrame, params: ParameterSet, settings: LinkSettings,
                 threshold: float | None = DEFAULT_PREDICT_THRESHOLD, tf: bool = False) -> DataFrame:
-    carry = list(records.columns)
-    pairs = blocking.candidate_pairs(records, settings, carry=carry)
-    gammas = comparisons.gamma_vectors(pairs, settings)
     return scoring.score_pairs(gammas, params, settings, threshold=threshold, tf_adjust=tf)
 
 
 def cluster_stage(predictions: DataFrame, latest: DataFrame,
                   threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(entity_clusters, match_edges) at the cluster threshold."""
-    edges = scoring.edges_above(predictions, threshold).checkpoint()
+    edges = materialize(scoring.edges_above(predictions, threshold), "match-edges")
     membership = graph.connected_components(edges)
     return graph.entity_clusters(membership, latest), edges
 
@@ -49,12 +55,13 @@ def run_linkage(spark: SparkSession, latest: DataFrame, settings: LinkSettings |
     settings = settings or LinkSettings()
     ensure_checkpoint_dir(spark)
     link_in = latest.where(F.col("name_norm").isNotNull())
-    records = link_records(link_in, settings, tf=tf).checkpoint()
+    records = materialize(link_records(link_in, settings, tf=tf), "link-records")
+    gammas = comparison_stage(records, settings)
     if params is None:
-        params = model.train(records, settings, max_u_pairs)
-    predictions = score_stage(records, params, settings, predict_threshold, tf).checkpoint()
+        params = model.train(records, settings, max_u_pairs, candidate_gammas=gammas)
+    predictions = materialize(score_stage(gammas, params, settings, predict_threshold, tf), "predictions")
     clusters, edges = cluster_stage(predictions, latest, cluster_threshold)
-    return {"params": params, "predictions": predictions, "clusters": clusters.checkpoint(),
+    return {"params": params, "predictions": predictions, "clusters": materialize(clusters, "entity-clusters"),
             "edges": edges, "records": records}
 
 
@@ -79,20 +86,21 @@ class FixtureStages:
         return self._memo("latest", lambda: fixtures.registrations_latest(self.spark, self.sf_dir))
 
     def records(self, tf: bool = False) -> DataFrame:
-        return self._memo(("records", tf), lambda: link_records(
-            self.latest().where(F.col("name_norm").isNotNull()), self.settings, tf).checkpoint())
+        return self._memo(("records", tf), lambda: materialize(link_records(
+            self.latest().where(F.col("name_norm").isNotNull()), self.settings, tf), "link-records"))
 
     def pairs(self) -> DataFrame:
-        return self._memo("pairs", lambda: blocking.candidate_pairs(
-            self.records(True), self.settings, carry=list(self.records(True).columns)).checkpoint())
+        return self._memo("pairs", lambda: materialize(blocking.candidate_pairs(
+            self.records(True), self.settings, carry=list(self.records(True).columns)), "pairs"))
 
     def gammas(self) -> DataFrame:
-        return self._memo("gammas", lambda: comparisons.gamma_vectors(self.pairs(), self.settings)
-                          .checkpoint())
+        return self._memo("gammas", lambda: materialize(comparisons.lean_gammas(
+            comparisons.gamma_vectors(self.pairs(), self.settings, keep_scores=False), self.settings),
+            "gammas"))
 
     def scored(self, tf: bool = False) -> DataFrame:
-        return self._memo(("scored", tf), lambda: scoring.score_pairs(
-            self.gammas(), fixtures.fixed_parameters(), self.settings, tf_adjust=tf).checkpoint())
+        return self._memo(("scored", tf), lambda: materialize(scoring.score_pairs(
+            self.gammas(), fixtures.fixed_parameters(), self.settings, tf_adjust=tf), "scored"))
 
     def predictions(self, threshold: float = DEFAULT_PREDICT_THRESHOLD) -> DataFrame:
         return self.scored().where(F.col("match_weight") >= F.lit(threshold))
@@ -100,7 +108,7 @@ class FixtureStages:
     def clustered(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD):
         def build():
             clusters, edges = cluster_stage(self.scored(), self.latest(), threshold)
-            return clusters.checkpoint(), edges
+            return materialize(clusters, "entity-clusters"), edges
         return self._memo(("clusters", threshold), build)
 
     def clusters(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:

@@ -62,3 +62,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark)
     return os.path.join(root, "tables", name) if "://" not in root else f"{root.rstrip('/')}/tables/{name}"
+
+
+def work_partitions(spark: SparkSession) -> int:
+    """Partition count for operators whose output is much larger than their
+    input (self-joins, explodes): the session's shuffle-partition setting,
+    never below the default parallelism. AQE sizes partitions by shuffle
+    *input* bytes, which for a pair-generating join would leave a few tasks
+    producing millions of pairs each."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(configured, spark.sparkContext.defaultParallelism)
+
+
+def materialize(df, label: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    return the re-read table: lineage is cut, the result survives executor
+    loss, and later reads get column pruning and filter pushdown. (Unlike
+    ``checkpoint()``, the plan runs once and the re-read carries none of the
+    original plan's constraints, which for large scoring expressions made
+    every later filter expensive to optimise.)"""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{label}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
