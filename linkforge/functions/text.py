@@ -28,6 +28,9 @@ FALLBACK_SNAPSHOT_DATE = "1970-01-01"
 # Python's str.strip()/\s also treat \x1c-\x1f as space; Java's \s (even in
 # Unicode mode) does not, so the class names them explicitly.
 _WS = r"[\s\x1c-\x1f]"
+# The characters str.strip() removes, derived from the same rule (isspace);
+# trimming by this set needs no regex.
+WHITESPACE_CHARS = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
 
 
 def _col(c) -> Column:
@@ -35,8 +38,8 @@ def _col(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Trim every Unicode whitespace character on both ends."""
-    return F.regexp_replace(_col(c), rf"(?U)^{_WS}+|{_WS}+$", "")
+    """Trim every Unicode whitespace character on both ends (set trim, no regex)."""
+    return F.btrim(_col(c), F.lit(WHITESPACE_CHARS))
 
 
 def blank_to_null(c) -> Column:
