@@ -146,11 +146,36 @@ UNION ALL SELECT {src}, CAST(c_custkey * 4 + 4 AS BIGINT),
 """
 
 
+def _line_col(name_expr: str):
+    """The rendered line as ``concat_ws`` over a field array (compact
+    generated code; the same text as the ``||`` chain of ``_line_sql``)."""
+    fields = dict(CUSTOMER_FIELDS)
+    fields[11] = name_expr
+    arr = F.array(*[F.expr(fields.get(i, "''")) for i in range(142)])
+    n = F.expr("CASE WHEN c_custkey % 10 = 0 THEN 121 WHEN c_custkey % 10 = 1 THEN 122 ELSE 142 END")
+    cr = F.expr("CASE WHEN c_custkey % 4 = 3 THEN chr(13) ELSE '' END")
+    return F.concat(F.concat_ws("|", F.slice(arr, F.lit(1), n)), cr)
+
+
 def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot lines rendered from ``customer``: a header, records of 142,
     122 and 121 fields, blank keys, repeated keys, '!end' and blank lines,
-    trailing carriage returns."""
-    return spark.sql(customer_lines_sql("{customer}"), customer=read_table(spark, sf_dir, "customer"))
+    trailing carriage returns. Same lines as ``customer_lines_sql``."""
+    c = read_table(spark, sf_dir, "customer")
+    src = F.lit(LINES_SOURCE_FILE)
+    key = F.col("c_custkey")
+    header = c.agg(F.count(F.lit(1)).alias("n")).select(
+        src.alias("source_file"), F.lit(0).cast("long").alias("line_no"),
+        F.concat(F.lit("BOF PUBLIC V2 20240101 "), F.col("n").cast("string")).alias("raw"))
+    main = c.select(src.alias("source_file"), (key * 4 + 1).cast("long").alias("line_no"),
+                    _line_col(CUSTOMER_FIELDS[11]).alias("raw"))
+    dup = c.where(key % 11 == 0).select(src.alias("source_file"), (key * 4 + 2).cast("long").alias("line_no"),
+                                        _line_col("c_name || ' DUP'").alias("raw"))
+    end = c.where(key % 13 == 0).select(src.alias("source_file"), (key * 4 + 3).cast("long").alias("line_no"),
+                                        F.lit("!end").alias("raw"))
+    blank = c.where(key % 19 == 0).select(src.alias("source_file"), (key * 4 + 4).cast("long").alias("line_no"),
+                                          F.when(key % 2 == 0, F.lit("")).otherwise(F.lit("\r")).alias("raw"))
+    return header.unionByName(main).unionByName(dup).unionByName(end).unionByName(blank)
 
 
 MONTH_CASE = "CASE mo " + " ".join(

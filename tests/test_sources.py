@@ -113,3 +113,15 @@ def test_manifest(spark):
     assert [r.name for r in manifest.manifest_missing(expected, present).collect()] == ["B.ZIP"]
     prog = manifest.manifest_progress(manifest.manifest_status(expected, present)).first()
     assert (prog.done, prog.total) == (1, 2)
+
+
+def test_rendered_fixture_lines_equal_sql_rendering(spark):
+    import duckdb
+
+    from linkforge.plans import fixtures
+    sf = "/root/testdata/sf0.001"
+    got = sorted((r.line_no, r.raw) for r in fixtures.customer_lines(spark, sf).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{sf}/customer.parquet')")
+    want = sorted((n, raw) for _, n, raw in con.execute(fixtures.customer_lines_sql("customer")).fetchall())
+    assert got == want
