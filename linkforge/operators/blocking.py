@@ -7,12 +7,16 @@ Plan shape: one equi self-join per rule, each excluding the pairs an
 earlier rule already produced, combined with ``unionByName``. An OR of
 equalities in one join would be planned as a nested-loop join.
 
-Skew: a block (one key value of a rule) may hold a large share of all rows.
-Blocks above ``hot_block_rows`` are split: the left side of a hot block is
-spread over ``ceil(size / hot_block_rows)`` salts by a hash of the id, the
-right side is replicated to every salt, and the join key gains the salt.
-Every pair still meets exactly once (in the salt of its left row); no row
-is dropped. AQE skew-join splitting remains on as a second line of defence.
+Skew: a block (one key value of a rule) may hold a large share of all rows,
+and its output grows with the square of its size. Blocks above
+``hot_block_rows`` (L) are split into ``s = min(n, ceil((n / L)^2))`` salted
+sub-blocks: the left side of the block is spread over the salts by a hash of
+the id, the right side is replicated to every salt, and the join key gains
+the salt. Each sub-block then emits about L^2/2 pairs whatever n is, while
+the replication (n * s rows) stays far below the n^2/2 pairs the block must
+produce anyway. Every pair still meets exactly once (in the salt of its left
+row); nothing is dropped or capped. AQE skew-join splitting remains on as a
+second line of defence.
 """
 
 from __future__ import annotations
@@ -53,8 +57,9 @@ def hot_blocks(records: DataFrame, rules, hot_block_rows: int) -> DataFrame:
         parts.append(keyed.select(F.lit(i).alias("rule"), _key_string(rule).alias("block_key")))
     counts = reduce(DataFrame.unionByName, parts).groupBy("rule", "block_key").agg(
         F.count(F.lit(1)).alias("block_rows"))
+    ratio = F.col("block_rows") / F.lit(float(hot_block_rows))
     return (counts.where(F.col("block_rows") > F.lit(hot_block_rows))
-                  .withColumn("n_salt", F.ceil(F.col("block_rows") / F.lit(hot_block_rows)).cast("int")))
+                  .withColumn("n_salt", F.least(F.col("block_rows"), F.ceil(ratio * ratio)).cast("int")))
 
 
 def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,

@@ -29,7 +29,10 @@ def comparison_stage(records: DataFrame, settings: LinkSettings) -> DataFrame:
     """Candidate pairs -> comparison vectors in one pass (the wide pair rows
     are never materialised); the lean result is checkpointed because both
     training and scoring read it."""
-    pairs = blocking.candidate_pairs(records, settings, carry=list(records.columns))
+    # Only what the comparisons and scoring read rides through the join (the
+    # raw term frequencies stay on the records; their logarithms travel).
+    carry = [c for c in records.columns if not c.startswith("tf_")]
+    pairs = blocking.candidate_pairs(records, settings, carry=carry)
     return materialize(comparisons.lean_gammas(
         comparisons.gamma_vectors(pairs, settings, keep_scores=False), settings), "gammas")
 

@@ -76,8 +76,9 @@ class LinkSettings:
     em_convergence: float = DEFAULT_EM_CONVERGENCE
     u_max_pairs: int = DEFAULT_U_MAX_PAIRS
     training_blocks: tuple[tuple[str, ...], ...] = DEFAULT_TRAINING_BLOCKS
-    # A block side with more rows than this is split into salted sub-blocks.
-    hot_block_rows: int = 20_000
+    # A block with more rows than this is split into salted sub-blocks of
+    # about hot_block_rows^2 / 2 pairs each (12.5M at the default).
+    hot_block_rows: int = 5_000
     seed: int = 42
     extra: dict = field(default_factory=dict, compare=False)
 
