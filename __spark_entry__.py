@@ -64,6 +64,10 @@ def q_candidate_pairs(spark, d):
     return _st(spark, d).pairs().select("uei_l", "uei_r", "match_key")
 
 
+def q_naive_pair_count(spark, d):
+    return blocking.naive_pair_count(_st(spark, d).records())
+
+
 def q_blocking_rule_counts(spark, d):
     return blocking.blocking_rule_counts(_st(spark, d).pairs())
 
@@ -170,6 +174,10 @@ def q_entity_lookup(spark, d):
     return explore.entity_card(_st(spark, d).latest(), "000000000004")
 
 
+def q_entity_cluster(spark, d):
+    return explore.entity_cluster(_st(spark, d).clusters(), "000000000004")
+
+
 def q_name_search(spark, d):
     st = _st(spark, d)
     return explore.name_search(st.clusters(), st.latest(), "ring", 25)
@@ -305,6 +313,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "link_input": q_link_input,
     "candidate_pairs": q_candidate_pairs,
     "blocking_rule_counts": q_blocking_rule_counts,
+    "naive_pair_count": q_naive_pair_count,
     "jaro_winkler": q_jaro_winkler,
     "gamma_vectors": q_gamma_vectors,
     "gamma_patterns": q_gamma_patterns,
@@ -327,6 +336,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_name_counts": q_cluster_name_counts,
     "cluster_city_counts": q_cluster_city_counts,
     "entity_lookup": q_entity_lookup,
+    "entity_cluster": q_entity_cluster,
     "name_search": q_name_search,
     "name_search_fallback": q_name_search_fallback,
     "u_estimates": q_u_estimates,

@@ -117,6 +117,9 @@ def link_queries() -> dict[str, str]:
     q["blocking_keys"] = with_base("SELECT uei, zip5, name_first4 FROM latest")
     q["link_input"] = with_base(f"SELECT {', '.join(COLS)} FROM li")
     q["candidate_pairs"] = with_base("SELECT uei_l, uei_r, match_key FROM pairs")
+    q["naive_pair_count"] = with_base(
+        "SELECT CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS naive_pairs FROM li")
+    q["entity_cluster"] = with_base("SELECT cluster_id, cluster_size FROM ec WHERE uei = '000000000004'")
     q["blocking_rule_counts"] = with_base("SELECT match_key, count(*) AS n_pairs FROM pairs GROUP BY match_key")
     q["jaro_winkler"] = with_base(
         "SELECT DISTINCT name_norm_l, name_norm_r, jaro_winkler_similarity(name_norm_l, name_norm_r) AS similarity "
