@@ -47,16 +47,31 @@ def _key_string(rule: tuple[str, ...], suffix: str = "") -> Column:
     return F.concat_ws("\u0001", *[F.col(f"{k}{suffix}") for k in rule])
 
 
-def hot_blocks(records: DataFrame, rules, hot_block_rows: int) -> DataFrame:
-    """(rule, block_key, block_rows, n_salt) for every block larger than the limit.
-
-    One partial-aggregated pass over the records for all rules."""
+def block_sizes(records: DataFrame, rules) -> DataFrame:
+    """(rule, block_key, block_rows): one partial-aggregated pass over the
+    records for all rules (NULL keys form no block)."""
     parts = []
     for i, rule in enumerate(rules):
         keyed = records.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule]))
         parts.append(keyed.select(F.lit(i).alias("rule"), _key_string(rule).alias("block_key")))
-    counts = reduce(DataFrame.unionByName, parts).groupBy("rule", "block_key").agg(
+    return reduce(DataFrame.unionByName, parts).groupBy("rule", "block_key").agg(
         F.count(F.lit(1)).alias("block_rows"))
+
+
+def rule_workload(sizes: DataFrame, hot_block_rows: int) -> dict[int, tuple[float, int]]:
+    """rule -> (upper bound of its pairs = sum n(n-1)/2 over blocks, hot
+    blocks). One row per rule reaches the driver."""
+    n = F.col("block_rows").cast("double")
+    rows = (sizes.groupBy("rule")
+                 .agg(F.sum(n * (n - 1) / 2).alias("pairs"),
+                      F.sum((F.col("block_rows") > hot_block_rows).cast("long")).alias("hot"))
+                 .collect())
+    return {int(r["rule"]): (float(r["pairs"] or 0.0), int(r["hot"] or 0)) for r in rows}
+
+
+def hot_blocks(records: DataFrame, rules, hot_block_rows: int, sizes: DataFrame | None = None) -> DataFrame:
+    """(rule, block_key, block_rows, n_salt) for every block larger than the limit."""
+    counts = sizes if sizes is not None else block_sizes(records, rules)
     ratio = F.col("block_rows") / F.lit(float(hot_block_rows))
     return (counts.where(F.col("block_rows") > F.lit(hot_block_rows))
                   .withColumn("n_salt", F.least(F.col("block_rows"), F.ceil(ratio * ratio)).cast("int")))
@@ -80,13 +95,16 @@ def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,
                 cols.append(k)
     limit = hot_block_rows if hot_block_rows is not None else settings.hot_block_rows
     recs = records.select(*cols)
-    parts = work_partitions(records.sparkSession)
+    spark = records.sparkSession
 
-    hot = hot_blocks(recs, rules, limit)
-    n_hot = hot.count()
+    # One aggregation job sizes every rule: its pair volume (for the
+    # partition count) and its hot blocks (for salting).
+    sizes = block_sizes(recs, rules)
+    workload = rule_workload(sizes, limit)
+    n_hot = sum(h for _, h in workload.values())
     salted = n_hot > 0
     if salted:
-        hot = hot.select("rule", "block_key", "n_salt")
+        hot = hot_blocks(recs, rules, limit, sizes).select("rule", "block_key", "n_salt")
         if n_hot <= HOT_KEYS_BROADCAST_LIMIT:
             hot = F.broadcast(hot)
 
@@ -112,6 +130,7 @@ def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,
         # Hash-partition both sides on the join keys with an explicit count:
         # the join's output (pairs) dwarfs its input (records), so the
         # partition count must follow the work, not the input bytes.
+        parts = work_partitions(spark, workload.get(i, (0.0, 0))[0])
         lkeys = [f"{k}_l" for k in rule] + (["salt_l"] if salted else [])
         rkeys = [f"{k}_r" for k in rule] + (["salt_r"] if salted else [])
         left = left.repartition(parts, *lkeys)

@@ -83,7 +83,8 @@ def random_pairs(records: DataFrame, max_pairs: int, seed: int = 42, id_col: str
     n = records.count()
     slots, claims = random_pair_plan(n, max_pairs)
     recs = records.select(*cols)
-    parts = work_partitions(records.sparkSession)
+    # Sized by the pairs the sample will produce (about min(max_pairs, all pairs)).
+    parts = work_partitions(records.sparkSession, 2.0 * min(max_pairs, n * (n - 1) / 2))
     # Spread the records before the K-fold explode so it runs in every task.
     left = (recs.select([F.col(c).alias(f"{c}_l") for c in cols])
                 .withColumn("_start", _hash_slot(F.col(f"{id_col}_l"), f":a{seed}", slots))

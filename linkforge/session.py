@@ -64,14 +64,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tables", name) if "://" not in root else f"{root.rstrip('/')}/tables/{name}"
 
 
-def work_partitions(spark: SparkSession) -> int:
+# Target output rows per task for pair-generating operators, and a ceiling.
+ROWS_PER_WORK_PARTITION = 2_000_000
+MAX_WORK_PARTITIONS = 100_000
+
+
+def work_partitions(spark: SparkSession, expected_rows: float | None = None) -> int:
     """Partition count for operators whose output is much larger than their
-    input (self-joins, explodes): the session's shuffle-partition setting,
-    never below the default parallelism. AQE sizes partitions by shuffle
-    *input* bytes, which for a pair-generating join would leave a few tasks
-    producing millions of pairs each."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(configured, spark.sparkContext.defaultParallelism)
+    input (self-joins, explodes). AQE sizes partitions by shuffle *input*
+    bytes, which for a pair-generating join would leave a few tasks producing
+    millions of pairs each; so the count follows the expected OUTPUT
+    (about 2M rows per task), never below the cluster's default parallelism.
+    Without an estimate, the session's shuffle-partition setting is used."""
+    floor = spark.sparkContext.defaultParallelism
+    if expected_rows is None:
+        return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), floor)
+    import math
+    wanted = math.ceil(float(expected_rows) / ROWS_PER_WORK_PARTITION)
+    return int(min(max(floor, wanted), MAX_WORK_PARTITIONS))
 
 
 def materialize(df, label: str):
