@@ -66,3 +66,19 @@ def test_rule_counts_fixture(spark):
     li = fixtures.link_input(spark, "/root/testdata/sf0.001")
     counts = {r.match_key: r.n_pairs for r in blocking.blocking_rule_counts(blocking.candidate_pairs(li)).collect()}
     assert counts == {0: 300, 1: 171, 2: 9, 3: 45, 4: 1}
+
+
+def test_rule_workload_and_partition_sizing(spark):
+    from linkforge.session import MAX_WORK_PARTITIONS, work_partitions
+    rows = _records(n=150, hot_share=0.4)
+    df = spark.createDataFrame(rows, ",".join(f"{c} string" for c in COLS))
+    work = blocking.rule_workload(blocking.block_sizes(df, SET.blocking_rules), 7)
+    brute = _brute(rows, SET.blocking_rules)
+    # the per-rule estimate bounds the pairs each rule can produce
+    for i in range(len(SET.blocking_rules)):
+        assert work[i][0] >= sum(1 for k in brute.values() if k == i)
+    assert work[1][1] >= 1          # the planted hot name block is found
+    floor = spark.sparkContext.defaultParallelism
+    assert work_partitions(spark, 10) == floor
+    assert work_partitions(spark, 4e9) == 2000
+    assert work_partitions(spark, 1e15) == MAX_WORK_PARTITIONS
