@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from linkforge.functions import text  # noqa: E402
 from linkforge.operators import blocking, comparisons, explore, graph, model, scoring, tables  # noqa: E402
 from linkforge.plans import fixtures, linkage  # noqa: E402
 from linkforge.sources import delimited, listing, manifest, pages  # noqa: E402

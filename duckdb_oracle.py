@@ -216,7 +216,7 @@ def link_queries() -> dict[str, str]:
 # ------------------------------------------------------------ ingest keys ----
 
 from linkforge.plans.fixtures import (  # noqa: E402
-    LINES_SOURCE_FILE, customer_lines_sql, listing_sql, loaded_sql, present_sql)
+    customer_lines_sql, listing_sql, loaded_sql, present_sql)
 from linkforge.schema import REGISTRATION_COLUMNS, SOURCE_POSITIONS  # noqa: E402
 from linkforge.functions.text import MONTHS  # noqa: E402
 

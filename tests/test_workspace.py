@@ -2,7 +2,6 @@ import os
 import time
 import zipfile
 
-from pyspark.sql import functions as F
 
 from linkforge.plans.fixtures import fixed_parameters
 from linkforge.plans.workspace import Workspace
