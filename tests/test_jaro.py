@@ -38,3 +38,14 @@ def test_udf_in_spark(spark):
     got = [r[0] for r in df.select(jaro_winkler_udf("a", "b")).collect()]
     assert [round(x, 12) for x in got[:-1]] == [round(v, 12) for _, _, v in KNOWN]
     assert got[-1] is None
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="abcé xyz-", min_size=0, max_size=45),
+                          st.text(alphabet="abcé xyz-", min_size=0, max_size=45)), min_size=1, max_size=60))
+def test_batch_equals_scalar(pairs):
+    import numpy as np
+
+    from linkforge.functions.jaro import jaro_winkler_batch
+    got = jaro_winkler_batch([a for a, _ in pairs], [b for _, b in pairs])
+    assert np.array_equal(got, np.array([jaro_winkler(a, b) for a, b in pairs]))
