@@ -2,11 +2,12 @@
 
 Connected components use the alternating large-star / small-star rounds
 of Kiveris et al. (2014): O(log^2 n) rounds, each a few aggregations and
-joins over the edge list. No node's neighbourhood is ever gathered into one
-row: every per-node quantity is a ``min``/``count`` aggregate, which Spark
-combines map-side, so a hub node does not overload a task. Each round's
-edge list is written with ``checkpoint()`` (the shared checkpoint folder)
-so lineage stays one round deep and a lost executor recomputes one round.
+joins over the edge list (five shuffles per round). No node's neighbourhood
+is ever gathered into one row: every per-node quantity is a ``min``/``count``
+aggregate, which Spark combines map-side, so a hub node does not overload a
+task. Each round's edge list is written as a Parquet table in the shared
+checkpoint folder, so lineage stays one round deep and a lost executor
+recomputes one round.
 
 Component label = smallest member id. ``cluster_id`` numbers components
 0, 1, 2, ... in order of their smallest member (the order a sorted-node
@@ -38,8 +39,10 @@ def _large_star(e: DataFrame) -> DataFrame:
     mins = both.groupBy("u").agg(F.min("v").alias("mv")).select(
         "u", F.least("u", "mv").alias("m"))
     # Connect every strictly larger neighbour v of u to m(u): edges (v, m(u)), v > m.
+    # One output edge per input edge, so no de-duplication shuffle here: the
+    # small-star step's min aggregates ignore repeats and it ends with distinct.
     larger = e.select(F.col("b").alias("u"), F.col("a").alias("v"))
-    return larger.join(mins, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return larger.join(mins, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:

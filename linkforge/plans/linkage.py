@@ -86,7 +86,10 @@ class FixtureStages:
         return self._cache[key]
 
     def latest(self) -> DataFrame:
-        return self._memo("latest", lambda: fixtures.registrations_latest(self.spark, self.sf_dir))
+        # The stored latest-registrations table of the reference: written once,
+        # read by every report (not re-derived from the source per query).
+        return self._memo("latest", lambda: materialize(
+            fixtures.registrations_latest(self.spark, self.sf_dir), "registrations-latest"))
 
     def records(self, tf: bool = False) -> DataFrame:
         return self._memo(("records", tf), lambda: materialize(link_records(
