@@ -70,17 +70,25 @@ def gamma_vectors(pairs: DataFrame, settings: LinkSettings | None = None,
 
 
 def lean_gammas(gammas: DataFrame, settings: LinkSettings | None = None,
-                keep: tuple[str, ...] = ("name_norm", "phys_city", "zip5")) -> DataFrame:
+                keep: tuple[str, ...] = ("name_norm", "phys_city")) -> DataFrame:
     """What later stages read: ids, rule, gammas, term frequencies, the
     columns reports show, and the columns training blocks test for equality."""
     settings = settings or LinkSettings()
     uid = settings.unique_id
-    cols = [f"{uid}_l", f"{uid}_r", "match_key"] + [c.gamma for c in settings.comparisons]
-    for c in keep + tuple(k for b in settings.training_blocks for k in b):
+    cols: list = [f"{uid}_l", f"{uid}_r", "match_key"] + [c.gamma for c in settings.comparisons]
+    # Training blocks that imply a blocking rule are filtered from these rows
+    # (their equality columns stay); other blocks get their own join.
+    covered = [b for b in settings.training_blocks
+               if any(set(rule) <= set(b) for rule in settings.blocking_rules)]
+    for c in keep + tuple(k for b in covered for k in b):
         for side in ("_l", "_r"):
             if f"{c}{side}" in gammas.columns and f"{c}{side}" not in cols:
                 cols.append(f"{c}{side}")
-    cols += [c for c in gammas.columns if c.startswith("log2_tf_") and c not in cols]
+    # Scoring needs only max(log2 tf_l, log2 tf_r) per TF column.
+    for comp in settings.comparisons:
+        if f"log2_tf_{comp.column}_l" in gammas.columns:
+            cols.append(F.greatest(f"log2_tf_{comp.column}_l", f"log2_tf_{comp.column}_r")
+                        .alias(f"log2_tf_max_{comp.column}"))
     return gammas.select(*cols)
 
 

@@ -52,7 +52,9 @@ def tf_adjustment_expr(params: ParameterSet, comp, columns: list[str] | None = N
     if not u_exact:
         return F.lit(0.0)
     exact = F.col(comp.gamma) == comp.exact_level
-    if columns is None or f"log2_tf_{comp.column}_l" in columns:
+    if columns is not None and f"log2_tf_max_{comp.column}" in columns:
+        adj = F.lit(math.log2(u_exact)) - F.col(f"log2_tf_max_{comp.column}")
+    elif columns is None or f"log2_tf_{comp.column}_l" in columns:
         ltf = F.greatest(F.col(f"log2_tf_{comp.column}_l"), F.col(f"log2_tf_{comp.column}_r"))
         adj = F.lit(math.log2(u_exact)) - ltf
     else:
