@@ -74,8 +74,11 @@ def read_text_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 def _unzip_batches(batches):
     for batch in batches:
         paths = batch.column("path").to_pylist()
-        contents = batch.column("content").to_pylist()
-        for path, content in zip(paths, contents):
+        bodies = batch.column("content")
+        for k, path in enumerate(paths):
+            # One archive body becomes Python bytes at a time (a task may hold
+            # several archives; never copy them all at once).
+            content = bodies[k].as_py()
             name = path.rsplit("/", 1)[-1]
             out_lines, out_nos = [], []
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
