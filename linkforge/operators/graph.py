@@ -69,17 +69,17 @@ def component_labels(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r",
     """(node, label): label = smallest node of the node's component.
     Only nodes with at least one edge appear.
 
-    The rounds run on dense ``long`` node ids numbered in ascending id order
-    (so "smaller" and the minimum are unchanged): 8-byte shuffle keys and
-    hash aggregation instead of sorting strings in every round. Labels are
-    mapped back to the original ids at the end."""
+    The rounds run on ``long`` node ids (8-byte shuffle keys and hash
+    aggregation instead of sorting strings in every round). The ids are
+    written once, so they are stable; the smallest original id of each
+    component is found by one aggregation at the end."""
     ensure_checkpoint_dir(edges.sparkSession)
     canon = canonical_edges(edges, src, dst)
     nodes = canon.select(F.col("a").alias("node")).union(canon.select(F.col("b").alias("node"))).distinct()
-    ids = materialize(dense_ids(nodes, "node", "nid"), "cc-node-ids")
+    ids = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "cc-node-ids")
     e = (canon.join(ids.select(F.col("node").alias("a"), F.col("nid").alias("ia")), "a")
               .join(ids.select(F.col("node").alias("b"), F.col("nid").alias("ib")), "b")
-              .select(F.col("ia").alias("a"), F.col("ib").alias("b")))
+              .select(F.greatest("ia", "ib").alias("a"), F.least("ia", "ib").alias("b")))
     e = materialize(e, "cc-edges")
     rounds = 0
     while _unsettled(e):
@@ -87,12 +87,11 @@ def component_labels(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r",
         if rounds > max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
         e = materialize(_small_star(_large_star(e)), f"cc-edges-{rounds}")
-    leaves = e.select(F.col("a").alias("nid"), F.col("b").alias("lid"))
-    centres = e.select(F.col("b").alias("nid"), F.col("b").alias("lid")).distinct()
-    by_id = leaves.unionByName(centres)
-    return (by_id.join(ids.select("nid", "node"), "nid")
-                 .join(ids.select(F.col("nid").alias("lid"), F.col("node").alias("label")), "lid")
-                 .select("node", "label"))
+    leaves = e.select(F.col("a").alias("nid"), F.col("b").alias("cid"))
+    centres = e.select(F.col("b").alias("nid"), F.col("b").alias("cid")).distinct()
+    named = leaves.unionByName(centres).join(ids, "nid")          # (nid, cid, node)
+    smallest = named.groupBy("cid").agg(F.min("node").alias("label"))  # partial aggregate
+    return named.join(smallest, "cid").select("node", "label")
 
 
 def dense_ids(keys: DataFrame, key: str, id_col: str = "id") -> DataFrame:
