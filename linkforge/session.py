@@ -41,14 +41,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (cluster setting).
 
-    Only when the session has none (local tests) a private scratch folder
-    is created; on a cluster the setting is always present and wins."""
+    Only a local-mode session without one (tests) gets a private scratch
+    folder; a cluster session without the setting is an error, never a
+    fallback to machine-local disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # Stage tables must outlive executors: never a machine-local folder.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                               "for stage tables and lineage cuts")
         configured = tempfile.mkdtemp(prefix="linkforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
