@@ -39,7 +39,7 @@ def parse_lines(lines: DataFrame, snapshot_from_name: bool = True) -> DataFrame:
     """Records with >= 122 fields, blank -> NULL, no key or '!end' key
     dropped, computed columns added. Columns in stored-table order, plus
     ``line_no`` (the keep-last order key)."""
-    raw = F.regexp_replace(F.col("raw"), r"[\r\n]+$", "")
+    raw = F.rtrim(F.col("raw"), F.lit("\r\n"))       # strip trailing CR/LF (set trim, no regex)
     kept = (lines.select("source_file", "line_no", raw.alias("raw"))
                  .where(~((F.col("line_no") == 0) & F.col("raw").startswith("BOF")))
                  .where((F.col("raw") != "") & ~F.col("raw").startswith("!end")))
