@@ -65,20 +65,19 @@ def latest_per_key(registrations: DataFrame, key: str = "uei", date_col: str = "
 
 
 def history_names(registrations: DataFrame, key: str = "uei", name_col: str = "name_norm") -> DataFrame:
-    """Distinct non-null names per key, as a sorted list."""
+    """Distinct non-null names per key, as a sorted list. ``collect_set``
+    de-duplicates in its map-side partial step: one shuffle."""
     return (registrations.where(F.col(name_col).isNotNull())
-                         .select(key, name_col).distinct()
-                         .groupBy(key).agg(F.array_sort(F.collect_list(name_col)).alias("all_names")))
+                         .groupBy(key).agg(F.array_sort(F.collect_set(name_col)).alias("all_names")))
 
 
 def history_locations(registrations: DataFrame, key: str = "uei") -> DataFrame:
     """Distinct ``city|zip5`` per key (rows with a zip5), sorted, with one
     NULL element kept at the end when some row has no city."""
     loc = F.concat(F.col("phys_city"), F.lit("|"), F.col("zip5"))
-    distinct = (registrations.where(F.col("zip5").isNotNull())
-                             .select(key, loc.alias("loc")).distinct())
-    agg = distinct.groupBy(key).agg(F.array_sort(F.collect_list("loc")).alias("_vals"),
-                                    F.max(F.col("loc").isNull().cast("int")).alias("_has_null"))
+    rows = registrations.where(F.col("zip5").isNotNull()).select(key, loc.alias("loc"))
+    agg = rows.groupBy(key).agg(F.array_sort(F.collect_set("loc")).alias("_vals"),
+                                F.max(F.col("loc").isNull().cast("int")).alias("_has_null"))
     return agg.select(key, F.when(F.col("_has_null") == 1,
                                   F.concat("_vals", F.array(F.lit(None).cast("string"))))
                       .otherwise(F.col("_vals")).alias("all_locations"))
