@@ -77,3 +77,30 @@ def test_like_pattern_keeps_wildcards_escapes_backslash(spark):
     assert sorted(hits) == ["a%b", "a\\b", "axb"]
     hits = [r[0] for r in df.where(F.like(F.col("s"), text.like_pattern(F.lit("a\\b")))).collect()]
     assert hits == ["a\\b"]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_TOKENS = st.sampled_from(["inc", "Inc.", "LLC", "l.l.c.", "corp", "Company", "co", "acme", "ACME", "widget",
+                           "gmbh", "S.A.", "sa", "lp", "l.p.", "café", ",", "-", "&", "pty", "limited"])
+_SPACES = st.sampled_from([" ", "  ", "\t", "\xa0", "\x1c", "   "])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(_TOKENS, _SPACES), min_size=0, max_size=7))
+def test_normalizer_property(spark, parts):
+    import re
+    name = "".join(t + s for t, s in parts)
+    suffix = re.compile(text.LEGAL_SUFFIX_PATTERN, re.IGNORECASE)
+
+    def py(n):
+        if not n or not n.strip():
+            return None
+        n = suffix.sub("", n.lower().strip())
+        n = re.sub(r"\s+", " ", n).strip()
+        return n or None
+
+    got = spark.createDataFrame([(name,)], "n string").select(text.normalize_name("n")).first()[0]
+    assert got == py(name)
+    if got is not None:
+        assert got == got.strip() and "  " not in got
