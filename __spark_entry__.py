@@ -27,6 +27,13 @@ from linkforge.sources import delimited, listing, manifest, pages  # noqa: E402
 from linkforge.schema import LINK_COLUMNS  # noqa: E402
 from linkforge.settings import LinkSettings  # noqa: E402
 
+try:
+    from linkforge.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:  # the training-data subpackage may be left out
+    if (missing.name or "").split(".")[-1] not in ("llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 SETTINGS = LinkSettings()
 GAMMAS = [c.gamma for c in SETTINGS.comparisons]
@@ -365,7 +372,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | (llm_queries.QUERIES if llm_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
@@ -374,4 +381,6 @@ def oracle_sql() -> dict[str, str]:
     out.update(duckdb_oracle.link_queries())
     out.update(duckdb_oracle.ingest_queries())
     out.update(duckdb_oracle.model_queries())
-    return {k: v for k, v in out.items() if k in _QUERIES}
+    if llm_queries:
+        out.update(llm_queries.ORACLES)
+    return {k: v for k, v in out.items() if k in queries()}
