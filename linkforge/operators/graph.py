@@ -4,8 +4,10 @@ Connected components use the alternating large-star / small-star rounds
 of Kiveris et al. (2014): O(log^2 n) rounds, each a few aggregations and
 joins over the edge list (five shuffles per round). No node's neighbourhood
 is ever gathered into one row: every per-node quantity is a ``min``/``count``
-aggregate, which Spark combines map-side, so a hub node does not overload a
-task. Each round's edge list is written as a Parquet table in the shared
+aggregate, which Spark combines map-side. The edges of a hub are joined with
+the table of minima after that table is written: both sides of the join are
+then plain shuffles, whose skewed partitions AQE can split (it cannot where
+one side comes straight from an aggregate). Each round's edge list is written as a Parquet table in the shared
 checkpoint folder, so lineage stays one round deep and a lost executor
 recomputes one round.
 
@@ -36,8 +38,8 @@ def _large_star(e: DataFrame) -> DataFrame:
     # Neighbourhood of u over both orientations; m(u) = min(N(u) + {u}).
     both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    mins = both.groupBy("u").agg(F.min("v").alias("mv")).select(
-        "u", F.least("u", "mv").alias("m"))
+    mins = materialize(both.groupBy("u").agg(F.min("v").alias("mv")).select(
+        "u", F.least("u", "mv").alias("m")), "cc-large-star")
     # Connect every strictly larger neighbour v of u to m(u): edges (v, m(u)), v > m.
     # One output edge per input edge, so no de-duplication shuffle here: the
     # small-star step's min aggregates ignore repeats and it ends with distinct.
@@ -47,7 +49,7 @@ def _large_star(e: DataFrame) -> DataFrame:
 
 def _small_star(e: DataFrame) -> DataFrame:
     # For u, its smaller neighbours are the b of edges (u, b); m = min of them.
-    mins = e.groupBy("a").agg(F.min("b").alias("m"))
+    mins = materialize(e.groupBy("a").agg(F.min("b").alias("m")), "cc-small-star")
     moved = e.join(mins, "a").select(F.col("b").alias("x"), F.col("m").alias("y"))
     centre = mins.select(F.col("a").alias("x"), F.col("m").alias("y"))
     out = moved.unionByName(centre).where(F.col("x") != F.col("y"))
@@ -70,28 +72,38 @@ def component_labels(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r",
     Only nodes with at least one edge appear.
 
     The rounds run on ``long`` node ids (8-byte shuffle keys and hash
-    aggregation instead of sorting strings in every round). The ids are
-    written once, so they are stable; the smallest original id of each
-    component is found by one aggregation at the end."""
+    aggregation instead of sorting strings in every round); nodes that are
+    longs already stand for themselves. Otherwise ids are written once, so
+    they are stable; the smallest original id of each component is found by
+    one aggregation at the end."""
     ensure_checkpoint_dir(edges.sparkSession)
     canon = canonical_edges(edges, src, dst)
+    if canon.schema["a"].dataType.simpleString() == canon.schema["b"].dataType.simpleString() == "bigint":
+        return _star_forest(materialize(canon, "cc-edges"), max_rounds).select(
+            F.col("nid").alias("node"), F.col("cid").alias("label"))
     nodes = canon.select(F.col("a").alias("node")).union(canon.select(F.col("b").alias("node"))).distinct()
     ids = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "cc-node-ids")
     e = (canon.join(ids.select(F.col("node").alias("a"), F.col("nid").alias("ia")), "a")
               .join(ids.select(F.col("node").alias("b"), F.col("nid").alias("ib")), "b")
               .select(F.greatest("ia", "ib").alias("a"), F.least("ia", "ib").alias("b")))
-    e = materialize(e, "cc-edges")
+    stars = _star_forest(materialize(e, "cc-edges"), max_rounds)
+    named = materialize(stars.join(ids, "nid").select("cid", "node"), "cc-named")
+    smallest = materialize(named.groupBy("cid").agg(F.min("node").alias("label")), "cc-smallest")
+    return named.join(smallest, "cid").select("node", "label")
+
+
+def _star_forest(e: DataFrame, max_rounds: int) -> DataFrame:
+    """(nid, cid): every node with the smallest node of its component."""
     rounds = 0
     while _unsettled(e):
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        e = materialize(_small_star(_large_star(e)), f"cc-edges-{rounds}")
+        larger = materialize(_large_star(e), f"cc-larger-{rounds}")
+        e = materialize(_small_star(larger), f"cc-edges-{rounds}")
     leaves = e.select(F.col("a").alias("nid"), F.col("b").alias("cid"))
     centres = e.select(F.col("b").alias("nid"), F.col("b").alias("cid")).distinct()
-    named = leaves.unionByName(centres).join(ids, "nid")          # (nid, cid, node)
-    smallest = named.groupBy("cid").agg(F.min("node").alias("label"))  # partial aggregate
-    return named.join(smallest, "cid").select("node", "label")
+    return leaves.unionByName(centres)
 
 
 def dense_ids(keys: DataFrame, key: str, id_col: str = "id") -> DataFrame:
