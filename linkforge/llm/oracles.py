@@ -67,3 +67,13 @@ SELECT p.doc_id, p.size, s.words AS source_size, s.target AS target, coalesce(t.
 FROM placed p JOIN plan s ON p.source IS NOT DISTINCT FROM s.source
   LEFT JOIN taken t ON t.doc_id IS NOT DISTINCT FROM p.doc_id AND t.first = p.first AND t.size = p.size AND t.source IS NOT DISTINCT FROM p.source
 """
+
+OP7 = r"""
+WITH normal AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents),
+ranked AS (
+  SELECT doc_id, sha256(body) AS text_sha256, count(*) OVER (PARTITION BY body) AS group_size,
+    first_value(doc_id) OVER (PARTITION BY body ORDER BY points DESC, doc_id NULLS LAST) AS keep_id FROM normal)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM ranked
+"""

@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, oracles, packing, url_filter
+from . import exact_dedup, mixing, oracles, packing, simhash, url_filter
 from .common import read_table
 
 
+def op5_simhash(spark: SparkSession, d: str) -> DataFrame:
+    """SimHash fingerprint and near-copy component of every document."""
+    return simhash.near_duplicates(read_table(spark, d, "documents")).drop("kept")
+
+
+def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """The row each document's text is kept under."""
+    return exact_dedup.exact_duplicates(read_table(spark, d, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     """Words the target mix takes from each document."""
     mixed = mixing.mix(read_table(spark, d, "documents"))
@@ -26,5 +36,5 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
-QUERIES = {f.__name__: f for f in (op8_mix_sources, op9_pack, op10_url_filter)}
-ORACLES = {"op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10}
+QUERIES = {f.__name__: f for f in (op5_simhash, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter)}
+ORACLES = {"op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10}
