@@ -77,3 +77,23 @@ ranked AS (
     first_value(doc_id) OVER (PARTITION BY body ORDER BY points DESC, doc_id NULLS LAST) AS keep_id FROM normal)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM ranked
 """
+
+OP2 = r"""
+WITH page AS (
+  SELECT row_number() OVER () AS nr, doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
+line AS (
+  SELECT nr, source, p.i AS i, parts[p.i] AS line, trim(parts[p.i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM page, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) p),
+boiler AS (
+  SELECT source, bare FROM (SELECT source, bare, count(DISTINCT nr) AS pages FROM line WHERE bare <> '' GROUP BY ALL)
+    JOIN (SELECT source AS of, count(*) AS host_pages FROM page GROUP BY ALL) ON source IS NOT DISTINCT FROM of
+  WHERE pages >= 10 AND pages > host_pages * 0.1),
+marked AS (
+  SELECT l.*, b.bare IS NOT NULL AS gone FROM line l LEFT JOIN boiler b
+    ON l.bare = b.bare AND l.source IS NOT DISTINCT FROM b.source),
+joined AS (
+  SELECT nr, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS cleaned FROM marked GROUP BY nr)
+SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE cleaned END AS text,
+  coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped FROM page LEFT JOIN joined USING (nr)
+"""

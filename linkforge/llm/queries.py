@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, oracles, packing, simhash, url_filter
+from . import exact_dedup, language_id, line_dedup, mixing, oracles, packing, simhash, url_filter
 from .common import read_table
 
 
+def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Documents without their source's boilerplate lines."""
+    cleaned = line_dedup.drop_boilerplate(read_table(spark, d, "documents"))
+    return cleaned.select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+def op3_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    return language_id.identify(read_table(spark, d, "documents"))
+
+
 def op5_simhash(spark: SparkSession, d: str) -> DataFrame:
     """SimHash fingerprint and near-copy component of every document."""
     return simhash.near_duplicates(read_table(spark, d, "documents")).drop("kept")
@@ -36,5 +47,5 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter)}
-ORACLES = {"op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_language_id, op5_simhash, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter)}
+ORACLES = {"op2_line_dedup": oracles.OP2, "op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10}
