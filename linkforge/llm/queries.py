@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_dedup, mixing, oracles, packing, simhash, url_filter
+from . import exact_dedup, language_id, line_dedup, mixing, oracles, packing, pii, simhash, url_filter
 from .common import read_table
 
 
@@ -20,6 +20,11 @@ def op3_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language_id.identify(read_table(spark, d, "documents"))
 
 
+def op4_pii(spark: SparkSession, d: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.find_pii(read_table(spark, d, "documents"))
+
+
 def op5_simhash(spark: SparkSession, d: str) -> DataFrame:
     """SimHash fingerprint and near-copy component of every document."""
     return simhash.near_duplicates(read_table(spark, d, "documents")).drop("kept")
@@ -47,5 +52,5 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_language_id, op5_simhash, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter)}
 ORACLES = {"op2_line_dedup": oracles.OP2, "op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10}
