@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_dedup, mixing, oracles, packing, pii, simhash, url_filter
-from .common import read_table
+from ..session import scratch_path
+from . import embedding_dedup, exact_dedup, language_id, line_dedup, mixing, oracles, packing, pii, simhash, url_filter
+from .common import SPACE_CLASS, broadcast_if_small, read_table
+from .token_rollup import TokenRollup
+
+
+def op1_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_dedup.near_duplicates(read_table(spark, d, "embeddings"))
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -30,6 +39,24 @@ def op5_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, d, "documents")).drop("kept")
 
 
+def op6_token_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Token totals after loading all documents, then one batch that deletes
+    those labelled toxic and revises those of low quality to single spaces;
+    that batch is delivered twice and counts once."""
+    documents, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
+    rollup = TokenRollup(spark, scratch_path(spark, f"token-rollup-{uuid.uuid4().hex[:12]}"))
+    fields = ["doc_id", "source", "lang", "text"]
+    rollup.apply_batch("load", documents.select(*fields, F.lit("insert").alias("op")))
+    marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    marked = marked.where("toxic = 1 OR quality = 0")
+    curated = (documents.select(*fields).join(broadcast_if_small(marked, marked.count(), 32), "doc_id")
+                        .withColumn("op", F.when(F.col("toxic") == 1, "delete").otherwise("revise"))
+                        .withColumn("text", F.regexp_replace("text", f"{SPACE_CLASS}+", " ")))
+    for _ in range(2):
+        rollup.apply_batch("curate", curated)
+    return rollup.totals()
+
+
 def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     """The row each document's text is kept under."""
     return exact_dedup.exact_duplicates(read_table(spark, d, "documents"))
@@ -52,5 +79,5 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op6_token_rollup, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter)}
 ORACLES = {"op2_line_dedup": oracles.OP2, "op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10}
