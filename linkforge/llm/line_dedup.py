@@ -62,21 +62,26 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
 
 def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source",
                      text_col: str = "text") -> DataFrame:
-    """The rows with their text cleaned, and n_lines and n_dropped."""
+    """The rows with their text cleaned, and n_lines and n_dropped (which
+    replace columns of these names)."""
+    added = ("n_lines", "n_dropped")
+    others = [c for c in pages.columns if c not in (text_col, *added)]
     found = materialize(boilerplate(pages, ratio, min_pages, host_col, text_col), "boilerplate")
-    lists = found.groupBy("host").agg(F.collect_set("line").alias("boiler_lines")).withColumnRenamed("host", "boiler_host")
+    lists = found.groupBy(F.col("host").alias("boiler_host")).agg(F.collect_set("line").alias("boiler_lines"))
     lists = broadcast_if_small(lists, found.count(), 64)
-    lines = _lines(text_col)
+    rows = pages.select(F.struct(*others).alias("row"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
+    lines = _lines("text")
     hits = F.array_intersect(F.transform(lines, _hash), F.coalesce("boiler_lines", F.array().cast("array<bigint>")))
-    inner = (pages.join(lists, F.col(host_col).eqNullSafe(F.col("boiler_host")), "left")
-                  .withColumn("boiler_hits", F.array_compact(hits)))
-    none = F.size("boiler_hits") == 0
+    marked = (rows.join(lists, F.col("host").eqNullSafe(F.col("boiler_host")), "left")
+                  .withColumn("hits", F.array_compact(hits)))
+    none = F.size("hits") == 0
 
     def is_boiler(line: Column) -> Column:
-        return F.coalesce(F.array_contains("boiler_hits", _hash(line)), F.lit(False))
+        return F.coalesce(F.array_contains("hits", _hash(line)), F.lit(False))
 
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
-    kept = F.when(none, F.col(text_col)).otherwise(F.concat_ws("\n", F.filter(lines, lambda x: ~is_boiler(x))))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    kept = F.when(none, F.col("text")).otherwise(F.concat_ws("\n", F.filter(lines, lambda x: ~is_boiler(x))))
     dropped = F.when(none, 0).otherwise(F.size(F.filter(lines, is_boiler)))
-    return (inner.withColumns({text_col: kept, "n_lines": n_lines.cast("long"), "n_dropped": dropped.cast("long")})
-                 .select(*pages.columns, "n_lines", "n_dropped"))
+    clean = marked.select("row.*", kept.alias(text_col), n_lines.cast("long").alias("n_lines"),
+                          dropped.cast("long").alias("n_dropped"))
+    return clean.select(*(c for c in pages.columns if c not in added), *added)

@@ -16,7 +16,9 @@ the blocks. So every block is taken floor(q / M) or one more times, never more
 than ``max_repeat``, and exactly q block copies are taken.
 
 ``mix`` returns one row per document with its taken pieces (first word,
-words, block, round, shard); nothing is listed per block. Counting words and
+words, block, round, shard); nothing is listed per block. ``mixed_documents``
+gives the texts: one row for each round that takes words of a document, whole
+or cut to the taken words. Counting words and
 the running offsets are Spark jobs: offsets come from two levels, running
 sums inside (source, first three hex digits of the md5) and running sums of
 those buckets' totals, so no source is ordered in one task. Only the table of
@@ -33,8 +35,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,3 +191,56 @@ def shard_quotas(mixed: DataFrame) -> DataFrame:
     """Words by shard and source of a mix."""
     return (mixed.select("source", F.explode("pieces").alias("p"))
                  .groupBy("source", F.col("p.shard").alias("shard")).agg(F.sum("p.words").alias("words")))
+
+
+_WORD = re.compile(WORD)
+
+
+def cut_words(text: str, runs: Sequence[tuple[int, int]]) -> str:
+    """The text if ``runs`` (first word, words; ascending) cover it, else the
+    stretches of text that they cover, on a line each."""
+    merged: list[list[int]] = []
+    for start, n in runs:
+        if merged and merged[-1][1] == start:
+            merged[-1][1] += n
+        else:
+            merged.append([start, start + n])
+    spans = [m.span() for m in _WORD.finditer(text)]
+    if merged == [[0, len(spans)]]:
+        return text
+    return "\n".join(text[spans[a][0]:spans[b - 1][1]] for a, b in merged)
+
+
+def mixed_documents(documents: DataFrame, block_words: int = BLOCK_WORDS, max_repeat: int = MAX_REPEAT, shards: int = SHARDS,
+                    weights: Sequence[int] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """The mix as rows with the columns of ``documents``: text cut to the words
+    taken in one round, ``n_chars`` (if there) its length.
+
+    Rows are told apart by their place in the scan, so repeated rows and ids
+    each keep their own pieces; ``documents`` must therefore be a stored table
+    (a scan), which gives a row the same place each time it is read."""
+    placed = documents.withColumn("mix_row", F.monotonically_increasing_id())
+    mixed = mix(placed, block_words, max_repeat, shards, weights, seed, key_cols=["mix_row"])
+    taken = mixed.where("taken > 0").select(F.col("mix_row").alias("row_taken"), F.transform("pieces", lambda p: F.struct(
+        p["round"].alias("round"), p["start"].alias("start"), p["words"].alias("words"))).alias("pieces"))
+    others = [c for c in documents.columns if c not in ("text", "n_chars")]
+    rows = (placed.join(taken, F.col("mix_row") == F.col("row_taken"))
+                  .select(F.struct(*others).alias("row"), "text", "pieces"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, texts = [], []
+            for k, (text, pieces) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
+                runs: dict[int, list[tuple[int, int]]] = {}
+                for p in pieces:
+                    runs.setdefault(p["round"], []).append((p["start"], p["words"]))
+                for c in sorted(runs):
+                    at.append(k)
+                    texts.append(cut_words(text.as_py(), sorted(runs[c])))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(texts, pa.string())],
+                                             names=["row", "text"])
+
+    cut = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string").select("row.*", "text")
+    if "n_chars" in documents.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    return cut.select(*documents.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,5 +80,10 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op6_token_rollup, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter)}
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """All stages of the corpus pipeline on the documents."""
+    return corpus_pipeline.run(spark, d)
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op6_token_rollup, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter, pipeline)}
 ORACLES = {"op2_line_dedup": oracles.OP2, "op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10}
