@@ -47,11 +47,12 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-copy group: the smallest doc_id, then the
     first row of the stored table."""
-    placed = docs.withColumn("scan_row", F.monotonically_increasing_id())
+    placed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text",
+                         F.monotonically_increasing_id().alias("scan_row"))
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "scan_row")
     kept = simhash.near_duplicates(placed.select(name.alias("doc_id"), "text")).where("kept")
     rows = kept.select(F.col("doc_id.scan_row").alias("kept_row"))
-    return placed.join(rows, F.col("scan_row") == F.col("kept_row")).select(*docs.columns)
+    return placed.join(rows, F.col("scan_row") == F.col("kept_row")).select("row.*")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ card, phone) with their checks. The tagger is trained from labelled spans: a
 bounded sample of windows whose labels are the base spans. It then reads every
 window of every text that can hold a span and adds what it finds beside them,
 for example telephone numbers in a national spelling, of which the training
-windows get copies (the plus and country digits taken off a labelled number).
+windows get copies (the plus and country digits taken off a labelled number);
+in every second window the letters around the spans are replaced at random.
 
 Windows of ``WINDOW`` characters start every ``STRIDE`` characters. A span holds
 a digit (ip, card, phone) or an ``@`` (email), so a window with neither has no
@@ -229,11 +230,21 @@ def training_windows(documents: DataFrame, most: int = TRAIN_WINDOWS, seed: int
     return windows
 
 
+def other_letters(window: str, labels: list[tuple[str, int, int]], rng: np.random.Generator) -> str:
+    """The window with random letters in place of those outside its spans, so
+    that the tagger goes by the shape of a span and not by the words around."""
+    inside = {p for _, a, b in labels for p in range(a, b)}
+    drawn = rng.integers(97, 123, len(window))
+    return "".join(chr(d) if c.isalpha() and p not in inside else c for p, (c, d) in enumerate(zip(window, drawn)))
+
+
 def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = EPOCHS, seed: int = SEED) -> BiLstmCrf | None:
     """A tagger fitted to labelled windows; None without a labelled span."""
     if not any(labels for _, labels in windows):
         return None
     windows = windows + [w for w in (national_phone(*x) for x in windows) if w]
+    rng = np.random.default_rng(seed)
+    windows = [(other_letters(w, labels, rng) if i % 2 else w, labels) for i, (w, labels) in enumerate(windows)]
     tagger = new_tagger(seed)
     tagger.fit(np.array([encode_window(w) for w, _ in windows]), np.array([encode_tags(labels) for _, labels in windows]),
                epochs, seed=seed)
