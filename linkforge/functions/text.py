@@ -28,6 +28,9 @@ FALLBACK_SNAPSHOT_DATE = "1970-01-01"
 # Python's str.strip()/\s also treat \x1c-\x1f as space; Java's \s (even in
 # Unicode mode) does not, so the class names them explicitly.
 _WS = r"[\s\x1c-\x1f]"
+# A word boundary between letters, digits of any kind (also superscripts and
+# fractions) or '_' and anything else; Java's own \b leaves some digits out.
+_BOUNDARY = r"(?:(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_])|(?<![\p{L}\p{N}_])(?=[\p{L}\p{N}_]))"
 # The characters str.strip() removes, derived from the same rule (isspace);
 # trimming by this set needs no regex.
 WHITESPACE_CHARS = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
@@ -51,7 +54,7 @@ def normalize_name(c) -> Column:
     """Business-name normaliser: lower, trim, drop legal-form tokens
     anywhere, collapse whitespace, trim; blank -> NULL."""
     n = strip_ws(F.lower(_col(c)))
-    n = F.regexp_replace(n, "(?iU)" + LEGAL_SUFFIX_PATTERN, "")
+    n = F.regexp_replace(n, "(?iU)" + LEGAL_SUFFIX_PATTERN.replace(r"\b", _BOUNDARY), "")
     n = F.regexp_replace(n, rf"(?U){_WS}+", " ")
     return F.nullif(strip_ws(n), F.lit(""))
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import REGISTRATION_COLUMNS
-from ..session import materialize
+from ..session import materialize, path_exists
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -40,23 +40,25 @@ def upsert_by_key(existing: DataFrame, incoming: DataFrame, keys=("uei", "snapsh
 
 
 def write_upsert(spark: SparkSession, incoming: DataFrame, path: str,
-                 keys=("uei", "snapshot_date"), partition_col: str = "snapshot_date") -> None:
-    """Upsert into a Parquet table partitioned by ``partition_col``: only the
-    partitions the batch touches are read, merged and rewritten (dynamic
-    partition overwrite). The merge is checkpointed before the overwrite so
-    the job never reads the files it replaces."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # first load: no table yet
-        existing = None
-    if existing is None:
-        merged = incoming
-    else:
+                 keys=("uei", "snapshot_date"), partition_col: str = "snapshot_date") -> int:
+    """Upsert into a Parquet table partitioned by ``partition_col``; returns
+    the number of incoming rows. Only the partitions the batch touches are
+    read, merged and rewritten (dynamic partition overwrite, asked for by a
+    write option). Incoming and merged rows are stage tables: the batch is
+    evaluated once, and the job never reads the files it replaces. A table
+    that is there but can't be read is an error, never a first load."""
+    incoming = materialize(incoming, "upsert-incoming")
+    rows = incoming.count()
+    if not rows:
+        return 0
+    merged = incoming
+    if path_exists(spark, path):
         touched = incoming.select(partition_col).distinct()
-        current = existing.join(touched, partition_col, "left_semi").select(*incoming.columns)
+        current = spark.read.parquet(path).join(touched, partition_col, "left_semi").select(*incoming.columns)
         merged = materialize(upsert_by_key(current, incoming, keys), "upsert-merge")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(path))
+    return rows
 
 
 def latest_per_key(registrations: DataFrame, key: str = "uei", date_col: str = "snapshot_date") -> DataFrame:

@@ -3,8 +3,9 @@
 A ``Workspace`` is a folder of Parquet tables (shared storage on a
 cluster) holding what the stages hand to each other:
 
-  registrations        all snapshots, partitioned by snapshot_date, key (uei, snapshot_date)
-  loads                archive names already loaded (the "skip loaded" record)
+  registrations        all snapshots, partitioned by snapshot_date, key (uei, snapshot_date);
+                       its source_file column is the record of loaded archives, for
+                       ``ingest`` and ``ingest_stream`` alike
   registrations_latest one row per uei
   uei_names            uei -> sorted distinct names
   uei_addresses        uei -> sorted distinct "city|zip5" (one NULL kept)
@@ -20,19 +21,22 @@ small parameter table.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model_params import ParameterSet
 from ..operators import explore, graph, model, scoring, tables
-from ..session import ensure_checkpoint_dir
+from ..schema import REGISTRATION_SCHEMA
+from ..session import delete_path, ensure_checkpoint_dir, path_exists
 from ..settings import DEFAULT_CLUSTER_THRESHOLD, DEFAULT_PREDICT_THRESHOLD, LinkSettings
 from ..sources import delimited, listing
+from ..streaming import incremental
 from . import linkage
 
 
+REGISTRATION_TABLES = ["registrations", "registrations_latest", "uei_names", "uei_addresses"]
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, root: str, settings: LinkSettings | None = None):
         self.spark = spark
@@ -45,10 +49,7 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return fs.exists(p)
+        return path_exists(self.spark, self.path(name))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -65,48 +66,49 @@ class Workspace:
                rebuild: bool = False) -> DataFrame:
         """Load archives not loaded before, upsert them, rebuild the derived
         tables if anything was loaded. ``mode``: 'first' (reference default),
-        'latest', 'all'; ``files`` loads the given archive paths instead;
-        ``rebuild`` replaces the stored history.
-
-        All new archives are read in one job. Rows carry their archive's
-        position in load order, so keep-last on (uei, snapshot_date) by
-        (archive position, line number) gives what loading them one after
-        the other would; then one upsert rewrites only the touched snapshot
-        partitions. Returns the summary (total rows, snapshots, unique ueis)."""
-        fresh = rebuild or not self.exists("loads")
+        'latest', 'all'; ``files`` loads the given archive paths instead, in
+        that order; ``rebuild`` drops the stored history and its derived
+        tables first.
+
+        An archive counts as loaded when rows of it are stored, so one that
+        gave no rows is tried again. All new archives are read in one job.
+        Rows carry their archive's position in load order, so keep-last on
+        (uei, snapshot_date) gives what loading them one after the other
+        would; then one upsert rewrites only the touched snapshot partitions.
+        Returns the summary (total rows, snapshots, unique ueis)."""
+        if rebuild:
+            for name in REGISTRATION_TABLES:
+                delete_path(self.spark, self.path(name))
         if files:
-            chosen = [p if "://" in p or os.path.isabs(p) else os.path.abspath(p) for p in files]
-            selected = self.spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in chosen],
-                                                  "path string, name string")
+            todo = self.spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in files], "path string, name string")
         else:
-            lst = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .load(archive_root).select("path"))
-            lst = lst.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"),
-                             F.element_at(F.split("path", "/"), -1).alias("name"))
-            selected = listing.source_file_select(lst, mode).select("path", "name")
-        if not fresh:
-            loaded = self.table("loads").select(F.col("name").alias("source_file"))
-            selected = listing.incremental_new_files(selected, loaded)
-        # The archive list (not rows) comes to the driver: it fixes the load order.
-        todo = [(r["path"], r["name"]) for r in selected.collect()]
-        if todo:
-            order = self.spark.createDataFrame([(name, i) for i, (_, name) in enumerate(todo)],
-                                               "source_file string, archive_seq int")
-            lines = delimited.read_zip_lines(self.spark, [p for p, _ in todo])
-            # One row per archive: a size known on the driver, so broadcast.
-            parsed = delimited.parse_lines(lines).join(F.broadcast(order), "source_file")
-            rows = tables.keep_last(parsed, ["uei", "snapshot_date"], ["archive_seq", "line_no"])
-            rows = tables.align_to_schema(rows)
-            if fresh:
-                (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-                     .partitionBy("snapshot_date").parquet(self.path("registrations")))
-            else:
-                tables.write_upsert(self.spark, rows, self.path("registrations"))
-            names = order.select(F.col("source_file").alias("name"))
-            names.write.mode("overwrite" if fresh else "append").parquet(self.path("loads"))
-            self.build_derived()
+            todo = listing.source_file_select(listing.archive_paths(self.spark, archive_root), mode).select("path", "name")
+        if self.exists("registrations"):
+            todo = listing.incremental_new_files(todo, self.table("registrations"))
+        # One row per archive file, as many as Spark's own file index lists in the driver.
+        paths = {r["path"] for r in todo.select("path").collect()}
+        ordered = [p for p in files if p in paths] if files else [
+            r["path"] for r in listing.load_ordered(todo).collect()]
+        if ordered:
+            self.load_lines(delimited.read_zip_lines(self.spark, ordered))
+        if not self.exists("registrations"):
+            return tables.ingest_counts(self.spark.createDataFrame([], REGISTRATION_SCHEMA))
         return tables.ingest_counts(self.table("registrations"))
 
+    def ingest_stream(self, archive_root: str, checkpoint_location: str, files_per_batch: int = 1) -> int:
+        """Load the archives that arrived since the last run, then rebuild the
+        derived tables after each batch that gave rows. Returns the number of
+        micro-batches."""
+        return incremental.incremental_ingest(self.spark, archive_root, self.path("registrations"), checkpoint_location,
+                                              files_per_batch, on_loaded=self.build_derived)
+
+    def load_lines(self, lines: DataFrame) -> int:
+        """Parse and upsert lines; rebuild the derived tables if rows came."""
+        rows = tables.write_upsert(self.spark, delimited.registrations_from_lines(lines), self.path("registrations"))
+        if rows:
+            self.build_derived()
+        return rows
+
     def build_derived(self) -> None:
         reg = self.table("registrations")
         self._write(tables.latest_per_key(reg), "registrations_latest")

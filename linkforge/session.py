@@ -89,6 +89,39 @@ def work_partitions(spark: SparkSession, expected_rows: float | None = None) ->
     return int(min(max(floor, wanted), MAX_WORK_PARTITIONS))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder is there. Any error but absence is raised."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+# Stage tables of a session stand in one folder of its own, so that they can
+# be dropped together when their results have been written elsewhere.
+_RUN_FOLDERS: dict[str, str] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    import uuid
+
+    key = spark.sparkContext.applicationId
+    if key not in _RUN_FOLDERS:
+        _RUN_FOLDERS[key] = scratch_path(spark, f"run-{uuid.uuid4().hex[:12]}")
+    return _RUN_FOLDERS[key]
+
+
+def drop_stage_tables(spark: SparkSession) -> None:
+    """Deletes the stage tables this session has written. Frames that still
+    read them become invalid, so call it after the last result is stored."""
+    folder = _RUN_FOLDERS.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        delete_path(spark, folder)
+
+
 def materialize(df, label: str):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     return the re-read table: lineage is cut, the result survives executor
@@ -99,6 +132,6 @@ def materialize(df, label: str):
     import uuid
 
     spark = df.sparkSession
-    path = scratch_path(spark, f"{label}-{uuid.uuid4().hex[:12]}")
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -2,13 +2,13 @@
 which are new.
 
 A listing is a DataFrame ``(folder, name)``; on a real store it comes from
-``list_files`` (the ``binaryFile`` source without its ``content`` column,
+``archive_paths`` (the ``binaryFile`` source without its ``content`` column,
 so no file body is read).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -21,31 +21,43 @@ SKIP_MARKER = "UTF-8"
 # -------------------------------------------------------------------------
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(folder, name, size_bytes, modified) of every file under ``root``."""
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-               .select("path", "length", "modificationTime"))
+def with_folder_and_name(files: DataFrame) -> DataFrame:
+    """Adds ``folder`` and ``name``, the last two parts of ``path``."""
     parts = F.split("path", "/")
-    return df.select(F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("name"),
-                     F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
+    return files.withColumns({"folder": F.try_element_at(parts, F.lit(-2)), "name": F.element_at(parts, -1)})
+
+
+def archive_paths(spark: SparkSession, root: str) -> DataFrame:
+    """(path, folder, name) of every file under ``root``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return with_folder_and_name(files.select("path"))
 
 
 def snapshot_dates(listing: DataFrame) -> DataFrame:
     return listing.select("name", text.snapshot_date("name").alias("snapshot_date"))
 
 
+def _ranks() -> dict[str, Column]:
+    """Folder and suffix rank of a (folder, name); null where unknown."""
+    folder_rank, suffix_rank = F.when(F.lit(False), 0), F.when(F.lit(False), 0)
+    for i, f in enumerate(FOLDER_ORDER):
+        folder_rank = folder_rank.when(F.col("folder") == f, i)
+    for i, s in enumerate(ARCHIVE_SUFFIXES):
+        suffix_rank = suffix_rank.when(F.col("name").endswith(s), i)
+    return {"folder_rank": folder_rank, "suffix_rank": suffix_rank}
+
+
+def load_ordered(archives: DataFrame) -> DataFrame:
+    """Archives (path, ...) sorted into load order."""
+    ranked = with_folder_and_name(archives).withColumns(_ranks())
+    return ranked.orderBy(F.col("folder_rank").asc_nulls_last(), F.col("suffix_rank").asc_nulls_last(), "name")
+
+
 def ordered_archives(listing: DataFrame) -> DataFrame:
     """Archives in load order (folder order, then ``.ZIP`` before ``.zip``,
     then name), names de-duplicated case-insensitively (first wins).
     Adds ``folder_rank``, ``suffix_rank`` and ``snapshot_date``."""
-    folder_rank = F.when(F.col("folder") == FOLDER_ORDER[0], 0)
-    for i, f in enumerate(FOLDER_ORDER[1:], start=1):
-        folder_rank = folder_rank.when(F.col("folder") == f, i)
-    suffix_rank = F.when(F.col("name").endswith(ARCHIVE_SUFFIXES[0]), 0)
-    for i, s in enumerate(ARCHIVE_SUFFIXES[1:], start=1):
-        suffix_rank = suffix_rank.when(F.col("name").endswith(s), i)
-    ranked = (listing.withColumn("folder_rank", folder_rank).withColumn("suffix_rank", suffix_rank)
-                     .where(F.col("folder_rank").isNotNull() & F.col("suffix_rank").isNotNull()))
+    ranked = listing.withColumns(_ranks()).where(F.col("folder_rank").isNotNull() & F.col("suffix_rank").isNotNull())
     # Partitioned by the lower-cased name: only same-name groups meet.
     first = Window.partitionBy(F.lower("name")).orderBy("folder_rank", "suffix_rank", "name")
     return (ranked.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1).drop("_rn")

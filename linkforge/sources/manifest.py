@@ -36,7 +36,7 @@ def listing_flatten(docs: DataFrame, json_col: str = "json") -> DataFrame:
         "folder", F.col("_e.key").alias("key"), F.col("_e.displayKey").alias("display_key"),
         F.col("_e.dateModified").alias("date_modified"),
         F.when(F.col("_e.key").startswith(KEY_PREFIX),
-               F.substring(F.col("_e.key"), len(KEY_PREFIX) + 1, 1 << 20))
+               F.expr(f"substring(_e.key, {len(KEY_PREFIX) + 1})"))
          .otherwise(F.col("_e.key")).alias("local_path"))
 
 

@@ -104,3 +104,25 @@ def test_normalizer_property(spark, parts):
     assert got == py(name)
     if got is not None:
         assert got == got.strip() and "  " not in got
+
+
+def test_normalizer_boundary_golden(spark):
+    """Digits of any kind and '_' are word characters next to a suffix."""
+    golden = {
+        "CO² Systems": "co² systems", "Inc½ Shop": "inc½ shop", "LP³ Media": "lp³ media", "¼Ltd House": "¼ltd house",
+        "A_Inc B": "a_inc b", "Åland Ltd": "åland", "Ltd·Works": "·works", "É-Co Mill": "é- mill", "Foo «Inc» Bar": "foo «» bar",
+        "Foo L.L.C. Bar": "foo bar", "Foo L.P.X": "foo x", "ªco Two": "ªco two", "coº Two": "coº two", "Co× Two": "× two",
+        "5Co Two": "5co two", "Inc.": None, "Foo GmbH.": "foo",
+    }
+    df = spark.createDataFrame([(k,) for k in golden], "n string")
+    assert {r.n: r.x for r in df.select("n", text.normalize_name("n").alias("x")).collect()} == golden
+
+
+def test_normalizer_keeps_suffixes_inside_words_for_all_latin1(spark):
+    """Before and after each Latin-1 character: a suffix goes exactly where
+    the character isn't a letter, a digit of some kind or '_'."""
+    chars = [chr(c) for c in range(0x21, 0x100) if not chr(c).isspace() and chr(c) not in ".\x85"]
+    df = spark.createDataFrame([(c, f"x {c}inc y", f"x inc{c} y") for c in chars], "c string, a string, b string")
+    for r in df.select("c", text.normalize_name("a").alias("a"), text.normalize_name("b").alias("b")).collect():
+        word = r.c.isalnum() or r.c == "_"
+        assert ("inc" in r.a) == word and ("inc" in r.b) == word, (r.c, r.a, r.b)

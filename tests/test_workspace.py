@@ -73,3 +73,94 @@ def test_stages_end_to_end(spark, tmp_dir):
     # rebuild from a single explicit file
     counts = ws.ingest(files=[os.path.join(hist, "SAM_PUBLIC_MONTHLY_2024_JAN_X.zip")], rebuild=True).first()
     assert (counts.total_rows, counts.unique_ueis) == (2, 2)
+
+
+def _registration_names(ws):
+    return {(r.uei, str(r.snapshot_date)): r.legal_name for r in ws.table("registrations").collect()}
+
+
+def test_stream_then_batch_keeps_history(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "data")
+    v2 = os.path.join(src, "Public V2")
+    _archive(v2, "SAM_PUBLIC_MONTHLY_V2_20240201.ZIP", [_rec("U1", "One", "A", "1"), _rec("U2", "Two", "A", "1")])
+    _archive(v2, "SAM_PUBLIC_UTF-8_MONTHLY_V2_20240201.ZIP", [_rec("U1", "Wrong", "A", "1")])
+    ws = Workspace(spark, os.path.join(tmp_dir, "ws"))
+    ws.ingest_stream(src, os.path.join(tmp_dir, "ckpt"), files_per_batch=5)
+    stored = _registration_names(ws)
+    assert stored == {("U1", "2024-02-01"): "One", ("U2", "2024-02-01"): "Two"}
+    assert {r.uei for r in ws.table("registrations_latest").collect()} == {"U1", "U2"}
+    other = os.path.join(src, "Public - Historical")
+    _archive(other, "SAM_PUBLIC_MONTHLY_2024_JAN_X.zip", [_rec("U3", "Three", "A", "1")])
+    ws.ingest(files=[os.path.join(other, "SAM_PUBLIC_MONTHLY_2024_JAN_X.zip")])
+    assert _registration_names(ws) == stored | {("U3", "2024-01-01"): "Three"}
+    assert ws.ingest(src, mode="all").first().total_rows == 3  # the streamed archive counts as loaded
+
+
+def test_archive_without_rows_is_tried_again(spark, tmp_dir):
+    v2 = os.path.join(tmp_dir, "data", "Public V2")
+    os.makedirs(v2)
+    name = os.path.join(v2, "SAM_PUBLIC_MONTHLY_V2_20240201.ZIP")
+    with zipfile.ZipFile(name, "w") as zf:
+        zf.writestr("readme.txt", "x")
+    ws = Workspace(spark, os.path.join(tmp_dir, "ws"))
+    assert ws.ingest(os.path.join(tmp_dir, "data")).first().total_rows == 0
+    _archive(v2, os.path.basename(name), [_rec("U1", "One", "A", "1")])
+    assert ws.ingest(os.path.join(tmp_dir, "data")).first().total_rows == 1
+
+
+def test_explicit_file_of_any_name_and_equal_base_names(spark, tmp_dir):
+    _archive(os.path.join(tmp_dir, "a"), "X_20240201.zip", [_rec("U1", "Old", "A", "1")])
+    _archive(os.path.join(tmp_dir, "b"), "X_20240201.zip", [{}, {}, _rec("U1", "New", "A", "1"), _rec("U2", "Two", "A", "1")])
+    os.rename(os.path.join(tmp_dir, "a", "X_20240201.zip"), os.path.join(tmp_dir, "a", "X_20240201.bin"))
+    ws = Workspace(spark, os.path.join(tmp_dir, "ws"))
+    first, second = os.path.join(tmp_dir, "b", "X_20240201.zip"), os.path.join(tmp_dir, "a", "X_20240201.bin")
+    ws.ingest(files=[first, second])
+    # the later file's row wins although it stands on an earlier line
+    assert _registration_names(ws) == {("U1", "2024-02-01"): "Old", ("U2", "2024-02-01"): "Two"}
+
+
+def test_rebuild_drops_history_even_without_archives(spark, tmp_dir):
+    v2 = os.path.join(tmp_dir, "data", "Public V2")
+    _archive(v2, "SAM_PUBLIC_MONTHLY_V2_20240201.ZIP", [_rec("U1", "One", "A", "1")])
+    ws = Workspace(spark, os.path.join(tmp_dir, "ws"))
+    ws.ingest(os.path.join(tmp_dir, "data"))
+    empty = os.path.join(tmp_dir, "none")
+    os.makedirs(empty)
+    assert ws.ingest(empty, rebuild=True).first().total_rows == 0
+    assert not ws.exists("registrations") and not ws.exists("registrations_latest")
+
+
+def test_unreadable_table_raises_and_stays(spark, tmp_dir):
+    import glob
+
+    import pytest
+
+    from linkforge.operators import tables
+
+    path = os.path.join(tmp_dir, "t")
+    rows = spark.createDataFrame([("U1", "2024-01-01", "a")], "uei string, snapshot_date string, x string")
+    assert tables.write_upsert(spark, rows, path) == 1
+    part = glob.glob(path + "/snapshot_date=*/part-*")[0]
+    with open(part, "rb") as fh:
+        body = fh.read()
+    with open(part, "wb") as fh:
+        fh.write(b"broken")
+    spark.catalog.refreshByPath(path)
+    with pytest.raises(Exception):
+        tables.write_upsert(spark, rows.withColumn("x", rows.x), path)
+    assert glob.glob(path + "/snapshot_date=*/part-*") == [part]
+    with open(part, "wb") as fh:
+        fh.write(body)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "STATIC")
+    assert mode.upper() == "STATIC"
+
+
+def test_lines_are_split_once(spark):
+    from linkforge.plans import fixtures
+    from linkforge.sources import delimited
+
+    lines = fixtures.customer_lines(spark, "/root/testdata/sf0.001")
+    stored = lines.limit(0).unionByName(lines)
+    plan = delimited.parse_lines(spark.createDataFrame(stored.limit(3).collect(), stored.schema))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("split(") == 1
