@@ -34,6 +34,8 @@ except ModuleNotFoundError as missing:  # the training-data subpackage may be le
         raise
     llm_queries = None
 
+SMALL_U_SAMPLE = 5_000
+SMALL_BLOCK_ROWS = 3
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 SETTINGS = LinkSettings()
 GAMMAS = [c.gamma for c in SETTINGS.comparisons]
@@ -70,6 +72,12 @@ def q_candidate_pairs(spark, d):
     return _st(spark, d).pairs().select("uei_l", "uei_r", "match_key")
 
 
+def q_candidate_pairs_hot_blocks(spark, d):
+    """The same pairs with nearly every block joined in cells."""
+    pairs = blocking.candidate_pairs(_st(spark, d).records(), SETTINGS, hot_block_rows=SMALL_BLOCK_ROWS)
+    return pairs.select("uei_l", "uei_r", "match_key")
+
+
 def q_naive_pair_count(spark, d):
     return blocking.naive_pair_count(_st(spark, d).records())
 
@@ -184,6 +192,30 @@ def q_entity_cluster(spark, d):
     return explore.entity_cluster(_st(spark, d).clusters(), "000000000004")
 
 
+def q_entity_members(spark, d):
+    return explore.entity_members(_st(spark, d).clusters(), "000000000004", 30)
+
+
+def q_diagnosed_size(spark, d):
+    return explore.cluster_size(_st(spark, d).clusters(), 0)
+
+
+def q_name_search_unclustered(spark, d):
+    """Search for the name of the first entity outside all clusters: where no
+    clustered entity matches it, the search falls back to all registrations."""
+    st = _st(spark, d)
+    alone = st.latest().where(F.col("legal_name").isNotNull()).join(st.clusters().select("uei"), "uei", "left_anti")
+    term = alone.agg(F.min_by("legal_name", "uei")).first()[0]
+    return explore.name_search(st.clusters(), st.latest(), term or "", 25)
+
+
+def q_predictions_full(spark, d):
+    """Predictions with every compared value, term frequency, level and factor."""
+    st = _st(spark, d)
+    full = linkage.full_predictions(st.pairs(), fixtures.fixed_parameters(), SETTINGS, 2.0)
+    return full.select(*[_r6(c) if c.startswith(("bf_", "tf_", "match_w", "match_p")) else c for c in full.columns])
+
+
 def q_name_search(spark, d):
     st = _st(spark, d)
     return explore.name_search(st.clusters(), st.latest(), "ring", 25)
@@ -199,6 +231,11 @@ def q_u_estimates(spark, d):
     return model.u_estimates(_st(spark, d).records(), SETTINGS)
 
 
+def q_u_estimates_small_sample(spark, d):
+    """A sample far below all pairs, so that slots are cut off."""
+    return model.u_estimates(_st(spark, d).records(), SETTINGS, max_pairs=SMALL_U_SAMPLE)
+
+
 def q_em_one_step(spark, d):
     patterns = comparisons.gamma_patterns(_st(spark, d).gammas(), SETTINGS)
     step = model.em_one_step_frame(patterns, fixtures.fixed_parameters(), SETTINGS)
@@ -318,6 +355,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "blocking_keys": q_blocking_keys,
     "link_input": q_link_input,
     "candidate_pairs": q_candidate_pairs,
+    "candidate_pairs_hot_blocks": q_candidate_pairs_hot_blocks,
     "blocking_rule_counts": q_blocking_rule_counts,
     "naive_pair_count": q_naive_pair_count,
     "jaro_winkler": q_jaro_winkler,
@@ -343,9 +381,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_city_counts": q_cluster_city_counts,
     "entity_lookup": q_entity_lookup,
     "entity_cluster": q_entity_cluster,
+    "entity_members": q_entity_members,
+    "diagnosed_size": q_diagnosed_size,
+    "name_search_unclustered": q_name_search_unclustered,
+    "predictions_full": q_predictions_full,
     "name_search": q_name_search,
     "name_search_fallback": q_name_search_fallback,
     "u_estimates": q_u_estimates,
+    "u_estimates_small_sample": q_u_estimates_small_sample,
     "em_one_step": q_em_one_step,
     "match_weight_table": q_match_weight_table,
     "trained_cluster_stats": q_trained_cluster_stats,

@@ -143,44 +143,23 @@ def jaro_winkler_batch(left: list[str], right: list[str]) -> np.ndarray:
     return out
 
 
-# Per-worker memo of scored string pairs (Python workers are reused across
-# tasks); bounded so a worker's memory stays flat whatever the data size.
-_MEMO: dict = {}
-MEMO_LIMIT = 500_000
-
-
-def _remember(key: tuple[str, str], value: float) -> None:
-    if len(_MEMO) >= MEMO_LIMIT:
-        _MEMO.clear()
-    _MEMO[key] = value
-
-
 def score_arrays(left: pa.Array, right: pa.Array) -> pa.Array:
-    """NULL in -> NULL out. Only rows with both strings become Python
-    objects; pairs already scored by this worker come from the memo, the
-    distinct rest of the batch is scored in one vectorised call."""
+    """NULL in -> NULL out. The batch's strings are dictionary-encoded, its
+    distinct pairs of codes scored in one vectorised call; only distinct
+    strings become Python objects."""
     valid = pc.and_(pc.is_valid(left), pc.is_valid(right)).to_numpy(zero_copy_only=False)
     out = np.zeros(len(left), dtype=np.float64)
     idx = np.flatnonzero(valid)
     if len(idx):
         take = pa.array(idx)
-        ls = pc.take(left, take).to_pylist()
-        rs = pc.take(right, take).to_pylist()
-        vals = np.empty(len(idx), dtype=np.float64)
-        pending: dict[tuple[str, str], list[int]] = {}
-        for k, key in enumerate(zip(ls, rs)):
-            v = _MEMO.get(key)
-            if v is None:
-                pending.setdefault(key, []).append(k)
-            else:
-                vals[k] = v
-        if pending:
-            keys = list(pending)
-            scores = jaro_winkler_batch([x for x, _ in keys], [y for _, y in keys])
-            for key, v in zip(keys, scores.tolist()):
-                vals[pending[key]] = v
-                _remember(key, v)
-        out[idx] = vals
+        ls, rs = pc.take(left, take).dictionary_encode(), pc.take(right, take).dictionary_encode()
+        width = len(rs.dictionary)
+        codes = ls.indices.to_numpy().astype(np.int64) * width + rs.indices.to_numpy()
+        distinct, where = np.unique(codes, return_inverse=True)
+        lefts, rights = ls.dictionary.to_pylist(), rs.dictionary.to_pylist()
+        scores = jaro_winkler_batch([lefts[c] for c in (distinct // width).tolist()],
+                                    [rights[c] for c in (distinct % width).tolist()])
+        out[idx] = scores[where]
     return pa.array(out, type=pa.float64(), mask=~valid)
 
 

@@ -8,15 +8,15 @@ earlier rule already produced, combined with ``unionByName``. An OR of
 equalities in one join would be planned as a nested-loop join.
 
 Skew: a block (one key value of a rule) may hold a large share of all rows,
-and its output grows with the square of its size. Blocks above
-``hot_block_rows`` (L) are split into ``s = min(n, ceil((n / L)^2))`` salted
-sub-blocks: the left side of the block is spread over the salts by a hash of
-the id, the right side is replicated to every salt, and the join key gains
-the salt. Each sub-block then emits about L^2/2 pairs whatever n is, while
-the replication (n * s rows) stays far below the n^2/2 pairs the block must
-produce anyway. Every pair still meets exactly once (in the salt of its left
-row); nothing is dropped or capped. AQE skew-join splitting remains on as a
-second line of defence.
+and its output grows with the square of its size. A block of n rows above
+``hot_block_rows`` (L) is dealt into g = ceil(n / L) parts by a hash of the id
+and joined cell by cell: cell (p, q), p <= q, holds the rows of parts p and q,
+so each row is copied g times (n * g, about n^2 / L rows, against the n^2 / 2
+pairs the block must give). Two rows of different parts meet in one cell; two
+rows of one part count in that part's own cell only. A cell gives at most
+about L^2 pairs, the share of one or two ordinary tasks, whatever n is. Nothing
+is dropped or capped. The joins have an explicit partition count (their output
+dwarfs their input), which AQE does not split; hence the low L.
 """
 
 from __future__ import annotations
@@ -70,11 +70,22 @@ def rule_workload(sizes: DataFrame, hot_block_rows: int) -> dict[int, tuple[floa
 
 
 def hot_blocks(records: DataFrame, rules, hot_block_rows: int, sizes: DataFrame | None = None) -> DataFrame:
-    """(rule, block_key, block_rows, n_salt) for every block larger than the limit."""
+    """(rule, block_key, block_rows, n_parts) for every block larger than the limit."""
     counts = sizes if sizes is not None else block_sizes(records, rules)
-    ratio = F.col("block_rows") / F.lit(float(hot_block_rows))
     return (counts.where(F.col("block_rows") > F.lit(hot_block_rows))
-                  .withColumn("n_salt", F.least(F.col("block_rows"), F.ceil(ratio * ratio)).cast("int")))
+                  .withColumn("n_parts", F.ceil(F.col("block_rows") / F.lit(float(hot_block_rows))).cast("int")))
+
+
+def _in_cells(side: DataFrame, suffix: str, rule: tuple[str, ...], rule_hot: DataFrame, uid: str) -> DataFrame:
+    """Adds the row's part and, for each cell it belongs to, cell_lo and
+    cell_hi (0, 0 once for rows of ordinary blocks)."""
+    part, other = F.col(f"part{suffix}"), F.col(f"other{suffix}")
+    return (side.join(rule_hot.withColumnRenamed("block_key", "bk"), _key_string(rule, suffix) == F.col("bk"), "left")
+                .withColumn("n_parts", F.coalesce("n_parts", F.lit(1)))
+                .withColumn(f"part{suffix}", F.pmod(F.xxhash64(F.col(f"{uid}{suffix}")), F.col("n_parts")).cast("int"))
+                .withColumn(f"other{suffix}", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
+                .withColumns({f"cell_lo{suffix}": F.least(part, other), f"cell_hi{suffix}": F.greatest(part, other)})
+                .drop("bk", "n_parts", f"other{suffix}"))
 
 
 def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,
@@ -102,9 +113,8 @@ def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,
     sizes = block_sizes(recs, rules)
     workload = rule_workload(sizes, limit)
     n_hot = sum(h for _, h in workload.values())
-    salted = n_hot > 0
-    if salted:
-        hot = hot_blocks(recs, rules, limit, sizes).select("rule", "block_key", "n_salt")
+    if n_hot:
+        hot = hot_blocks(recs, rules, limit, sizes).select("rule", "block_key", "n_parts")
         if n_hot <= HOT_KEYS_BROADCAST_LIMIT:
             hot = F.broadcast(hot)
 
@@ -112,33 +122,24 @@ def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,
     for i, rule in enumerate(rules):
         left = _side(recs, cols, "_l")
         right = _side(recs, cols, "_r")
-        cond = [F.col(f"{k}_l") == F.col(f"{k}_r") for k in rule]
-        if salted:
+        keys = list(rule)
+        if n_hot:
             rule_hot = hot.where(F.col("rule") == i).drop("rule")
-            left = (left.join(rule_hot.withColumnRenamed("block_key", "bk_l"),
-                              _key_string(rule, "_l") == F.col("bk_l"), "left")
-                        .withColumn("salt_l", F.when(F.col("n_salt").isNull(), F.lit(0))
-                                    .otherwise(F.pmod(F.xxhash64(F.col(f"{uid}_l")), F.col("n_salt"))))
-                        .drop("bk_l", "n_salt"))
-            right = (right.join(rule_hot.withColumnRenamed("block_key", "bk_r"),
-                                _key_string(rule, "_r") == F.col("bk_r"), "left")
-                          .withColumn("salt_r", F.explode(
-                              F.when(F.col("n_salt").isNull(), F.array(F.lit(0)))
-                               .otherwise(F.sequence(F.lit(0), F.col("n_salt") - 1))))
-                          .drop("bk_r", "n_salt"))
-            cond.append(F.col("salt_l") == F.col("salt_r"))
+            left = _in_cells(left, "_l", rule, rule_hot, uid)
+            right = _in_cells(right, "_r", rule, rule_hot, uid)
+            keys += ["cell_lo", "cell_hi"]
         # Hash-partition both sides on the join keys with an explicit count:
         # the join's output (pairs) dwarfs its input (records), so the
         # partition count must follow the work, not the input bytes.
         parts = work_partitions(spark, workload.get(i, (0.0, 0))[0])
-        lkeys = [f"{k}_l" for k in rule] + (["salt_l"] if salted else [])
-        rkeys = [f"{k}_r" for k in rule] + (["salt_r"] if salted else [])
-        left = left.repartition(parts, *lkeys)
-        right = right.repartition(parts, *rkeys)
-        cond.append(F.col(f"{uid}_l") < F.col(f"{uid}_r"))
+        left = left.repartition(parts, *[f"{k}_l" for k in keys])
+        right = right.repartition(parts, *[f"{k}_r" for k in keys])
+        cond = [F.col(f"{k}_l") == F.col(f"{k}_r") for k in keys] + [F.col(f"{uid}_l") < F.col(f"{uid}_r")]
+        if n_hot:
+            cond.append((F.col("part_l") != F.col("part_r")) | (F.col("cell_lo_l") == F.col("cell_hi_l")))
         joined = left.join(right, reduce(lambda a, b: a & b, cond), "inner")
-        if salted:
-            joined = joined.drop("salt_l", "salt_r")
+        if n_hot:
+            joined = joined.drop(*[f"{c}{side}" for c in ("part", "cell_lo", "cell_hi") for side in ("_l", "_r")])
         for earlier in rules[:i]:
             joined = joined.where(~F.coalesce(_rule_match(earlier), F.lit(False)))
         outputs.append(joined.withColumn("match_key", F.lit(i)))
@@ -151,6 +152,7 @@ def blocking_rule_counts(pairs: DataFrame) -> DataFrame:
 
 
 def naive_pair_count(records: DataFrame) -> DataFrame:
-    """n(n-1)/2: the comparisons without blocking."""
+    """n(n-1)/2: the comparisons without blocking, in integers (the even one of
+    n and n - 1 is halved first)."""
     return records.agg(F.count(F.lit(1)).alias("n")).select(
-        (F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("naive_pairs"))
+        F.expr("CASE WHEN n % 2 = 0 THEN (n div 2) * (n - 1) ELSE n * ((n - 1) div 2) END").alias("naive_pairs"))

@@ -81,6 +81,24 @@ def cluster_members(clusters: DataFrame, cluster_id: int, limit: int = 50) -> Da
                             "cage_code", "cluster_size"))
 
 
+def entity_members(clusters: DataFrame, uei: str, limit: int = 30) -> DataFrame:
+    """The listing of the entity's cluster, itself included (the chained part
+    of the entity card); no rows for an unclustered entity."""
+    own = clusters.where(F.col("uei") == F.lit(uei)).select("cluster_id")
+    return (clusters.join(own, "cluster_id", "left_semi")
+                    .orderBy(F.col("legal_name").asc_nulls_last(), F.col("uei"))
+                    .limit(limit)
+                    .select("uei", "legal_name", "phys_city", "phys_state", "zip5", "entity_url",
+                            "cage_code", "cluster_size"))
+
+
+def cluster_size(clusters: DataFrame, cluster_id: int) -> DataFrame:
+    """One row: the cluster and its number of members (0 if there is none)."""
+    return (clusters.where(F.col("cluster_id") == F.lit(cluster_id))
+                    .agg(F.count(F.lit(1)).alias("cluster_size"))
+                    .select(F.lit(cluster_id).cast("long").alias("cluster_id"), "cluster_size"))
+
+
 def _edges_in_cluster(edges: DataFrame, clusters: DataFrame, cluster_id: int) -> DataFrame:
     members = clusters.where(F.col("cluster_id") == F.lit(cluster_id)).select("uei")
     return (edges.join(members.withColumnRenamed("uei", "uei_l"), "uei_l", "left_semi")

@@ -6,9 +6,11 @@
   drawn without a cross join: each record draws one slot out of ``n``; each
   record also claims ``K`` consecutive slots from a hashed start, and an
   equi-join on the slot pairs it with the records that drew those slots.
-  Slot groups are hash-random (about one record each), so no group is hot;
-  the expected pair count is ``min(max_pairs, n(n-1)/2)`` and with
-  ``K = n`` every pair appears exactly once. The hash is md5-based so the
+  Only slots below a limit ``T`` count, chosen so that the expected number of
+  pairs, (n - 1) K T / 2n, is ``min(max_pairs, n(n-1)/2)`` at every n; beyond
+  n = 2 max_pairs just the records of those slots are shuffled. With
+  ``K = T = n`` every pair appears exactly once. Slot groups are hash-random
+  (about one record each), so no group is hot. The hash is md5-based so the
   same sample can be reproduced in any SQL engine.
 * m probabilities: EM with u fixed. Spark reduces the training pairs to
   agreement-pattern counts (a partial aggregation; the table is bounded by
@@ -54,64 +56,65 @@ def with_term_frequencies(records: DataFrame, settings: LinkSettings | None = No
     out = records
     for comp in settings.comparisons:
         if comp.tf_adjust:
-            tf = term_frequencies(records, comp.column).select(
-                F.col("value").alias(comp.column), F.col("tf").alias(f"tf_{comp.column}"),
-                F.log2("tf").alias(f"log2_tf_{comp.column}"))
-            out = out.join(tf, comp.column, "left")
+            # A written table: both join sides are then plain shuffles, whose
+            # hot values AQE can split.
+            tf = materialize(term_frequencies(records, comp.column).select(
+                F.col("value").alias("_value"), F.col("tf").alias(f"tf_{comp.column}"),
+                F.log2("tf").alias(f"log2_tf_{comp.column}")), "term-frequencies")
+            # Records without a value match nothing; a key of their own each
+            # keeps them from meeting in one task.
+            spread = F.concat(F.lit("\u0001"), F.xxhash64(settings.unique_id).cast("string"))
+            out = out.withColumn("_key", F.coalesce(comp.column, spread)).join(
+                tf, F.col("_key") == F.col("_value"), "left").drop("_key", "_value")
     return out
 
 
 # ------------------------------------------------------- random pairs ----
 
+SLOT_HEX_DIGITS = 15  # 60 bits: slots stay even for any number of records
+
+
 def _hash_slot(key: Column, salt: str, slots: int) -> Column:
-    h = F.conv(F.substring(F.md5(F.concat(key, F.lit(salt))), 1, 8), 16, 10).cast("long")
+    h = F.conv(F.substring(F.md5(F.concat(key, F.lit(salt))), 1, SLOT_HEX_DIGITS), 16, 10).cast("long")
     return F.pmod(h, F.lit(slots))
 
 
-def random_pair_plan(n: int, max_pairs: int) -> tuple[int, int]:
-    """(slots, claims per record) for about min(max_pairs, all pairs)."""
+def random_pair_plan(n: int, max_pairs: int) -> tuple[int, int, int]:
+    """(slots, claims per record, slots that count) for an expected
+    min(max_pairs, all pairs) pairs."""
     slots = max(n, 1)
     if n < 2:
-        return slots, 0
-    claims = math.ceil(2.0 * max_pairs / (n - 1))
-    return slots, min(claims, slots)
+        return slots, 0, 0
+    if n * (n - 1) // 2 <= max_pairs:
+        return slots, slots, slots
+    claims = min(slots, -(-2 * max_pairs // (n - 1)))
+    return slots, claims, min(slots, round(2 * max_pairs * n / ((n - 1) * claims)))
 
 
 def random_pairs(records: DataFrame, max_pairs: int, seed: int = 42, id_col: str = "uei",
                  carry: list[str] | None = None) -> DataFrame:
     cols = [id_col] + [c for c in (carry or []) if c != id_col]
     n = records.count()
-    slots, claims = random_pair_plan(n, max_pairs)
+    slots, claims, counting = random_pair_plan(n, max_pairs)
     recs = records.select(*cols)
     # Sized by the pairs the sample will produce (about min(max_pairs, all pairs)).
     parts = work_partitions(records.sparkSession, 2.0 * min(max_pairs, n * (n - 1) / 2))
-    # Spread the records before the K-fold explode so it runs in every task.
-    left = (recs.select([F.col(c).alias(f"{c}_l") for c in cols])
-                .withColumn("_start", _hash_slot(F.col(f"{id_col}_l"), f":a{seed}", slots))
-                .repartition(parts, "_start")
-                .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(claims - 1))))
-                .select("*", F.pmod(F.col("_start") + F.col("_k"), F.lit(slots)).alias("_slot"))
-                .drop("_start", "_k"))
+    start = _hash_slot(F.col(f"{id_col}_l"), f":a{seed}", slots)
+    left = recs.select([F.col(c).alias(f"{c}_l") for c in cols]).withColumn("_start", start)
+    if claims > 1:  # few records: spread them before the K-fold explode
+        left = left.repartition(parts, "_start").withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(claims - 1))))
+        left = left.select("*", F.pmod(F.col("_start") + F.col("_k"), F.lit(slots)).alias("_slot")).drop("_start", "_k")
+    else:
+        left = left.withColumnRenamed("_start", "_slot")
     right = (recs.select([F.col(c).alias(f"{c}_r") for c in cols])
                  .withColumn("_slot", _hash_slot(F.col(f"{id_col}_r"), f":b{seed}", slots)))
-    if claims == 0:
-        left = left.limit(0)
-    left = left.repartition(parts, "_slot")
-    right = right.repartition(parts, "_slot")
+    in_sample = F.col("_slot") < F.lit(counting)
+    left = left.where(in_sample).repartition(parts, "_slot")
+    right = right.where(in_sample).repartition(parts, "_slot")
     return (left.join(right, "_slot").where(F.col(f"{id_col}_l") < F.col(f"{id_col}_r"))
                 .drop("_slot"))
 
 
-def level_counts(patterns: DataFrame, settings: LinkSettings | None = None) -> DataFrame:
-    """(comparison, gamma, n_pairs) over non-null levels, from pattern counts."""
-    settings = settings or LinkSettings()
-    stacked = F.inline(F.array(*[F.struct(F.lit(c.column).alias("comparison"),
-                                          F.col(c.gamma).alias("gamma"))
-                                 for c in settings.comparisons]))
-    return (patterns.select(stacked, "n_pairs").where(F.col("gamma") >= 0)
-                    .groupBy("comparison", "gamma").agg(F.sum("n_pairs").cast("long").alias("n_pairs")))
-
-
 def u_estimates(records: DataFrame, settings: LinkSettings | None = None,
                 max_pairs: int | None = None) -> DataFrame:
     """(comparison, gamma, u_probability): level frequencies among random

@@ -1,7 +1,7 @@
 """Stage composition: link input -> pairs -> comparison vectors -> scores
 -> edges -> clusters. Mirrors the reference's stage tables; each stage's
-output that several consumers read is materialised with ``checkpoint()``
-into the shared checkpoint folder (lineage cut, survives executor loss).
+output that several consumers read is written as a Parquet table in the
+shared checkpoint folder (lineage cut, survives executor loss).
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def link_records(link_input: DataFrame, settings: LinkSettings, tf: bool = False
 
 def comparison_stage(records: DataFrame, settings: LinkSettings) -> DataFrame:
     """Candidate pairs -> comparison vectors in one pass (the wide pair rows
-    are never materialised); the lean result is checkpointed because both
+    are never materialised); the lean result is written because both
     training and scoring read it."""
     # Only what the comparisons and scoring read rides through the join (the
     # raw term frequencies stay on the records; their logarithms travel).
@@ -42,6 +42,22 @@ def score_stage(gammas: DataFrame, params: ParameterSet, settings: LinkSettings,
     return scoring.score_pairs(gammas, params, settings, threshold=threshold, tf_adjust=tf)
 
 
+def full_predictions(pairs: DataFrame, params: ParameterSet, settings: LinkSettings,
+                     threshold: float | None = DEFAULT_PREDICT_THRESHOLD) -> DataFrame:
+    """Predictions that retain every compared value and term frequency of both
+    sides beside levels, factors, term adjustments, weight and probability
+    (the lean stage keeps only what later stages read)."""
+    gammas = comparisons.gamma_vectors(pairs, settings, keep_scores=False)
+    scored = scoring.score_pairs(gammas, params, settings, threshold=threshold, tf_adjust=True)
+    uid, sides = settings.unique_id, ("_l", "_r")
+    cols = [f"{uid}_l", f"{uid}_r", "match_key", "match_weight", "match_probability"]
+    for comp in settings.comparisons:
+        cols += [f"{comp.column}{s}" for s in sides] + [comp.gamma, scoring.bf_column(comp.column)]
+        if comp.tf_adjust:
+            cols += [f"tf_{comp.column}{s}" for s in sides] + [scoring.tf_adj_column(comp.column)]
+    return scored.select(*cols)
+
+
 def cluster_stage(predictions: DataFrame, latest: DataFrame,
                   threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(entity_clusters, match_edges) at the cluster threshold."""

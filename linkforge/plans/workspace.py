@@ -54,11 +54,12 @@ class Workspace:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def _write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(self.path(name))
+    def _write(self, df: DataFrame, name: str, sort_by: str | None = None) -> DataFrame:
+        """Replaces a table. ``sort_by``: rows are range-partitioned and sorted,
+        so a lookup by that column reads few row groups."""
+        if sort_by:
+            df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
+        df.write.mode("overwrite").parquet(self.path(name))
         return self.table(name)
 
     # ------------------------------------------------------------ ingest
@@ -111,7 +112,7 @@ class Workspace:
 
     def build_derived(self) -> None:
         reg = self.table("registrations")
-        self._write(tables.latest_per_key(reg), "registrations_latest")
+        self._write(tables.latest_per_key(reg), "registrations_latest", "uei")
         self._write(tables.history_names(reg), "uei_names")
         self._write(tables.history_locations(reg), "uei_addresses")
 
@@ -135,9 +136,10 @@ class Workspace:
     def cluster(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
         """Connected components of pairs >= threshold. Returns statistics."""
         preds = self.table("match_predictions")
-        edges = self._write(scoring.edges_above(preds, threshold), "match_edges")
+        edges = self._write(scoring.edges_above(preds, threshold), "match_edges", "uei_l")
         membership = graph.connected_components(edges)
-        self._write(graph.entity_clusters(membership, self.table("registrations_latest")), "entity_clusters")
+        self._write(graph.entity_clusters(membership, self.table("registrations_latest")), "entity_clusters",
+                    "cluster_id")
         return self.stats()
 
     # ----------------------------------------------------------- queries
@@ -162,6 +164,9 @@ class Workspace:
     def entity_cluster(self, uei: str) -> DataFrame:
         return explore.entity_cluster(self.table("entity_clusters"), uei)
 
+    def entity_members(self, uei: str, limit: int = 30) -> DataFrame:
+        return explore.entity_members(self.table("entity_clusters"), uei, limit)
+
     def members(self, cluster_id: int, limit: int = 50) -> DataFrame:
         return explore.cluster_members(self.table("entity_clusters"), cluster_id, limit)
 
@@ -171,6 +176,7 @@ class Workspace:
     def diagnose(self, cluster_id: int) -> dict[str, DataFrame]:
         clusters = self.table("entity_clusters")
         return {
+            "size": explore.cluster_size(clusters, cluster_id),
             "weakest_edges": explore.weakest_edges(self.table("match_edges"), clusters,
                                                    self.table("registrations_latest"), cluster_id),
             "names": explore.cluster_name_counts(clusters, cluster_id),

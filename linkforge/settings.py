@@ -5,7 +5,7 @@ A plain immutable description; every operator takes it as an argument
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -76,11 +76,10 @@ class LinkSettings:
     em_convergence: float = DEFAULT_EM_CONVERGENCE
     u_max_pairs: int = DEFAULT_U_MAX_PAIRS
     training_blocks: tuple[tuple[str, ...], ...] = DEFAULT_TRAINING_BLOCKS
-    # A block with more rows than this is split into salted sub-blocks of
-    # about hot_block_rows^2 / 2 pairs each (12.5M at the default).
-    hot_block_rows: int = 5_000
+    # A block with more rows than this is joined in cells of at most about
+    # hot_block_rows^2 pairs each (4M at the default).
+    hot_block_rows: int = 2_000
     seed: int = 42
-    extra: dict = field(default_factory=dict, compare=False)
 
     def comparison(self, column: str) -> Comparison:
         for c in self.comparisons:

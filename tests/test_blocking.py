@@ -51,7 +51,27 @@ def test_salted_hot_blocks_equal_unsalted(spark):
     salted = _pairs(blocking.candidate_pairs(df, SET, carry=COLS, hot_block_rows=7))
     assert plain == salted == _brute(rows, SET.blocking_rules)
     hot = blocking.hot_blocks(df, SET.blocking_rules, 7).collect()
-    assert any(r.block_rows > 7 and r.n_salt >= 2 for r in hot)
+    assert any(r.block_rows > 7 and r.n_parts >= 2 for r in hot)
+
+
+def test_hot_block_is_copied_once_per_part(spark):
+    n, limit = 300, 30
+    df = spark.range(n).selectExpr("lpad(id, 6, '0') AS uei", "'k' AS block_key")
+    hot = blocking.hot_blocks(df, (("block_key",),), limit).drop("rule", "block_rows")
+    side = blocking._side(df, ["uei", "block_key"], "_l")
+    cells = blocking._in_cells(side, "_l", ("block_key",), hot, "uei")
+    assert cells.count() == n * (n // limit)   # n^2 / L, not n * (n / L)^2
+    largest = cells.groupBy("cell_lo_l", "cell_hi_l").count().agg({"count": "max"}).first()[0]
+    assert largest <= 4 * limit
+
+
+def test_naive_pair_count_is_exact(spark):
+    for n in (0, 1, 2, 7, 1000):
+        assert blocking.naive_pair_count(spark.range(n)).first()[0] == n * (n - 1) // 2
+    # at 3e9 rows the double product was inexact
+    row = spark.range(1).selectExpr("3000000001L AS n").selectExpr(
+        "CASE WHEN n % 2 = 0 THEN (n div 2) * (n - 1) ELSE n * ((n - 1) div 2) END AS x").first()
+    assert row.x == 3000000001 * 3000000000 // 2
 
 
 def test_plan_has_no_nested_loop_or_cartesian(spark):

@@ -29,9 +29,9 @@ def test_random_pairs_capped_sample(spark):
 
 
 def test_random_pair_plan_bounds():
-    assert model.random_pair_plan(10, 5_000_000) == (10, 10)
-    slots, claims = model.random_pair_plan(875_000, 5_000_000)
-    assert slots == 875_000 and claims == 12
+    assert model.random_pair_plan(10, 5_000_000) == (10, 10, 10)
+    slots, claims, counting = model.random_pair_plan(875_000, 5_000_000)
+    assert slots == 875_000 and claims == 12 and counting <= slots
 
 
 def _loglik(params, g, n, active, prior):
@@ -81,3 +81,36 @@ def test_term_frequencies_sum_to_one(spark):
     recs = fixtures.link_input(spark, "/root/testdata/sf0.001")
     tf = model.term_frequencies(recs, "phys_city")
     assert abs(tf.agg(F.sum("tf")).first()[0] - 1.0) < 1e-12
+
+
+def test_random_pair_plan_expects_max_pairs_at_every_size():
+    from linkforge.operators.model import random_pair_plan
+
+    for n in (1_000, 3_163, 20_000, 1_000_000, 7_000_000, 10_000_001, 10 ** 9):
+        for most in (1_000, 5_000_000):
+            slots, claims, counting = random_pair_plan(n, most)
+            expected = (n - 1) * claims * counting / (2 * n) if claims < n else n * (n - 1) / 2
+            assert abs(expected / min(most, n * (n - 1) / 2) - 1) < 0.1, (n, most)
+            assert claims == 1 or counting <= slots
+    assert random_pair_plan(10 ** 9, 5_000_000)[1:] == (1, 10_000_000)   # only sampled slots are shuffled
+
+
+def test_random_pairs_meet_their_number(spark):
+    from linkforge.operators.model import random_pairs
+
+    df = spark.range(2_000).selectExpr("lpad(id, 6, '0') AS uei")
+    got = random_pairs(df, 1_000)
+    assert abs(got.count() - 1_000) < 200
+    assert got.distinct().count() == got.count()
+    assert random_pairs(df.limit(40), 10 ** 6).count() == 40 * 39 // 2
+
+
+def test_null_terms_keep_their_rows_and_do_not_share_a_key(spark):
+    from linkforge.operators import model
+    from linkforge.settings import Comparison, LinkSettings
+
+    settings = LinkSettings(comparisons=(Comparison("city", tf_adjust=True),))
+    df = spark.createDataFrame([(str(i), None if i % 3 else "x" if i % 2 else "y") for i in range(30)], "uei string, city string")
+    rows = model.with_term_frequencies(df, settings).collect()
+    assert len(rows) == 30 and all((r.tf_city is None) == (r.city is None) for r in rows)
+    assert {r.city: r.tf_city for r in rows if r.city} == {"x": 0.5, "y": 0.5}

@@ -125,3 +125,15 @@ def test_rendered_fixture_lines_equal_sql_rendering(spark):
     con.execute(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{sf}/customer.parquet')")
     want = sorted((n, raw) for _, n, raw in con.execute(fixtures.customer_lines_sql("customer")).fetchall())
     assert got == want
+
+
+def test_page_links_match_whole_class_words_and_decode_entities(spark):
+    link = "data-service-file-link"
+    html = (f'<a class="{link}-disabled">No</a><a data-class="{link}" href=x>No</a><a href=y class={link}>Bare</a>'
+            f"<a class='x {link}\ty'>Single</a><a CLASS = \"{link}\"><span class=\"not-sr-only\">A</span>.ZIP</a>"
+            f'<a class="{link}">&nbsp;B&nbsp;&#67;&#x44;&#x1F600;&apos;&amp;lt;&amp;#65; </a>'
+            f'<a class="{link}"><span data-x="1" class="a sr-only b">gone</span><i class=sr-only>gone</i>Kept</a>'
+            f'<a class="{link}"><span data-class="sr-only">Shown</span></a><a class="{link}">&#0;&#xD800;</a>')
+    df = spark.createDataFrame([(1, "u", html), (2, "u", None), (3, "u", "")], "page_id long, url string, html string")
+    got = [r.link_text for r in pages.page_links(df).orderBy("link_pos").collect()]
+    assert got == ["Bare", "Single", "A.ZIP", "B\xa0CD\U0001f600'&lt;&#65;", "Kept", "Shown", "\ufffd\ufffd"]
