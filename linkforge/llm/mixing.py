@@ -37,7 +37,9 @@ import heapq
 import math
 import re
 from collections.abc import Iterator, Sequence
+from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,6 +54,7 @@ SEED = 42
 WEIGHTS = (5, 2, 1)
 
 _PLAN_ROW_BYTES = 256
+_MOST_BLOCKS = 200_000  # handled at once in a task
 
 
 def word_count(text: Column) -> Column:
@@ -129,13 +132,13 @@ def source_plan(totals: Sequence[tuple[str | None, int]], block_words: int = BLO
         step = 1 + _hex(seed, source, slice(0, 5))
         while math.gcd(step, m) != 1:
             step += 1
-        plan.append({"source": source, "source_size": size, "target": targets[i], "blocks": blocks[i],
+        plan.append({"plan_id": i, "source": source, "source_size": size, "target": targets[i], "blocks": blocks[i],
                      "seats": ends[-1][i], "step": step, "shift": _hex(seed, source, slice(5, 10)) % m,
                      "shard_ends": [e[i] for e in ends]})
     return plan
 
 
-PLAN_TYPES = ("source string, source_size bigint, target double, blocks bigint, seats bigint, step bigint, "
+PLAN_TYPES = ("plan_id bigint, source string, source_size bigint, target double, blocks bigint, seats bigint, step bigint, "
               "shift bigint, shard_ends array<bigint>")
 
 
@@ -166,25 +169,55 @@ def mix(documents: DataFrame, block_words: int = BLOCK_WORDS, max_repeat: int =
     plan = spark.createDataFrame(source_plan(totals, block_words, max_repeat, shards, weights, seed), PLAN_TYPES)
     plan = broadcast_if_small(plan.withColumnRenamed("source", "plan_source"), len(totals), _PLAN_ROW_BYTES + 8 * shards)
     placed = _placed(sized).join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
-    block = F.lit(block_words).cast("long")
-
-    def piece(k: Column, c: Column) -> Column:
-        seat = c * F.col("blocks") + F.pmod(F.col("step") * k + F.col("shift"), F.col("blocks"))
-        start = F.greatest(k * block, F.col("first"))
-        stop = F.least((k + 1) * block, F.col("first") + F.col("size"))
-        return F.struct((start - F.col("first")).alias("start"), (stop - start).alias("words"), k.alias("block"),
-                        c.cast("int").alias("round"),
-                        F.size(F.filter("shard_ends", lambda e: e <= seat)).alias("shard"), seat.alias("seat"))
-
-    last = F.expr(f"(first + size - 1) div {block_words}")
-    overlapped = F.when(F.col("size") > 0, F.sequence(F.expr(f"first div {block_words}"), last)).otherwise(
-        F.array().cast("array<bigint>"))
-    copies = F.flatten(F.transform(overlapped, lambda k: F.filter(
-        F.transform(F.array(*[F.lit(c).cast("long") for c in range(max_repeat)]), lambda c: piece(k, c)),
-        lambda p: p["seat"] < F.col("seats"))))
-    return (placed.withColumn("pieces", copies)
-                  .withColumn("taken", F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["words"]))
-                  .select("doc_id", *key_cols, "size", "source", "source_size", "target", "taken", "pieces"))
+    keep = ["doc_id", *key_cols, "size", "source", "source_size", "target"]
+    work = ["first", "blocks", "seats", "step", "shift", "plan_id", "shard_ends"]
+    rows = placed.select(F.struct(*keep).alias("row"), "size", *work)
+    task = partial(_pieces_task, block_words=block_words, max_repeat=max_repeat)
+    return rows.mapInArrow(task, f"row {rows.schema['row'].dataType.simpleString()}, taken bigint, {PIECE_TYPES}").select(
+        "row.*", "taken", "pieces")
+
+
+PIECE_TYPES = "pieces array<struct<start:bigint,words:bigint,block:bigint,round:int,shard:int,seat:bigint>>"
+
+
+def _short_batches(batches: Iterator[pa.RecordBatch], most_words: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of about ``most_words`` words, a row at least."""
+    for batch in batches:
+        reached = np.cumsum(batch.column("size").to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = reached[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(reached, before + most_words, "right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
+def _pieces_task(batches: Iterator[pa.RecordBatch], block_words: int, max_repeat: int) -> Iterator[pa.RecordBatch]:
+    """The taken block copies of each document."""
+    for batch in _short_batches(batches, block_words * _MOST_BLOCKS):
+        size, first, blocks, seats, step, shift, plan = (
+            batch.column(c).to_numpy() for c in ("size", "first", "blocks", "seats", "step", "shift", "plan_id"))
+        low = first // block_words
+        count = np.where(size > 0, (first + size - 1) // block_words - low + 1, 0) * max_repeat
+        doc = np.repeat(np.arange(len(size)), count)
+        nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        block, turn = low[doc] + nth // max_repeat, nth % max_repeat
+        seat = turn * blocks[doc] + (step[doc] * block + shift[doc]) % np.maximum(blocks[doc], 1)
+        taken = seat < seats[doc]
+        doc, block, turn, seat = doc[taken], block[taken], turn[taken], seat[taken]
+        start = np.maximum(block * block_words, first[doc])
+        words = np.minimum((block + 1) * block_words, first[doc] + size[doc]) - start
+        shard = np.zeros(len(doc), np.int64)
+        for p, row in zip(*np.unique(plan, return_index=True)):
+            of_plan = plan[doc] == p
+            shard[of_plan] = np.searchsorted(np.array(batch.column("shard_ends")[int(row)].as_py()), seat[of_plan], "right")
+        fields = {"start": start - first[doc], "words": words, "block": block, "round": turn.astype(np.int32),
+                  "shard": shard.astype(np.int32), "seat": seat}
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(size)))]).astype(np.int32)
+        pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(
+            [pa.array(v) for v in fields.values()], names=list(fields)))
+        total = np.bincount(doc, words, len(size)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(total), pieces], names=["row", "taken", "pieces"])
 
 
 def shard_quotas(mixed: DataFrame) -> DataFrame:
@@ -219,13 +252,13 @@ def mixed_documents(documents: DataFrame, block_words: int = BLOCK_WORDS, max_re
     Rows are told apart by their place in the scan, so repeated rows and ids
     each keep their own pieces; ``documents`` must therefore be a stored table
     (a scan), which gives a row the same place each time it is read."""
-    placed = documents.withColumn("mix_row", F.monotonically_increasing_id())
+    others = [c for c in documents.columns if c not in ("text", "n_chars")]
+    placed = documents.select(F.monotonically_increasing_id().alias("mix_row"), "doc_id", "source", "text",
+                              F.struct(*others).alias("row"))
     mixed = mix(placed, block_words, max_repeat, shards, weights, seed, key_cols=["mix_row"])
     taken = mixed.where("taken > 0").select(F.col("mix_row").alias("row_taken"), F.transform("pieces", lambda p: F.struct(
         p["round"].alias("round"), p["start"].alias("start"), p["words"].alias("words"))).alias("pieces"))
-    others = [c for c in documents.columns if c not in ("text", "n_chars")]
-    rows = (placed.join(taken, F.col("mix_row") == F.col("row_taken"))
-                  .select(F.struct(*others).alias("row"), "text", "pieces"))
+    rows = placed.join(taken, F.col("mix_row") == F.col("row_taken")).select("row", "text", "pieces")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
