@@ -245,7 +245,8 @@ def q_em_one_step(spark, d):
 def q_match_weight_table(spark, d):
     """Parameters trained on E (u by random pairs, two EM passes)."""
     params = model.train(_st(spark, d).records(), SETTINGS)
-    return params.to_dataframe(spark)
+    return params.to_dataframe(spark).select("comparison", "gamma", *[
+        _r6(c) for c in ("m_probability", "u_probability", "log2_bayes_factor")])
 
 
 def q_trained_cluster_stats(spark, d):

@@ -14,7 +14,8 @@ from linkforge.functions.text import LEGAL_SUFFIX_PATTERN
 from linkforge.operators.explore import SIZE_BAND_ELSE, SIZE_BANDS
 from linkforge.operators.scoring import WEIGHT_BAND_ELSE, WEIGHT_BANDS
 from linkforge.plans.fixtures import ENTITY_SQL, FIXED_LEVELS, HISTORY_SQL
-from linkforge.settings import DEFAULT_COMPARISONS, DEFAULT_U_MAX_PAIRS
+from linkforge.settings import (DEFAULT_COMPARISONS, DEFAULT_EM_CONVERGENCE, DEFAULT_MAX_ITERATIONS,
+                                DEFAULT_TRAINING_BLOCKS, DEFAULT_U_MAX_PAIRS)
 
 PRIOR = 1e-4
 SMALL_U_SAMPLE = 5_000
@@ -365,6 +366,94 @@ t AS (SELECT page_id, link_pos, trim({ent.format(x="regexp_replace(regexp_extrac
 
 # ------------------------------------------------------------- model keys ----
 
+def _levels_sql(u_query: str) -> str:
+    """CTEs: every (comparison, gamma) with its floored start u and default m."""
+    rows = ", ".join(f"('{c.column}', {g}, {len(c.levels)}, {c.exact_level})" for c in DEFAULT_COMPARISONS for g in c.levels)
+    return f"""
+u_raw AS MATERIALIZED ({u_query}),
+u_floor AS (SELECT l.*, greatest(coalesce(u_probability, 0), 1e-6) AS f
+            FROM (VALUES {rows}) AS l(comparison, gamma, n_levels, exact_level) LEFT JOIN u_raw USING (comparison, gamma)),
+lv0 AS MATERIALIZED (SELECT comparison, gamma, gamma = exact_level AS is_exact, f / sum(f) OVER (PARTITION BY comparison) AS u,
+            CASE WHEN gamma = exact_level THEN 0.95::DOUBLE ELSE 0.05::DOUBLE / (n_levels - 1) END AS m FROM u_floor)"""
+
+
+def _em_sql(name: str, block: tuple[str, ...], source: str) -> str:
+    """CTEs of one EM pass over the pattern counts of ``source``, a step at a
+    time; a step after convergence hands its input on."""
+    active = [c for c in DEFAULT_COMPARISONS if c.column not in block]
+    gammas = ", ".join(f"gamma_{c.column}" for c in DEFAULT_COMPARISONS)
+    long = " UNION ALL ".join(f"SELECT pid, n, '{c.column}' AS comparison, gamma_{c.column} AS gamma FROM {name}_pat "
+                              f"WHERE gamma_{c.column} >= 0" for c in active)
+    names = ", ".join(f"'{c.column}'" for c in active)
+    blocked = ", ".join(f"'{b}'" for b in block)
+    parts = [f"""
+{name}_pat AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {gammas}) AS pid, {gammas}, n::DOUBLE AS n
+    FROM (SELECT {gammas}, count(*) AS n FROM ({source}) GROUP BY ALL)),
+{name}_long AS MATERIALIZED ({long}),
+{name}_m0 AS MATERIALIZED (SELECT comparison, gamma, u, m FROM lv0 WHERE comparison IN ({names})),
+{name}_s0 AS MATERIALIZED (SELECT least(o / (1 + o), 0.5) AS prior, (SELECT count(*) FROM {name}_pat) = 0 AS done FROM (
+    SELECT {PRIOR!r}::DOUBLE / (1 - {PRIOR!r}::DOUBLE) * coalesce(product(m / u), 1) AS o FROM lv0
+    WHERE is_exact AND comparison IN ({blocked})))"""]
+    for i in range(1, DEFAULT_MAX_ITERATIONS + 1):
+        was = i - 1
+        parts.append(f"""
+{name}_p{i} AS MATERIALIZED (SELECT pid, p.n, any_value(prior) AS prior,
+    1 / (1 + exp(coalesce(sum(ln(u) - ln(m)), 0) + ln(1 - any_value(prior)) - ln(any_value(prior)))) * p.n AS pn
+    FROM {name}_pat p CROSS JOIN {name}_s{was} LEFT JOIN {name}_long USING (pid) LEFT JOIN {name}_m{was} USING (comparison, gamma)
+    GROUP BY pid, p.n),
+{name}_r{i} AS (SELECT comparison, gamma, sum(pn) AS pn FROM {name}_long JOIN {name}_p{i} USING (pid) GROUP BY ALL),
+{name}_f{i} AS (SELECT comparison, gamma, u, m, greatest(coalesce(pn / nullif(sum(pn) OVER (PARTITION BY comparison), 0), 0), 1e-6) AS f
+    FROM {name}_m{was} LEFT JOIN {name}_r{i} USING (comparison, gamma)),
+{name}_m{i} AS MATERIALIZED (SELECT comparison, gamma, u,
+    CASE WHEN (SELECT done FROM {name}_s{was}) THEN m ELSE f / sum(f) OVER (PARTITION BY comparison) END AS m FROM {name}_f{i}),
+{name}_s{i} AS MATERIALIZED (SELECT CASE WHEN done THEN prior ELSE (SELECT sum(pn) / sum(n) FROM {name}_p{i}) END AS prior,
+    done OR (SELECT max(abs(a.m - b.m)) FROM {name}_m{i} a JOIN {name}_m{was} b USING (comparison, gamma)) < {DEFAULT_EM_CONVERGENCE!r} AS done
+    FROM {name}_s{was})""")
+    return ",".join(parts)
+
+
+def _training_sql(u_query: str) -> str:
+    """CTEs ending in ``trained(comparison, gamma, m, u, bf)``."""
+    by_name = "SELECT * FROM gammas WHERE name_norm_l = name_norm_r"
+    gam = ", ".join(f"{_gamma_sql(c)} AS gamma_{c.column}" for c in DEFAULT_COMPARISONS)
+    sel = ", ".join([f"l.{c} AS {c}_l" for c in COLS] + [f"r.{c} AS {c}_r" for c in COLS])
+    by_place = (f"SELECT *, {gam} FROM (SELECT {sel} FROM li l JOIN li r ON l.uei < r.uei AND l.zip5 = r.zip5 "
+                "AND l.phys_city = r.phys_city)")
+    first, second = DEFAULT_TRAINING_BLOCKS
+    last = DEFAULT_MAX_ITERATIONS
+    return (_levels_sql(u_query) + "," + _em_sql("one", first, by_name) + "," + _em_sql("two", second, by_place) + f""",
+mean AS (SELECT comparison, gamma, avg(m) AS m FROM (
+    SELECT comparison, gamma, m FROM one_m{last} WHERE (SELECT count(*) FROM one_pat) > 0
+    UNION ALL SELECT comparison, gamma, m FROM two_m{last} WHERE (SELECT count(*) FROM two_pat) > 0) GROUP BY ALL),
+trained AS MATERIALIZED (SELECT comparison, gamma, coalesce(mean.m, lv0.m) AS m, u, log2(coalesce(mean.m, lv0.m) / u) AS bf
+    FROM lv0 LEFT JOIN mean USING (comparison, gamma))""")
+
+
+def _trained_stats_sql() -> str:
+    """Cluster statistics of the pairs scored with the trained table."""
+    wide = ", ".join(f"max(bf) FILTER (comparison = '{c.column}' AND gamma = {g}) AS bf_{c.column}_{g}"
+                     for c in DEFAULT_COMPARISONS for g in c.levels)
+    exact = ", ".join(f"max(u) FILTER (comparison = '{c.column}' AND gamma = {c.exact_level}) AS ux_{c.column}"
+                      for c in DEFAULT_COMPARISONS if c.tf_adjust)
+    terms = [_lit(math.log2(PRIOR / (1 - PRIOR)))]
+    for c in DEFAULT_COMPARISONS:
+        cases = " ".join(f"WHEN {g} THEN bf_{c.column}_{g}" for g in c.levels)
+        terms.append(f"CASE gamma_{c.column} {cases} ELSE 0 END")
+        if c.tf_adjust:
+            tf = f"greatest(tf_{c.column}_l, tf_{c.column}_r)"
+            terms.append(f"CASE WHEN gamma_{c.column} = {c.exact_level} AND {tf} IS NOT NULL THEN log2(ux_{c.column} / {tf}) ELSE 0 END")
+    total = "(SELECT count(*) FROM latest)"
+    return f""",
+wide AS (SELECT {wide}, {exact} FROM trained),
+tedges AS MATERIALIZED (SELECT uei_l, uei_r FROM gammas CROSS JOIN wide WHERE {' + '.join(terms)} >= 5.0),
+tund AS (SELECT uei_l AS a, uei_r AS b FROM tedges UNION SELECT uei_r, uei_l FROM tedges),
+treach(node, label) AS (SELECT a, a FROM tund UNION SELECT tund.b, treach.label FROM treach JOIN tund ON tund.a = treach.node),
+tlabel AS (SELECT node, min(label) AS label FROM treach GROUP BY node),
+tcount AS (SELECT count(*) AS clustered, count(DISTINCT label) AS n_clusters FROM tlabel)
+SELECT {total} AS total_entities, clustered, round(clustered * 100.0 / {total}, 1) AS clustered_pct,
+  {total} - clustered AS singletons, round(({total} - clustered) * 100.0 / {total}, 1) AS singletons_pct, n_clusters FROM tcount"""
+
+
 def model_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     comps = DEFAULT_COMPARISONS
@@ -374,8 +463,10 @@ def model_queries() -> dict[str, str]:
     stack = " UNION ALL ".join(
         f"SELECT '{c.column}' AS comparison, gamma_{c.column} AS gamma FROM rg" for c in comps)
     def u_query(most: int) -> str:
-        return with_base(f""",
-np AS (SELECT count(*) AS n FROM li),
+        return with_base(",\n" + u_body(most)).replace("\n,\nnp AS", ",\nnp AS")
+
+    def u_body(most: int) -> str:
+        return (f"""np AS (SELECT count(*) AS n FROM li),
 claimed AS (SELECT n, CASE WHEN n * (n - 1) // 2 <= {most} THEN n
             ELSE least(n, (2 * {most} + n - 2) // (n - 1)) END AS claims FROM np),
 plan AS (SELECT n AS slots, claims, CASE WHEN n * (n - 1) // 2 <= {most} THEN n
@@ -387,9 +478,12 @@ b AS (SELECT li.*, {h.format(k="uei || ':b42'")} % plan.slots AS slot FROM li, p
 rp AS (SELECT {sel} FROM a JOIN b ON a.slot = b.slot AND a.uei < b.uei),
 rg AS (SELECT {gam} FROM rp),
 lv AS (SELECT comparison, gamma, count(*) AS c FROM ({stack}) WHERE gamma >= 0 GROUP BY ALL)
-SELECT comparison, gamma, c / sum(c) OVER (PARTITION BY comparison) AS u_probability FROM lv""").replace(
-            "\n,\nnp AS", ",\nnp AS")
+SELECT comparison, gamma, c / sum(c) OVER (PARTITION BY comparison) AS u_probability FROM lv""")
 
+    training = with_base(",\n" + _training_sql("WITH " + u_body(DEFAULT_U_MAX_PAIRS)).strip()).replace("\n,\nu_raw", ",\nu_raw")
+    q["match_weight_table"] = training + """
+SELECT comparison, gamma, round(m, 6) AS m_probability, round(u, 6) AS u_probability, round(bf, 6) AS log2_bayes_factor FROM trained"""
+    q["trained_cluster_stats"] = training + _trained_stats_sql()
     q["u_estimates"] = u_query(DEFAULT_U_MAX_PAIRS)
     q["u_estimates_small_sample"] = u_query(SMALL_U_SAMPLE)
 

@@ -40,19 +40,6 @@ class ParameterSet:
     def prior_weight(self) -> float:
         return math.log2(self.prior / (1.0 - self.prior))
 
-    def columns(self) -> list[str]:
-        out: list[str] = []
-        for c, _ in self.levels:
-            if c not in out:
-                out.append(c)
-        return out
-
-    def with_levels(self, column: str, values: dict[int, dict]) -> "ParameterSet":
-        new = {k: dict(v) for k, v in self.levels.items()}
-        for g, v in values.items():
-            new.setdefault((column, g), {}).update(v)
-        return ParameterSet(self.prior, new)
-
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
         """Parameter summary: (comparison, gamma, m, u, log2_bayes_factor)."""
         schema = T.StructType([
