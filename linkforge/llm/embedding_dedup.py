@@ -1,7 +1,7 @@
 """Embedding near-dedup (operator 1): iterative quantisation, multi-index
 Hamming tables, rerank with the original vectors.
 
-Codes. On a bounded sample (``SAMPLE`` vectors with the smallest hashes of
+Codes. On a bounded sample (about ``SAMPLE`` vectors, chosen by a hash of
 their id) PCA gives up to 64 directions and iterative quantisation a rotation of
 them that brings projections close to the corners of the binary cube; each bit
 is cut at its median, so ones and zeros balance. ``CODE_BYTES`` bytes of code
@@ -116,6 +116,15 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(flat), -1)
 
 
+def draw(classes: DataFrame, sample: int, seed: int) -> DataFrame:
+    """About ``sample`` vectors (all, if there are no more): those whose hash
+    lies in the lowest part that the number of vectors calls for."""
+    total, space = classes.count(), 1 << 40
+    if total <= sample:
+        return classes
+    return classes.where(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(space)) < F.lit(space * sample // total))
+
+
 def coded(classes: DataFrame, quantiser: Quantiser, file_bytes: int) -> DataFrame:
     """vec_id, copies, vector, code and files (a number for each file)."""
     n_files = len(quantiser.cuts) // 8 // file_bytes
@@ -234,7 +243,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: in
     rows = materialize(usable(vectors, id_col, vector_col), "embedding-rows")
     classes = materialize(rows.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies")),
                           "embedding-classes")
-    drawn = classes.select("vec_id", "vector").orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(sample).toArrow()
+    drawn = draw(classes.select("vec_id", "vector"), sample, seed).toArrow()
     if drawn.num_rows:
         quantiser = fit_quantiser(_matrix(drawn.column("vector")), code_bytes, seed=seed)
         table = materialize(coded(classes, quantiser, file_bytes), "embedding-codes")

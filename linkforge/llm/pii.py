@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import materialize
 from .bilstm_crf import BiLstmCrf
@@ -50,6 +51,7 @@ WINDOW, STRIDE = 96, 48
 TRAIN_WINDOWS = 768
 EPOCHS = 8
 SEED = 42
+_PREFIX_BITS = 12
 
 Span = tuple[int, int]
 
@@ -215,14 +217,26 @@ def national_phone(window: str, labels: list[tuple[str, int, int]]) -> tuple[str
     return "".join(c for c, g in zip(window, gone) if not g), moved
 
 
+def _smallest(offered: DataFrame, n: int) -> list:
+    """The n rows with the smallest marks. Marks are counted by their leading
+    bits first, so that little more than n rows are sorted and collected
+    however many tasks offered some."""
+    prefix = F.shiftright("mark", 63 - _PREFIX_BITS)
+    counts = offered.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).collect()
+    last, seen = -1, 0
+    for r in sorted(counts):
+        if seen < n:
+            last, seen = r["prefix"], seen + r["n"]
+    return offered.where(prefix <= last).orderBy("mark", "window").limit(n).collect()
+
+
 def training_windows(documents: DataFrame, most: int = TRAIN_WINDOWS, seed: int = SEED,
                      id_col: str = "doc_id") -> list[tuple[str, list[tuple[str, int, int]]]]:
     """At most ``most`` windows with spans and half as many without."""
     offered = documents.select(id_col, "text").mapInArrow(
         partial(_offer_task, most=most, seed=seed), "has boolean, mark bigint, window string, labels string")
     offered = materialize(offered, "pii-windows")
-    rows = [r for has, n in ((True, most), (False, most // 2))
-            for r in offered.where(offered["has"] == has).orderBy("mark", "window").limit(n).collect()]
+    rows = [r for has, n in ((True, most), (False, most // 2)) for r in _smallest(offered.where(F.col("has") == has), n)]
     windows = []
     for r in rows:
         parts = [x.split(":") for x in r["labels"].split(",") if x]
