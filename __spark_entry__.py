@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from linkforge.operators import blocking, comparisons, explore, graph, model, scoring, tables  # noqa: E402
-from linkforge.plans import fixtures, linkage  # noqa: E402
+import fixture_views as fixtures  # noqa: E402
+from linkforge.plans import linkage  # noqa: E402
 from linkforge.sources import delimited, listing, manifest, pages  # noqa: E402
 from linkforge.schema import LINK_COLUMNS  # noqa: E402
 from linkforge.settings import LinkSettings  # noqa: E402
 
 try:
     from linkforge.llm import queries as llm_queries  # noqa: E402
-except ModuleNotFoundError as missing:  # the training-data subpackage may be left out
+except ImportError as missing:  # the training-data subpackage may be left out
     if (missing.name or "").split(".")[-1] not in ("llm", "corpus_pipeline"):
         raise
     llm_queries = None
@@ -41,8 +42,8 @@ SETTINGS = LinkSettings()
 GAMMAS = [c.gamma for c in SETTINGS.comparisons]
 
 
-def _st(spark: SparkSession, sf_dir: str) -> linkage.FixtureStages:
-    return linkage.fixture_stages(spark, sf_dir)
+def _st(spark: SparkSession, sf_dir: str) -> fixtures.FixtureStages:
+    return fixtures.fixture_stages(spark, sf_dir)
 
 
 def _r6(c: str) -> F.Column:
@@ -298,6 +299,12 @@ def q_scan_delimited(spark, d):
     return delimited.registrations_from_lines(fixtures.customer_lines(spark, d))
 
 
+def q_scan_archives(spark, d):
+    """Archives as bytes: unzip, Latin-1, line ends, keep-last across files."""
+    files = fixtures.customer_archives(spark, d)
+    return delimited.registrations_from_lines(delimited.unzip_lines(files))
+
+
 def q_snapshot_dates(spark, d):
     return listing.snapshot_dates(fixtures.archive_listing(spark, d))
 
@@ -347,6 +354,10 @@ def q_page_links(spark, d):
     return pages.page_links(fixtures.read_table(spark, d, "pages"), css_class=None)
 
 
+def q_page_links_class(spark, d):
+    return pages.page_links(fixtures.class_pages(spark, d))
+
+
 def q_page_link_counts(spark, d):
     return pages.page_link_counts(q_page_links(spark, d))
 
@@ -401,6 +412,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_latest": q_sample_latest,
     "ingest_counts": q_ingest_counts,
     "scan_delimited": q_scan_delimited,
+    "scan_archives": q_scan_archives,
     "snapshot_dates": q_snapshot_dates,
     "source_file_select": q_source_file_select,
     "source_file_first": q_source_file_first,
@@ -411,6 +423,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_progress": q_manifest_progress,
     "manifest_missing": q_manifest_missing,
     "page_links": q_page_links,
+    "page_links_class": q_page_links_class,
     "page_link_counts": q_page_link_counts,
 }
 

@@ -27,7 +27,7 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from linkforge.operators import explore, model, scoring, tables  # noqa: E402
-from linkforge.plans import fixtures  # noqa: E402
+import fixture_views as fixtures  # noqa: E402
 from linkforge.plans.linkage import cluster_stage, comparison_stage, link_records  # noqa: E402
 from linkforge.session import build_session, materialize  # noqa: E402
 from linkforge.settings import LinkSettings  # noqa: E402

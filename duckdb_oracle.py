@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import math
 
-from linkforge.functions.text import LEGAL_SUFFIX_PATTERN
+from fixture_views import (ENTITY_SQL, FIXED_LEVELS, HISTORY_SQL, archive_lines_sql, customer_lines_sql, listing_sql,
+                           loaded_sql, present_sql)
+from linkforge.functions.text import LEGAL_SUFFIX_PATTERN, MONTHS
 from linkforge.operators.explore import SIZE_BAND_ELSE, SIZE_BANDS
 from linkforge.operators.scoring import WEIGHT_BAND_ELSE, WEIGHT_BANDS
-from linkforge.plans.fixtures import ENTITY_SQL, FIXED_LEVELS, HISTORY_SQL
+from linkforge.schema import REGISTRATION_COLUMNS, SOURCE_POSITIONS
 from linkforge.settings import (DEFAULT_COMPARISONS, DEFAULT_EM_CONVERGENCE, DEFAULT_MAX_ITERATIONS,
                                 DEFAULT_TRAINING_BLOCKS, DEFAULT_U_MAX_PAIRS)
 
@@ -253,13 +255,6 @@ UNION ALL SELECT * FROM (SELECT * FROM every ORDER BY legal_name NULLS LAST, uei
 
 # ------------------------------------------------------------ ingest keys ----
 
-from linkforge.functions.text import LEGAL_SUFFIX_PATTERN
-from linkforge.operators.explore import SIZE_BAND_ELSE, SIZE_BANDS
-from linkforge.operators.scoring import WEIGHT_BAND_ELSE, WEIGHT_BANDS
-from linkforge.plans.fixtures import (  # noqa: E402
-    customer_lines_sql, listing_sql, loaded_sql, present_sql)
-from linkforge.schema import REGISTRATION_COLUMNS, SOURCE_POSITIONS  # noqa: E402
-from linkforge.functions.text import MONTHS  # noqa: E402
 
 H_COLS = "uei, snapshot_date, line_no, name_norm, phys_city, zip5, source_file"
 
@@ -319,6 +314,10 @@ r3 AS (SELECT *, substr(name_norm, 1, 4) AS name_first4,
               row_number() OVER (PARTITION BY uei, snapshot_date ORDER BY line_no DESC) AS rn FROM r2)
 SELECT {', '.join(REGISTRATION_COLUMNS)} FROM r3 WHERE rn = 1"""
     q["scan_delimited"] = parsed
+    archived = parsed.replace(f"WITH lines AS ({customer_lines_sql('customer')})", f"WITH lines AS ("
+                              f"SELECT archive AS source_file, load_pos * 1000000000 + line_no AS line_no, raw "
+                              f"FROM ({archive_lines_sql('customer')}))")
+    q["scan_archives"] = archived
 
     lst = f"WITH listing AS ({listing_sql('orders')}) "
     q["snapshot_dates"] = lst + f"SELECT name, {snapshot_sql('name')} AS snapshot_date FROM listing"
@@ -359,6 +358,7 @@ WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?<
                   unnest(range(len(regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>')))) AS link_pos FROM pages),
 t AS (SELECT page_id, link_pos, trim({ent.format(x="regexp_replace(regexp_extract(anchor, '(?is)^<a\\b[^>]*>(.*)</a>$', 1), '<[^>]*>', '', 'g')")}) AS link_text FROM a)
 """
+    q["page_links_class"] = links + "SELECT page_id, link_pos, link_text FROM t WHERE link_text <> '' AND page_id % 2 = 0"
     q["page_links"] = links + "SELECT page_id, link_pos, link_text FROM t WHERE link_text <> ''"
     q["page_link_counts"] = links + "SELECT page_id, count(*) AS n_links FROM t WHERE link_text <> '' GROUP BY page_id"
     return q

@@ -9,11 +9,20 @@ The SQL text is shared with the oracle so both sides start from the same rows.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from dataclasses import dataclass, field
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
-from ..model_params import ParameterSet, level_params
+from linkforge.functions import text
+from linkforge.model_params import ParameterSet, level_params
+from linkforge.operators import blocking, comparisons, scoring
+from linkforge.plans.linkage import cluster_stage, link_records
+from linkforge.session import materialize
+from linkforge.settings import DEFAULT_CLUSTER_THRESHOLD, DEFAULT_PREDICT_THRESHOLD, LinkSettings
 
 ENTITY_SQL = """
 SELECT lpad(CAST(p.p_partkey AS STRING), 12, '0') AS uei,
@@ -244,3 +253,119 @@ def listing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (listing.groupBy("folder").agg(F.collect_list(entry).alias("items"))
                    .select("folder", F.to_json(F.struct(F.struct(F.col("items").alias(
                        "customS3ObjectSummaryList")).alias("_embedded"))).alias("json")))
+
+
+# ----------------------------------------------------------------------
+# Archives as bytes: ZIP files of Latin-1 lines, two of one snapshot date for
+# every 5,000 customers; the second re-issues some of them under other names.
+
+ARCHIVE_CUSTOMERS = 5_000
+_REISSUED_NAME = "'Ünïted  ' || c_name || ' & Söhne ½ Co.'"
+
+
+def archive_lines_sql(customer: str = "customer") -> str:
+    """(load_pos, archive, line_no, raw)."""
+    bucket = f"CAST(floor(c_custkey / {ARCHIVE_CUSTOMERS}.0) AS BIGINT)"
+    return f"""
+SELECT {bucket} * 2 + 1 AS load_pos, 'A' || CAST({bucket} AS STRING) || '_20240101.ZIP' AS archive,
+       CAST(c_custkey AS BIGINT) AS line_no, {_line_sql(CUSTOMER_FIELDS[11])} AS raw FROM {customer}
+UNION ALL SELECT {bucket} * 2 + 2, 'B' || CAST({bucket} AS STRING) || '_20240101.ZIP',
+       CAST(c_custkey AS BIGINT), {_line_sql(_REISSUED_NAME)} FROM {customer} WHERE c_custkey % 7 = 0
+"""
+
+
+def _zip_archive(key: tuple, lines: pa.Table) -> pa.Table:
+    load_pos, archive = (k.as_py() for k in key)
+    rows = sorted(zip(lines.column("line_no").to_pylist(), lines.column("raw").to_pylist()))
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("readme.txt", "not a record")
+        zf.writestr(archive[:-4] + ".DAT", "\n".join(["BOF PUBLIC", *(r for _, r in rows), "!end"]).encode("latin-1"))
+    return pa.table({"load_pos": [load_pos], "path": ["/archives/" + archive], "content": pa.array([body.getvalue()], pa.binary())})
+
+
+def customer_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(load_pos, path, content) as the binary file reader gives archives."""
+    lines = spark.sql(archive_lines_sql("{customer}"), customer=read_table(spark, sf_dir, "customer"))
+    return lines.groupBy("load_pos", "archive").applyInArrow(_zip_archive, "load_pos bigint, path string, content binary")
+
+
+# Pages whose links carry classes and hidden spans: on even pages the file
+# link class, on odd ones a longer word that only contains it.
+CLASS_PAGES_SQL = """
+SELECT page_id, url, replace(CASE WHEN page_id % 3 = 0 THEN
+         replace(html, '</a>', '<span data-n="1" class="x sr-only">hidden</span></a>') ELSE html END,
+         '<a href=', CASE WHEN page_id % 2 = 0 THEN '<a class="btn data-service-file-link" href='
+                          ELSE '<a class="data-service-file-link-off" data-class="data-service-file-link" href=' END) AS html
+FROM {pages}
+"""
+
+
+def class_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(CLASS_PAGES_SQL, pages=read_table(spark, sf_dir, "pages"))
+
+
+# ----------------------------------------------------------------------
+# Fixture stages for the registered queries: E scored under the fixed
+# parameters, memoised per application and data folder so that the many
+# report queries share one materialised linkage.
+
+@dataclass
+class FixtureStages:
+    spark: SparkSession
+    sf_dir: str
+    settings: LinkSettings = field(default_factory=LinkSettings)
+    _cache: dict = field(default_factory=dict)
+
+    def _memo(self, key, build):
+        if key not in self._cache:
+            self._cache[key] = build()
+        return self._cache[key]
+
+    def latest(self) -> DataFrame:
+        # The stored latest-registrations table of the reference: written once,
+        # read by every report (not re-derived from the source per query).
+        return self._memo("latest", lambda: materialize(
+            registrations_latest(self.spark, self.sf_dir), "registrations-latest"))
+
+    def records(self, tf: bool = False) -> DataFrame:
+        return self._memo(("records", tf), lambda: materialize(link_records(
+            self.latest().where(F.col("name_norm").isNotNull()), self.settings, tf), "link-records"))
+
+    def pairs(self) -> DataFrame:
+        return self._memo("pairs", lambda: materialize(blocking.candidate_pairs(
+            self.records(True), self.settings, carry=list(self.records(True).columns)), "pairs"))
+
+    def gammas(self) -> DataFrame:
+        return self._memo("gammas", lambda: materialize(comparisons.lean_gammas(
+            comparisons.gamma_vectors(self.pairs(), self.settings, keep_scores=False), self.settings),
+            "gammas"))
+
+    def scored(self, tf: bool = False) -> DataFrame:
+        return self._memo(("scored", tf), lambda: materialize(scoring.score_pairs(
+            self.gammas(), fixed_parameters(), self.settings, tf_adjust=tf), "scored"))
+
+    def predictions(self, threshold: float = DEFAULT_PREDICT_THRESHOLD) -> DataFrame:
+        return self.scored().where(F.col("match_weight") >= F.lit(threshold))
+
+    def clustered(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD):
+        def build():
+            clusters, edges = cluster_stage(self.scored(), self.latest(), threshold)
+            return materialize(clusters, "entity-clusters"), edges
+        return self._memo(("clusters", threshold), build)
+
+    def clusters(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
+        return self.clustered(threshold)[0]
+
+    def edges(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
+        return self.clustered(threshold)[1]
+
+
+_STAGES: dict = {}
+
+
+def fixture_stages(spark: SparkSession, sf_dir: str) -> FixtureStages:
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _STAGES:
+        _STAGES[key] = FixtureStages(spark, sf_dir)
+    return _STAGES[key]

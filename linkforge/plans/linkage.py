@@ -6,8 +6,6 @@ shared checkpoint folder (lineage cut, survives executor loss).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,6 @@ from ..model_params import ParameterSet
 from ..operators import blocking, comparisons, graph, model, scoring
 from ..session import ensure_checkpoint_dir, materialize
 from ..settings import DEFAULT_CLUSTER_THRESHOLD, DEFAULT_PREDICT_THRESHOLD, LinkSettings
-from . import fixtures
 
 
 def link_records(link_input: DataFrame, settings: LinkSettings, tf: bool = False) -> DataFrame:
@@ -82,69 +79,3 @@ def run_linkage(spark: SparkSession, latest: DataFrame, settings: LinkSettings |
     clusters, edges = cluster_stage(predictions, latest, cluster_threshold)
     return {"params": params, "predictions": predictions, "clusters": materialize(clusters, "entity-clusters"),
             "edges": edges, "records": records}
-
-
-# ----------------------------------------------------------------------
-# Fixture stages for the registered queries: E scored under the fixed
-# parameters, memoised per (application, data folder) so that the many
-# report queries share one materialised linkage.
-
-@dataclass
-class FixtureStages:
-    spark: SparkSession
-    sf_dir: str
-    settings: LinkSettings = field(default_factory=LinkSettings)
-    _cache: dict = field(default_factory=dict)
-
-    def _memo(self, key, build):
-        if key not in self._cache:
-            self._cache[key] = build()
-        return self._cache[key]
-
-    def latest(self) -> DataFrame:
-        # The stored latest-registrations table of the reference: written once,
-        # read by every report (not re-derived from the source per query).
-        return self._memo("latest", lambda: materialize(
-            fixtures.registrations_latest(self.spark, self.sf_dir), "registrations-latest"))
-
-    def records(self, tf: bool = False) -> DataFrame:
-        return self._memo(("records", tf), lambda: materialize(link_records(
-            self.latest().where(F.col("name_norm").isNotNull()), self.settings, tf), "link-records"))
-
-    def pairs(self) -> DataFrame:
-        return self._memo("pairs", lambda: materialize(blocking.candidate_pairs(
-            self.records(True), self.settings, carry=list(self.records(True).columns)), "pairs"))
-
-    def gammas(self) -> DataFrame:
-        return self._memo("gammas", lambda: materialize(comparisons.lean_gammas(
-            comparisons.gamma_vectors(self.pairs(), self.settings, keep_scores=False), self.settings),
-            "gammas"))
-
-    def scored(self, tf: bool = False) -> DataFrame:
-        return self._memo(("scored", tf), lambda: materialize(scoring.score_pairs(
-            self.gammas(), fixtures.fixed_parameters(), self.settings, tf_adjust=tf), "scored"))
-
-    def predictions(self, threshold: float = DEFAULT_PREDICT_THRESHOLD) -> DataFrame:
-        return self.scored().where(F.col("match_weight") >= F.lit(threshold))
-
-    def clustered(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD):
-        def build():
-            clusters, edges = cluster_stage(self.scored(), self.latest(), threshold)
-            return materialize(clusters, "entity-clusters"), edges
-        return self._memo(("clusters", threshold), build)
-
-    def clusters(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
-        return self.clustered(threshold)[0]
-
-    def edges(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
-        return self.clustered(threshold)[1]
-
-
-_STAGES: dict = {}
-
-
-def fixture_stages(spark: SparkSession, sf_dir: str) -> FixtureStages:
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-    if key not in _STAGES:
-        _STAGES[key] = FixtureStages(spark, sf_dir)
-    return _STAGES[key]

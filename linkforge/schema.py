@@ -31,12 +31,6 @@ REGISTRATION_COLUMNS = [
     "gov_poc_last", "elec_poc_first", "elec_poc_last", "exclusion_flag",
     "evs_source", "name_norm", "zip5", "name_first4", "source_file",
 ]
-# Columns of the cluster membership table, in order.
-ENTITY_CLUSTER_COLUMNS = [
-    "cluster_id", "uei", "legal_name", "name_norm", "phys_city", "phys_state",
-    "zip5", "entity_url", "cage_code", "primary_naics", "entity_structure",
-    "initial_reg_date", "cluster_size",
-]
 # Fields shown by the entity card, in order.
 ENTITY_CARD_FIELDS = [
     "uei", "legal_name", "dba_name", "phys_addr1", "phys_city", "phys_state",

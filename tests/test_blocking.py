@@ -82,7 +82,7 @@ def test_plan_has_no_nested_loop_or_cartesian(spark):
 
 
 def test_rule_counts_fixture(spark):
-    from linkforge.plans import fixtures
+    import fixture_views as fixtures
     li = fixtures.link_input(spark, "/root/testdata/sf0.001")
     counts = {r.match_key: r.n_pairs for r in blocking.blocking_rule_counts(blocking.candidate_pairs(li)).collect()}
     assert counts == {0: 300, 1: 171, 2: 9, 3: 45, 4: 1}

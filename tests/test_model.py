@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from linkforge.operators import comparisons, model
-from linkforge.plans import fixtures
+import fixture_views as fixtures
 from linkforge.settings import LinkSettings
 
 SET = LinkSettings()

@@ -17,7 +17,7 @@ def _plan(spark, df) -> str:
 
 def test_comparisons_use_arrow_python_only(spark):
     from linkforge.operators import blocking, comparisons
-    from linkforge.plans.linkage import fixture_stages
+    from fixture_views import fixture_stages
     st = fixture_stages(spark, SF)
     pairs = blocking.candidate_pairs(st.records(True), st.settings)
     plan = _plan(spark, comparisons.gamma_vectors(pairs, st.settings))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from linkforge.plans import fixtures
+import fixture_views as fixtures
 from linkforge.plans.linkage import run_linkage
 
 

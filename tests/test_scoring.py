@@ -3,8 +3,8 @@ import math
 from pyspark.sql import functions as F
 
 from linkforge.operators import comparisons, scoring
-from linkforge.plans import fixtures
-from linkforge.plans.linkage import fixture_stages
+import fixture_views as fixtures
+from fixture_views import fixture_stages
 from linkforge.settings import LinkSettings
 
 SET = LinkSettings()

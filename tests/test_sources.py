@@ -118,7 +118,7 @@ def test_manifest(spark):
 def test_rendered_fixture_lines_equal_sql_rendering(spark):
     import duckdb
 
-    from linkforge.plans import fixtures
+    import fixture_views as fixtures
     sf = "/root/testdata/sf0.001"
     got = sorted((r.line_no, r.raw) for r in fixtures.customer_lines(spark, sf).collect())
     con = duckdb.connect()

@@ -3,7 +3,7 @@ import time
 import zipfile
 
 
-from linkforge.plans.fixtures import fixed_parameters
+from fixture_views import fixed_parameters
 from linkforge.plans.workspace import Workspace
 
 
@@ -156,7 +156,7 @@ def test_unreadable_table_raises_and_stays(spark, tmp_dir):
 
 
 def test_lines_are_split_once(spark):
-    from linkforge.plans import fixtures
+    import fixture_views as fixtures
     from linkforge.sources import delimited
 
     lines = fixtures.customer_lines(spark, "/root/testdata/sf0.001")
