@@ -9,6 +9,7 @@ files stay where they are installed.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -37,5 +38,30 @@ def byte_bpe(json_path: str | None = None) -> Callable[[str], np.ndarray]:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         encoding = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                      special_tokens={})
-        _ENCODERS[path] = lambda text: encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+
+        def encode(text: str) -> np.ndarray:
+            try:
+                return encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+            except ValueError:  # the pattern gives up on white space of a million characters
+                return encode_around_long_spaces(text, encoding)
+
+        _ENCODERS[path] = encode
     return _ENCODERS[path]
+
+
+# Unicode white space, as the tokenizer's pattern has it.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{20000,}")
+
+
+def encode_around_long_spaces(text: str, encoding) -> np.ndarray:
+    """Ids of a text with very long runs of white space. The tokenizer takes
+    such a run but for its last character (all of it at the text's end) as one
+    piece, so the text can be cut before and after that piece."""
+    parts, at = [], 0
+    for run in _LONG_SPACE.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        parts.append(encoding.encode_to_numpy(text[at:run.start()], disallowed_special=()))
+        parts.append(np.array(encoding._encode_single_piece(text[run.start():stop]), np.uint32))
+        at = stop
+    parts.append(encoding.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate(parts).astype("<u4", copy=False)

@@ -120,6 +120,20 @@ def test_token_ids_are_the_tokenizers(sf_documents):
         assert encode(text).tolist() == e.ids, text[:80]
 
 
+def test_very_long_runs_of_white_space():
+    encode, plain = byte_bpe(), reference_tokenizer()
+    text = "word" + " " * 30_000 + "next\n" + "\n\t " * 10_000 + "x" + " " * 25_000
+    import tiktoken
+
+    from linkforge.llm import tokenizing
+
+    ranks_encoding = next(c.cell_contents for c in encode.__closure__ if isinstance(c.cell_contents, tiktoken.Encoding))
+    got = tokenizing.encode_around_long_spaces(text, ranks_encoding)
+    assert got.tolist() == plain.encode(text, add_special_tokens=False).ids
+    million = encode("a" + " " * 1_500_000 + "b")  # beyond what the pattern takes in one go
+    assert len(million) == 1_500_001
+
+
 @given(st.lists(st.integers(1, 64), min_size=1, max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_first_fit_decreasing_matches_plain_scan(lengths):
