@@ -23,15 +23,13 @@ from linkforge.llm import language_id, line_dedup, mixing, packing, simhash
 from linkforge.llm.common import WORD
 from linkforge.session import materialize
 
-# Below this cosine a text is as far from the best language as from none.
-MIN_LANGUAGE_SCORE = 0.02
-
-
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a predicted language."""
+    """Documents with a predicted language: not those without a letter, nor
+    those no nearer to any language than to what all have in common (score 0).
+    Short texts score low, so no higher bar is set."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "lang", "text")
     judged = language_id.identify(rows, keep=["row"])
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") > 0)
     return judged.where(known).select("row.*")
 
 

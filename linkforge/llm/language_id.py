@@ -192,7 +192,7 @@ def _predict_task(batches: Iterator[pa.RecordBatch], langs: list[str], prototype
                 preds.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            cosines = np.round((vector @ target) / max(1e-9, float(np.linalg.norm(vector))), 5)
+            cosines = np.round((vector @ target).astype(np.float64) / max(1e-9, float(np.linalg.norm(vector))), 5)
             best = int(np.argmax(cosines))
             preds.append(langs[best])
             scores.append(min(1.0, max(0.0, float(cosines[best]))))
