@@ -23,6 +23,7 @@ from linkforge.llm import language_id, line_dedup, mixing, packing, simhash
 from linkforge.llm.common import WORD
 from linkforge.session import materialize
 
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a predicted language: not those without a letter, nor
     those no nearer to any language than to what all have in common (score 0).
