@@ -102,10 +102,12 @@ def fit_quantiser(sample: np.ndarray, code_bytes: int = CODE_BYTES, iterations:
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id and vector (array<double>) of the vectors that can link."""
-    v = F.col("vector")
+    """vec_id and vector (array of float or double, as given) of the vectors
+    that can link."""
+    v, kind = F.col("vector"), vectors.schema[vector_col].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
     fine = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = (vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = (vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast(kind).alias("vector"))
                    .where(F.col("vec_id").isNotNull() & v.isNotNull()).where(fine))
     usual = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "length").first()
     return rows.where(F.size("vector") == (usual["length"] if usual else -1))
@@ -141,8 +143,9 @@ def coded(classes: DataFrame, quantiser: Quantiser, file_bytes: int) -> DataFram
                 [batch.column(0), batch.column(1), batch.column(2), pa.array([c.tobytes() for c in codes], pa.binary()),
                  pa.array(files.tolist(), pa.list_(pa.int64()))], names=["vec_id", "copies", "vector", "code", "files"])
 
+    kind = classes.schema["vector"].dataType.simpleString()
     return classes.select("vec_id", "copies", "vector").mapInArrow(
-        run, "vec_id bigint, copies bigint, vector array<double>, code binary, files array<bigint>")
+        run, f"vec_id bigint, copies bigint, vector {kind}, code binary, files array<bigint>")
 
 
 def _meeting(differ: np.ndarray, file_bytes: int) -> np.ndarray:
