@@ -120,43 +120,18 @@ def u_estimates(records: DataFrame, settings: LinkSettings | None = None,
     """(comparison, gamma, u_probability): level frequencies among random
     pairs (non-null levels only).
 
-    u is a per-comparison marginal, so the pairs are reduced in ONE
-    grouping-sets aggregation: the exact-match gammas as one set, and each
-    fuzzy column's (left, right) strings as its own set. The Jaro-Winkler
-    UDF then scores narrow distinct string pairs (weighted by their count)
-    instead of every wide pair row."""
+    The sampled pairs are scored where the slot join leaves them and reduced
+    to agreement-pattern counts by a map-side combined aggregation, so neither
+    wide pair rows nor string pairs (nearly all distinct) are shuffled again."""
     settings = settings or LinkSettings()
     max_pairs = max_pairs or settings.u_max_pairs
-    exact = [c for c in settings.comparisons if c.kind != "jaro_winkler"]
-    fuzzy = [c for c in settings.comparisons if c.kind == "jaro_winkler"]
     pairs = random_pairs(records, max_pairs, settings.seed, settings.unique_id,
                          settings.compared_columns)
-    cols = [comparisons.gamma_expr(c).alias(c.gamma) for c in exact]
-    strings = [f"{c.column}{side}" for c in fuzzy for side in ("_l", "_r")]
-    narrow = pairs.select(*cols, *strings)
-    sets = [[c.gamma for c in exact]] + [[f"{c.column}_l", f"{c.column}_r"] for c in fuzzy]
-    grouped = (narrow.groupingSets(sets, *[c.gamma for c in exact], *strings)
-                     .agg(F.count(F.lit(1)).alias("n_pairs"), F.grouping_id().alias("_gid"))
-                     )
-    grouped = materialize(grouped, "u-level-groups")
-    all_bits = len(exact) + len(strings)
-    gid_exact = (1 << len(strings)) - 1          # exact gammas grouped, strings rolled up
-    parts = []
-    exact_rows = grouped.where(F.col("_gid") == gid_exact)
+    patterns = comparisons.gamma_patterns(comparisons.gamma_vectors(pairs, settings, keep_scores=False), settings)
     stacked = F.inline(F.array(*[F.struct(F.lit(c.column).alias("comparison"), F.col(c.gamma).alias("gamma"))
-                                 for c in exact]))
-    parts.append(exact_rows.select(stacked, "n_pairs"))
-    for i, comp in enumerate(fuzzy):
-        # bits are ordered as the grouping columns: exact gammas first, then strings
-        keep = {len(exact) + 2 * i, len(exact) + 2 * i + 1}
-        gid = sum(1 << (all_bits - 1 - b) for b in range(all_bits) if b not in keep)
-        rows = grouped.where(F.col("_gid") == gid).select(f"{comp.column}_l", f"{comp.column}_r", "n_pairs")
-        scored = rows.select("*", comparisons.jaro_score(comp.column, min(comp.thresholds))
-                             .alias(comparisons.jw_column(comp.column)))
-        parts.append(scored.select(F.lit(comp.column).alias("comparison"),
-                                   comparisons.gamma_expr(comp).alias("gamma"), "n_pairs"))
-    counts = reduce(DataFrame.unionByName, parts).where(F.col("gamma") >= 0).groupBy(
-        "comparison", "gamma").agg(F.sum("n_pairs").alias("n_pairs"))
+                                 for c in settings.comparisons]))
+    counts = (materialize(patterns, "u-patterns").select(stacked, "n_pairs").where(F.col("gamma") >= 0)
+              .groupBy("comparison", "gamma").agg(F.sum("n_pairs").alias("n_pairs")))
     w = Window.partitionBy("comparison")  # <= a few dozen rows in all
     return counts.select("comparison", "gamma",
                          (F.col("n_pairs") / F.sum("n_pairs").over(w)).alias("u_probability"))
