@@ -34,17 +34,24 @@ def canonical_edges(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r") ->
                  .distinct())
 
 
-def _large_star(e: DataFrame) -> DataFrame:
-    # Neighbourhood of u over both orientations; m(u) = min(N(u) + {u}).
+def _neighbourhoods(e: DataFrame) -> DataFrame:
+    """(u, m, smaller, larger): m = smallest of u and its neighbours, and how
+    many edges lead to smaller and to larger ones."""
     both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    mins = materialize(both.groupBy("u").agg(F.min("v").alias("mv")).select(
-        "u", F.least("u", "mv").alias("m")), "cc-large-star")
+    below = (F.col("v") < F.col("u")).cast("long")
+    return both.groupBy("u").agg(F.min("v").alias("mv"), F.sum(below).alias("smaller"), F.sum(1 - below).alias("larger")).select(
+        "u", F.least("u", "mv").alias("m"), "smaller", "larger")
+
+
+def _large_star(e: DataFrame, around: DataFrame | None = None) -> DataFrame:
+    # ``around``: the written _neighbourhoods of e.
+    around = around if around is not None else materialize(_neighbourhoods(e), "cc-large-star")
     # Connect every strictly larger neighbour v of u to m(u): edges (v, m(u)), v > m.
     # One output edge per input edge, so no de-duplication shuffle here: the
     # small-star step's min aggregates ignore repeats and it ends with distinct.
     larger = e.select(F.col("b").alias("u"), F.col("a").alias("v"))
-    return larger.join(mins, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return larger.join(around.select("u", "m"), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -56,14 +63,10 @@ def _small_star(e: DataFrame) -> DataFrame:
     return out.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
-def _unsettled(e: DataFrame) -> int:
-    """Rows proving the edge list is not yet a forest of stars centred on
-    their minimum: a leaf with two edges, or a node that is leaf and centre."""
-    roles = (e.select(F.col("a").alias("n"), F.lit(1).alias("leaf"), F.lit(0).alias("centre"))
-              .unionByName(e.select(F.col("b").alias("n"), F.lit(0).alias("leaf"), F.lit(1).alias("centre"))))
-    bad = (roles.groupBy("n").agg(F.sum("leaf").alias("leaf_edges"), F.max("centre").alias("is_centre"))
-                .where((F.col("leaf_edges") > 1) | ((F.col("leaf_edges") >= 1) & (F.col("is_centre") == 1))))
-    return 0 if bad.isEmpty() else 1
+def _settled(around: DataFrame) -> bool:
+    """Whether the edges are a forest of stars centred on their minimum: no
+    node has two smaller neighbours, or both a smaller and a larger one."""
+    return around.where((F.col("smaller") > 1) | ((F.col("smaller") > 0) & (F.col("larger") > 0))).isEmpty()
 
 
 def component_labels(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r",
@@ -94,12 +97,13 @@ def component_labels(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r",
 
 def _star_forest(e: DataFrame, max_rounds: int) -> DataFrame:
     """(nid, cid): every node with the smallest node of its component."""
-    rounds = 0
-    while _unsettled(e):
-        rounds += 1
-        if rounds > max_rounds:
+    for rounds in range(max_rounds + 1):
+        around = materialize(_neighbourhoods(e), f"cc-around-{rounds}")
+        if _settled(around):
+            break
+        if rounds == max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        larger = materialize(_large_star(e), f"cc-larger-{rounds}")
+        larger = materialize(_large_star(e, around), f"cc-larger-{rounds}")
         e = materialize(_small_star(larger), f"cc-edges-{rounds}")
     leaves = e.select(F.col("a").alias("nid"), F.col("b").alias("cid"))
     centres = e.select(F.col("b").alias("nid"), F.col("b").alias("cid")).distinct()

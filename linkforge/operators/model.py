@@ -53,19 +53,21 @@ def with_term_frequencies(records: DataFrame, settings: LinkSettings | None = No
     The logarithm is taken once per record here, so pair scoring only
     subtracts (log2 max(tf_l, tf_r) = max(log2 tf_l, log2 tf_r))."""
     settings = settings or LinkSettings()
+    columns = [c.column for c in settings.comparisons if c.tf_adjust]
+    # One written table for all columns: both sides of each join below are then
+    # plain shuffles, whose hot values AQE can split.
+    tables = [term_frequencies(records, c).select(F.lit(c).alias("column"), "value", "tf") for c in columns]
+    if not tables:
+        return records
+    written = materialize(reduce(DataFrame.unionByName, tables), "term-frequencies")
+    # Records without a value match nothing; a key of their own each keeps
+    # them from meeting in one task.
+    alone = F.concat(F.lit("\u0001"), F.xxhash64(settings.unique_id).cast("string"))
     out = records
-    for comp in settings.comparisons:
-        if comp.tf_adjust:
-            # A written table: both join sides are then plain shuffles, whose
-            # hot values AQE can split.
-            tf = materialize(term_frequencies(records, comp.column).select(
-                F.col("value").alias("_value"), F.col("tf").alias(f"tf_{comp.column}"),
-                F.log2("tf").alias(f"log2_tf_{comp.column}")), "term-frequencies")
-            # Records without a value match nothing; a key of their own each
-            # keeps them from meeting in one task.
-            spread = F.concat(F.lit("\u0001"), F.xxhash64(settings.unique_id).cast("string"))
-            out = out.withColumn("_key", F.coalesce(comp.column, spread)).join(
-                tf, F.col("_key") == F.col("_value"), "left").drop("_key", "_value")
+    for c in columns:
+        tf = written.where(F.col("column") == c).select(
+            F.col("value").alias("_value"), F.col("tf").alias(f"tf_{c}"), F.log2("tf").alias(f"log2_tf_{c}"))
+        out = out.withColumn("_key", F.coalesce(c, alone)).join(tf, F.col("_key") == F.col("_value"), "left").drop("_key", "_value")
     return out
 
 
