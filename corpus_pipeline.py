@@ -35,9 +35,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines."""
+    """Documents without their source's boilerplate lines. Copies count as one
+    page, so that the near-dedup stage still finds one of each group."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), "source", "text")
-    cleaned = line_dedup.drop_boilerplate(rows)
+    cleaned = line_dedup.drop_boilerplate(rows, distinct_pages=True)
     left = cleaned.where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
     changed = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
     return left.select(*(changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns))

@@ -7,7 +7,9 @@ pages; the other lines stay as they are, in order.
 
 Lines are compared with white space at both ends removed; blank lines are
 never boilerplate and always stay. A line counts once for a page however often
-it stands there.
+it stands there. With ``distinct_pages`` pages of a host that hold the same
+lines in the same order count as one page, in a line's count and in the host's,
+so that copies of a page can't make its own lines boilerplate.
 
 Lines travel as 64-bit hashes. A wrong decision needs a line to collide with
 one of the few boilerplate lines of its host (or two lines, each frequent, with
@@ -15,13 +17,14 @@ one another): with a thousand boilerplate lines a host that is 10^3 / 2^64 per
 line, 5 * 10^-5 over 10^12 lines.
 
 Everything is DataFrame functions. Counting is a map-side combined sum by
-(host, line), so a line common to all pages shuffles once per task. A host's
+(host, line), so a line common to all pages shuffles once per task; so does a
+page common to many rows where distinct pages are counted. A host's
 boilerplate is a short list, bounded by its pages' mean number of lines over
 ``ratio``; the lists are joined to the pages by host, by broadcast where their
 measured size is small, else by a shuffled join whose hot hosts AQE can split.
 
 Edge cases: null text gives null text and no lines; null host is a host of its
-own. Repeated rows are pages each. A page whose lines all go keeps its row with
+own. Repeated rows are pages each unless distinct pages are counted. A page whose lines all go keeps its row with
 an empty text. Extra columns are carried along; an empty table gives no rows.
 """
 
@@ -48,12 +51,15 @@ def _hash(line: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", distinct_pages: bool = False) -> DataFrame:
     """host, line (hash), pages with it, pages of the host; boilerplate only."""
-    hashes = F.array_distinct(F.filter(F.transform(_lines(text_col), _hash), lambda h: h.isNotNull()))
-    held = (pages.select(F.col(host_col).alias("host"), F.explode(hashes).alias("line"))
-                 .groupBy("host", "line").agg(F.count(F.lit(1)).alias("pages")))
-    total = pages.groupBy(F.col(host_col).alias("of_host")).agg(F.count(F.lit(1)).alias("host_pages"))
+    hashes = F.filter(F.transform(_lines(text_col), _hash), lambda h: h.isNotNull())
+    counted = pages.select(F.col(host_col).alias("host"), hashes.alias("lines"))
+    if distinct_pages:
+        counted = materialize(counted.distinct(), "distinct-pages")
+    held = (counted.select("host", F.explode(F.array_distinct("lines")).alias("line"))
+                   .groupBy("host", "line").agg(F.count(F.lit(1)).alias("pages")))
+    total = counted.groupBy(F.col("host").alias("of_host")).agg(F.count(F.lit(1)).alias("host_pages"))
     return (held.where(F.col("pages") >= min_pages)
                 .join(total, F.col("host").eqNullSafe(F.col("of_host")))
                 .where(F.col("pages") > F.col("host_pages") * F.lit(ratio))
@@ -61,12 +67,12 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
 
 
 def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source",
-                     text_col: str = "text") -> DataFrame:
+                     text_col: str = "text", distinct_pages: bool = False) -> DataFrame:
     """The rows with their text cleaned, and n_lines and n_dropped (which
     replace columns of these names)."""
     added = ("n_lines", "n_dropped")
     others = [c for c in pages.columns if c not in (text_col, *added)]
-    found = materialize(boilerplate(pages, ratio, min_pages, host_col, text_col), "boilerplate")
+    found = materialize(boilerplate(pages, ratio, min_pages, host_col, text_col, distinct_pages), "boilerplate")
     lists = found.groupBy(F.col("host").alias("boiler_host")).agg(F.collect_set("line").alias("boiler_lines"))
     lists = broadcast_if_small(lists, found.count(), 64)
     rows = pages.select(F.struct(*others).alias("row"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))

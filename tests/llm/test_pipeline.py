@@ -100,3 +100,14 @@ def test_language_stage_rejects_only_texts_without_language(spark, stored):
     kept = Counter(r.doc_id for r in corpus_pipeline.language_stage(spark, stored(documents(spark, rows)), D).collect())
     assert all(100 + i in kept for i in range(20)) and 0 not in kept and 1 not in kept and 12 not in kept
     assert language_id.UNKNOWN == "und"
+
+def test_a_copy_group_of_a_third_of_a_source_reaches_the_corpus(spark, stored):
+    copy = "first line of the copied text\nsecond line of the copied text"
+    rows = [(i, copy + ("" if i % 2 else " \n"), "en", "s") for i in range(50)]
+    rows += [(50 + i, f"menu of the site\npage {i} has text of its own", "en", "s") for i in range(100)]
+    out = corpus_pipeline.line_stage(spark, stored(documents(spark, rows)), D)
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert len(texts) == 150 and all(texts[i] == rows[i][1] for i in range(50))
+    assert all(texts[50 + i] == f"page {i} has text of its own" for i in range(100))
+    kept = Counter(r.text.strip() for r in corpus_pipeline.simhash_stage(spark, stored(out), D).collect())
+    assert kept[copy] == 1
