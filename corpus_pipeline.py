@@ -25,13 +25,11 @@ from linkforge.session import materialize
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a predicted language: not those without a letter, nor
-    those no nearer to any language than to what all have in common (score 0).
-    Short texts score low, so no higher bar is set."""
+    """Documents with a known language: not those without a letter, nor those
+    whose 3-grams fit no learned language. The fit asked for grows with the
+    number of 3-grams, so short clean texts stay."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "lang", "text")
-    judged = language_id.identify(rows, keep=["row"])
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") > 0)
-    return judged.where(known).select("row.*")
+    return language_id.identify(rows, keep=["row"], judge=True).where("known").select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,12 +8,19 @@ one. The mean of the prototypes, which they have in common, is taken from
 prototypes before comparing. A text gets the language of the prototype with
 the highest cosine; the cosine, cut to 0..1, is its score.
 
+The highest of the cosines with centred prototypes is never below 0, so the
+score can't tell that a text is of no learned language. Its fit can: the share
+of a language's 3-gram frequencies that the text's have, by their projection on
+the mean frequencies of the language's texts; about 1 for a text of the language
+whatever its length, 0 for a text that shares no 3-gram with it. ``known`` asks
+for ``FIT`` of the best language, and for less the fewer 3-grams the text has.
+
 Text is lower-cased; runs of characters that aren't letters count as one
 space, and a space stands before and after the whole.
 
 Learning: one pass bundles 3-gram counts per language inside the tasks and
 sends one vector per task and language; they are added up by (language,
-dimension), a map-side combined sum. Languages x dimensions numbers reach the
+dimension), a map-side combined sum. Two times languages x dimensions numbers reach the
 driver and go out with the prediction's tasks: their size depends on the
 number of labels only. Prediction is a scan without a shuffle.
 
@@ -39,6 +46,8 @@ SEED = 42
 HELD_OUT = 2
 FOLDS = 4
 UNKNOWN = "und"
+FIT = 0.3
+FIT_GRAMS = 20  # with so many 3-grams, half of FIT is asked for
 
 _SPACE = 32
 _BITS = 21  # a code point
@@ -140,81 +149,106 @@ def count_blocks(texts: list[str | None], letters: LetterTable) -> Iterator[tupl
         at = upto
 
 
-def _text_vectors(texts: list[str | None], letters: LetterTable, grams: GramVectors) -> Iterator[np.ndarray | None]:
-    """Bundled vector of each text, None without a letter."""
+def _text_vectors(texts: list[str | None], letters: LetterTable, grams: GramVectors) -> Iterator[tuple[np.ndarray, float] | None]:
+    """Bundled vector of each text and its number of 3-grams, None without a letter."""
     for first, upto, codes, bounds, counts in count_blocks(texts, letters):
         unique, where = np.unique(codes, return_inverse=True)
         rows = grams.of(unique)[where]
         weights = counts.astype(np.float32)
         for k in range(upto - first):
             a, b = bounds[k], bounds[k + 1]
-            yield weights[a:b] @ grams.vectors[rows[a:b]].astype(np.float32) if b > a else None
+            yield (weights[a:b] @ grams.vectors[rows[a:b]].astype(np.float32), float(counts[a:b].sum())) if b > a else None
 
 
 def _learn_task(batches: Iterator[pa.RecordBatch], dimensions: int, seed: int) -> Iterator[pa.RecordBatch]:
     letters, grams, sums = LetterTable(), GramVectors(dimensions, seed), {}
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for lang, vector in zip(langs, _text_vectors(texts, letters, grams)):
-            if vector is not None:
-                sums[lang] = sums.get(lang, 0.0) + vector.astype(np.float64) / max(1e-9, float(np.linalg.norm(vector)))
+        for lang, bundled in zip(langs, _text_vectors(texts, letters, grams)):
+            if bundled is not None:
+                vector, n = bundled[0].astype(np.float64), bundled[1]
+                shares = vector / n
+                sums[lang] = sums.get(lang, 0.0) + np.concatenate(
+                    [vector / max(1e-9, float(np.linalg.norm(vector))), shares, [1.0, float(shares @ shares)]])
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
         names=["lang", "bundle"])
 
 
-def learn_prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED) -> tuple[list[str], np.ndarray]:
-    """Learned languages in order, and their centred prototypes of length one."""
+def learn_prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS,
+                     seed: int = SEED) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Learned languages in order, their centred prototypes of length one, and
+    their fit profiles: a text's mean 3-gram vector times a profile is its fit.
+    Profiles are NaN where two texts or more don't tell a language's level."""
     bundles = (labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
                        .mapInArrow(partial(_learn_task, dimensions=dimensions, seed=seed), "lang string, bundle array<double>"))
     rows = (bundles.select("lang", F.posexplode("bundle").alias("dim", "value"))
                    .groupBy("lang", "dim").agg(F.sum("value").alias("value")).collect())
     langs = sorted({r["lang"] for r in rows})
     place = {lang: i for i, lang in enumerate(langs)}
-    prototypes = np.zeros((len(langs), dimensions))
+    sums = np.zeros((len(langs), 2 * dimensions + 2))
     for r in rows:
-        prototypes[place[r["lang"]], r["dim"]] = round(r["value"], 6)  # sums come in any order
+        sums[place[r["lang"]], r["dim"]] = round(r["value"], 6)  # sums come in any order
+    prototypes, shares, n, squares = sums[:, :dimensions], sums[:, dimensions:-2], sums[:, -2], sums[:, -1]
+    # between different texts only: a text's product with itself is no level of the language
+    level = ((shares ** 2).sum(axis=1) - squares) / np.maximum(1, n * (n - 1))
+    profiles = shares / np.where(level > 1e-6, level * np.maximum(1, n), np.nan)[:, None]
     prototypes /= np.maximum(1e-9, np.linalg.norm(prototypes, axis=1, keepdims=True))
     if len(langs) > 1:
         prototypes -= prototypes.mean(axis=0)
         prototypes /= np.maximum(1e-9, np.linalg.norm(prototypes, axis=1, keepdims=True))
-    return langs, prototypes
+    return langs, prototypes, profiles
+
+
+def _is_known(vector: np.ndarray, n: float, best: int, profiles: np.ndarray) -> bool:
+    """Whether the text fits a learned language; so does one whose best
+    language has no level to judge by."""
+    fits = (vector @ profiles.T) / n
+    return bool(np.isnan(fits[best]) or np.nanmax(fits) >= FIT * n / (n + FIT_GRAMS))
 
 
-def _predict_task(batches: Iterator[pa.RecordBatch], langs: list[str], prototypes: np.ndarray, seed: int,
-                  text_at: int) -> Iterator[pa.RecordBatch]:
+def _predict_task(batches: Iterator[pa.RecordBatch], langs: list[str], prototypes: np.ndarray, profiles: np.ndarray,
+                  seed: int, text_at: int, judge: bool) -> Iterator[pa.RecordBatch]:
     letters, grams = LetterTable(), GramVectors(prototypes.shape[1] if langs else 1, seed)
     target = prototypes.T.astype(np.float32)
     for batch in batches:
-        preds, scores = [], []
-        for vector in _text_vectors(batch.column(text_at).to_pylist(), letters, grams):
-            if vector is None or not langs:
+        preds, scores, known = [], [], []
+        for bundled in _text_vectors(batch.column(text_at).to_pylist(), letters, grams):
+            if bundled is None or not langs:
                 preds.append(UNKNOWN)
                 scores.append(0.0)
+                known.append(False)
                 continue
+            vector, n = bundled
             cosines = np.round((vector @ target).astype(np.float64) / max(1e-9, float(np.linalg.norm(vector))), 5)
             best = int(np.argmax(cosines))
             preds.append(langs[best])
             scores.append(min(1.0, max(0.0, float(cosines[best]))))
+            known.append(judge and _is_known(vector, n, best, profiles))
         kept = [c for i, c in enumerate(batch.columns) if i != text_at]
         names = [n for i, n in enumerate(batch.schema.names) if i != text_at]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
-                                         names=[*names, "lang_pred", "score"])
+        added = {"lang_pred": pa.array(preds, pa.string()), "score": pa.array(scores, pa.float64())}
+        if judge:
+            added["known"] = pa.array(known, pa.bool_())
+        yield pa.RecordBatch.from_arrays([*kept, *added.values()], names=[*names, *added])
 
 
-def predict(documents: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], seed: int = SEED) -> DataFrame:
-    """The ``keep`` columns with lang_pred and score."""
-    langs, prototypes = model
+def predict(documents: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], keep: list[str], seed: int = SEED,
+            judge: bool = False) -> DataFrame:
+    """The ``keep`` columns with lang_pred and score, and known if ``judge``."""
+    langs, prototypes, profiles = model
     rows = documents.select(*keep, F.col("text").alias("text_to_judge"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    task = partial(_predict_task, langs=langs, prototypes=prototypes, seed=seed, text_at=len(keep))
-    return rows.mapInArrow(task, f"{types}, lang_pred string, score double")
+    task = partial(_predict_task, langs=langs, prototypes=prototypes, profiles=profiles, seed=seed, text_at=len(keep),
+                   judge=judge)
+    return rows.mapInArrow(task, f"{types}, lang_pred string, score double" + ", known boolean" * judge)
 
 
 def identify(documents: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED,
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, judge: bool = False) -> DataFrame:
     """Learns from the rows outside the held-out fold, predicts all rows:
-    ``keep`` columns (the id if not given), held_out, lang_pred, score."""
+    ``keep`` columns (the id if not given), held_out, lang_pred, score, and
+    known if ``judge``."""
     marked = documents.withColumn("held_out", F.coalesce(fold() == HELD_OUT, F.lit(False)))
     model = learn_prototypes(marked.where(~F.col("held_out")), dimensions, seed)
-    return predict(marked, model, [*(keep or ["doc_id"]), "held_out"], seed)
+    return predict(marked, model, [*(keep or ["doc_id"]), "held_out"], seed, judge)

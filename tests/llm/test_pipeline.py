@@ -111,3 +111,21 @@ def test_a_copy_group_of_a_third_of_a_source_reaches_the_corpus(spark, stored):
     assert all(texts[50 + i] == f"page {i} has text of its own" for i in range(100))
     kept = Counter(r.text.strip() for r in corpus_pipeline.simhash_stage(spark, stored(out), D).collect())
     assert kept[copy] == 1
+
+def test_language_stage_rejects_junk_and_unlearned_languages(spark, stored):
+    import random
+
+    rng = random.Random(4)
+    docs = spark.read.parquet(f"{D}/documents.parquet").select("doc_id", "text", "lang", "source")
+    learned = [tuple(r) for r in docs.collect()]
+    letters, base64 = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHabcdefghijklmnopqrstuvwxyz0123456789+/"
+    junk = ["".join(rng.choice(a) for _ in range(n)) for a in (letters, letters + "    ", base64) for n in (100, 400, 5000)]
+    foreign = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. " * n for n in (1, 20)]
+    foreign += ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι"]
+    short = [" ".join(t.split()[:4]) for _, t, lang, _ in learned if lang == "en" and len(t.split()) > 50][:40]
+    rows = learned + [(10_000 + i, t, None, "s") for i, t in enumerate(junk + foreign)]
+    rows += [(20_000 + i, t, None, "s") for i, t in enumerate(short)]
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, stored(documents(spark, rows)), D).collect()}
+    assert not any(10_000 <= i < 20_000 for i in kept)
+    assert sum(i >= 20_000 for i in kept) >= 39 and len(short) == 40
+    assert {i for i, t, *_ in learned if re.search(r"[^\W\d_]", t)} <= kept
