@@ -3,9 +3,14 @@ Hamming tables, rerank with the original vectors.
 
 Codes. On a bounded sample (about ``SAMPLE`` vectors, chosen by a hash of
 their id) PCA gives up to 64 directions and iterative quantisation a rotation of
-them that brings projections close to the corners of the binary cube; each bit
-is cut at its median, so ones and zeros balance. ``CODE_BYTES`` bytes of code
-come from as many rotations (of different random starts) as are needed.
+them that brings projections close to the corners of the binary cube. Each bit
+is cut at its median, so that ones and zeros balance, if that lies near the
+origin (within ``NEAR_ORIGIN`` of the projections' root mean square), else
+through the origin: there the angle of two vectors alone decides how many bits
+differ. A median that a dense group or a vector common to all moves away would
+cut through the group, or see only what is left without the common part.
+``CODE_BYTES`` bytes of code come from as many rotations (of different random
+starts) as are needed.
 
 Retrieval. The code is cut into 16-bit substrings, one Hamming table each. Two
 vectors meet in a table when their substrings differ in at most one bit. Then
@@ -30,7 +35,8 @@ vector every row stands alone; an empty table gives no rows. Extra columns are
 ignored, labels too.
 
 Scale: a vector is shuffled once for each byte of code with its components.
-Files hold n / 256 vectors if bits are even; ``file_bytes`` = 2 files by 16
+Files hold n / 256 vectors if bits are even; a dense group or a common part
+makes some of them large, and their pairs are judged cell by cell; ``file_bytes`` = 2 files by 16
 bits (32-bit substrings), with more code bytes for the same recall.
 """
 
@@ -54,6 +60,7 @@ SAMPLE = 8192
 CODE_BYTES = 16
 FILE_BYTES = 1
 MAX_BITS = 44
+NEAR_ORIGIN = 0.4
 ITERATIONS = 30
 CELL_ROWS = 2048
 GROUP_ROWS = 20_000
@@ -64,14 +71,13 @@ _POP = np.array([b.bit_count() for b in range(256)], np.uint8)
 
 @dataclass
 class Quantiser:
-    """Unit vector -> code bytes: centre, project, compare with medians."""
+    """Unit vector -> code bytes: project, compare with the cuts."""
 
-    centre: np.ndarray
     projection: np.ndarray  # dimensions x bits
     cuts: np.ndarray
 
     def codes(self, units: np.ndarray) -> np.ndarray:
-        return np.packbits((units - self.centre) @ self.projection > self.cuts, axis=1)
+        return np.packbits(units @ self.projection > self.cuts, axis=1)
 
 
 def _units(vectors: np.ndarray) -> np.ndarray:
@@ -82,12 +88,10 @@ def fit_quantiser(sample: np.ndarray, code_bytes: int = CODE_BYTES, iterations:
                   seed: int = SEED) -> Quantiser:
     """Iterative quantisation on a sample of vectors."""
     units = _units(sample.astype(np.float64))
-    centre = units.mean(axis=0)
-    moved = units - centre
-    _, directions = np.linalg.eigh(moved.T @ moved)
-    bits = min(64, moved.shape[1])
+    _, directions = np.linalg.eigh(units.T @ units)  # not centred: a common part belongs to the angle
+    bits = min(64, units.shape[1])
     top = directions[:, ::-1][:, :bits]
-    low = moved @ top
+    low = (units - units.mean(axis=0)) @ top
     rng = np.random.default_rng(seed)
     parts = []
     for _ in range(math.ceil(8 * code_bytes / bits)):
@@ -98,7 +102,10 @@ def fit_quantiser(sample: np.ndarray, code_bytes: int = CODE_BYTES, iterations:
             rotation = (u @ v).T
         parts.append(top @ rotation)
     projection = np.concatenate(parts, axis=1)[:, :8 * code_bytes]
-    return Quantiser(centre, projection, np.median(moved @ projection, axis=0))
+    found = units @ projection
+    medians = np.median(found, axis=0)
+    near = np.abs(medians) <= NEAR_ORIGIN * np.sqrt((found ** 2).mean(axis=0))
+    return Quantiser(projection, np.where(near, medians, 0.0))
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

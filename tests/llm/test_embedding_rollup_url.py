@@ -69,6 +69,58 @@ def test_codes_are_balanced(planted):
     assert bits.shape[1] == 128 and np.abs(bits.mean(axis=0) - 0.5).max() < 0.01
 
 
+def table_vectors(n):
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet", columns=["embedding"])["embedding"].to_pylist()[:n]
+    return embedding_dedup._units(np.array(rows, float))
+
+
+def loose_group(centre, n, cosine, seed):
+    """Unit vectors round one, pair cosines about ``cosine``."""
+    noise = np.random.default_rng(seed).normal(size=(n, len(centre)))
+    noise -= np.outer(noise @ centre, centre)
+    return np.sqrt(cosine) * centre + np.sqrt(1 - cosine) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+
+
+def band_recall(rows):
+    units = embedding_dedup._units(rows)
+    codes = embedding_dedup.fit_quantiser(rows).codes(units)
+    cosine = units @ units.T
+    a, b = np.nonzero(np.triu(cosine >= 0.9, 1))
+    bits = embedding_dedup._POP[codes[a] ^ codes[b]]
+    hit = (bits.sum(axis=1, dtype=int) <= embedding_dedup.MAX_BITS) & embedding_dedup._meeting(bits, 1).any(axis=1)
+    bands = [(cosine[a, b] >= lo) & (cosine[a, b] < hi) for lo, hi in ((0.9, 0.92), (0.92, 0.95), (0.95, 2))]
+    return [hit[band].mean() for band in bands if band.sum() > 20]
+
+
+@pytest.mark.parametrize("share", [0.1, 1 / 3, 0.6])
+def test_recall_by_cosine_with_a_loose_group(share):
+    base = table_vectors(800)
+    for seed in range(2):
+        recall = band_recall(np.concatenate([base, loose_group(base[seed], int(800 * share / (1 - share)), 0.91, seed)]))
+        assert len(recall) >= 2 and min(recall) >= 0.9
+
+
+@pytest.mark.parametrize("dimensions", [64, 128])
+def test_recall_with_a_vector_common_to_all(dimensions):
+    base = table_vectors(1500)
+    if dimensions > 64:  # directions of little variance, of which some are left out of the codes
+        base = np.concatenate([base, 0.005 * np.random.default_rng(1).normal(size=(1500, dimensions - 64))], axis=1)
+    recall = band_recall(base + 2 / np.sqrt(dimensions))
+    assert recall and min(recall) >= 0.9
+
+
+def test_links_of_a_loose_group_of_a_third(spark):
+    base = table_vectors(400)
+    rows = np.concatenate([base, loose_group(base[0], 200, 0.91, 3)])
+    cosine = rows @ rows.T
+    true = (cosine >= 0.9).sum(axis=1) - 1
+    got = embedding_dedup.near_duplicates(vectors(spark, [(i, v.tolist()) for i, v in enumerate(rows)])).collect()
+    found = {r.vec_id: r.n_links for r in got}
+    assert sum(found.values()) >= 0.95 * true.sum() and all(found[i] <= true[i] for i in found)
+
+
 def test_unusable_vectors_stand_alone(spark):
     nan, inf = float("nan"), float("inf")
     good = [1.0, 2.0, 3.0]
