@@ -2,6 +2,48 @@
 
 from __future__ import annotations
 
+import re
+
+from .license_templates import TEMPLATES
+
+
+def _license_rows() -> str:
+    rows = [(t.label, t.kind, re.findall("[a-z0-9]+", t.text.lower())) for t in TEMPLATES]
+    return ", ".join(f"({i}, '{label}', '{kind}', {words})" for i, (label, kind, words) in enumerate(rows))
+
+
+# Word lists are compared outright; bodies by their runs of four words, whose
+# diagonals are merged as the library does.
+OP11 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+template(of, label, kind, w) AS (VALUES """ + _license_rows() + r"""),
+gram AS (
+  SELECT nr, i - 1 AS place, w[i:i + 3] AS four, w FROM doc, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i)),
+exact AS (
+  SELECT nr, label, kind, place AS first, place + len(t.w) - 1 AS last, 1.0::DOUBLE AS score
+  FROM gram JOIN template t ON four[1] = t.w[1] AND four[2] = t.w[2] AND gram.w[place + 1:place + len(t.w)] = t.w WHERE kind <> 'body'),
+body_gram AS (
+  SELECT of, label, kind, len(w) AS size, i - 1 AS spot, w[i:i + 3] AS four FROM template, LATERAL (SELECT unnest(range(1, len(w) - 2)) AS i)
+  WHERE kind = 'body'),
+vote AS (SELECT DISTINCT nr, of, label, kind, size, place - spot AS diagonal, spot FROM gram JOIN body_gram USING (four)),
+cell AS (
+  SELECT v.nr, v.of, v.label, v.kind, v.size, c.diagonal, min(v.diagonal + v.spot) AS s, max(v.diagonal + v.spot + 3) AS e, count(DISTINCT x) AS covered
+  FROM (SELECT DISTINCT nr, of, diagonal FROM vote) c JOIN vote v ON v.nr = c.nr AND v.of = c.of AND v.diagonal BETWEEN c.diagonal AND c.diagonal + 3,
+    LATERAL (SELECT unnest([v.spot, v.spot + 1, v.spot + 2, v.spot + 3]) AS x) GROUP BY ALL),
+body AS (
+  SELECT nr, label, kind, s AS first, e AS last, covered::DOUBLE / greatest(size, e - s + 1) AS score FROM cell c
+  WHERE covered::DOUBLE / greatest(size, e - s + 1) >= 0.8 AND NOT EXISTS (SELECT 1 FROM cell o WHERE o.nr = c.nr AND o.of = c.of
+    AND abs(o.diagonal - c.diagonal) <= 3 AND (o.covered > c.covered OR (o.covered = c.covered AND o.diagonal < c.diagonal)))),
+found AS (
+  SELECT nr, count(*) FILTER (kind = 'base') AS n_base, min(first) FILTER (kind = 'base') AS first_word, max(first) FILTER (kind = 'base') AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (kind = 'base') AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    max(score) AS score FROM (SELECT * FROM exact UNION ALL SELECT * FROM body) GROUP BY nr)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score FROM doc LEFT JOIN found USING (nr)
+"""
+
 OP10 = r"""
 WITH cut AS (
   SELECT page_id, regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', ['host', 'path']) AS p FROM pages),
