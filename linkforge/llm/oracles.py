@@ -20,10 +20,11 @@ WITH doc AS (
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 template(of, label, kind, w) AS (VALUES """ + _license_rows() + r"""),
 gram AS (
-  SELECT nr, i - 1 AS place, w[i:i + 3] AS four, w FROM doc, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i)),
+  SELECT nr, i - 1 AS place, w[i:i + 3] AS four FROM doc, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i)),
 exact AS (
   SELECT nr, label, kind, place AS first, place + len(t.w) - 1 AS last, 1.0::DOUBLE AS score
-  FROM gram JOIN template t ON four[1] = t.w[1] AND four[2] = t.w[2] AND gram.w[place + 1:place + len(t.w)] = t.w WHERE kind <> 'body'),
+  FROM gram JOIN template t ON four[1] = t.w[1] AND four[2] = t.w[2] JOIN doc d USING (nr)
+  WHERE kind <> 'body' AND d.w[place + 1:place + len(t.w)] = t.w),
 body_gram AS (
   SELECT of, label, kind, len(w) AS size, i - 1 AS spot, w[i:i + 3] AS four FROM template, LATERAL (SELECT unnest(range(1, len(w) - 2)) AS i)
   WHERE kind = 'body'),

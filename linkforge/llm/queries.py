@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, mixing, oracles, packing, pii, simhash, url_filter
+from . import conversation_repair, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, mixing, oracles, packing, pii, simhash, url_filter
 from .common import SPACE_CLASS, broadcast_if_small, read_table
 from .token_rollup import TokenRollup
 
@@ -85,10 +85,15 @@ def op11_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return license_scan.digest(license_scan.scan_licenses(read_table(spark, d, "documents"), keep=["doc_id"])).drop("spans")
 
 
+def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return conversation_repair.repair_report(conversation_repair.damage(read_table(spark, d, "conversations")))
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     """All stages of the corpus pipeline on the documents."""
     return corpus_pipeline.run(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op6_token_rollup, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter, op11_license_scan, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op6_token_rollup, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter, op11_license_scan, op12_conversation_repair, pipeline)}
 ORACLES = {"op2_line_dedup": oracles.OP2, "op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10, "op11_license_scan": oracles.OP11}
