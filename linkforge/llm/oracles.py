@@ -45,6 +45,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
   coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score FROM doc LEFT JOIN found USING (nr)
 """
 
+# Every n-gram is listed and counted on its own.
+OP13 = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+gram AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM piece, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i),
+    (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM gram GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+candidate AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 30),
+cut AS (
+  SELECT c.*, x AS k, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f + r.f))::BIGINT AS score
+  FROM candidate c, LATERAL (SELECT unnest(range(1, size)) AS x)
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:x], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[x + 1:size], ' ')),
+best AS (
+  SELECT lang, phrase, a, min_by(l, (score, k)) AS l, min_by(r, (score, k)) AS r, min(score) AS score FROM cut GROUP BY lang, phrase, a),
+inner_phrase AS (
+  SELECT DISTINCT c.lang, array_to_string(c.w[i:i + z - 1], ' ') AS phrase, c.a AS around FROM candidate c, LATERAL (SELECT unnest(range(1, size)) AS i),
+    (SELECT unnest([2, 3]) AS z) WHERE z < size AND i + z - 1 <= size),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM inner_phrase o WHERE o.lang = b.lang AND o.phrase = b.phrase AND 100 * o.around >= 80 * b.a)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 OP10 = r"""
 WITH cut AS (
   SELECT page_id, regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', ['host', 'path']) AS p FROM pages),

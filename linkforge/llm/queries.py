@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import conversation_repair, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, mixing, oracles, packing, pii, simhash, url_filter
+from . import collocations, conversation_repair, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, mixing, oracles, packing, pii, simhash, url_filter
 from .common import SPACE_CLASS, broadcast_if_small, read_table
 from .token_rollup import TokenRollup
 
@@ -90,10 +90,15 @@ def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
     return conversation_repair.repair_report(conversation_repair.damage(read_table(spark, d, "conversations")))
 
 
+def op13_collocations(spark: SparkSession, d: str) -> DataFrame:
+    """Best phrases of every language of the documents."""
+    return collocations.mine_collocations(read_table(spark, d, "documents"))
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     """All stages of the corpus pipeline on the documents."""
     return corpus_pipeline.run(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op6_token_rollup, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter, op11_license_scan, op12_conversation_repair, pipeline)}
-ORACLES = {"op2_line_dedup": oracles.OP2, "op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10, "op11_license_scan": oracles.OP11}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_language_id, op4_pii, op5_simhash, op6_token_rollup, op7_exact_dedup, op8_mix_sources, op9_pack, op10_url_filter, op11_license_scan, op12_conversation_repair, op13_collocations, pipeline)}
+ORACLES = {"op2_line_dedup": oracles.OP2, "op7_exact_dedup": oracles.OP7, "op8_mix_sources": oracles.OP8, "op10_url_filter": oracles.OP10, "op11_license_scan": oracles.OP11, "op13_collocations": oracles.OP13}
