@@ -25,8 +25,12 @@ What keeps the windows small, with exact results at every size:
   probability of 10^12 / 2^64, 5 * 10^-8.
 * Tasks sum equal windows of some megabytes of text before they shuffle them.
   A window common to all rows is one row for each such buffer.
-* Windows whose first two words occur less often than ``min_count`` together
-  go before the rollup. What is left is about as large as the result.
+* Windows are dealt out by their first two words, so that a task can sum the
+  counts of its pairs and triples and cut windows behind those that occur less
+  often than ``min_count`` before the rollup. No pair is more frequent than the
+  rarer of its words; where that is more than a task should hold, the pair's
+  windows are dealt into shares by their other words and left to the rollup,
+  which sums them map-side.
 
 Ranks are taken in two steps, so that no task sorts all phrases of a language.
 
@@ -161,6 +165,15 @@ def _word_hash(lang: str, word: str) -> Column:
     return -1 - h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
 
 
+def _shares(windows: np.ndarray, most: np.ndarray, per_task: int) -> np.ndarray:
+    """0, or from 1 on the share of a pair that may have more than ``per_task``
+    windows; ``most`` bounds the counts of each window's first two words."""
+    shares = -(-most.min(axis=0) // per_task)
+    mixed = windows[2].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ windows[3].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    share = ((mixed >> np.uint64(20)) % np.maximum(shares, 1).astype(np.uint64)).astype(np.int64) + 1
+    return np.where((shares > 1) & (windows[1] != 0), share, 0)
+
+
 def _lead_windows(ids: np.ndarray, pieces: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct windows (columns of word numbers, 0 for padding) and counts."""
     lead = np.zeros((ORDER, len(ids)), np.int64)
@@ -208,42 +221,53 @@ def frequent_words(docs: DataFrame, min_count: int, dictionary_words: int, lang_
     return named, totals, others.isEmpty()
 
 
-def _dictionary(named: DataFrame) -> dict[str, tuple[pa.Array, np.ndarray]]:
-    """Words and numbers by language; bounded by ``dictionary_words``."""
-    table = named.where("id > 0").select("lang", "word", "id").toArrow().combine_chunks()
+def _dictionary(named: DataFrame) -> tuple[dict[str, tuple[pa.Array, np.ndarray]], np.ndarray]:
+    """Words and numbers by language, and the count of each number (of 0: of the
+    rarest, which bounds those of hashed words); bounded by ``dictionary_words``."""
+    table = named.where("id > 0").select("lang", "word", "id", "f").toArrow().combine_chunks()
     out = {}
     for lang in table.column("lang").unique().to_pylist():
-        rows = table.filter(pc.equal(table.column("lang"), lang)).combine_chunks()
-        words = rows.column("word").cast(pa.string()).combine_chunks()
-        out[lang] = (words if isinstance(words, pa.Array) else words.chunk(0), rows.column("id").to_numpy())
-    return out
-
-
-def longest_windows(docs: DataFrame, named: DataFrame, complete: bool, partitions: int, lang_col: str = "lang",
-                    text_col: str = "text", buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
-    """w1 .. w4, n: windows of word numbers, padded with 0, and their counts."""
+        rows = table.filter(pc.equal(table.column("lang"), lang))
+        out[lang] = (pa.array(rows.column("word").to_pylist(), pa.string()), rows.column("id").to_numpy())
+    counts = np.zeros(len(table) + 1, np.int64)
+    counts[table.column("id").to_numpy()] = table.column("f").to_numpy()
+    counts[0] = counts[1:].min() if len(table) else np.iinfo(np.int64).max
+    return out, counts
+
+
+def longest_windows(docs: DataFrame, named: DataFrame, complete: bool, partitions: int, per_task: int = WINDOWS_PER_PARTITION,
+                    lang_col: str = "lang", text_col: str = "text", buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
+    """w1 .. w4, share, n: windows of word numbers, padded with 0, and their
+    counts; a partition holds all windows of its pairs and shares."""
     shared = docs.sparkSession.sparkContext.broadcast(_dictionary(named))
+    columns = [*W, "share", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, f = shared.value
         for lang, data, first_bytes in _buffers(batches, buffer_bytes):
             words, pieces, first = _tokens(data, first_bytes)
-            ids = _named(lang, words.dictionary, shared.value, complete)[words.indices.to_numpy()]
+            ids = _named(lang, words.dictionary, known, complete)[words.indices.to_numpy()]
             windows, counts = _lead_windows(ids, pieces, first)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*windows, counts)], names=[*W, "n"])
+            share = _shares(windows, f[np.maximum(windows[:2], 0)], per_task)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*windows, share, counts)], names=columns)
 
-    counted = _texts(docs, lang_col, text_col).mapInArrow(run, ", ".join(f"{c} bigint" for c in [*W, "n"]))
+    counted = _texts(docs, lang_col, text_col).mapInArrow(run, ", ".join(f"{c} bigint" for c in columns))
     # Rows are summed already, so they are dealt out before Spark sums them.
-    return counted.repartition(partitions, *W).groupBy(*W).agg(F.sum("n").alias("n"))
+    return counted.repartition(partitions, "w1", "w2", "share").groupBy("w1", "w2", "share", "w3", "w4").agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(windows: DataFrame, min_count: int) -> DataFrame:
     """w1 .. w4 (0 past the end), size, f of the phrases of 2 words and more
     that occur ``min_count`` times."""
-    heads = windows.where("w2 <> 0").groupBy("w1", "w2").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    heads = materialize(heads.select(F.col("w1").alias("h1"), F.col("w2").alias("h2")), "collocation-heads")
-    heads = broadcast_if_small(heads, heads.count(), 32)
-    open_windows = windows.join(heads, (F.col("w1") == F.col("h1")) & (F.col("w2") == F.col("h2")), "left_semi")
-    summed = open_windows.rollup(*W).agg(F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
+    pair = ["w1", "w2", "share"]
+    whole = F.col("share") == 0
+    # Filtered between the two sums, so that the second sorts fewer rows.
+    told = windows.where("w2 <> 0").withColumn("of_two", F.sum("n").over(Window.partitionBy(*pair)))
+    frequent = (told.where(~whole | (F.col("of_two") >= min_count))
+                    .withColumn("of_three", F.sum("n").over(Window.partitionBy(*pair, "w3"))))
+    cut = frequent.select("w1", "w2", F.when(~whole | (F.col("of_three") >= min_count), F.col("w3")).otherwise(0).alias("w3"),
+                          F.when(F.col("n") >= min_count, F.col("w4")).otherwise(0).alias("w4"), "n")
+    summed = cut.rollup(*W).agg(F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
     size = ORDER - F.length(F.bin("left_out")) + F.when(F.col("left_out") == 0, 1).otherwise(0)
     sized = summed.withColumn("size", size).where((F.col("f") >= min_count) & (F.col("size") >= 2))
     # A phrase that ends in padding is a shorter one, summed on its own.
@@ -303,12 +327,13 @@ def _spelled(phrases: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def mine_collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, dictionary_words: int = DICTIONARY_WORDS,
-                      lang_col: str = "lang", text_col: str = "text", buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
+                      lang_col: str = "lang", text_col: str = "text", buffer_bytes: int = BUFFER_BYTES,
+                      per_task: int = WINDOWS_PER_PARTITION) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score; numbers long."""
     words, totals, complete = frequent_words(docs, min_count, dictionary_words, lang_col, text_col, buffer_bytes)
     n_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    partitions = max(_floor(docs.sparkSession), math.ceil(n_words / WINDOWS_PER_PARTITION))
-    windows = materialize(longest_windows(docs, words, complete, partitions, lang_col, text_col, buffer_bytes), "collocation-windows")
+    partitions = max(_floor(docs.sparkSession), math.ceil(n_words / per_task))
+    windows = longest_windows(docs, words, complete, partitions, per_task, lang_col, text_col, buffer_bytes)
     phrases = materialize(phrase_counts(windows, min_count), "collocation-phrases")
     best = not_contained(materialize(scored(phrases, words), "collocation-scores"))
     spelled = materialize(_spelled(best, words), "collocation-spelled")

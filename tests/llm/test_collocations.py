@@ -54,11 +54,11 @@ def result(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("dictionary_words, buffer_bytes", [(1 << 18, 8 << 20), (8, 700), (0, 90)])
-def test_phrases_are_those_of_brute_force(spark, dictionary_words, buffer_bytes):
+@pytest.mark.parametrize("dictionary_words, buffer_bytes, per_task", [(1 << 18, 8 << 20, 2_000_000), (8, 700, 100), (0, 90, 100)])
+def test_phrases_are_those_of_brute_force(spark, dictionary_words, buffer_bytes, per_task):
     rows = phrase_rows() + odd_rows() * 12
     docs = documents(spark, rows).repartition(4)
-    got = collocations.mine_collocations(docs, dictionary_words=dictionary_words, buffer_bytes=buffer_bytes)
+    got = collocations.mine_collocations(docs, dictionary_words=dictionary_words, buffer_bytes=buffer_bytes, per_task=per_task)
     assert result(got) == brute(rows)
 
 
