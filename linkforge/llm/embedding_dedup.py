@@ -28,9 +28,12 @@ Output of a cell is linear in its vectors: each one's number of links and a
 spanning forest, never the pairs. Equal vectors are one class with a count and
 aren't compared with one another.
 
-Edge cases: a vector that is null, empty, all zero, of another length than
-most (the shorter on a tie) or with null or non-finite components links with
-nothing and keeps its row. Repeated rows are vectors each. Without a usable
+Vectors are compared with those of their own length, each length with a
+quantiser of its own. They are scaled by a power of two first, so that no
+square of a finite component is lost.
+
+Edge cases: a vector that is null, empty, all zero or with null or non-finite
+components, or without an id, links with nothing and keeps its row. Repeated rows are vectors each. Without a usable
 vector every row stands alone; an empty table gives no rows. Extra columns are
 ignored, labels too.
 
@@ -114,15 +117,14 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     v, kind = F.col("vector"), vectors.schema[vector_col].dataType.simpleString()
     kind = kind if kind == "array<float>" else "array<double>"
     fine = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = (vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast(kind).alias("vector"))
+    return (vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast(kind).alias("vector"))
                    .where(F.col("vec_id").isNotNull() & v.isNotNull()).where(fine))
-    usual = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "length").first()
-    return rows.where(F.size("vector") == (usual["length"] if usual else -1))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(flat), -1)
+    found = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(flat), -1)
+    return np.ldexp(found, -np.frexp(np.abs(found).max(axis=1, initial=0.0))[1][:, None])
 
 
 def draw(classes: DataFrame, sample: int, seed: int) -> DataFrame:
@@ -253,13 +255,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: in
     rows = materialize(usable(vectors, id_col, vector_col), "embedding-rows")
     classes = materialize(rows.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies")),
                           "embedding-classes")
-    drawn = draw(classes.select("vec_id", "vector"), sample, seed).toArrow()
-    if drawn.num_rows:
+    lengths = [r["length"] for r in classes.select(F.size("vector").alias("length")).distinct().collect()]
+    found = vectors.sparkSession.createDataFrame([], "a bigint, links bigint, b bigint")
+    for length in sorted(lengths):
+        of_length = classes.where(F.size("vector") == length)
+        drawn = draw(of_length.select("vec_id", "vector"), sample, seed).toArrow()
         quantiser = fit_quantiser(_matrix(drawn.column("vector")), code_bytes, seed=seed)
-        table = materialize(coded(classes, quantiser, file_bytes), "embedding-codes")
-        found = materialize(link_cells(table, threshold, max_bits, file_bytes, cell_rows), "embedding-links")
-    else:
-        found = vectors.sparkSession.createDataFrame([], "a bigint, links bigint, b bigint")
+        table = materialize(coded(of_length, quantiser, file_bytes), "embedding-codes")
+        cells = materialize(link_cells(table, threshold, max_bits, file_bytes, cell_rows), "embedding-links")
+        found = cells if found.isEmpty() else found.unionByName(cells)
     degree = found.where(F.col("links").isNotNull()).groupBy(F.col("a").alias("vec_id")).agg(F.sum("links").alias("links"))
     labels = component_labels(found.where(F.col("b").isNotNull()).select("a", "b"), "a", "b")
     answer = materialize(classes.join(degree, "vec_id", "left")

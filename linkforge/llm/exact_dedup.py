@@ -211,8 +211,13 @@ def _merge_round(owners: DataFrame, partitions: int, trie_bytes: int) -> DataFra
 
 
 def merge_owners(owners: DataFrame, trie_bytes: int = TRIE_BYTES, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
-    """Pass 2: owner -> final owner for every local owner."""
+    """Pass 2: owner -> final owner for every local owner. Texts that no trie
+    of ``trie_bytes`` can hold are compared by their stored bytes, within their
+    length and hash."""
     spark = owners.sparkSession
+    long_texts, owners = owners.where(F.col("n_bytes") > trie_bytes), owners.where(F.col("n_bytes") <= trie_bytes)
+    same = long_texts.groupBy("n_bytes", "hash", "key").agg(F.min("owner").alias("final"))
+    of_long = long_texts.select("owner", "n_bytes", "hash", "key").join(same, ["n_bytes", "hash", "key"]).select("owner", "final")
     total = owners.agg(F.sum("n_bytes")).first()[0] or 0
     partitions = partitions_for(spark, total, partition_bytes)
     merged = materialize(_merge_round(owners, partitions, trie_bytes), "trie-owners")
@@ -225,7 +230,7 @@ def merge_owners(owners: DataFrame, trie_bytes: int = TRIE_BYTES, partition_byte
         finals = materialize(finals.join(later, "final", "left")
                                    .select("owner", F.coalesce("later", "final").alias("final")), "trie-finals")
         spilled = merged.where(F.col("key").isNotNull())
-    return finals
+    return finals.unionByName(of_long)
 
 
 def exact_duplicates(documents: DataFrame, trie_bytes: int = TRIE_BYTES,

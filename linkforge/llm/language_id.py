@@ -52,7 +52,9 @@ FIT_GRAMS = 20  # with so many 3-grams, half of FIT is asked for
 _SPACE = 32
 _BITS = 21  # a code point
 _BLOCK_CHARS = 1 << 20
-_MOST_GRAMS = 40_000
+_MOST_GRAMS = 16_384  # vectors a worker keeps
+_SLICE = 2048  # 3-grams bundled at a time
+_TEXT_ROWS = 256  # rows of a batch whose texts are Python strings at a time
 
 
 def fold(id_col: str = "doc_id") -> Column:
@@ -83,7 +85,7 @@ class GramVectors:
         self.letters: dict[int, np.ndarray] = {}
         self.codes = np.zeros(0, np.int64)
         self.rows = np.zeros(0, np.int64)
-        self.vectors = np.zeros((0, dimensions), np.int8)
+        self.vectors = np.empty((_MOST_GRAMS, dimensions), np.int8)
 
     def letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
@@ -97,24 +99,37 @@ class GramVectors:
         return np.roll(self.letter(a), 2) * np.roll(self.letter(b), 1) * self.letter(c)
 
     def of(self, codes: np.ndarray) -> np.ndarray:
-        """Rows of ``vectors`` for sorted unique codes."""
-        if len(self.codes) > _MOST_GRAMS:
-            self.codes, self.rows = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            self.vectors = self.vectors[:0]
-        at = np.searchsorted(self.codes, codes)
-        known = at < len(self.codes)
-        known[known] = self.codes[at[known]] == codes[known]
+        """Rows of ``vectors`` for at most ``_SLICE`` sorted unique codes. Where
+        the table would overflow it is begun anew."""
+        at, known = self._find(codes)
         if not known.all():
-            new = codes[~known]
-            made = np.array([self.gram(c) for c in new.tolist()], np.int8)
+            if len(self.codes) + int((~known).sum()) > _MOST_GRAMS:
+                self.codes, self.rows = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                at, known = self._find(codes)
+            new, used = codes[~known], len(self.codes)
+            for i, c in enumerate(new.tolist()):
+                self.vectors[used + i] = self.gram(c)
             codes_all = np.concatenate([self.codes, new])
-            rows_all = np.concatenate([self.rows, len(self.vectors) + np.arange(len(new))])
+            rows_all = np.concatenate([self.rows, used + np.arange(len(new))])
             order = np.argsort(codes_all, kind="stable")
             self.codes, self.rows = codes_all[order], rows_all[order]
-            self.vectors = np.concatenate([self.vectors, made])
             at = np.searchsorted(self.codes, codes)
         return self.rows[at]
 
+    def _find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.codes, codes)
+        known = at < len(self.codes)
+        known[known] = self.codes[at[known]] == codes[known]
+        return at, known
+
+    def bundle(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Weighted sum of the codes' vectors, some at a time."""
+        total = np.zeros(self.dimensions, np.float32)
+        for s in range(0, len(codes), _SLICE):
+            rows = self.of(codes[s:s + _SLICE])
+            total += counts[s:s + _SLICE].astype(np.float32) @ self.vectors[rows].astype(np.float32)
+        return total
+
 
 def gram_codes(points: np.ndarray) -> np.ndarray:
     """Codes of the 3-grams of letters and single spaces."""
@@ -152,19 +167,21 @@ def count_blocks(texts: list[str | None], letters: LetterTable) -> Iterator[tupl
 def _text_vectors(texts: list[str | None], letters: LetterTable, grams: GramVectors) -> Iterator[tuple[np.ndarray, float] | None]:
     """Bundled vector of each text and its number of 3-grams, None without a letter."""
     for first, upto, codes, bounds, counts in count_blocks(texts, letters):
-        unique, where = np.unique(codes, return_inverse=True)
-        rows = grams.of(unique)[where]
-        weights = counts.astype(np.float32)
         for k in range(upto - first):
             a, b = bounds[k], bounds[k + 1]
-            yield (weights[a:b] @ grams.vectors[rows[a:b]].astype(np.float32), float(counts[a:b].sum())) if b > a else None
+            yield (grams.bundle(codes[a:b], counts[a:b]), float(counts[a:b].sum())) if b > a else None
+
+
+def _some_texts(column: pa.Array) -> Iterator[list[str | None]]:
+    for at in range(0, len(column), _TEXT_ROWS):
+        yield column.slice(at, _TEXT_ROWS).to_pylist()
 
 
 def _learn_task(batches: Iterator[pa.RecordBatch], dimensions: int, seed: int) -> Iterator[pa.RecordBatch]:
     letters, grams, sums = LetterTable(), GramVectors(dimensions, seed), {}
     for batch in batches:
-        langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for lang, bundled in zip(langs, _text_vectors(texts, letters, grams)):
+        bundles = (b for texts in _some_texts(batch.column(1)) for b in _text_vectors(texts, letters, grams))
+        for lang, bundled in zip(batch.column(0).to_pylist(), bundles):
             if bundled is not None:
                 vector, n = bundled[0].astype(np.float64), bundled[1]
                 shares = vector / n
@@ -208,12 +225,14 @@ def _is_known(vector: np.ndarray, n: float, best: int, profiles: np.ndarray) ->
 
 
 def _predict_task(batches: Iterator[pa.RecordBatch], langs: list[str], prototypes: np.ndarray, profiles: np.ndarray,
-                  seed: int, text_at: int, judge: bool) -> Iterator[pa.RecordBatch]:
+                  seed: int, text_at: str, judge: bool) -> Iterator[pa.RecordBatch]:
     letters, grams = LetterTable(), GramVectors(prototypes.shape[1] if langs else 1, seed)
     target = prototypes.T.astype(np.float32)
     for batch in batches:
         preds, scores, known = [], [], []
-        for bundled in _text_vectors(batch.column(text_at).to_pylist(), letters, grams):
+        column, _, field = text_at.partition(".")
+        spelt = batch.column(column).field(field) if field else batch.column(column)
+        for bundled in (b for texts in _some_texts(spelt) for b in _text_vectors(texts, letters, grams)):
             if bundled is None or not langs:
                 preds.append(UNKNOWN)
                 scores.append(0.0)
@@ -225,30 +244,35 @@ def _predict_task(batches: Iterator[pa.RecordBatch], langs: list[str], prototype
             preds.append(langs[best])
             scores.append(min(1.0, max(0.0, float(cosines[best]))))
             known.append(judge and _is_known(vector, n, best, profiles))
-        kept = [c for i, c in enumerate(batch.columns) if i != text_at]
-        names = [n for i, n in enumerate(batch.schema.names) if i != text_at]
+        names = [n for n in batch.schema.names if n != _JUDGED]
+        kept = [batch.column(n) for n in names]
         added = {"lang_pred": pa.array(preds, pa.string()), "score": pa.array(scores, pa.float64())}
         if judge:
             added["known"] = pa.array(known, pa.bool_())
         yield pa.RecordBatch.from_arrays([*kept, *added.values()], names=[*names, *added])
 
 
+_JUDGED = "text_to_judge"
+
+
 def predict(documents: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], keep: list[str], seed: int = SEED,
-            judge: bool = False) -> DataFrame:
-    """The ``keep`` columns with lang_pred and score, and known if ``judge``."""
+            judge: bool = False, text_at: str = "") -> DataFrame:
+    """The ``keep`` columns with lang_pred and score, and known if ``judge``.
+    ``text_at`` names a struct of ``keep`` and the field of it that is the text
+    (struct.field), so that the text travels once."""
     langs, prototypes, profiles = model
-    rows = documents.select(*keep, F.col("text").alias("text_to_judge"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    task = partial(_predict_task, langs=langs, prototypes=prototypes, profiles=profiles, seed=seed, text_at=len(keep),
+    rows = documents.select(*keep, *([] if text_at else [F.col("text").alias(_JUDGED)]))
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != _JUDGED)
+    task = partial(_predict_task, langs=langs, prototypes=prototypes, profiles=profiles, seed=seed, text_at=text_at or _JUDGED,
                    judge=judge)
     return rows.mapInArrow(task, f"{types}, lang_pred string, score double" + ", known boolean" * judge)
 
 
 def identify(documents: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED,
-             keep: list[str] | None = None, judge: bool = False) -> DataFrame:
+             keep: list[str] | None = None, judge: bool = False, text_at: str = "") -> DataFrame:
     """Learns from the rows outside the held-out fold, predicts all rows:
     ``keep`` columns (the id if not given), held_out, lang_pred, score, and
     known if ``judge``."""
     marked = documents.withColumn("held_out", F.coalesce(fold() == HELD_OUT, F.lit(False)))
     model = learn_prototypes(marked.where(~F.col("held_out")), dimensions, seed)
-    return predict(marked, model, [*(keep or ["doc_id"]), "held_out"], seed, judge)
+    return predict(marked, model, [*(keep or ["doc_id"]), "held_out"], seed, judge, text_at)

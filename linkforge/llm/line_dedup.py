@@ -1,8 +1,8 @@
 """Line dedup (operator 2): site-relative frequency.
 
 A line is boilerplate of a host when it stands on more than ``ratio`` of the
-host's pages and on at least ``min_pages`` of them (on hosts of a handful of
-pages a share says nothing). Boilerplate lines are dropped from the host's
+host's pages and on at least ``min_pages`` of them (two, so that a page can't
+be its own boilerplate). Boilerplate lines are dropped from the host's
 pages; the other lines stay as they are, in order.
 
 Lines are compared with white space at both ends removed; blank lines are
@@ -37,7 +37,7 @@ from ..session import materialize
 from .common import SPACE_CHARS, broadcast_if_small
 
 RATIO = 0.1
-MIN_PAGES = 10
+MIN_PAGES = 2
 
 
 def _lines(text_col: str) -> Column:

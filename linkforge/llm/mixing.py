@@ -41,6 +41,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -229,6 +230,40 @@ def shard_quotas(mixed: DataFrame) -> DataFrame:
 _WORD = re.compile(WORD)
 
 
+_CUT_BYTES = 4 << 20  # texts and runs of a batch worked on at a time
+
+
+def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that texts (column 1) and lists (column 2) of a slice
+    have about ``_CUT_BYTES``; a row at least."""
+    for batch in batches:
+        text = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        runs = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+        reached, at = np.cumsum(text + 20 * runs), 0
+        while at < batch.num_rows:
+            before = reached[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(reached, before + _CUT_BYTES, "right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
+def _runs_by_round(pieces: pa.StructArray) -> list[list[tuple[int, int]]]:
+    """(first word, words) of each round's pieces, neighbours joined, rounds
+    in order."""
+    turn, start, words = (pieces.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    order = np.lexsort((start, turn))
+    turn, start, words = turn[order], start[order], words[order]
+    new = np.flatnonzero(np.append(True, (turn[1:] != turn[:-1]) | (start[1:] != start[:-1] + words[:-1])))
+    total = np.add.reduceat(words, new)
+    runs: list[list[tuple[int, int]]] = []
+    for i, t, a, n in zip(range(len(new)), turn[new].tolist(), start[new].tolist(), total.tolist()):
+        if i == 0 or t != last:
+            runs.append([])
+        runs[-1].append((a, n))
+        last = t
+    return runs
+
+
 def cut_words(text: str, runs: Sequence[tuple[int, int]]) -> str:
     """The text if ``runs`` (first word, words; ascending) cover it, else the
     stretches of text that they cover, on a line each."""
@@ -261,15 +296,13 @@ def mixed_documents(documents: DataFrame, block_words: int = BLOCK_WORDS, max_re
     rows = placed.join(taken, F.col("mix_row") == F.col("row_taken")).select("row", "text", "pieces")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small_batches(batches):
             at, texts = [], []
-            for k, (text, pieces) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
-                runs: dict[int, list[tuple[int, int]]] = {}
-                for p in pieces:
-                    runs.setdefault(p["round"], []).append((p["start"], p["words"]))
-                for c in sorted(runs):
+            for k, (text, pieces) in enumerate(zip(batch.column(1), batch.column(2))):
+                text = text.as_py()
+                for runs in _runs_by_round(pieces.values):
                     at.append(k)
-                    texts.append(cut_words(text.as_py(), sorted(runs[c])))
+                    texts.append(cut_words(text, runs))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(texts, pa.string())],
                                              names=["row", "text"])
 

@@ -154,10 +154,14 @@ WITH page AS (
 line AS (
   SELECT nr, source, p.i AS i, parts[p.i] AS line, trim(parts[p.i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
   FROM page, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) p),
+body AS (
+  SELECT p.nr, p.source, min(p.nr) OVER (PARTITION BY p.source, b.lines) AS stands_for
+  FROM page p LEFT JOIN (SELECT nr, list(bare ORDER BY i) AS lines FROM line WHERE bare <> '' GROUP BY nr) b USING (nr)),
 boiler AS (
-  SELECT source, bare FROM (SELECT source, bare, count(DISTINCT nr) AS pages FROM line WHERE bare <> '' GROUP BY ALL)
-    JOIN (SELECT source AS of, count(*) AS host_pages FROM page GROUP BY ALL) ON source IS NOT DISTINCT FROM of
-  WHERE pages >= 10 AND pages > host_pages * 0.1),
+  SELECT source, bare FROM (SELECT l.source, bare, count(DISTINCT nr) AS pages FROM line l JOIN body USING (nr)
+      WHERE bare <> '' AND nr = stands_for GROUP BY ALL)
+    JOIN (SELECT source AS of, count(*) AS host_pages FROM body WHERE nr = stands_for GROUP BY ALL) ON source IS NOT DISTINCT FROM of
+  WHERE pages >= 2 AND pages > host_pages * 0.1),
 marked AS (
   SELECT l.*, b.bare IS NOT NULL AS gone FROM line l LEFT JOIN boiler b
     ON l.bare = b.bare AND l.source IS NOT DISTINCT FROM b.source),

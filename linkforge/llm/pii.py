@@ -76,7 +76,7 @@ def passes(kind: str, text: str, low_card: int = 16, low_phone: int = 8) -> bool
     if kind == "email":
         return True
     if kind == "ip":
-        return all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in text.split("."))
+        return all(len(part) <= 3 and int(part or "0") <= 255 for part in (p.lstrip("0") for p in text.split(".")))
     digits = "".join(_DIGITS.findall(text))
     if kind == "card":
         return low_card <= len(digits) <= 19 and luhn(digits)

@@ -20,8 +20,9 @@ def op1_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Documents without their source's boilerplate lines."""
-    cleaned = line_dedup.drop_boilerplate(read_table(spark, d, "documents"))
+    """Documents without their source's boilerplate lines; copies of a page
+    count as one."""
+    cleaned = line_dedup.drop_boilerplate(read_table(spark, d, "documents"), distinct_pages=True)
     return cleaned.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 

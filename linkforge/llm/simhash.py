@@ -48,6 +48,7 @@ MAX_BITS = 3
 HASH_SEED = 42
 CELL_ROWS = 2048
 GROUP_ROWS = 200_000
+_SLICE = 1 << 14  # shingles whose bits are unpacked at a time
 _MASK = (1 << 64) - 1
 
 
@@ -59,12 +60,16 @@ def text_fingerprint(text: str, shingle: int = SHINGLE, seed: int = HASH_SEED) -
     joined = b" ".join(words)
     if len(words) <= shingle:
         return xxhash.xxh64_intdigest(joined, seed)
-    ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
-    starts = [0] + [e + 1 for e in ends[:len(words) - shingle]]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts, ends = np.append(0, ends[:len(words) - shingle] + 1), ends[shingle - 1:]
+    del words
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1:])], "<u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    major = bits.sum(axis=0, dtype=np.uint32) * 2 > len(hashes)
+    set_bits = np.zeros(64, np.int64)
+    for s in range(0, len(ends), _SLICE):
+        places = zip(starts[s:s + _SLICE].tolist(), ends[s:s + _SLICE].tolist())
+        hashes = np.array([digest(joined[a:b], seed) for a, b in places], "<u8")
+        set_bits += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    major = set_bits * 2 > len(ends)
     return int.from_bytes(np.packbits(major, bitorder="little").tobytes(), "little")
 
 

@@ -2,13 +2,15 @@
 
 The ids are those of the ``tokenizers`` file; they are computed from the same
 vocabulary in its ranks form, which merges several times faster, and the
-tests hold the two against each other. Vocabulary paths are parameters; the
+tests hold the two against each other. Added tokens of the file are matched in
+texts, as the file's tokenizer does. Vocabulary paths are parameters; the
 files stay where they are installed.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections.abc import Callable
 
@@ -36,12 +38,13 @@ def byte_bpe(json_path: str | None = None) -> Callable[[str], np.ndarray]:
 
         with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        encoding = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                     special_tokens={})
+        with open(path, encoding="utf-8") as file:
+            added = {t["content"]: t["id"] for t in json.load(file).get("added_tokens", [])}
+        encoding = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
         def encode(text: str) -> np.ndarray:
             try:
-                return encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+                return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
             except ValueError:  # the pattern gives up on white space of a million characters
                 return encode_around_long_spaces(text, encoding)
 
@@ -60,8 +63,8 @@ def encode_around_long_spaces(text: str, encoding) -> np.ndarray:
     parts, at = [], 0
     for run in _LONG_SPACE.finditer(text):
         stop = run.end() - (run.end() < len(text))
-        parts.append(encoding.encode_to_numpy(text[at:run.start()], disallowed_special=()))
+        parts.append(encoding.encode_to_numpy(text[at:run.start()], allowed_special="all"))
         parts.append(np.array(encoding._encode_single_piece(text[run.start():stop]), np.uint32))
         at = stop
-    parts.append(encoding.encode_to_numpy(text[at:], disallowed_special=()))
+    parts.append(encoding.encode_to_numpy(text[at:], allowed_special="all"))
     return np.concatenate(parts).astype("<u4", copy=False)

@@ -55,13 +55,13 @@ def site_rule(rule: str, verdict: str) -> UrlRule:
     tokens = _TOKEN.findall(literal)
     if path and tokens and literal[-1].isalnum():
         tokens = tokens[:-1]  # the prefix may end inside a longer url token
-    return UrlRule(rule, verdict, rf"^(?:[^/]*\.)?{re.escape(host)}{re.escape(path) if path else '(?:/|$)'}",
+    return UrlRule(rule, verdict, rf"^(?:[^/]*\.)?{re.escape(host)}{re.escape(path) if path else '(?:/|\\Z)'}",
                    tuple(tokens), True)
 
 
 def host_word_rule(word: str, verdict: str = "block") -> UrlRule:
     """The word stands alone between dots and hyphens of the host."""
-    return UrlRule(word, verdict, rf"^(?:[^/]*[.-])?{re.escape(word)}(?:[.-][^/]*)?(?:/|$)",
+    return UrlRule(word, verdict, rf"^(?:[^/]*[.-])?{re.escape(word)}(?:[.-][^/]*)?(?:/|\Z)",
                    tuple(_TOKEN.findall(word)), False)
 
 

@@ -56,14 +56,24 @@ def test_exact_dedup_spilling_tries_give_the_same(spark):
     assert Counter(map(tuple, got.collect())) == brute_exact(rows)
 
 
+def test_texts_longer_than_a_trie_holds_are_compared_by_their_bytes(spark):
+    rows = [(1, "ab" * 500, "en", "s"), (2, "ab " * 500, "en", "s"), (3, "ba" * 500, "en", "s"), (4, "ab" * 500, "en", "s"), (5, "short", "en", "s")]
+    got = exact_dedup.exact_duplicates(documents(spark, rows).repartition(3), trie_bytes=100)
+    assert Counter(map(tuple, got.collect())) == brute_exact(rows)
+
+
 def test_exact_dedup_empty(no_documents):
     assert exact_dedup.exact_duplicates(no_documents).count() == 0
 
 
-def brute_lines(rows, ratio, min_pages):
+def brute_lines(rows, ratio, min_pages, distinct=False):
     bare = lambda s: s.strip(" \t\n\x0b\x0c\r")
-    pages, held = Counter(), Counter()
+    pages, held, seen = Counter(), Counter(), set()
     for _, t, _, s in rows:
+        body = (s, tuple(bare(x) for x in (t or "").split("\n") if bare(x)))
+        if distinct and body in seen:
+            continue
+        seen.add(body)
         pages[s] += 1
         for x in {bare(x) for x in (t or "").split("\n")} - {""}:
             held[s, x] += 1
@@ -86,9 +96,13 @@ def test_line_dedup_against_brute_force(spark):
     assert got.columns.count("n_lines") == 1 and "taken" in got.columns
 
 
-def test_line_dedup_keeps_small_hosts_whole_and_empty_tables(spark, no_documents):
-    rows = [(i, "same line", "en", "small") for i in range(5)]
-    assert {r.text for r in line_dedup.drop_boilerplate(documents(spark, rows)).collect()} == {"same line"}
+def test_line_dedup_of_small_hosts_and_empty_tables(spark, no_documents):
+    rows = [(i, "same line", "en", "copies") for i in range(5)] + [(10 + i, f"menu\npage {i}", "en", "small") for i in range(4)]
+    rows += [(20, "menu\nthe only page", "en", "one")]
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(documents(spark, rows), distinct_pages=True).collect()}
+    assert got == {**{i: "same line" for i in range(5)}, **{10 + i: f"page {i}" for i in range(4)}, 20: "menu\nthe only page"}
+    counted = line_dedup.drop_boilerplate(documents(spark, rows[:5]))
+    assert {r.text for r in counted.collect()} == {""}
     assert line_dedup.drop_boilerplate(no_documents).count() == 0
 
 

@@ -36,7 +36,7 @@ def test_language_stage_keeps_documents_with_letters(stages):
 def test_line_stage(stages):
     before, after = stages["line_dedup"]
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in before.collect()]
-    brute = brute_lines(rows, line_dedup.RATIO, line_dedup.MIN_PAGES)
+    brute = brute_lines(rows, line_dedup.RATIO, line_dedup.MIN_PAGES, distinct=True)
     expected = Counter({k[:2]: n for k, n in brute.items() if k[3] == 0 or WORD.search(k[1])})
     assert Counter((r.doc_id, r.text) for r in after.collect()) == expected
     assert all(r.n_chars == len(r.text) for r in after.collect())
