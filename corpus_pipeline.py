@@ -29,7 +29,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     whose 3-grams fit no learned language. The fit asked for grows with the
     number of 3-grams, so short clean texts stay."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "lang", "text")
-    return language_id.identify(rows, keep=["row"], judge=True).where("known").select("row.*")
+    return language_id.identify(rows, keep=["row"], judge=True, text_at="row.text").where("known").select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
