@@ -30,8 +30,8 @@ from linkforge.settings import LinkSettings  # noqa: E402
 
 try:
     from linkforge.llm import queries as llm_queries  # noqa: E402
-except ImportError as missing:  # the training-data subpackage may be left out
-    if (missing.name or "").split(".")[-1] not in ("llm", "corpus_pipeline"):
+except ImportError as missing:  # the subpackage may be left out, or lack a library of its own
+    if (missing.name or "").startswith("linkforge.") and missing.name.split(".")[1] != "llm":
         raise
     llm_queries = None
 
@@ -286,6 +286,30 @@ def q_history_locations(spark, d):
     return tables.history_locations(_registrations(spark, d))
 
 
+def _two_loads(spark, d):
+    """History after a first load, after a second one, and the second's ueis."""
+    h = fixtures.history_view(spark, d)
+    first = tables.dedupe_keep_last(h.where(F.col("line_no") % 3 != 1))
+    second = tables.dedupe_keep_last(h.where(F.col("line_no") % 3 == 1))
+    return first, tables.dedupe_keep_last(h), second.select("uei").distinct()
+
+
+def q_latest_per_key_incremental(spark, d):
+    """Latest rows after a load, brought up to date for the ueis of the next."""
+    before, after, touched = _two_loads(spark, d)
+    return tables.refresh_latest(tables.latest_per_key(before), after, touched)
+
+
+def q_history_names_incremental(spark, d):
+    before, after, touched = _two_loads(spark, d)
+    return tables.refresh_names(tables.history_names(before), after, touched)
+
+
+def q_history_locations_incremental(spark, d):
+    before, after, touched = _two_loads(spark, d)
+    return tables.refresh_locations(tables.history_locations(before), after, touched)
+
+
 def q_sample_latest(spark, d):
     return tables.sample_latest(tables.latest_per_key(_registrations(spark, d)), 5, name_col="name_norm",
                                 columns=["uei", "name_norm", "phys_city", "zip5", "snapshot_date"])
@@ -330,6 +354,12 @@ def q_incremental_new_files(spark, d):
     return _selected(listing.incremental_new_files(selected, fixtures.loaded_registrations(spark, d)))
 
 
+def q_pending_archives(spark, d):
+    """Archives that a load journal doesn't name as loaded."""
+    selected = listing.source_file_select(fixtures.archive_listing(spark, d), "all")
+    return _selected(listing.pending_archives(selected, fixtures.load_journal(spark, d)))
+
+
 def _expected(spark, d):
     return manifest.listing_flatten(fixtures.listing_documents(spark, d))
 
@@ -409,6 +439,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_key": q_latest_per_key,
     "history_names": q_history_names,
     "history_locations": q_history_locations,
+    "latest_per_key_incremental": q_latest_per_key_incremental,
+    "history_names_incremental": q_history_names_incremental,
+    "history_locations_incremental": q_history_locations_incremental,
     "sample_latest": q_sample_latest,
     "ingest_counts": q_ingest_counts,
     "scan_delimited": q_scan_delimited,
@@ -418,6 +451,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_file_first": q_source_file_first,
     "source_file_latest": q_source_file_latest,
     "incremental_new_files": q_incremental_new_files,
+    "pending_archives": q_pending_archives,
     "listing_flatten": q_listing_flatten,
     "manifest_status": q_manifest_status,
     "manifest_progress": q_manifest_progress,

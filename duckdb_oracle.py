@@ -295,6 +295,9 @@ def ingest_queries() -> dict[str, str]:
     q["history_locations"] = (
         f"SELECT uei, list_sort(list(DISTINCT phys_city || '|' || zip5), 'ASC', 'NULLS LAST') AS all_locations "
         f"FROM ({reg}) r WHERE zip5 IS NOT NULL GROUP BY uei")
+    # Brought up to date load by load, the derived tables equal the full ones.
+    for name in ("latest_per_key", "history_names", "history_locations"):
+        q[f"{name}_incremental"] = q[name]
     q["sample_latest"] = (f"SELECT uei, name_norm, phys_city, zip5, snapshot_date FROM ({latest}) l "
                           "ORDER BY name_norm NULLS LAST, uei LIMIT 5")
     q["ingest_counts"] = (f"SELECT count(*) AS total_rows, count(DISTINCT snapshot_date) AS snapshots, "
@@ -338,6 +341,8 @@ o AS (SELECT *, {snapshot_sql('name')} AS snapshot_date,
     q["incremental_new_files"] = ordered.replace("WITH listing AS", f"WITH loaded AS ({loaded_sql('orders')}), listing AS") + (
         "SELECT folder, name, snapshot_date FROM o WHERE rn = 1 AND NOT contains(name, 'UTF-8') "
         "AND name NOT IN (SELECT source_file FROM loaded)")
+    q["pending_archives"] = q["incremental_new_files"].replace(
+        "(SELECT source_file FROM loaded)", "(SELECT source_file FROM loaded WHERE NOT contains(source_file, '5'))")
     flat = (lst + ", e AS (SELECT folder, 'Entity Registration/' || folder || '/' || name AS key, name AS display_key, "
             "CAST(y AS VARCHAR) || '-' || lpad(CAST(mo AS VARCHAR), 2, '0') || '-15' AS date_modified, "
             "folder || '/' || name AS local_path FROM listing)")

@@ -9,21 +9,24 @@ shuffle (a window would pull the whole group into one task and sort it).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import REGISTRATION_COLUMNS
 from ..session import materialize, path_exists
 
 
-def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the row with the greatest ``order`` tuple."""
+def keep_last(df: DataFrame, keys: list[str], order: list[str], also: Sequence[Column] = ()) -> DataFrame:
+    """One row per key: the row with the greatest ``order`` tuple. ``also``:
+    named aggregates over all rows of the key."""
     others = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                       F.struct(*others).alias("_row"))
-    return (df.groupBy(*keys).agg(F.max(packed).alias("_best"))
-              .select(*keys, "_best._row.*")
-              .select(*df.columns))
+    found = df.groupBy(*keys).agg(F.max(packed).alias("_best"), *also)
+    added = [c for c in found.columns if c not in keys and c != "_best"]
+    return found.select(*keys, "_best._row.*", *added).select(*df.columns, *added)
 
 
 def dedupe_keep_last(df: DataFrame, keys=("uei", "snapshot_date"), order_col: str = "line_no") -> DataFrame:
@@ -85,6 +88,32 @@ def history_locations(registrations: DataFrame, key: str = "uei") -> DataFrame:
                       .otherwise(F.col("_vals")).alias("all_locations"))
 
 
+def refresh_keys(derived: DataFrame, rebuilt: DataFrame, touched: DataFrame, key: str = "uei") -> DataFrame:
+    """A table of one row per key after some keys changed: ``derived`` without
+    the ``touched`` keys, and ``rebuilt``, their rows computed anew (a key may
+    have none any more)."""
+    return derived.join(touched.select(key), key, "left_anti").select(*derived.columns).unionByName(rebuilt)
+
+
+def refresh_latest(derived: DataFrame, registrations: DataFrame, touched: DataFrame) -> DataFrame:
+    """``latest_per_key`` brought up to date for the touched keys."""
+    return refresh_keys(derived, latest_per_key(_of(registrations, touched)), touched)
+
+
+def refresh_names(derived: DataFrame, registrations: DataFrame, touched: DataFrame) -> DataFrame:
+    """``history_names`` brought up to date for the touched keys."""
+    return refresh_keys(derived, history_names(_of(registrations, touched)), touched)
+
+
+def refresh_locations(derived: DataFrame, registrations: DataFrame, touched: DataFrame) -> DataFrame:
+    """``history_locations`` brought up to date for the touched keys."""
+    return refresh_keys(derived, history_locations(_of(registrations, touched)), touched)
+
+
+def _of(registrations: DataFrame, touched: DataFrame, key: str = "uei") -> DataFrame:
+    return registrations.join(touched.select(key), key, "left_semi").select(*registrations.columns)
+
+
 def ingest_counts(registrations: DataFrame, key: str = "uei", date_col: str = "snapshot_date") -> DataFrame:
     """Total rows, distinct snapshots, distinct keys: each distinct count is
     an aggregation of one column (no Expand over the table)."""

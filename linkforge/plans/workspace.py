@@ -3,9 +3,9 @@
 A ``Workspace`` is a folder of Parquet tables (shared storage on a
 cluster) holding what the stages hand to each other:
 
-  registrations        all snapshots, partitioned by snapshot_date, key (uei, snapshot_date);
-                       its source_file column is the record of loaded archives, for
-                       ``ingest`` and ``ingest_stream`` alike
+  registrations        all snapshots, partitioned by snapshot_date, key (uei, snapshot_date)
+  load_journal         one row per archive read: name, path, size, position in its load,
+                       loaded or empty, number of the load
   registrations_latest one row per uei
   uei_names            uei -> sorted distinct names
   uei_addresses        uei -> sorted distinct "city|zip5" (one NULL kept)
@@ -15,8 +15,14 @@ cluster) holding what the stages hand to each other:
   match_edges          pairs >= the cluster threshold
 
 ``ingest`` -> ``link`` -> ``cluster``, then the query methods read the
-tables. Every step is a Spark job; the driver only sees counts and the
-small parameter table.
+tables. Every step is a Spark job; the driver only sees counts, the
+small parameter table and one row per archive.
+
+Tables have versions (``versions``): each step stores what it makes in new
+folders and commits them together at its end. A load commits the history, its
+journal and the list of ueis it touched; the derived tables commit on their
+own and say up to which load they go, so that a rebuild that failed is made
+up for by the next ``ingest``, whether or not that loads anything.
 """
 
 from __future__ import annotations
@@ -27,14 +33,19 @@ from pyspark.sql import functions as F
 from ..model_params import ParameterSet
 from ..operators import explore, graph, model, scoring, tables
 from ..schema import REGISTRATION_SCHEMA
-from ..session import delete_path, ensure_checkpoint_dir, path_exists
+from ..session import ensure_checkpoint_dir, materialize
 from ..settings import DEFAULT_CLUSTER_THRESHOLD, DEFAULT_PREDICT_THRESHOLD, LinkSettings
 from ..sources import delimited, listing
 from ..streaming import incremental
 from . import linkage
+from .versions import TableVersions
 
-
-REGISTRATION_TABLES = ["registrations", "registrations_latest", "uei_names", "uei_addresses"]
+DERIVED = {
+    "registrations_latest": (tables.latest_per_key, tables.refresh_latest, "uei"),
+    "uei_names": (tables.history_names, tables.refresh_names, None),
+    "uei_addresses": (tables.history_locations, tables.refresh_locations, None),
+}
+CHANGES = "load_changes"  # + number of the load: ueis it touched
 
 
 class Workspace:
@@ -43,78 +54,127 @@ class Workspace:
         self.root = root.rstrip("/")
         self.settings = settings or LinkSettings()
         ensure_checkpoint_dir(spark)
+        self.versions = TableVersions(spark, self.root)
 
     # ------------------------------------------------------------ tables
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def exists(self, name: str) -> bool:
-        return path_exists(self.spark, self.path(name))
+        return self.versions.exists(name)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
-
-    def _write(self, df: DataFrame, name: str, sort_by: str | None = None) -> DataFrame:
-        """Replaces a table. ``sort_by``: rows are range-partitioned and sorted,
-        so a lookup by that column reads few row groups."""
-        if sort_by:
-            df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.table(name)
+        return self.versions.read(name)
 
     # ------------------------------------------------------------ ingest
     def ingest(self, archive_root: str | None = None, mode: str = "first", files: list[str] | None = None,
                rebuild: bool = False) -> DataFrame:
-        """Load archives not loaded before, upsert them, rebuild the derived
-        tables if anything was loaded. ``mode``: 'first' (reference default),
-        'latest', 'all'; ``files`` loads the given archive paths instead, in
-        that order; ``rebuild`` drops the stored history and its derived
-        tables first.
-
-        An archive counts as loaded when rows of it are stored, so one that
-        gave no rows is tried again. All new archives are read in one job.
-        Rows carry their archive's position in load order, so keep-last on
+        """Load archives not loaded before, upsert them, bring the derived
+        tables up to date. ``mode``: 'first' (reference default), 'latest',
+        'all'; ``files`` loads the given archive paths instead, in that order;
+        ``rebuild`` starts from an empty history, which takes the place of the
+        stored one when the load has succeeded.
+
+        An archive counts as loaded by its name, once rows of it were read;
+        one that gave no rows is tried again. All new archives are read in one
+        job. Rows carry their archive's position in load order, so keep-last on
         (uei, snapshot_date) gives what loading them one after the other
         would; then one upsert rewrites only the touched snapshot partitions.
         Returns the summary (total rows, snapshots, unique ueis)."""
+        base = self.versions.head()
         if rebuild:
-            for name in REGISTRATION_TABLES:
-                delete_path(self.spark, self.path(name))
+            dropped = [n for n in base["tables"] if n in ("registrations", "load_journal", *DERIVED) or n.startswith(CHANGES)]
+            base = {**base, "tables": {k: v for k, v in base["tables"].items() if k not in dropped},
+                    "facts": {**base["facts"], "load": 0, "derived": 0}}
         if files:
             todo = self.spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in files], "path string, name string")
         else:
             todo = listing.source_file_select(listing.archive_paths(self.spark, archive_root), mode).select("path", "name")
-        if self.exists("registrations"):
-            todo = listing.incremental_new_files(todo, self.table("registrations"))
+        todo = listing.pending_archives(todo, self._journal(base))
         # One row per archive file, as many as Spark's own file index lists in the driver.
         paths = {r["path"] for r in todo.select("path").collect()}
         ordered = [p for p in files if p in paths] if files else [
             r["path"] for r in listing.load_ordered(todo).collect()]
         if ordered:
-            self.load_lines(delimited.read_zip_lines(self.spark, ordered))
+            stored = self.spark.read.format("binaryFile").load(ordered)
+            self._load(base, stored, ordered)
+        elif rebuild:
+            self.versions.commit(base, {})
+        self.build_derived()
         if not self.exists("registrations"):
             return tables.ingest_counts(self.spark.createDataFrame([], REGISTRATION_SCHEMA))
         return tables.ingest_counts(self.table("registrations"))
 
     def ingest_stream(self, archive_root: str, checkpoint_location: str, files_per_batch: int = 1) -> int:
-        """Load the archives that arrived since the last run, then rebuild the
-        derived tables after each batch that gave rows. Returns the number of
+        """Load the archives that arrived since the last run, one commit per
+        micro-batch, by the journal that ``ingest`` uses. Returns the number of
         micro-batches."""
-        return incremental.incremental_ingest(self.spark, archive_root, self.path("registrations"), checkpoint_location,
-                                              files_per_batch, on_loaded=self.build_derived)
-
-    def load_lines(self, lines: DataFrame) -> int:
-        """Parse and upsert lines; rebuild the derived tables if rows came."""
-        rows = tables.write_upsert(self.spark, delimited.registrations_from_lines(lines), self.path("registrations"))
-        if rows:
+        def process(batch: DataFrame, batch_id: int) -> None:
+            base = self.versions.head()
+            named = listing.with_folder_and_name(batch.select("path")).where(~F.col("name").contains(listing.SKIP_MARKER))
+            # One row per archive of the micro-batch (maxFilesPerTrigger).
+            first: dict[str, str] = {}
+            for r in listing.load_ordered(listing.pending_archives(named, self._journal(base)).select("path")).collect():
+                first.setdefault(r["name"].lower(), r["path"])
+            if first:
+                self._load(base, batch, list(first.values()))
             self.build_derived()
-        return rows
 
-    def build_derived(self) -> None:
-        reg = self.table("registrations")
-        self._write(tables.latest_per_key(reg), "registrations_latest", "uei")
-        self._write(tables.history_names(reg), "uei_names")
-        self._write(tables.history_locations(reg), "uei_addresses")
+        batches = incremental.run_stream(self.spark, archive_root, checkpoint_location, files_per_batch, process)
+        self.build_derived()
+        return batches
+
+    def _journal(self, entry: dict) -> DataFrame:
+        if "load_journal" in entry["tables"]:
+            return self.versions.read("load_journal", entry)
+        return self.spark.createDataFrame([], listing.JOURNAL_SCHEMA)
+
+    def _load(self, base: dict, archives: DataFrame, ordered: list[str]) -> None:
+        """Reads the ``ordered`` ones of ``archives`` (binaryFile rows), upserts
+        their rows and commits history, journal and changes together."""
+        position = delimited.load_position(ordered)
+        sizes = archives.select(position.alias("position"), "path", "length").where("position > 0")
+        listed = {r["position"]: r for r in sizes.collect()}  # one row per archive of this load
+        files = archives.withColumn("load_pos", position).where("load_pos > 0")
+        partitions = delimited.line_partitions(self.spark, sum(r["length"] for r in listed.values()))
+        found = materialize(delimited.registrations_with_sources(delimited.unzip_lines(files, partitions)), "load-rows")
+        gave = {r["load_pos"] for r in found.select(F.explode("sources").alias("load_pos")).distinct().collect()}
+        load = base["facts"].get("load", 0) + 1
+        read = self.spark.createDataFrame(
+            [(p.rsplit("/", 1)[-1], p, listed[i]["length"] if i in listed else None, i, "loaded" if i in gave else "empty", load)
+             for i, p in enumerate(ordered, 1)], listing.JOURNAL_SCHEMA).dropDuplicates(["name"])
+        changed = {"load_journal": self.versions.write(listing.journal_after(self._journal(base), read), "load_journal")}
+        if gave:
+            incoming = found.drop("sources")
+            stored, merged = base["tables"].get("registrations", []), incoming
+            if stored:
+                touched = incoming.select(F.col("snapshot_date").alias("touched_date")).distinct()
+                current = self.versions.read("registrations", base).join(
+                    touched, F.col("snapshot_date").eqNullSafe(F.col("touched_date")), "left_semi").select(*incoming.columns)
+                merged = tables.upsert_by_key(current, incoming)
+            changed["registrations"] = self.versions.write_partitions(merged, "registrations", "snapshot_date", stored)
+            changed[f"{CHANGES}_{load}"] = self.versions.write(incoming.select("uei").distinct(), f"{CHANGES}_{load}")
+        self.versions.commit(base, changed, {"load": load if gave else load - 1})
+
+    def build_derived(self, full: bool = False) -> bool:
+        """Brings the derived tables up to the last load: rows of the ueis that
+        the loads since touched are computed anew, the others stay. ``full``
+        computes all. Returns whether there was anything to do."""
+        base = self.versions.head()
+        load, derived = base["facts"].get("load", 0), base["facts"].get("derived", 0)
+        if "registrations" not in base["tables"] or (derived == load and not full):
+            return False
+        registrations = self.versions.read("registrations", base)
+        since = [f"{CHANGES}_{n}" for n in range(derived + 1, load + 1)]
+        touched = None
+        if not full and all(n in base["tables"] for n in [*since, *DERIVED]):
+            touched = self.versions.read(since[0], base)
+            for n in since[1:]:
+                touched = touched.unionByName(self.versions.read(n, base))
+            touched = materialize(touched.distinct(), "touched-ueis")
+        changed: dict[str, list[str] | None] = {n: None for n in base["tables"] if n.startswith(CHANGES)}
+        for name, (build, refresh, sort_by) in DERIVED.items():
+            df = build(registrations) if touched is None else refresh(self.versions.read(name, base), registrations, touched)
+            changed[name] = self.versions.write(df, name, sort_by)
+        self.versions.commit(base, changed, {"derived": load})
+        return True
 
     # -------------------------------------------------------------- link
     def link(self, threshold: float = DEFAULT_PREDICT_THRESHOLD, params: ParameterSet | None = None,
@@ -123,23 +183,25 @@ class Workspace:
         Returns the weight-band summary."""
         latest = self.table("registrations_latest")
         records = linkage.link_records(latest.where(F.col("name_norm").isNotNull()), self.settings, tf=tf)
-        records = self._write(records, "_link_records")
+        records = materialize(records, "link-records")
         gammas = linkage.comparison_stage(records, self.settings)
         if params is None:
             params = model.train(records, self.settings, candidate_gammas=gammas)
-        self._write(params.to_dataframe(self.spark), "match_parameters")
         preds = scoring.score_pairs(gammas, params, self.settings, threshold=threshold, tf_adjust=tf)
-        preds = self._write(preds, "match_predictions")
-        return scoring.weight_bands(preds)
+        stored = {"match_parameters": self.versions.write(params.to_dataframe(self.spark), "match_parameters"),
+                  "match_predictions": self.versions.write(preds, "match_predictions")}
+        self.versions.commit(self.versions.head(), stored)
+        return scoring.weight_bands(self.table("match_predictions"))
 
     # ----------------------------------------------------------- cluster
     def cluster(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
         """Connected components of pairs >= threshold. Returns statistics."""
         preds = self.table("match_predictions")
-        edges = self._write(scoring.edges_above(preds, threshold), "match_edges", "uei_l")
-        membership = graph.connected_components(edges)
-        self._write(graph.entity_clusters(membership, self.table("registrations_latest")), "entity_clusters",
-                    "cluster_id")
+        stored = {"match_edges": self.versions.write(scoring.edges_above(preds, threshold), "match_edges", "uei_l")}
+        membership = graph.connected_components(self.versions.read_folders("match_edges", stored["match_edges"]))
+        clusters = graph.entity_clusters(membership, self.table("registrations_latest"))
+        stored["entity_clusters"] = self.versions.write(clusters, "entity_clusters", "cluster_id")
+        self.versions.commit(self.versions.head(), stored)
         return self.stats()
 
     # ----------------------------------------------------------- queries

@@ -137,6 +137,17 @@ def unzip_lines(files: DataFrame, partitions: int | None = None) -> DataFrame:
     return lines.repartition(partitions or files.sparkSession.sparkContext.defaultParallelism)
 
 
+# Lines are spread so that a task gets about so many bytes of them; archives
+# of such text shrink about eightfold.
+LINE_BYTES_PER_TASK = 128 << 20
+UNZIP_GROWTH = 8
+
+
+def line_partitions(spark: SparkSession, archive_bytes: int) -> int:
+    """Tasks for the lines of archives of so many bytes, as listed."""
+    return max(spark.sparkContext.defaultParallelism, -(-archive_bytes * UNZIP_GROWTH // LINE_BYTES_PER_TASK))
+
+
 def read_zip_lines(spark: SparkSession, paths: list[str] | str, partitions: int | None = None) -> DataFrame:
     """(load_pos, path, source_file, line_no, raw) from ZIP archives: those
     listed, in that order, whatever their names, or those of a folder."""
@@ -147,6 +158,14 @@ def read_zip_lines(spark: SparkSession, paths: list[str] | str, partitions: int
     return unzip_lines(files.load(listed).select(load_position(listed).alias("load_pos"), "path", "content"), partitions)
 
 
+def registrations_with_sources(lines: DataFrame) -> DataFrame:
+    """registrations_from_lines, and ``sources``: the load positions of all
+    archives that had a row of the key, also those whose row was replaced."""
+    from ..operators.tables import keep_last
+    sources = F.collect_set("load_pos").alias("sources")
+    return keep_last(parse_lines(lines), ["uei", "snapshot_date"], LOAD_ORDER, [sources]).drop(*LOAD_ORDER)
+
+
 def registrations_from_lines(lines: DataFrame) -> DataFrame:
     """Parsed, keyed rows of one load: in-batch duplicates on
     (uei, snapshot_date) resolved keep-last by load order."""

@@ -86,6 +86,24 @@ def loaded_files(registrations: DataFrame) -> DataFrame:
     return registrations.select("source_file").distinct()
 
 
+# Journal of loads: one row per archive that was read. An archive without rows
+# is ``empty`` and is tried again; a ``loaded`` one is not, whatever became of
+# its rows.
+JOURNAL_SCHEMA = "name string, path string, size bigint, position bigint, status string, load bigint"
+
+
+def pending_archives(selected: DataFrame, journal: DataFrame) -> DataFrame:
+    """Selected archives that the journal doesn't name as loaded."""
+    loaded = journal.where(F.col("status") == "loaded").select("name").distinct()
+    return selected.join(loaded, "name", "left_anti")
+
+
+def journal_after(journal: DataFrame, read: DataFrame) -> DataFrame:
+    """The journal with the archives of one load: a name has one row, the last
+    one written."""
+    return journal.join(read.select("name"), "name", "left_anti").select(*journal.columns).unionByName(read)
+
+
 def incremental_new_files(selected: DataFrame, registrations: DataFrame) -> DataFrame:
     """Selected archives whose name is not yet a ``source_file`` of the table."""
     loaded = loaded_files(registrations).withColumnRenamed("source_file", "name")

@@ -74,17 +74,24 @@ def _upsert_batch(table_path: str, on_loaded: Callable[[], None] | None):
     return process
 
 
+def run_stream(spark: SparkSession, source_dir: str, checkpoint_location: str, files_per_batch: int,
+               process: Callable[[DataFrame, int], None]) -> int:
+    """``process`` for each micro-batch of archives (path, modificationTime,
+    length, content) that arrived since the last run; then stops. Returns the
+    number of micro-batches. A batch whose ``process`` failed comes again."""
+    query = (archive_stream(spark, source_dir, files_per_batch).writeStream
+             .foreachBatch(process)
+             .option("checkpointLocation", checkpoint_location)
+             .trigger(availableNow=True)
+             .start())
+    query.awaitTermination()
+    return sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
+
+
 def incremental_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint_location: str,
                        files_per_batch: int = 1, on_loaded: Callable[[], None] | None = None) -> int:
     """Process every archive not seen before, then stop; ``on_loaded`` runs
     after each micro-batch that gave rows. Returns the number of micro-batches
     run. ``checkpoint_location`` must be on shared storage (it records which
     files the stream consumed)."""
-    query = (archive_stream(spark, source_dir, files_per_batch).writeStream
-             .foreachBatch(_upsert_batch(table_path, on_loaded))
-             .option("checkpointLocation", checkpoint_location)
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    progress = query.recentProgress
-    return sum(1 for p in progress if p.get("numInputRows", 0) > 0)
+    return run_stream(spark, source_dir, checkpoint_location, files_per_batch, _upsert_batch(table_path, on_loaded))
