@@ -24,10 +24,22 @@ from linkforge.llm.common import WORD
 from linkforge.session import materialize
 
 
+# Rows are whole documents here: so many of them travel to Python at once.
+BATCH_ROWS = 1000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to ``BATCH_ROWS`` where they are longer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a known language: not those without a letter, nor those
     whose 3-grams fit no learned language. The fit asked for grows with the
     number of 3-grams, so short clean texts stay."""
+    _short_batches(spark)
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "lang", "text")
     return language_id.identify(rows, keep=["row"], judge=True, text_at="row.text").where("known").select("row.*")
 
@@ -45,6 +57,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-copy group: the smallest doc_id, then the
     first row of the stored table."""
+    _short_batches(spark)
     placed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text",
                          F.monotonically_increasing_id().alias("scan_row"))
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "scan_row")
@@ -55,11 +68,13 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words taken to reach the sources' targets."""
+    _short_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces in sequences of at most 2048 tokens."""
+    _short_batches(spark)
     return packing.pack(docs)
 
 
