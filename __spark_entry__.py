@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from linkforge.operators import blocking, comparisons, explore, graph, model, scoring, tables  # noqa: E402
+from linkforge.operators import blocking, comparisons, explore, graph, model, scoring, search_index, tables  # noqa: E402
 import fixture_views as fixtures  # noqa: E402
 from linkforge.plans import linkage  # noqa: E402
-from linkforge.sources import delimited, listing, manifest, pages  # noqa: E402
+from linkforge.sources import delimited, html_links, listing, manifest, pages  # noqa: E402
 from linkforge.schema import LINK_COLUMNS  # noqa: E402
+from linkforge.session import materialize  # noqa: E402
 from linkforge.settings import LinkSettings  # noqa: E402
 
 try:
@@ -141,6 +142,15 @@ def q_connected_components(spark, d):
     return _st(spark, d).clusters().select("cluster_id", "uei", "cluster_size")
 
 
+def q_connected_components_incremental(spark, d):
+    """Labels of every second scored pair brought up to date for the edges:
+    pairs come in and, where they score too low, go."""
+    st = _st(spark, d)
+    start = st.predictions(2.0).where(F.crc32(F.concat("uei_l", "uei_r")) % 2 == 0).select("uei_l", "uei_r")
+    labels = graph.change_edges(materialize(graph.component_labels(start), "start-labels"), start, st.edges())
+    return graph.numbered_components(labels).select("cluster_id", "uei", "cluster_size")
+
+
 def q_entity_clusters(spark, d):
     return _st(spark, d).clusters()
 
@@ -201,13 +211,36 @@ def q_diagnosed_size(spark, d):
     return explore.cluster_size(_st(spark, d).clusters(), 0)
 
 
+def _unclustered_name(st):
+    alone = st.latest().where(F.col("legal_name").isNotNull()).join(st.clusters().select("uei"), "uei", "left_anti")
+    return alone.agg(F.min_by("legal_name", "uei")).first()[0] or ""
+
+
 def q_name_search_unclustered(spark, d):
     """Search for the name of the first entity outside all clusters: where no
     clustered entity matches it, the search falls back to all registrations."""
     st = _st(spark, d)
-    alone = st.latest().where(F.col("legal_name").isNotNull()).join(st.clusters().select("uei"), "uei", "left_anti")
-    term = alone.agg(F.min_by("legal_name", "uei")).first()[0]
-    return explore.name_search(st.clusters(), st.latest(), term or "", 25)
+    return explore.name_search(st.clusters(), st.latest(), _unclustered_name(st), 25)
+
+
+def _indexed(st):
+    return [part for table in (st.clusters(), st.latest()) for part in st.search_index(table)]
+
+
+def q_name_search_indexed(spark, d):
+    """The name search through trigram postings of both tables."""
+    return search_index.indexed_name_search(*_indexed(_st(spark, d)), "ring", 25)
+
+
+def q_name_search_unclustered_indexed(spark, d):
+    st = _st(spark, d)
+    return search_index.indexed_name_search(*_indexed(st), _unclustered_name(st), 25)
+
+
+def q_search_gram_counts(spark, d):
+    """How many entities each indexed trigram leads to."""
+    st = _st(spark, d)
+    return search_index.gram_counts(st.search_index(st.latest())[1])
 
 
 def q_predictions_full(spark, d):
@@ -388,6 +421,16 @@ def q_page_links_class(spark, d):
     return pages.page_links(fixtures.class_pages(spark, d))
 
 
+def q_page_links_parsed(spark, d):
+    """The same anchors by the tokeniser with an open-element stack."""
+    return html_links.page_links(fixtures.read_table(spark, d, "pages"), css_class=None)
+
+
+def q_page_links_broken(spark, d):
+    """Pages with comments, scripts, stray and missing end tags around theirs."""
+    return html_links.page_links(fixtures.broken_pages(spark, d), css_class=None)
+
+
 def q_page_link_counts(spark, d):
     return pages.page_link_counts(q_page_links(spark, d))
 
@@ -411,6 +454,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_threshold": q_edge_threshold,
     "graph_nodes": q_graph_nodes,
     "connected_components": q_connected_components,
+    "connected_components_incremental": q_connected_components_incremental,
     "entity_clusters": q_entity_clusters,
     "cluster_stats": q_cluster_stats,
     "cluster_size_distribution": q_cluster_size_distribution,
@@ -426,6 +470,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_members": q_entity_members,
     "diagnosed_size": q_diagnosed_size,
     "name_search_unclustered": q_name_search_unclustered,
+    "name_search_indexed": q_name_search_indexed,
+    "name_search_unclustered_indexed": q_name_search_unclustered_indexed,
+    "search_gram_counts": q_search_gram_counts,
     "predictions_full": q_predictions_full,
     "name_search": q_name_search,
     "name_search_fallback": q_name_search_fallback,
@@ -458,6 +505,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_missing": q_manifest_missing,
     "page_links": q_page_links,
     "page_links_class": q_page_links_class,
+    "page_links_parsed": q_page_links_parsed,
+    "page_links_broken": q_page_links_broken,
     "page_link_counts": q_page_link_counts,
 }
 

@@ -158,6 +158,7 @@ SELECT weight_band, count(*) AS n_pairs FROM placed GROUP BY weight_band""").rep
         "round(match_probability, 6) AS match_probability FROM edges")
     q["graph_nodes"] = with_base("SELECT uei_l AS node FROM edges UNION SELECT uei_r FROM edges")
     q["connected_components"] = with_base("SELECT cluster_id, uei, cluster_size FROM ec")
+    q["connected_components_incremental"] = q["connected_components"]
     q["entity_clusters"] = with_base("SELECT * FROM ec")
     total = "(SELECT count(*) FROM latest)"
     q["cluster_stats"] = with_base(
@@ -235,6 +236,11 @@ JOIN band ON cluster_size BETWEEN low AND high GROUP BY size_range""").replace("
         "UNION ALL SELECT * FROM (SELECT CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), uei, legal_name, phys_city, "
         f"phys_state, zip5 FROM latest WHERE {like.format(q='ring')} "
         f"AND NOT EXISTS (SELECT 1 FROM ec WHERE {like.format(q='ring')}) ORDER BY legal_name NULLS LAST, uei LIMIT 25)")
+    q["name_search_indexed"] = q["name_search"]
+    grams = "SELECT uei, unnest(list_transform(range(1, greatest(len({c}) - 1, 1)), lambda i: substr({c}, i, 3))) AS gram FROM latest"
+    q["search_gram_counts"] = with_base(
+        "SELECT gram, count(*) AS n_rows FROM (SELECT DISTINCT uei, gram FROM ("
+        f"{grams.format(c='name_norm')} UNION ALL {grams.format(c='lower(legal_name)')})) GROUP BY gram")
     sought = ("(strpos(name_norm, lower((SELECT term FROM alone))) > 0 "
               "OR strpos(lower(legal_name), lower((SELECT term FROM alone))) > 0)")
     q["name_search_unclustered"] = with_base(f""",
@@ -246,6 +252,7 @@ every AS (SELECT CAST(NULL AS BIGINT) AS cluster_id, CAST(NULL AS BIGINT) AS clu
 SELECT * FROM (SELECT * FROM hits ORDER BY cluster_size DESC, legal_name NULLS LAST, uei LIMIT 25)
 UNION ALL SELECT * FROM (SELECT * FROM every ORDER BY legal_name NULLS LAST, uei LIMIT 25)""").replace(
         "\n,\nalone", ",\nalone")
+    q["name_search_unclustered_indexed"] = q["name_search_unclustered"]
     q["name_search_fallback"] = with_base(
         "SELECT CAST(NULL AS BIGINT) AS cluster_id, CAST(NULL AS BIGINT) AS cluster_size, uei, legal_name, "
         f"phys_city, phys_state, zip5 FROM latest WHERE {like.format(q='gizmo')} "
@@ -365,6 +372,10 @@ t AS (SELECT page_id, link_pos, trim({ent.format(x="regexp_replace(regexp_extrac
 """
     q["page_links_class"] = links + "SELECT page_id, link_pos, link_text FROM t WHERE link_text <> '' AND page_id % 2 = 0"
     q["page_links"] = links + "SELECT page_id, link_pos, link_text FROM t WHERE link_text <> ''"
+    q["page_links_parsed"] = q["page_links"]
+    q["page_links_broken"] = q["page_links"] + (
+        " UNION ALL SELECT page_id, len(regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>')) AS link_pos, "
+        "'tail' || page_id || 'end' FROM pages WHERE html IS NOT NULL")
     q["page_link_counts"] = links + "SELECT page_id, count(*) AS n_links FROM t WHERE link_text <> '' GROUP BY page_id"
     return q
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from linkforge.functions import text
 from linkforge.model_params import ParameterSet, level_params
-from linkforge.operators import blocking, comparisons, scoring
+from linkforge.operators import blocking, comparisons, scoring, search_index
 from linkforge.plans.linkage import cluster_stage, link_records
 from linkforge.session import materialize
 from linkforge.settings import DEFAULT_CLUSTER_THRESHOLD, DEFAULT_PREDICT_THRESHOLD, LinkSettings
@@ -308,6 +308,21 @@ FROM {pages}
 """
 
 
+# Pages with markup that is broken or not to be read: an anchor in a comment, one
+# in a script, stray end tags before the page, and after it an anchor with `>` in
+# an attribute, a hidden element within one of its own name, an unclosed element
+# and no end tag.
+BROKEN_PAGES_SQL = """
+SELECT page_id, concat('<!-- <a href="x">commented</a> --></b></a><script>"<a>scripted</a>"</script>', html,
+                       '<a title="a>b"> tail <span class="x sr-only">hidden<span>too</span></span>', page_id, '<i> end') AS html
+FROM {pages}
+"""
+
+
+def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(BROKEN_PAGES_SQL, pages=read_table(spark, sf_dir, "pages"))
+
+
 def class_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CLASS_PAGES_SQL, pages=read_table(spark, sf_dir, "pages"))
 
@@ -364,6 +379,13 @@ class FixtureStages:
     def clusters(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
         return self.clustered(threshold)[0]
 
+    def search_index(self, table: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows, postings) of a searched table."""
+        def build():
+            rows = materialize(search_index.numbered_rows(table), "search-rows")
+            return rows, materialize(search_index.postings(rows), "search-postings")
+        return self._memo(("search", id(table)), build)
+
     def edges(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
         return self.clustered(threshold)[1]
 

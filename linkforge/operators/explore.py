@@ -25,14 +25,14 @@ OVERLINK_PCT = 1.0
 SEARCH_COLUMNS = ["cluster_id", "cluster_size", "uei", "legal_name", "phys_city", "phys_state", "zip5"]
 
 
-def _name_match(query: str) -> Column:
+def name_match(query: str) -> Column:
     q = F.lit(query)
     return (F.like(F.col("name_norm"), like_pattern(F.lower(q)))
             | F.ilike(F.col("legal_name"), like_pattern(q)))
 
 
 def search_clustered(clusters: DataFrame, query: str, limit: int = 25) -> DataFrame:
-    return (clusters.where(_name_match(query))
+    return (clusters.where(name_match(query))
                     .orderBy(F.col("cluster_size").desc_nulls_last(), F.col("legal_name").asc_nulls_last(),
                              F.col("uei"))
                     .limit(limit)
@@ -41,7 +41,7 @@ def search_clustered(clusters: DataFrame, query: str, limit: int = 25) -> DataFr
 
 def search_registrations(latest: DataFrame, query: str, limit: int = 25) -> DataFrame:
     """Fallback search over all latest registrations; cluster columns NULL."""
-    return (latest.where(_name_match(query))
+    return (latest.where(name_match(query))
                   .orderBy(F.col("legal_name").asc_nulls_last(), F.col("uei"))
                   .limit(limit)
                   .select(F.lit(None).cast("long").alias("cluster_id"),
@@ -54,7 +54,7 @@ def name_search(clusters: DataFrame, latest: DataFrame, query: str, limit: int =
     latest registrations. One plan: the fallback is gated by a scalar
     subquery (existence of any clustered match), evaluated once."""
     primary = search_clustered(clusters, query, limit)
-    any_primary = clusters.where(_name_match(query)).limit(1).agg(F.count(F.lit(1))).scalar()
+    any_primary = clusters.where(name_match(query)).limit(1).agg(F.count(F.lit(1))).scalar()
     fallback = search_registrations(latest, query, limit).where(any_primary == F.lit(0))
     return primary.unionByName(fallback)
 

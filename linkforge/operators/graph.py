@@ -135,7 +135,11 @@ def dense_ids(keys: DataFrame, key: str, id_col: str = "id") -> DataFrame:
 def connected_components(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r",
                          id_col: str = "uei") -> DataFrame:
     """(cluster_id, <id_col>, cluster_size) for every node with an edge."""
-    labels = component_labels(edges, src, dst)
+    return numbered_components(component_labels(edges, src, dst), id_col)
+
+
+def numbered_components(labels: DataFrame, id_col: str = "uei") -> DataFrame:
+    """(cluster_id, <id_col>, cluster_size) of (node, label) rows."""
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size"))
     ids = dense_ids(sizes, "label", "cluster_id")
     # ids has one row per cluster; AQE picks broadcast when it is small and
@@ -144,6 +148,53 @@ def connected_components(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r
                   .select("cluster_id", F.col("node").alias(id_col), "cluster_size"))
 
 
+def add_edges(labels: DataFrame, edges: DataFrame, src: str = "uei_l", dst: str = "uei_r") -> DataFrame:
+    """(node, label) after ``edges`` are added to the graph that ``labels``
+    describes; equal to labelling all edges anew.
+
+    Rounds run on the graph of labels alone: an edge within a component is none
+    there, and what stays has at most as many nodes as the new edges have ends,
+    whatever the size of the stored components. A label is its component's
+    smallest node, so the smallest of the labels that meet is the new one."""
+    ensure_checkpoint_dir(edges.sparkSession)
+    canon = materialize(canonical_edges(edges, src, dst), "cc-added")
+    ends = canon.select(F.col("a").alias("node")).union(canon.select(F.col("b").alias("node"))).distinct()
+    known = labels.select(F.col("node").alias("known"), "label")
+    placed = materialize(ends.join(known, F.col("node") == F.col("known"), "left").select(
+        "node", F.coalesce("label", "node").alias("label"), F.col("known").isNull().alias("new")), "cc-added-ends")
+    between = (canon.join(placed.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
+                    .join(placed.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b"))
+    met = component_labels(between, "la", "lb").select(F.col("node").alias("met"), F.col("label").alias("to"))
+    grown = labels.select("node", "label").unionByName(placed.where("new").select("node", "label"))
+    return grown.join(met, F.col("label") == F.col("met"), "left").select("node", F.coalesce("to", "label").alias("label"))
+
+
+def remove_edges(labels: DataFrame, removed: DataFrame, left: DataFrame, src: str = "uei_l", dst: str = "uei_r") -> DataFrame:
+    """(node, label) after the ``removed`` edges are gone and the edges
+    ``left`` stay: the components of the removed edges are labelled anew from
+    those of their edges that are left, the others keep their labels. Nodes
+    without an edge go."""
+    ensure_checkpoint_dir(left.sparkSession)
+    gone = canonical_edges(removed, src, dst)
+    ends = gone.select(F.col("a").alias("node")).union(gone.select(F.col("b").alias("node"))).distinct()
+    touched = materialize(labels.join(ends, "node", "left_semi").select("label").distinct(), "cc-touched")
+    nodes = labels.join(touched, "label", "left_semi").select(F.col("node").alias(src))
+    again = component_labels(left.join(nodes, src, "left_semi"), src, dst)
+    return labels.join(touched, "label", "left_anti").select("node", "label").unionByName(again.select("node", "label"))
+
+
+def change_edges(labels: DataFrame, before: DataFrame, after: DataFrame, src: str = "uei_l", dst: str = "uei_r") -> DataFrame:
+    """(node, label) of the edges ``after``, from the ``labels`` of the edges
+    ``before``: only the edges in which the two differ are worked on."""
+    old, new = canonical_edges(before, src, dst), canonical_edges(after, src, dst)
+    removed = materialize(old.join(new, ["a", "b"], "left_anti"), "cc-removed-edges")
+    added = materialize(new.join(old, ["a", "b"], "left_anti"), "cc-added-edges")
+    if not removed.isEmpty():
+        stay = old.join(removed, ["a", "b"], "left_anti")
+        labels = materialize(remove_edges(labels, removed, stay, "a", "b"), "cc-after-removal")
+    return labels if added.isEmpty() else add_edges(labels, added, "a", "b")
+
+
 def graph_nodes(edges: DataFrame, src: str = "uei_l", dst: str = "uei_r") -> DataFrame:
     """Distinct nodes from both edge ends."""
     return edges.select(F.col(src).alias("node")).union(edges.select(F.col(dst).alias("node"))).distinct()

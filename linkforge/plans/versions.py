@@ -80,14 +80,15 @@ class TableVersions:
         return found.drop(COMMIT_COLUMN)
 
     # ------------------------------------------------------------ writing
-    def write(self, df: DataFrame, name: str, sort_by: str | None = None) -> list[str]:
+    def write(self, df: DataFrame, name: str, sort_by: str | None = None,
+              options: dict[str, str] | None = None) -> list[str]:
         """Stores a whole table; returns its folders, for ``commit``. With
         ``sort_by`` rows are range-partitioned and sorted, so that a lookup by
         that column reads few row groups."""
         if sort_by:
             df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
         folder = f"{name}/{COMMIT_COLUMN}={uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{folder}")
+        df.write.options(**(options or {})).parquet(f"{self.root}/{folder}")
         return [folder]
 
     def write_partitions(self, df: DataFrame, name: str, partition_col: str, kept: list[str]) -> list[str]:

@@ -13,6 +13,7 @@ cluster) holding what the stages hand to each other:
   match_parameters     the trained m/u table
   entity_clusters      cluster membership + attributes + size
   match_edges          pairs >= the cluster threshold
+  search_rows_*, search_postings_*   trigram index of the name search (``build_search_index``)
 
 ``ingest`` -> ``link`` -> ``cluster``, then the query methods read the
 tables. Every step is a Spark job; the driver only sees counts, the
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model_params import ParameterSet
-from ..operators import explore, graph, model, scoring, tables
+from ..operators import blocking, explore, graph, model, scoring, search_index, tables
 from ..schema import REGISTRATION_SCHEMA
 from ..session import ensure_checkpoint_dir, materialize
 from ..settings import DEFAULT_CLUSTER_THRESHOLD, DEFAULT_PREDICT_THRESHOLD, LinkSettings
@@ -45,6 +46,7 @@ DERIVED = {
     "uei_names": (tables.history_names, tables.refresh_names, None),
     "uei_addresses": (tables.history_locations, tables.refresh_locations, None),
 }
+SEARCHED = ("entity_clusters", "registrations_latest")
 CHANGES = "load_changes"  # + number of the load: ueis it touched
 
 
@@ -178,30 +180,51 @@ class Workspace:
 
     # -------------------------------------------------------------- link
     def link(self, threshold: float = DEFAULT_PREDICT_THRESHOLD, params: ParameterSet | None = None,
-             tf: bool = True) -> DataFrame:
-        """Train (unless ``params``), score, keep pairs >= threshold.
-        Returns the weight-band summary."""
+             tf: bool = True, full: bool = False) -> DataFrame:
+        """Train (unless ``params``), score, keep pairs >= threshold. With
+        ``full`` the stored predictions keep the compared values of both sides,
+        the factors and the term frequencies too. Returns the weight-band
+        summary, without rows where no registrations are loaded."""
+        if not self.exists("registrations_latest"):
+            return self.spark.createDataFrame([], "weight_band string, n_pairs long")
         latest = self.table("registrations_latest")
         records = linkage.link_records(latest.where(F.col("name_norm").isNotNull()), self.settings, tf=tf)
         records = materialize(records, "link-records")
         gammas = linkage.comparison_stage(records, self.settings)
         if params is None:
             params = model.train(records, self.settings, candidate_gammas=gammas)
-        preds = scoring.score_pairs(gammas, params, self.settings, threshold=threshold, tf_adjust=tf)
+        if full:
+            if not tf:
+                raise ValueError("full predictions hold term frequencies: they need tf=True")
+            pairs = blocking.candidate_pairs(records, self.settings, carry=list(records.columns))
+            preds = linkage.full_predictions(pairs, params, self.settings, threshold)
+        else:
+            preds = scoring.score_pairs(gammas, params, self.settings, threshold=threshold, tf_adjust=tf)
         stored = {"match_parameters": self.versions.write(params.to_dataframe(self.spark), "match_parameters"),
                   "match_predictions": self.versions.write(preds, "match_predictions")}
         self.versions.commit(self.versions.head(), stored)
         return scoring.weight_bands(self.table("match_predictions"))
 
     # ----------------------------------------------------------- cluster
-    def cluster(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD) -> DataFrame:
-        """Connected components of pairs >= threshold. Returns statistics."""
-        preds = self.table("match_predictions")
+    def cluster(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD, incremental: bool = False) -> DataFrame:
+        """Connected components of pairs >= threshold. Returns statistics.
+        ``incremental`` starts from the stored clusters and works on the edges
+        that differ from the stored ones; the result is the same."""
+        base = self.versions.head()
+        preds = self.versions.read("match_predictions", base)
         stored = {"match_edges": self.versions.write(scoring.edges_above(preds, threshold), "match_edges", "uei_l")}
-        membership = graph.connected_components(self.versions.read_folders("match_edges", stored["match_edges"]))
-        clusters = graph.entity_clusters(membership, self.table("registrations_latest"))
+        edges = self.versions.read_folders("match_edges", stored["match_edges"])
+        if incremental and {"match_edges", "entity_clusters"} <= set(base["tables"]):
+            known = self.versions.read("entity_clusters", base).select("cluster_id", "uei")
+            first = known.groupBy("cluster_id").agg(F.min("uei").alias("label"))
+            labels = materialize(known.join(first, "cluster_id").select(F.col("uei").alias("node"), "label"), "stored-labels")
+            changed = graph.change_edges(labels, self.versions.read("match_edges", base), edges)
+            membership = graph.numbered_components(materialize(changed, "changed-labels"))
+        else:
+            membership = graph.connected_components(edges)
+        clusters = graph.entity_clusters(membership, self.versions.read("registrations_latest", base))
         stored["entity_clusters"] = self.versions.write(clusters, "entity_clusters", "cluster_id")
-        self.versions.commit(self.versions.head(), stored)
+        self.versions.commit(base, stored)
         return self.stats()
 
     # ----------------------------------------------------------- queries
@@ -217,7 +240,28 @@ class Workspace:
     def overlink(self) -> DataFrame:
         return explore.overlink_check(self.table("entity_clusters"), self.table("registrations_latest"))
 
+    def build_search_index(self) -> None:
+        """Trigram indexes of the searched tables as they are now. ``search``
+        uses them as long as those tables are the ones indexed."""
+        base = self.versions.head()
+        stored, of = {}, {}
+        for name in SEARCHED:
+            rows = search_index.numbered_rows(self.versions.read(name, base))
+            written = self.versions.write(rows, f"search_rows_{name}", "row_no")
+            index = search_index.postings(self.versions.read_folders(f"search_rows_{name}", written))
+            stored[f"search_rows_{name}"] = written
+            stored[f"search_postings_{name}"] = self.versions.write(
+                index, f"search_postings_{name}", "gram", search_index.INDEX_OPTIONS)
+            of[name] = base["tables"][name]
+        self.versions.commit(base, stored, {"searched": of})
+
     def search(self, query: str, limit: int = 25) -> DataFrame:
+        """Entities whose name contains the query, by the trigram index where
+        it is up to date, else by a scan; the rows are the same."""
+        base = self.versions.head()
+        if base["facts"].get("searched") == {n: base["tables"].get(n) for n in SEARCHED}:
+            parts = [self.versions.read(f"search_{kind}_{n}", base) for n in SEARCHED for kind in ("rows", "postings")]
+            return search_index.indexed_name_search(*parts, query, limit)
         return explore.name_search(self.table("entity_clusters"), self.table("registrations_latest"), query, limit)
 
     def entity(self, uei: str) -> DataFrame:

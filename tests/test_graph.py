@@ -62,3 +62,38 @@ def test_dense_ids_many_partitions(spark):
     keys = spark.range(0, 5000, 1, 7).selectExpr("lpad(cast(id * 7 % 5000 as string), 6, '0') AS k")
     got = sorted((r.k, r.id) for r in graph.dense_ids(keys, "k", "id").collect())
     assert [i for _, i in got] == list(range(5000))
+
+
+def _stored(spark, labels):
+    return spark.createDataFrame(sorted(labels.items()), "node string, label string")
+
+
+def _frame(spark, edges):
+    return spark.createDataFrame(edges, "uei_l string, uei_r string")
+
+
+def test_edge_changes_equal_a_full_run(spark):
+    rng = random.Random(5)
+    edges = [tuple(f"n{rng.randrange(60):02d}" for _ in range(2)) for _ in range(40)]
+    labels = _union_find([e for e in edges if e[0] != e[1]])
+    for _ in range(3):
+        after = rng.sample(edges, 30) + [tuple(f"n{rng.randrange(60):02d}" for _ in range(2)) for _ in range(8)]
+        changed = graph.change_edges(_stored(spark, labels), _frame(spark, edges), _frame(spark, after))
+        labels = {r.node: r.label for r in changed.collect()}
+        edges = after
+        assert labels == _union_find([e for e in edges if e[0] != e[1]])
+
+
+def test_edge_changes_at_the_ends(spark):
+    chain = [("a", "b"), ("b", "c"), ("d", "e")]
+    labels = _stored(spark, _union_find(chain))
+    as_dict = lambda df: {r.node: r.label for r in df.collect()}
+    none = _frame(spark, [])
+    # a self-loop and a reversed repeat change nothing; new nodes may come before all labels
+    assert as_dict(graph.add_edges(labels, _frame(spark, [("c", "a"), ("c", "c")]))) == _union_find(chain)
+    assert as_dict(graph.add_edges(labels, _frame(spark, [("0", "e"), ("x", "y")]))) == {
+        "a": "a", "b": "a", "c": "a", "0": "0", "d": "0", "e": "0", "x": "x", "y": "x"}
+    assert as_dict(graph.add_edges(_stored(spark, {"q": "p", "p": "p"}).limit(0), _frame(spark, chain))) == _union_find(chain)
+    assert as_dict(graph.change_edges(labels, _frame(spark, chain), none)) == {}
+    assert as_dict(graph.change_edges(labels, _frame(spark, chain), _frame(spark, [("a", "b"), ("e", "d")]))) == {
+        "a": "a", "b": "a", "d": "d", "e": "d"}

@@ -164,3 +164,33 @@ def test_lines_are_split_once(spark):
     plan = delimited.parse_lines(spark.createDataFrame(stored.limit(3).collect(), stored.schema))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("split(") == 1
+
+
+def test_incremental_clusters_and_full_predictions(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "data")
+    _archive(os.path.join(src, "Public V2"), "SAM_PUBLIC_MONTHLY_V2_20240201.ZIP", [
+        _rec("U1", "Acme Widgets Inc", "ARLINGTON", "22201"), _rec("U2", "ACME WIDGETS LLC", "ARLINGTON", "22201"),
+        _rec("U3", "Acme Widgets Corp", "RESTON", "22201"), _rec("U4", "Zeta Labs", "DENVER", "80202", poc="JONES"),
+        _rec("U5", "Zeta Labs Incorporated", "DENVER", "80202", poc="JONES")])
+    ws = Workspace(spark, os.path.join(tmp_dir, "ws"))
+    # nothing loaded: nothing to link
+    assert ws.link(params=fixed_parameters()).count() == 0 and not ws.exists("match_predictions")
+    ws.ingest(src)
+
+    def clusters():
+        return sorted((r.cluster_id, r.uei, r.cluster_size) for r in ws.table("entity_clusters").collect())
+
+    ws.link(threshold=-60.0, params=fixed_parameters(), tf=True)
+    lean = {(r.uei_l, r.uei_r): round(r.match_weight, 6) for r in ws.table("match_predictions").collect()}
+    ws.cluster(threshold=min(lean.values()))
+    all_edges = clusters()
+    ws.cluster(threshold=max(lean.values()), incremental=True)
+    few = clusters()
+    ws.cluster(threshold=max(lean.values()))
+    assert few == clusters() != all_edges
+    ws.cluster(threshold=min(lean.values()), incremental=True)
+    assert clusters() == all_edges
+    ws.link(threshold=-60.0, params=fixed_parameters(), full=True)
+    full = ws.table("match_predictions")
+    assert {(r.uei_l, r.uei_r): round(r.match_weight, 6) for r in full.collect()} == lean
+    assert {"name_norm_l", "name_norm_r", "bf_name_norm", "tf_name_norm_l"} <= set(full.columns)
