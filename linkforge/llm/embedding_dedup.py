@@ -19,8 +19,8 @@ byte of its code and looks, within that file, for others whose neighbouring
 byte differs in at most one bit. Files larger than ``CELL_ROWS`` are cut into
 cells of bounded size; each pair is judged in the first file where it meets.
 
-Rerank. Pairs within ``MAX_BITS`` of the whole code are compared by cosine in
-double precision with their original vectors, inside the same task. A link at
+Rerank. Every pair that meets is compared by cosine in double precision with
+the original vectors, inside the same task. A link at
 cosine 0.9 differs in 14 % of the bits on average and meets in at least one of
 eight tables with probability 0.95, at 0.97 with 0.999; the tests measure it.
 
@@ -62,7 +62,6 @@ THRESHOLD = 0.9
 SAMPLE = 8192
 CODE_BYTES = 16
 FILE_BYTES = 1
-MAX_BITS = 44
 NEAR_ORIGIN = 0.4
 ITERATIONS = 30
 CELL_ROWS = 2048
@@ -165,7 +164,7 @@ def _meeting(differ: np.ndarray, file_bytes: int) -> np.ndarray:
 
 
 def judge_cell(file: int, vectors: np.ndarray, codes: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float,
-               max_bits: int, file_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+               file_bytes: int) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs (positions) between two parts of a file; the same array
     twice: within it."""
     within = left is right
@@ -182,9 +181,7 @@ def judge_cell(file: int, vectors: np.ndarray, codes: np.ndarray, left: np.ndarr
             a, b = a[i + k < j], b[i + k < j]
         for s in range(0, len(a), 65_536):
             x, y = a[s:s + 65_536], b[s:s + 65_536]
-            bits = _POP[codes[x] ^ codes[y]]
-            keep = bits.sum(axis=1, dtype=np.int64) <= max_bits
-            keep[keep] = _meeting(bits[keep], file_bytes).argmax(axis=1) == file
+            keep = _meeting(_POP[codes[x] ^ codes[y]], file_bytes).argmax(axis=1) == file
             x, y = x[keep], y[keep]
             cosine = np.einsum("ij,ij->i", vectors[x], vectors[y]) / (norms[x] * norms[y])
             found_a.append(x[cosine >= threshold])
@@ -207,8 +204,8 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def link_cells(coded_vectors: DataFrame, threshold: float = THRESHOLD, max_bits: int = MAX_BITS,
-               file_bytes: int = FILE_BYTES, cell_rows: int = CELL_ROWS) -> DataFrame:
+def link_cells(coded_vectors: DataFrame, threshold: float = THRESHOLD, file_bytes: int = FILE_BYTES,
+               cell_rows: int = CELL_ROWS) -> DataFrame:
     """(a, links, null): vectors linked to a in one cell; (a, null, b): an
     edge of a cell's spanning forest."""
     entries = coded_vectors.select("vec_id", "copies", "vector", "code", F.explode("files").alias("file"))
@@ -230,7 +227,7 @@ def link_cells(coded_vectors: DataFrame, threshold: float = THRESHOLD, max_bits:
             here = np.arange(len(cell))
             left = here if row == col else here[part[cell] == row]
             right = here if row == col else here[part[cell] == col]
-            a, b = judge_cell(file >> 8 * file_bytes, vectors[cell], codes[cell], left, right, threshold, max_bits, file_bytes)
+            a, b = judge_cell(file >> 8 * file_bytes, vectors[cell], codes[cell], left, right, threshold, file_bytes)
             if not len(a):
                 continue
             mult = copies[cell]
@@ -249,7 +246,7 @@ def link_cells(coded_vectors: DataFrame, threshold: float = THRESHOLD, max_bits:
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, code_bytes: int = CODE_BYTES,
-                    file_bytes: int = FILE_BYTES, max_bits: int = MAX_BITS, cell_rows: int = CELL_ROWS, seed: int = SEED,
+                    file_bytes: int = FILE_BYTES, cell_rows: int = CELL_ROWS, seed: int = SEED,
                     id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     rows = materialize(usable(vectors, id_col, vector_col), "embedding-rows")
@@ -262,7 +259,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: in
         drawn = draw(of_length.select("vec_id", "vector"), sample, seed).toArrow()
         quantiser = fit_quantiser(_matrix(drawn.column("vector")), code_bytes, seed=seed)
         table = materialize(coded(of_length, quantiser, file_bytes), "embedding-codes")
-        cells = materialize(link_cells(table, threshold, max_bits, file_bytes, cell_rows), "embedding-links")
+        cells = materialize(link_cells(table, threshold, file_bytes, cell_rows), "embedding-links")
         found = cells if found.isEmpty() else found.unionByName(cells)
     degree = found.where(F.col("links").isNotNull()).groupBy(F.col("a").alias("vec_id")).agg(F.sum("links").alias("links"))
     labels = component_labels(found.where(F.col("b").isNotNull()).select("a", "b"), "a", "b")

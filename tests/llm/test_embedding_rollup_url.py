@@ -89,7 +89,7 @@ def band_recall(rows):
     cosine = units @ units.T
     a, b = np.nonzero(np.triu(cosine >= 0.9, 1))
     bits = embedding_dedup._POP[codes[a] ^ codes[b]]
-    hit = (bits.sum(axis=1, dtype=int) <= embedding_dedup.MAX_BITS) & embedding_dedup._meeting(bits, 1).any(axis=1)
+    hit = embedding_dedup._meeting(bits, 1).any(axis=1)
     bands = [(cosine[a, b] >= lo) & (cosine[a, b] < hi) for lo, hi in ((0.9, 0.92), (0.92, 0.95), (0.95, 2))]
     return [hit[band].mean() for band in bands if band.sum() > 20]
 
