@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_partitions
+from ..session import materialize, work_partitions
 from ..settings import LinkSettings
 
 # Hot-block keys are broadcast only while their count is at most this.
@@ -114,7 +114,8 @@ def candidate_pairs(records: DataFrame, settings: LinkSettings | None = None,
     workload = rule_workload(sizes, limit)
     n_hot = sum(h for _, h in workload.values())
     if n_hot:
-        hot = hot_blocks(recs, rules, limit, sizes).select("rule", "block_key", "n_parts")
+        # Written once: every rule reads it, for both of its sides.
+        hot = materialize(hot_blocks(recs, rules, limit, sizes).select("rule", "block_key", "n_parts"), "hot-blocks")
         if n_hot <= HOT_KEYS_BROADCAST_LIMIT:
             hot = F.broadcast(hot)
 

@@ -228,10 +228,23 @@ def _pass_prior(params: ParameterSet, settings: LinkSettings, blocked: list[str]
 
 
 def training_patterns(records: DataFrame, block: tuple[str, ...], settings: LinkSettings) -> DataFrame:
-    pairs = blocking.candidate_pairs(records, settings, rules=(tuple(block),),
-                                     carry=settings.record_columns())
-    return comparisons.gamma_patterns(comparisons.gamma_vectors(pairs, settings, keep_scores=False),
-                                      settings)
+    """Pattern counts of all pairs of records that agree on ``block``, without
+    listing pairs of like records: records with the same compared values are
+    one profile with a count, pairs of profiles weigh the product of their
+    counts, and the pairs within a profile are counted by n(n-1)/2. However
+    many records share all their values, they are one row of the join."""
+    cols = list(dict.fromkeys([*settings.compared_columns, *block]))
+    keyed = records.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in block]))
+    profiles = materialize(keyed.groupBy(*cols).agg(
+        F.min(settings.unique_id).alias(settings.unique_id), F.count(F.lit(1)).alias("copies")), "training-profiles")
+    pairs = blocking.candidate_pairs(profiles, settings, rules=(tuple(block),), carry=[*cols, "copies"])
+    gammas = [c.gamma for c in settings.comparisons]
+    between = comparisons.gamma_vectors(pairs, settings, keep_scores=False).groupBy(*gammas).agg(
+        F.sum(F.col("copies_l") * F.col("copies_r")).alias("n"))
+    alike = [F.when(F.col(c.column).isNull(), F.lit(-1)).otherwise(F.lit(c.exact_level)).alias(c.gamma)
+             for c in settings.comparisons]
+    within = profiles.where("copies > 1").select(*alike, F.expr("copies * (copies - 1) div 2").alias("n"))
+    return between.unionByName(within).groupBy(*gammas).agg(F.sum("n").alias("n_pairs"))
 
 
 def em_pass(params: ParameterSet, settings: LinkSettings, patterns: DataFrame,

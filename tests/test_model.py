@@ -4,7 +4,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from linkforge.operators import comparisons, model
+from linkforge.operators import blocking, comparisons, model
 import fixture_views as fixtures
 from linkforge.settings import LinkSettings
 
@@ -114,3 +114,24 @@ def test_null_terms_keep_their_rows_and_do_not_share_a_key(spark):
     rows = model.with_term_frequencies(df, settings).collect()
     assert len(rows) == 30 and all((r.tf_city is None) == (r.city is None) for r in rows)
     assert {r.city: r.tf_city for r in rows if r.city} == {"x": 0.5, "y": 0.5}
+
+
+def test_weighted_patterns_equal_listed_pairs(spark):
+    import random
+
+    rng = random.Random(3)
+    value = lambda *of: rng.choice(of)
+    rows = [tuple([f"U{i:03d}"] + [value("acme widgets", "acme widget", "zeta labs", None) if c == "name_norm" else
+                                   value("DENVER", "RESTON") if c == "phys_city" else value("22201", "80202", None) if c == "zip5"
+                                   else value("x", "y", None) for c in SET.compared_columns]) for i in range(150)]
+    rows += [("H%03d" % i, *rows[0][1:]) for i in range(60)]  # one profile holds a third of the rows
+    cols = list(dict.fromkeys([*SET.compared_columns, "zip5", "phys_city"]))
+    recs = spark.createDataFrame([r + ("22201",) * (len(cols) - len(SET.compared_columns)) for r in rows],
+                                 ", ".join(f"{c} string" for c in [SET.unique_id, *cols]))
+    for block in SET.training_blocks:
+        pairs = blocking.candidate_pairs(recs, SET, rules=(tuple(block),), carry=cols)
+        listed = comparisons.gamma_patterns(comparisons.gamma_vectors(pairs, SET, keep_scores=False), SET)
+        got = model.training_patterns(recs, block, SET)
+        names = sorted(listed.columns)
+        assert sorted(map(tuple, got.select(names).collect())) == sorted(map(tuple, listed.select(names).collect()))
+    assert model.training_patterns(recs.limit(0), SET.training_blocks[0], SET).count() == 0
