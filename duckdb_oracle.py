@@ -173,10 +173,12 @@ band(low, high, size_range) AS (VALUES {sizes})
 SELECT size_range, count(*) FILTER (first_member) AS n_clusters, count(*) AS n_entities
 FROM (SELECT cluster_size, row_number() OVER (PARTITION BY cluster_id ORDER BY uei) = 1 AS first_member FROM ec)
 JOIN band ON cluster_size BETWEEN low AND high GROUP BY size_range""").replace("\n,\nband", ",\nband")
-    q["largest_clusters"] = with_base(
-        "SELECT cluster_id, cluster_size, min(legal_name) AS example_name, min(phys_city) AS example_city, "
-        "min(phys_state) AS example_state FROM ec GROUP BY cluster_id, cluster_size "
-        "ORDER BY cluster_size DESC, cluster_id LIMIT 10")
+    q["largest_clusters"] = with_base(""",
+per_cluster AS (SELECT cluster_id, max(cluster_size) AS members, min(legal_name) AS name, min(phys_city) AS city,
+                min(phys_state) AS state FROM ec GROUP BY cluster_id),
+placed AS (SELECT *, row_number() OVER (ORDER BY members DESC, cluster_id) AS place FROM per_cluster)
+SELECT cluster_id, members AS cluster_size, name AS example_name, city AS example_city, state AS example_state
+FROM placed WHERE place <= 10""").replace("\n,\nper_cluster", ",\nper_cluster")
     q["overlink_check"] = with_base(
         f"SELECT max(cluster_size) AS max_cluster_size, {total} AS total_entities, "
         f"round(max(cluster_size) * 100.0 / {total}, 2) AS max_cluster_pct, "
