@@ -23,7 +23,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 class BiLstmCrf:
     """``allowed[i, j]``: tag j may follow tag i; ``openers``: may come first."""
 
-    def __init__(self, characters: int, allowed: np.ndarray, openers: np.ndarray, width: int = 12, hidden: int = 16,
+    def __init__(self, characters: int, allowed: np.ndarray, openers: np.ndarray, width: int = 8, hidden: int = 12,
                  seed: int = 42):
         rng = np.random.default_rng(seed)
         tags = len(allowed)
@@ -81,11 +81,6 @@ class BiLstmCrf:
         grads[f"c_{way}"] = flat.sum(axis=0)
         return dz_all @ p[f"x_{way}"].T
 
-    def _emissions(self, chars: np.ndarray) -> np.ndarray:
-        x = self.p["chars"][chars]
-        both = np.concatenate([self._lstm(x, "f", False)[0], self._lstm(x, "b", False)[0]], axis=2)
-        return both @ self.p["out"] + self.p["out_b"]
-
     # ----------------------------------------------------------- learning ----
 
     def loss_and_grads(self, chars: np.ndarray, tags: np.ndarray) -> tuple[float, dict]:
@@ -151,19 +146,105 @@ class BiLstmCrf:
 
     # ----------------------------------------------------------- decoding ----
 
+    def _lstm_single(self, chars: np.ndarray, way: str) -> np.ndarray:
+        """(length, hidden, batch) states in single precision, for decoding.
+
+        A step is one product: character and state stand below each other in
+        one matrix. tanh(x) = 2 sigmoid(2 x) - 1, and exp is the cheapest
+        function numpy has for single precision."""
+        n, p = self.hidden, self.p
+        width = p["chars"].shape[1]
+        scale = np.where(np.arange(4 * n) < 3 * n, -1.0, -2.0)
+        weights = np.ascontiguousarray((np.vstack([p[f"x_{way}"], p[f"c_{way}"][None], p[f"h_{way}"]]) * scale).T, np.float32)
+        looked_up = np.ascontiguousarray(p["chars"].T, np.float32)
+        length, batch = chars.shape
+        out = np.empty((length, n, batch), np.float32)
+        state = np.zeros((width + 1 + n, batch), np.float32)
+        state[width] = 1
+        c = np.zeros((n, batch), np.float32)
+        gates, squashed = np.empty((4 * n, batch), np.float32), np.empty((n, batch), np.float32)
+        with np.errstate(over="ignore"):  # 1 / (1 + infinity) is the 0 it should be
+            for t in range(length) if way == "f" else range(length - 1, -1, -1):
+                np.take(looked_up, chars[t], axis=1, out=state[:width], mode="clip")
+                np.matmul(weights, state, out=gates)
+                np.exp(gates, out=gates)
+                gates += 1
+                np.reciprocal(gates, out=gates)
+                new = gates[3 * n:]
+                new *= 2
+                new -= 1
+                new *= gates[:n]
+                c *= gates[n:2 * n]
+                c += new
+                np.multiply(c, -2, out=squashed)
+                np.exp(squashed, out=squashed)
+                squashed += 1
+                np.divide(2, squashed, out=squashed)
+                squashed -= 1
+                np.multiply(gates[2 * n:3 * n], squashed, out=out[t])
+                state[width + 1:] = out[t]
+        return out
+
     def decode(self, chars: np.ndarray) -> np.ndarray:
-        """Most probable tag sequence of each row (Viterbi)."""
-        emit = self._emissions(chars)
-        trans = self.p["trans"] + self.barred
-        score = self.p["start"] + self.no_start + emit[:, 0]
+        """Most probable tag sequence of each row (Viterbi); rows whose best
+        path can only be zeros (``_may_leave_zero``) need no search."""
+        n, p = self.hidden, self.p
+        turned = np.ascontiguousarray(chars.T)
+        weights = p["out"].T.astype(np.float32)
+        emit = weights[:, :n] @ self._lstm_single(turned, "f")
+        emit += weights[:, n:] @ self._lstm_single(turned, "b")
+        emit += p["out_b"].astype(np.float32)[:, None]  # (length, tags, batch)
+        trans, start = p["trans"] + self.barred, p["start"] + self.no_start
+        tags = np.zeros(chars.shape, np.int8)
+        open_rows = np.flatnonzero(self._may_leave_zero(emit, trans.astype(np.float32), start.astype(np.float32)))
+        if len(open_rows):
+            tags[open_rows] = self._viterbi(emit[:, :, open_rows].transpose(2, 0, 1).astype(np.float64), trans, start)
+        return tags
+
+    @staticmethod
+    def _may_leave_zero(emit: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Rows in which some path may score above the path of zeros.
+
+        ``above`` bounds from above, for each other tag, what the best path to
+        it has over the path of zeros. A tag is entered from the tags that may
+        come before it, at the greatest transition; while no path that went
+        back to 0 had more than 0, the path of zeros is the best to 0."""
+        gain = trans - trans[0, 0]
+        enter = gain.max(axis=0)[1:, None]
+        before = gain[:, 1:] > _BARRED / 2  # [i, j]: tag 1 + j may follow tag i
+        from_zero = before[0]
+        leave = gain[1:, 0, None]
+        others = [np.flatnonzero(before[1:, j]) for j in range(len(trans) - 1)]
+        anywhere = [j for j in range(len(others)) if from_zero[j]]
+        inside = [j for j in range(len(others)) if not from_zero[j]]
+        pairs = max((len(others[j]) for j in inside), default=0)
+        # the tags before an inside tag, repeated to equal numbers
+        sources = np.array([np.resize(others[j], pairs) for j in inside]).reshape(len(inside), pairs)
+        over = emit[:, 1:] - emit[:, :1]
+        over[1:] += enter
+        above = over[0] + (start[1:] - start[0])[:, None]
+        left = (above + leave > 0).any(axis=0)
+        for t in range(1, len(emit)):
+            best = np.maximum(above.max(axis=0), 0)
+            new = over[t]
+            new[anywhere] += best
+            if inside:
+                new[inside] += above[sources].max(axis=1)
+            above = new
+            left |= (above + leave).max(axis=0) > 0
+        return left | (above.max(axis=0) > 0)
+
+    @staticmethod
+    def _viterbi(emit: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
+        score = start + emit[:, 0]
         back = np.zeros(emit.shape, np.int8)
         for t in range(1, emit.shape[1]):
             reach = score[:, :, None] + trans
             back[:, t] = reach.argmax(axis=1)
             score = reach.max(axis=1) + emit[:, t]
-        tags = np.zeros(chars.shape, np.int64)
+        tags = np.zeros(emit.shape[:2], np.int8)
         tags[:, -1] = score.argmax(axis=1)
-        rows = np.arange(len(chars))
+        rows = np.arange(len(emit))
         for t in range(emit.shape[1] - 1, 0, -1):
             tags[:, t - 1] = back[rows, t, tags[:, t]]
         return tags

@@ -2,25 +2,28 @@
 
 Base spans are the leftmost non-overlapping matches of four kinds (email, ip,
 card, phone) with their checks. The tagger is trained from labelled spans: a
-bounded sample of windows whose labels are the base spans. It then reads every
-window of every text that can hold a span and adds what it finds beside them,
-for example telephone numbers in a national spelling, of which the training
-windows get copies (the plus and country digits taken off a labelled number);
-in every second window the letters around the spans are replaced at random.
-
-Windows of ``WINDOW`` characters start every ``STRIDE`` characters. A span holds
-a digit (ip, card, phone) or an ``@`` (email), so a window with neither has no
-span in it and is not decoded: that follows from the labels, not from a guess.
-Overlapping windows are reconciled over the whole text: every decoded span is a
-vote; votes cut off by a window's edge count only where no window saw more;
-the span with most votes, then the longest, then the first wins among those
-that overlap. What remains must pass its kind's check and touch no base span.
-
-Sampling bound: ``TRAIN_WINDOWS`` windows with spans and half as many without
-(those with the smallest hashes of id and place; each task offers no more than
-that many, so the choice is exact and the same on every run). Training runs in
-the driver on that sample. Prediction is one scan without a shuffle; the model
-(about 5,000 numbers) travels with the task.
+bounded sample of windows whose labels are the base spans, copies in which
+those spans are spelt in ways no base pattern matches (``respelt``: "ann [at]
+mail [dot] example [dot] org", "10 . 0 . 0 . 7", "4111/1111/1111/1111",
+"0049 30/123 456"), and windows without a span, once as they are and once with
+such a span put in. It then reads every window of every text and adds what it
+finds beside the base spans. In every second training window the letters
+around the spans are replaced at random.
+
+Windows of ``READ`` characters start every ``STRIDE`` characters (training
+windows are ``WINDOW`` long). Overlapping windows are reconciled over the whole
+text: every decoded span is a vote; votes cut off by a window's edge count only
+where no window saw more; the span with most votes, then the longest, then the
+first wins among those that overlap. What remains must have a value of its
+kind (an address once the spelling is undone, four numbers up to 255, a Luhn
+number, enough digits) and touch no base span.
+
+Sampling bound: ``TRAIN_WINDOWS`` windows with spans, half as many with digits
+or ``@`` but no span, a quarter as many with neither (those with the smallest
+hashes of id and place; each task offers no more than that many, so the choice
+is exact and the same on every run). Training runs in the driver on that
+sample. Prediction is one scan without a shuffle; the model (about 3,000
+numbers) travels with the task.
 
 Edge cases: null text counts as empty and has no spans. Very long texts are
 read whole, in linear time: patterns are anchored at ``@``, at the start of
@@ -47,8 +50,11 @@ from ..session import materialize
 from .bilstm_crf import BiLstmCrf
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STRIDE = 96, 48
+WINDOW = 96
+READ, STRIDE = 480, 432
+BATCH = 512
 TRAIN_WINDOWS = 768
+PLANTED = 1536
 EPOCHS = 8
 SEED = 42
 _PREFIX_BITS = 12
@@ -125,9 +131,10 @@ for _c in "\t\n\r":
 TAGS = 1 + 2 * len(KINDS)
 
 
-def encode_window(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    out = np.full(WINDOW, PAD)
+def encode(text: str, size: int) -> np.ndarray:
+    """Character numbers of a text, padded to ``size``."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    out = np.full(size, PAD, np.uint8)
     out[:len(points)] = np.where(points < 128, _ASCII[np.minimum(points, 127)], OTHER)
     return out
 
@@ -149,19 +156,20 @@ def new_tagger(seed: int = SEED) -> BiLstmCrf:
     return BiLstmCrf(OTHER + 1, allowed, np.ones(TAGS, bool), seed=seed)  # a window may open inside a span
 
 
-def window_starts(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or ``@``."""
-    last = max(0, -(-(len(text) - WINDOW) // STRIDE))
-    starts: set[int] = set()
-    for m in _HINT.finditer(text):
-        w = m.start() // STRIDE
-        starts.update(min(last, x) for x in range(max(0, w - WINDOW // STRIDE + 1), w + 1))
-    return [w * STRIDE for w in sorted(starts)]
+def window_starts(size: int, window: int = READ, stride: int = STRIDE) -> range:
+    """Starts of the windows that cover a text of so many characters."""
+    return range(0, max(size - window, 0) + stride, stride) if size else range(0)
 
 
-def _labels(spans: dict[str, list[Span]], start: int, end: int) -> list[tuple[str, int, int]] | None:
-    """Spans inside the window, None if one is cut or two overlap."""
-    found = sorted((a, b, k) for k in KINDS for a, b in spans[k] if a < end and b > start)
+def _labels(every: list[tuple[int, int, str]], first: int, start: int, end: int) -> list[tuple[str, int, int]] | None:
+    """Spans inside the window, of those sorted from ``first`` on; None if one
+    is cut or two overlap."""
+    found = []
+    for a, b, kind in every[first:first + WINDOW]:
+        if a >= end:
+            break
+        if b > start:
+            found.append((a, b, kind))
     if any(a < start or b > end for a, b, _ in found) or any(x[1] > y[0] for x, y in zip(found, found[1:])):
         return None
     return [(k, a - start, b - start) for a, b, k in found]
@@ -170,31 +178,39 @@ def _labels(spans: dict[str, list[Span]], start: int, end: int) -> list[tuple[st
 # -------------------------------------------------------------- training ----
 
 
+# classes of training windows, and the share of the sample's size each may have
+SPANS, DIGITS, PLAIN = 0, 1, 2
+_SHARES = {SPANS: 1, DIGITS: 2, PLAIN: 4}
+
+
 def _offer_task(batches: Iterator[pa.RecordBatch], most: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """The task's windows with the smallest hashes, with and without spans."""
-    heaps: dict[bool, list] = {True: [], False: []}
+    """The task's windows of each class with the smallest hashes."""
+    heaps: dict[int, list] = {c: [] for c in _SHARES}
     for batch in batches:
         for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = value.as_py() or ""
-            if not _HINT.search(text):
-                continue
             spans = base_spans(text)
-            for s in window_starts(text):
-                labels = _labels(spans, s, min(s + WINDOW, len(text)))
+            every = sorted((a, b, k) for k in KINDS for a, b in spans[k])
+            at = 0
+            for s in window_starts(len(text), WINDOW, WINDOW // 2):
+                while at < len(every) and every[at][1] <= s:
+                    at += 1
+                window = text[s:s + WINDOW]
+                mark = xxhash.xxh64_intdigest(f"{doc}:{s}:{window}".encode("utf-8", "surrogatepass"), seed) >> 1
+                has_span = at < len(every) and every[at][0] < s + WINDOW
+                kind = SPANS if has_span else DIGITS if _HINT.search(window) else PLAIN
+                heap = heaps[kind]
+                if len(heap) >= most // _SHARES[kind] and (not heap or -mark < heap[0][0]):
+                    continue
+                labels = _labels(every, at, s, s + len(window)) if has_span else []
                 if labels is None:
                     continue
-                window = text[s:s + WINDOW]
-                mark = xxhash.xxh64_intdigest(f"{doc}:{s}:{window}", seed) >> 1
-                heap, has = heaps[bool(labels)], bool(labels)
                 item = (-mark, window, ",".join(f"{k}:{a}:{b}" for k, a, b in labels))
-                if len(heap) < (most if has else most // 2):
-                    heapq.heappush(heap, item)
-                else:
-                    heapq.heappushpop(heap, item)
-    rows = [(has, -m, w, s) for has, heap in heaps.items() for m, w, s in heap]
+                (heapq.heappush if len(heap) < most // _SHARES[kind] else heapq.heappushpop)(heap, item)
+    rows = [(kind, -m, w, s) for kind, heap in heaps.items() for m, w, s in heap]
     cols = list(zip(*rows)) or [()] * 4
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.bool_(), pa.int64(), pa.string(), pa.string()))],
-                                     names=["has", "mark", "window", "labels"])
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.string(), pa.string()))],
+                                     names=["kind", "mark", "window", "labels"])
 
 
 def national_phone(window: str, labels: list[tuple[str, int, int]]) -> tuple[str, list[tuple[str, int, int]]] | None:
@@ -232,11 +248,12 @@ def _smallest(offered: DataFrame, n: int) -> list:
 
 def training_windows(documents: DataFrame, most: int = TRAIN_WINDOWS, seed: int = SEED,
                      id_col: str = "doc_id") -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """At most ``most`` windows with spans and half as many without."""
+    """At most ``most`` windows with spans, half as many with digits or ``@``
+    only, a quarter as many with neither."""
     offered = documents.select(id_col, "text").mapInArrow(
-        partial(_offer_task, most=most, seed=seed), "has boolean, mark bigint, window string, labels string")
+        partial(_offer_task, most=most, seed=seed), "kind int, mark bigint, window string, labels string")
     offered = materialize(offered, "pii-windows")
-    rows = [r for has, n in ((True, most), (False, most // 2)) for r in _smallest(offered.where(F.col("has") == has), n)]
+    rows = [r for kind, share in _SHARES.items() for r in _smallest(offered.where(F.col("kind") == kind), most // share)]
     windows = []
     for r in rows:
         parts = [x.split(":") for x in r["labels"].split(",") if x]
@@ -244,6 +261,79 @@ def training_windows(documents: DataFrame, most: int = TRAIN_WINDOWS, seed: int
     return windows
 
 
+# How the signs of a span are spelt where no base pattern fits.
+SPELT_AT = (" at ", " [at] ", "[at]", " (at) ", "(at)", " AT ", " {at} ", " @ ")
+SPELT_DOT = (" dot ", " [dot] ", "[dot]", " (dot) ", "(dot)", " DOT ", " {dot} ", " . ")
+IP_JOINTS = (" . ", "[.]", " dot ", "(dot)", ", ", " .")
+CARD_JOINTS = ("/", ".", "  ", " - ", "_", ", ")
+PHONE_JOINTS = ("/", " ", "-", ".", " - ", " / ")
+
+
+def planted(kind: str, rng: np.random.Generator) -> str:
+    """An invented span in its base spelling."""
+    def digits(n: int) -> str:
+        return "".join(map(str, rng.integers(0, 10, n)))
+
+    def word() -> str:
+        return "".join(chr(c) for c in rng.integers(97, 123, rng.integers(2, 9)))
+
+    if kind == "email":
+        local = word() + (f".{word()}" if rng.random() < 0.4 else digits(2) if rng.random() < 0.3 else "")
+        return f"{local}@{word()}" + "".join(f".{word()[:4]}" for _ in range(rng.integers(1, 3)))
+    if kind == "ip":
+        return ".".join(map(str, rng.integers(0, 256, 4)))
+    if kind == "card":
+        first = digits(15)
+        return next(first + d for d in "0123456789" if luhn(first + d))
+    return f"+{rng.integers(1, 100)} {digits(3)} {digits(3)} {digits(4)}"
+
+
+def respelt(kind: str, span: str, rng: np.random.Generator) -> str:
+    """A span in a spelling that its base pattern does not match whole."""
+    def one(of: tuple[str, ...]) -> str:
+        return of[rng.integers(len(of))]
+
+    if kind == "email":
+        style = rng.integers(len(SPELT_AT))
+        local, domain = span.split("@", 1)
+        return local.replace(".", SPELT_DOT[style] if rng.random() < 0.5 else ".") + SPELT_AT[style] + domain.replace(".", SPELT_DOT[style])
+    if kind == "ip":
+        return one(IP_JOINTS).join(span.split("."))
+    digits = "".join(_DIGITS.findall(span))
+    if kind == "card":
+        return one(CARD_JOINTS).join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    joint = one(PHONE_JOINTS)
+    groups = joint.join(digits[i:i + 3] for i in range(2, max(len(digits) - 2, 3), 3)) + digits[max(len(digits) - 2, 3):]
+    return one(("00", "0", "")) + digits[:2] + joint + groups
+
+
+def respelt_window(window: str, labels: list[tuple[str, int, int]], rng: np.random.Generator) -> tuple[str, list[tuple[str, int, int]]]:
+    """The window with its spans spelt anew, cut to ``WINDOW`` characters."""
+    out, moved, at, size = [], [], 0, 0
+    for kind, a, b in labels:
+        spelt = respelt(kind, window[a:b], rng)
+        out += [window[at:a], spelt]
+        size += a - at
+        moved.append((kind, size, size + len(spelt)))
+        size, at = size + len(spelt), b
+    text = "".join([*out, window[at:]])[:WINDOW]
+    return text, [(k, a, min(b, WINDOW)) for k, a, b in moved if a < WINDOW]
+
+
+def with_planted(window: str, rng: np.random.Generator) -> tuple[str, list[tuple[str, int, int]]]:
+    """The window with an invented, respelt span between two of its words."""
+    kind = KINDS[max(0, rng.integers(-1, len(KINDS)))]  # addresses are the hardest and come twice as often
+    spelt = respelt(kind, planted(kind, rng), rng)
+    gaps = [m.end() for m in re.finditer(r"\s", window[:max(WINDOW - len(spelt) - 1, 0)])] or [0]
+    at = gaps[rng.integers(len(gaps))]
+    return f"{window[:at]}{spelt} {window[at:]}"[:WINDOW], [(kind, at, min(at + len(spelt), WINDOW))]
+
+
+def planted_windows(plain: list[str], rng: np.random.Generator, most: int = PLANTED) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """``most`` windows with an invented span each, made of windows without."""
+    return [with_planted(plain[i % len(plain)], rng) for i in range(most)] if plain else []
+
+
 def other_letters(window: str, labels: list[tuple[str, int, int]], rng: np.random.Generator) -> str:
     """The window with random letters in place of those outside its spans, so
     that the tagger goes by the shape of a span and not by the words around."""
@@ -256,11 +346,13 @@ def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = E
     """A tagger fitted to labelled windows; None without a labelled span."""
     if not any(labels for _, labels in windows):
         return None
-    windows = windows + [w for w in (national_phone(*x) for x in windows) if w]
     rng = np.random.default_rng(seed)
+    windows = (windows + [w for w in (national_phone(*x) for x in windows) if w]
+               + [respelt_window(w, labels, rng) for w, labels in windows if labels]
+               + planted_windows([w for w, labels in windows if not labels], rng))
     windows = [(other_letters(w, labels, rng) if i % 2 else w, labels) for i, (w, labels) in enumerate(windows)]
     tagger = new_tagger(seed)
-    tagger.fit(np.array([encode_window(w) for w, _ in windows]), np.array([encode_tags(labels) for _, labels in windows]),
+    tagger.fit(np.array([encode(w, WINDOW) for w, _ in windows]), np.array([encode_tags(labels) for _, labels in windows]),
                epochs, seed=seed)
     return tagger
 
@@ -284,34 +376,72 @@ def read_tags(tags: np.ndarray, size: int) -> list[tuple[str, int, int, bool]]:
 
 
 def reconcile(text: str, votes: Counter, cut: set[tuple[str, int, int]], base: dict[str, list[Span]]) -> dict[str, list[Span]]:
-    """Spans added to ``base``: no overlaps, most votes first."""
-    taken = sorted(s for spans in base.values() for s in spans)
+    """Spans added to ``base``: no overlaps, most votes first. What two windows
+    saw of one span, each cut off by its edge, is joined."""
+    taken = bytearray(len(text))
+    for spans in base.values():
+        for a, b in spans:
+            taken[a:b] = bytes([1]) * (b - a)
+    rest: list[list] = []
+    for kind, a, b in sorted(cut):
+        if rest and rest[-1][0] == kind and a < rest[-1][2]:
+            rest[-1][2] = max(rest[-1][2], b)
+        else:
+            rest.append([kind, a, b])
     added: dict[str, list[Span]] = {k: [] for k in KINDS}
-    whole = [v for v in votes if v not in cut]
-    rest = [v for v in cut if not any(w[1] <= v[1] and v[2] <= w[2] for w in whole)]
-    for kind, a, b in sorted(whole, key=lambda v: (-votes[v], v[1] - v[2], v[1])) + sorted(
+    for kind, a, b in sorted(votes, key=lambda v: (-votes[v], v[1] - v[2], v[1])) + sorted(
             rest, key=lambda v: (v[1] - v[2], v[1])):
         while a < b and text[a].isspace():
             a += 1
         while b > a and text[b - 1].isspace():
             b -= 1
-        piece = text[a:b]
-        if any(a < y and x < b for x, y in taken) or not _well_formed(kind, piece):
+        if 1 in taken[a:b] or not _well_formed(kind, text[a:b]):
             continue
         added[kind].append((a, b))
-        taken.append((a, b))
+        taken[a:b] = bytes([1]) * (b - a)
     return added
 
 
+_AT = re.compile(r"\s*[\[({]\s*at\s*[\])}]\s*|\s+at\s+|\s*@\s*", re.IGNORECASE)
+_DOT = re.compile(r"\s*[\[({]\s*(?:dot|\.)\s*[\])}]\s*|\s+dot\s+|\s+\.\s+", re.IGNORECASE)
+_ADDRESS = re.compile(r"[^\s@]+@[^\s@.]+(?:\.[^\s@.]+)+")
+
+
 def _well_formed(kind: str, piece: str) -> bool:
+    """Whether the piece has a value of its kind, however it is spelt."""
     if kind == "email":
-        return re.fullmatch(r"[^\s@]+@[^\s@]+\.[^\s@]+", piece) is not None
+        at, dots = _AT.search(piece), _DOT.search(piece)
+        spelt_bare = at is not None and at.group().strip().lower() == "at"
+        # "look at example.org" is prose: a bare word "at" needs a spelt dot with it
+        return at is not None and (dots is not None or not spelt_bare) and (
+            _ADDRESS.fullmatch(_DOT.sub(".", _AT.sub("@", piece))) is not None)
+    if not piece or not piece[-1].isdecimal() or not (piece[0].isdecimal() or kind == "phone" and piece[0] in "+("):
+        return False
+    numbers = re.findall("[0-9]+", piece)
     if kind == "ip":
-        return re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", piece) is not None and passes(kind, piece)
+        return len(numbers) == 4 and passes(kind, ".".join(numbers))
     if kind == "card":
-        return re.fullmatch(r"[0-9][0-9 .-]+[0-9]", piece) is not None and passes(kind, piece, low_card=13)
-    return re.fullmatch(r"\+?[(0-9][ ()./0-9-]+[0-9]", piece) is not None and re.search("[ ()./-]", piece) is not None and (
-        passes(kind, piece, low_phone=7))
+        return passes(kind, piece, low_card=13)
+    return (len(numbers) > 1 or piece[0] == "+") and not re.search("[A-Za-z]", piece) and passes(kind, piece, low_phone=7)
+
+
+def _window_batches(texts: list[str]) -> Iterator[tuple[list[tuple[int, int]], np.ndarray]]:
+    """Windows of all texts with their (text, start), about ``BATCH`` at a time."""
+    held, places = [], []
+    for i, text in enumerate(texts):
+        starts = window_starts(len(text))
+        if not starts:
+            continue
+        views = np.lib.stride_tricks.sliding_window_view(encode(text, starts[-1] + READ), READ)
+        for k in range(0, len(starts), BATCH):
+            part = starts[k:k + BATCH]
+            held.append(views[part.start:part.stop:STRIDE])
+            places += [(i, s) for s in part]
+            if len(places) >= BATCH:
+                yield places, np.concatenate(held)
+                held, places = [], []
+    if places:
+        yield places, np.concatenate(held)
 
 
 def find_in_texts(texts: list[str], tagger: BiLstmCrf | None) -> list[tuple[dict, dict]]:
@@ -319,15 +449,14 @@ def find_in_texts(texts: list[str], tagger: BiLstmCrf | None) -> list[tuple[dict
     bases = [base_spans(t) for t in texts]
     votes: list[Counter] = [Counter() for _ in texts]
     cut: list[set] = [set() for _ in texts]
-    places = [(i, s) for i, t in enumerate(texts) if tagger for s in window_starts(t)]
-    for k in range(0, len(places), 256):
-        part = places[k:k + 256]
-        tags = tagger.decode(np.array([encode_window(texts[i][s:s + WINDOW]) for i, s in part]))
-        for (i, s), row in zip(part, tags):
-            size = min(WINDOW, len(texts[i]) - s)
-            for kind, a, b, opened in read_tags(row, size):
+    for places, windows in _window_batches(texts) if tagger else ():
+        tags = tagger.decode(windows)
+        for row in np.flatnonzero(tags.any(axis=1)):
+            i, s = places[row]
+            size = min(READ, len(texts[i]) - s)
+            for kind, a, b, opened in read_tags(tags[row], size):
                 span = (kind, s + a, s + b)
-                if opened and s > 0 or b == WINDOW and s + b < len(texts[i]):
+                if opened and s > 0 or b == READ and s + b < len(texts[i]):
                     cut[i].add(span)
                 else:
                     votes[i][span] += 1

@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -106,10 +107,49 @@ def test_gradients():
             assert (up - down) / 2e-5 == pytest.approx(grads[name][at], abs=1e-6)
 
 
-def test_windows_cover_every_hint():
-    text = "x" * 130 + "7" + "y" * 500 + "@" + "z" * 20
-    covered = {p for s in pii.window_starts(text) for p in range(s, s + pii.WINDOW)}
-    assert {130, 631} <= covered and pii.window_starts("no hint here") == [] and pii.window_starts("1") == [0]
+def test_windows_cover_every_place():
+    for size in (0, 1, pii.READ, pii.READ + 1, pii.READ + pii.STRIDE, 5000):
+        starts = list(pii.window_starts(size))
+        assert {p for s in starts for p in range(s, s + pii.READ)} >= set(range(size))
+        assert all(s < size for s in starts)
+        # a span of up to READ - STRIDE characters lies whole in one window
+        assert all(y - x <= pii.STRIDE for x, y in zip(starts, starts[1:]))
+
+
+@given(st.integers(0, 10_000), st.booleans())
+@settings(max_examples=40, deadline=None)
+def test_decoding_finds_the_best_path(seed, quiet):
+    rng = np.random.default_rng(seed)
+    model = pii.new_tagger(seed)
+    for name in model.p:
+        model.p[name] = model.p[name] + rng.normal(0, 0.7, model.p[name].shape)
+    model.p["out_b"][0] += 4.0 * quiet
+    chars = rng.integers(0, pii.OTHER + 1, (6, 30))
+
+    def states(way):
+        p, n = model.p, model.hidden
+        out, h, c = np.zeros((*chars.shape, n)), np.zeros((len(chars), n)), np.zeros((len(chars), n))
+        for t in range(chars.shape[1])[::1 if way == "f" else -1]:
+            z = p["chars"][chars[:, t]] @ p[f"x_{way}"] + h @ p[f"h_{way}"] + p[f"c_{way}"]
+            i, f, o = (1 / (1 + np.exp(-z[:, k * n:(k + 1) * n])) for k in range(3))
+            c = f * c + i * np.tanh(z[:, 3 * n:])
+            out[:, t] = h = o * np.tanh(c)
+        return out
+
+    emit = np.concatenate([states("f"), states("b")], axis=2) @ model.p["out"] + model.p["out_b"]
+    trans, start = model.p["trans"] + model.barred, model.p["start"] + model.no_start
+    rows = np.arange(len(chars))
+
+    def score(tags):
+        total = start[tags[:, 0]] + emit[rows, 0, tags[:, 0]]
+        for t in range(1, chars.shape[1]):
+            total = total + trans[tags[:, t - 1], tags[:, t]] + emit[rows, t, tags[:, t]]
+        return total
+
+    best = start + emit[:, 0]
+    for t in range(1, chars.shape[1]):
+        best = (best[:, :, None] + trans).max(axis=1) + emit[:, t]
+    assert score(model.decode(chars)) == pytest.approx(best.max(axis=1), abs=1e-3)
 
 
 def test_national_phone_moves_labels():
@@ -158,6 +198,41 @@ def test_tagger_adds_what_patterns_miss(pii_documents):
     assert not any(none.values())
 
 
+def test_tagger_finds_planted_spans_without_base_matches(pii_documents):
+    """Recall of spans that no base pattern matches, in words not trained on."""
+    tagger = pii.train(pii.training_windows(pii_documents[0]))
+    rng = np.random.default_rng(11)
+    cases, clean = [], []
+    for _ in range(300):
+        words = ["".join(chr(c) for c in rng.integers(97, 123, rng.integers(2, 10))) for _ in range(rng.integers(20, 200))]
+        clean.append(" ".join(words))
+        kind = pii.KINDS[rng.integers(len(pii.KINDS))]
+        spelt, at = pii.respelt(kind, pii.planted(kind, rng), rng), rng.integers(1, len(words))
+        before = " ".join(words[:at]) + " "
+        cases.append((before + spelt + " " + " ".join(words[at:]), kind, len(before), len(before) + len(spelt)))
+    hits, tried = 0, 0
+    for (text, kind, a, b), (base, added) in zip(cases, pii.find_in_texts([c[0] for c in cases], tagger)):
+        if not any(base.values()):
+            tried += 1
+            hits += (a, b) in added[kind]
+    assert tried > 250 and hits >= 0.85 * tried
+    assert sum(any(added.values()) for _, added in pii.find_in_texts(clean, tagger)) <= 3
+
+
+def test_values_decide_however_spelt():
+    good = [("email", "ann [at] mail [dot] example [dot] org"), ("email", "ann at mail dot org"), ("email", "a.b @ c . de"),
+            ("ip", "10 . 0 . 0 . 7"), ("ip", "10[.]0[.]0[.]255"), ("card", "4111/1111/1111/1111"), ("phone", "0049 30/123 456")]
+    bad = [("email", "look at example.org"), ("email", "ann at home"), ("ip", "10 . 0 . 0 . 256"), ("ip", "1 . 2 . 3"),
+           ("card", "4111/1111/1111/1112"), ("phone", "12 34"), ("phone", "12 a 3456 789"), ("phone", ""), ("card", "")]
+    assert all(pii._well_formed(*x) for x in good) and not any(pii._well_formed(*x) for x in bad)
+
+
+def test_spans_cut_by_both_windows_are_joined():
+    text = "x" * 10 + "4111/1111/1111/1111" + "y" * 10
+    got = pii.reconcile(text, Counter(), {("card", 10, 22), ("card", 15, 29)}, {k: [] for k in pii.KINDS})
+    assert got["card"] == [(10, 29)]
+
+
 def test_pii_without_spans_or_rows(spark, no_documents):
     got = pii.find_pii(documents(spark, [(1, None, "en", "s"), (2, "text 12", "en", "s")])).collect()
     assert {(r.n_email + r.n_ip + r.n_card + r.n_phone, r.spans) for r in got} == {(0, "")}
