@@ -47,6 +47,8 @@ DERIVED = {
     "uei_addresses": (tables.history_locations, tables.refresh_locations, None),
 }
 SEARCHED = ("entity_clusters", "registrations_latest")
+STATS_SCHEMA = ("total_entities long, clustered long, clustered_pct double, singletons long, singletons_pct double, "
+                "n_clusters long")
 CHANGES = "load_changes"  # + number of the load: ueis it touched
 
 
@@ -184,10 +186,13 @@ class Workspace:
         """Train (unless ``params``), score, keep pairs >= threshold. With
         ``full`` the stored predictions keep the compared values of both sides,
         the factors and the term frequencies too. Returns the weight-band
-        summary, without rows where no registrations are loaded."""
+        summary, without rows where no registrations with a name are loaded;
+        stored predictions then stay as they are."""
         if not self.exists("registrations_latest"):
             return self.spark.createDataFrame([], "weight_band string, n_pairs long")
         latest = self.table("registrations_latest")
+        if latest.where(F.col("name_norm").isNotNull()).isEmpty():
+            return self.spark.createDataFrame([], "weight_band string, n_pairs long")
         records = linkage.link_records(latest.where(F.col("name_norm").isNotNull()), self.settings, tf=tf)
         records = materialize(records, "link-records")
         gammas = linkage.comparison_stage(records, self.settings)
@@ -209,9 +214,14 @@ class Workspace:
     def cluster(self, threshold: float = DEFAULT_CLUSTER_THRESHOLD, incremental: bool = False) -> DataFrame:
         """Connected components of pairs >= threshold. Returns statistics.
         ``incremental`` starts from the stored clusters and works on the edges
-        that differ from the stored ones; the result is the same."""
+        that differ from the stored ones; the result is the same. Without
+        predictions, or without one that reaches the threshold, stored
+        clusters stay as they are and there are no statistics to return
+        unless some are stored."""
         base = self.versions.head()
-        preds = self.versions.read("match_predictions", base)
+        preds = self.versions.read("match_predictions", base) if "match_predictions" in base["tables"] else None
+        if preds is None or scoring.edges_above(preds, threshold).isEmpty():
+            return self.stats() if "entity_clusters" in base["tables"] else self.spark.createDataFrame([], STATS_SCHEMA)
         stored = {"match_edges": self.versions.write(scoring.edges_above(preds, threshold), "match_edges", "uei_l")}
         edges = self.versions.read_folders("match_edges", stored["match_edges"])
         if incremental and {"match_edges", "entity_clusters"} <= set(base["tables"]):

@@ -4,7 +4,7 @@ import zipfile
 
 
 from fixture_views import fixed_parameters
-from linkforge.plans.workspace import Workspace
+from linkforge.plans.workspace import STATS_SCHEMA, Workspace
 
 
 def _archive(folder, name, rows):
@@ -194,3 +194,36 @@ def test_incremental_clusters_and_full_predictions(spark, tmp_dir):
     full = ws.table("match_predictions")
     assert {(r.uei_l, r.uei_r): round(r.match_weight, 6) for r in full.collect()} == lean
     assert {"name_norm_l", "name_norm_r", "bf_name_norm", "tf_name_norm_l"} <= set(full.columns)
+
+
+def test_empty_inputs_give_empty_results(spark, tmp_dir):
+    v2 = os.path.join(tmp_dir, "data", "Public V2")
+    _archive(v2, "SAM_PUBLIC_MONTHLY_V2_20240201.ZIP", [_rec("U1", "", "A", "1"), _rec("U2", "", "B", "2")])
+    ws = Workspace(spark, os.path.join(tmp_dir, "ws"))
+    # nothing loaded, nothing linked
+    assert ws.link().collect() == [] and ws.cluster().collect() == []
+    # loaded, but no record has a name to match by
+    ws.ingest(os.path.join(tmp_dir, "data"))
+    before = ws.versions.head()["version"]
+    assert ws.link().collect() == [] and ws.cluster().collect() == []
+    assert ws.versions.head()["version"] == before and not ws.exists("match_predictions")
+    assert ws.entity("U1").count() > 0 and ws.entity("none").count() == 0
+
+
+def test_no_edge_above_threshold_keeps_clusters(spark, tmp_dir):
+    v2 = os.path.join(tmp_dir, "data", "Public V2")
+    _archive(v2, "SAM_PUBLIC_MONTHLY_V2_20240201.ZIP", [
+        _rec("U1", "Acme Widgets Inc", "ARLINGTON", "22201"), _rec("U2", "ACME WIDGETS LLC", "ARLINGTON", "22201")])
+    ws = Workspace(spark, os.path.join(tmp_dir, "ws"))
+    ws.ingest(os.path.join(tmp_dir, "data"))
+    ws.link(threshold=-100.0, params=fixed_parameters())
+    assert ws.cluster(threshold=1e9).collect() == []
+    stats = ws.cluster(threshold=-100.0)
+    assert stats.dtypes == spark.createDataFrame([], STATS_SCHEMA).dtypes
+    kept = sorted(ws.table("entity_clusters").select("cluster_id", "uei").collect())
+    assert [r.uei for r in kept] == ["U1", "U2"]
+    for incremental in (False, True):
+        assert ws.cluster(threshold=1e9, incremental=incremental).first().n_clusters == 1
+        assert sorted(ws.table("entity_clusters").select("cluster_id", "uei").collect()) == kept
+    assert ws.members(999).count() == 0 and ws.edges(999).count() == 0 and ws.entity_cluster("none").count() == 0
+    assert ws.diagnose(999)["weakest_edges"].count() == 0
