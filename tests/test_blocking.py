@@ -102,3 +102,18 @@ def test_rule_workload_and_partition_sizing(spark):
     assert work_partitions(spark, 10) == floor
     assert work_partitions(spark, 4e9) == 2000
     assert work_partitions(spark, 1e15) == MAX_WORK_PARTITIONS
+
+
+def test_small_limit_does_not_copy_with_the_block(spark):
+    # 3,000 rows at a limit of 3: 1,000 copies of each row before
+    df = spark.range(3000).selectExpr("lpad(id, 6, '0') AS uei", "'k' AS block_key")
+    hot = blocking.hot_blocks(df, (("block_key",),), 3)
+    assert hot.first().n_parts == blocking.SMALL_CELL_PARTS
+    cells = blocking._in_cells(blocking._side(df, ["uei", "block_key"], "_l"), "_l", ("block_key",),
+                               hot.drop("rule", "block_rows"), "uei")
+    assert cells.count() == 3000 * blocking.SMALL_CELL_PARTS
+    pairs = blocking.candidate_pairs(df, SET, rules=(("block_key",),), carry=[], hot_block_rows=3)
+    assert pairs.count() == pairs.select("uei_l", "uei_r").distinct().count() == 3000 * 2999 // 2
+    # cells keep the ordinary size at most
+    huge = spark.range(1).selectExpr("0 AS rule", "'k' AS block_key", "1000000L AS block_rows")
+    assert blocking.hot_blocks(df, (), 3, huge).first().n_parts == 500
