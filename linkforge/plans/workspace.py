@@ -195,16 +195,16 @@ class Workspace:
             return self.spark.createDataFrame([], "weight_band string, n_pairs long")
         records = linkage.link_records(latest.where(F.col("name_norm").isNotNull()), self.settings, tf=tf)
         records = materialize(records, "link-records")
-        gammas = linkage.comparison_stage(records, self.settings)
         if params is None:
-            params = model.train(records, self.settings, candidate_gammas=gammas)
+            params = model.train(records, self.settings, listed=True)
         if full:
             if not tf:
                 raise ValueError("full predictions hold term frequencies: they need tf=True")
-            pairs = blocking.candidate_pairs(records, self.settings, carry=list(records.columns))
+            keyed = records.select("*", *scoring.bound_columns(self.settings))
+            pairs = blocking.candidate_pairs(keyed, self.settings, carry=keyed.columns)
             preds = linkage.full_predictions(pairs, params, self.settings, threshold)
         else:
-            preds = scoring.score_pairs(gammas, params, self.settings, threshold=threshold, tf_adjust=tf)
+            preds = linkage.prediction_stage(records, params, self.settings, threshold, tf)
         stored = {"match_parameters": self.versions.write(params.to_dataframe(self.spark), "match_parameters"),
                   "match_predictions": self.versions.write(preds, "match_predictions")}
         self.versions.commit(self.versions.head(), stored)

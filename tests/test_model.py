@@ -135,3 +135,16 @@ def test_weighted_patterns_equal_listed_pairs(spark):
         names = sorted(listed.columns)
         assert sorted(map(tuple, got.select(names).collect())) == sorted(map(tuple, listed.select(names).collect()))
     assert model.training_patterns(recs.limit(0), SET.training_blocks[0], SET).count() == 0
+
+
+def test_listed_patterns_equal_those_of_stored_vectors(spark):
+    from fixture_views import fixture_stages
+    st = fixture_stages(spark, "/root/testdata/sf0.001")
+    cols = [c.gamma for c in SET.comparisons] + ["n_pairs"]
+    want = model.block_patterns(st.records(), ("name_norm",), SET, st.gammas())
+    got = model.block_patterns(st.records(), ("name_norm",), SET, listed=True)
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+    # a repeated key gives no pair with itself, as among candidates
+    twice = st.records().unionByName(st.records())
+    pairs = fixture_stages(spark, "/root/testdata/sf0.001").pairs().where("name_norm_l = name_norm_r").count()
+    assert model.block_patterns(twice, ("name_norm",), SET, listed=True).agg({"n_pairs": "sum"}).first()[0] == 4 * pairs

@@ -54,3 +54,46 @@ def test_raising_threshold_only_refines_clusters(spark):
     for r in hi.collect():
         groups.setdefault(r.cluster_id, set()).add(lo_map[r.uei])
     assert all(len(v) == 1 for v in groups.values())
+
+
+def test_bound_leaves_out_no_pair_that_reaches_the_threshold(spark):
+    from linkforge.plans.linkage import prediction_stage
+    st = fixture_stages(spark, "/root/testdata/sf0.001")
+    params = fixtures.fixed_parameters()
+    n_pairs = st.pairs().count()
+    for tf in (False, True):
+        every = {(r.uei_l, r.uei_r): r.match_weight for r in st.scored(tf).collect()}
+        for threshold in (2.0, 5.0, 12.0, -60.0):
+            got = {(r.uei_l, r.uei_r): r.match_weight
+                   for r in prediction_stage(st.records(True), params, SET, threshold, tf).collect()}
+            assert got == {k: w for k, w in every.items() if w >= threshold}
+            kept = scoring.may_reach(st.pairs(), params, SET, threshold, tf).count()
+            assert len(got) <= kept and (kept < n_pairs or threshold < 0)
+
+
+def test_bound_holds_for_missing_values_and_frequencies(spark):
+    params = fixtures.fixed_parameters()
+    row = {c.column: "x" for c in SET.comparisons} | {f"log2_tf_{c.column}": -3.0 for c in SET.comparisons if c.tf_adjust}
+    rows = [row | {"uei": "a"}, row | {"uei": "b", "dba_name": None}, row | {"uei": "c", "log2_tf_zip5": None},
+            row | {"uei": "d", "cage_code": "y"}]
+    types = ", ".join(f"{c} {'double' if c.startswith('log2') else 'string'}" for c in rows[0])
+    recs = spark.createDataFrame([tuple(r[c] for c in rows[0]) for r in rows], types)
+    recs = recs.select("*", *scoring.bound_columns(SET))
+    left, right = (recs.select([F.col(c).alias(c + s) for c in recs.columns]) for s in ("_l", "_r"))
+    pairs = left.crossJoin(right).where("uei_l < uei_r")
+    for tf in (False, True):
+        scored = scoring.score_pairs(comparisons.gamma_vectors(pairs, SET), params, SET, tf_adjust=tf).collect()
+        assert len(scored) == 6
+        for r in scored:
+            kept = scoring.may_reach(pairs, params, SET, r.match_weight, tf).where(
+                f"uei_l = '{r.uei_l}' AND uei_r = '{r.uei_r}'")
+            assert kept.count() == 1
+
+
+def test_predictions_write_neither_pairs_nor_vectors(spark, monkeypatch):
+    written = []
+    for module in (fixtures, fixtures.blocking):
+        monkeypatch.setattr(module, "materialize", lambda df, label, keep=module.materialize: (written.append(label), keep(df, label))[1])
+    st = fixtures.FixtureStages(spark, "/root/testdata/sf0.001")
+    assert st.predictions(2.0).count() == 271 and st.edges().count() == 258
+    assert not {"pairs", "gammas"} & set(written) and "scored" in written
