@@ -127,6 +127,13 @@ def test_rendered_fixture_lines_equal_sql_rendering(spark):
     assert got == want
 
 
+def test_parsing_renders_no_fixture_line_again(spark):
+    import fixture_views as fixtures
+    rows = delimited.registrations_from_lines(fixtures.customer_lines(spark, "/root/testdata/sf0.001"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "c_custkey" not in plan and "concat_ws" not in plan and "raw#" in plan
+
+
 def test_page_links_match_whole_class_words_and_decode_entities(spark):
     link = "data-service-file-link"
     html = (f'<a class="{link}-disabled">No</a><a data-class="{link}" href=x>No</a><a href=y class={link}>Bare</a>'
