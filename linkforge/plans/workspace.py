@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model_params import ParameterSet
-from ..operators import blocking, explore, graph, model, scoring, search_index, tables
+from ..operators import explore, graph, model, scoring, search_index, tables
 from ..schema import REGISTRATION_SCHEMA
 from ..session import ensure_checkpoint_dir, materialize
 from ..settings import DEFAULT_CLUSTER_THRESHOLD, DEFAULT_PREDICT_THRESHOLD, LinkSettings
@@ -200,8 +200,7 @@ class Workspace:
         if full:
             if not tf:
                 raise ValueError("full predictions hold term frequencies: they need tf=True")
-            keyed = records.select("*", *scoring.bound_columns(self.settings))
-            pairs = blocking.candidate_pairs(keyed, self.settings, carry=keyed.columns)
+            pairs = linkage.reaching_pairs(records, params, self.settings, threshold, tf=True)
             preds = linkage.full_predictions(pairs, params, self.settings, threshold)
         else:
             preds = linkage.prediction_stage(records, params, self.settings, threshold, tf)
