@@ -79,3 +79,27 @@ def test_a_dense_cluster_is_thinned_before_the_rounds(spark):
     assert graph.spanning_edges(edges).count() <= 3 * (n - 1) + 1
     labels = {r.node: r.label for r in graph.component_labels(edges).collect()}
     assert labels == {**{f"{i:04d}": "0000" for i in range(n)}, "z1": "z1", "z2": "z1"}
+
+
+def test_compared_values_do_not_ride_through_the_similarity(spark):
+    recs = _records(spark, 60, 3)
+    scored = linkage.prediction_stage(recs, PARAMS, SET, 2.0).select("uei_l", "uei_r", "match_weight")
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    passes = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    assert passes
+    after = [line for line in plan.splitlines() if "_scored_name_norm_l" in line and "Project" in line and "CASE" in line]
+    assert after
+    before_similarity = plan.split("ArrowEvalPython")[0]
+    assert not any(f"{c}_l#" in before_similarity for c in ("primary_naics", "entity_structure", "phys_state"))
+
+
+def test_pairs_of_an_earlier_set_come_once(spark):
+    # sets that overlap and share no column with each other, with missing values
+    recs = _records(spark, 120, 11, 0.3)
+    sets = {0: [("dba_name",), ("phys_city", "primary_naics")], 1: [("phys_city",), ("zip5",)], 2: [()], 3: [], 4: [()]}
+    every = blocking.candidate_pairs(recs, SET, carry=recs.columns).collect()
+    agree = lambda r, cols: all(r[f"{c}_l"] is not None and r[f"{c}_l"] == r[f"{c}_r"] for c in cols)
+    want = sorted((r.uei_l, r.uei_r, r.match_key) for r in every if any(agree(r, s) for s in sets[r.match_key]))
+    found = blocking.candidate_pairs(recs, SET, carry=[], agreeing=sets)
+    assert sorted((r.uei_l, r.uei_r, r.match_key) for r in found.collect()) == want and want
+    assert not [c for c in found.columns if c.startswith("_")]

@@ -49,3 +49,21 @@ def test_batch_equals_scalar(pairs):
     from linkforge.functions.jaro import jaro_winkler_batch
     got = jaro_winkler_batch([a for a, _ in pairs], [b for _, b in pairs])
     assert np.array_equal(got, np.array([jaro_winkler(a, b) for a, b in pairs]))
+
+
+def test_pairs_of_earlier_batches_are_not_scored_again(monkeypatch):
+    import pyarrow as pa
+
+    from linkforge.functions import jaro
+
+    calls = []
+    real = jaro.jaro_winkler_batch
+    monkeypatch.setattr(jaro, "_MEMO", {})
+    monkeypatch.setattr(jaro, "MEMO_PAIRS", 3)
+    monkeypatch.setattr(jaro, "jaro_winkler_batch", lambda a, b: calls.append(len(a)) or real(a, b))
+    left, right = pa.array(["martha", "dixon", None, "martha"]), pa.array(["marhta", "dicksonx", "x", "marhta"])
+    first = jaro.score_arrays(left, right).to_pylist()
+    assert jaro.score_arrays(left, right).to_pylist() == first and calls == [2]
+    assert first[0] == jaro.jaro_winkler("martha", "marhta") and first[2] is None
+    jaro.score_arrays(pa.array(["a" * 300, "b", "c"]), pa.array(["a", "bc", "cd"]))
+    assert len(jaro._MEMO) <= 3 and ("a" * 300, "a") not in jaro._MEMO
