@@ -117,3 +117,30 @@ def test_small_limit_does_not_copy_with_the_block(spark):
     # cells keep the ordinary size at most
     huge = spark.range(1).selectExpr("0 AS rule", "'k' AS block_key", "1000000L AS block_rows")
     assert blocking.hot_blocks(df, (), 3, huge).first().n_parts == 500
+
+
+def test_rows_of_a_hot_block_meet_once(spark):
+    # cells of parts dealt by hash let both orders of a pair meet, and rows of one part again in every cell
+    n, limit = 4000, 200
+    df = spark.range(n).selectExpr("lpad(id * id, 9, '0') AS uei", "'k' AS block_key")
+    rules = ((0, ("block_key",)),)
+    hot = blocking.with_bounds(df, rules, blocking.hot_blocks(df, (("block_key",),), limit), "uei").drop("rule", "block_rows")
+    cells = []
+    for side, own in (("_l", "cell_lo_l"), ("_r", "cell_hi_r")):
+        rows = blocking._in_cells(blocking._side(df, ["uei", "block_key"], side), side, ("block_key",), hot, "uei")
+        cells.append({(r[0], r[1]): r[2] for r in rows.where(f"part{side} = {own}").groupBy(
+            f"cell_lo{side}", f"cell_hi{side}").count().collect()})
+    met = sum(c * cells[1].get(k, 0) for k, c in cells[0].items())
+    assert n * (n - 1) // 2 <= met <= 1.4 * n * n / 2
+    assert max(cells[0].values()) <= 3 * limit
+
+
+def test_range_cells_with_repeated_and_missing_ids(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, *[f"{k:03d}" for k in range(40)]]), rnd.choice(["a", "b"])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "uei string, block_key string")
+    got = blocking.candidate_pairs(df, SET, rules=(("block_key",),), carry=[], hot_block_rows=20)
+    want = sum(a[1] == b[1] and a[0] is not None and b[0] is not None and a[0] != b[0]
+               for a, b in itertools.combinations(rows, 2))
+    assert got.count() == want
+    assert got.where("uei_l >= uei_r").isEmpty()
