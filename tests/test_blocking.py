@@ -1,6 +1,8 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
+
 from linkforge.operators import blocking
 from linkforge.settings import LinkSettings
 
@@ -144,3 +146,31 @@ def test_range_cells_with_repeated_and_missing_ids(spark):
                for a, b in itertools.combinations(rows, 2))
     assert got.count() == want
     assert got.where("uei_l >= uei_r").isEmpty()
+
+
+def _odd_records(spark, n=300, seed=11):
+    """Repeated and missing ids, missing keys."""
+    rnd = random.Random(seed)
+    rows = [(rnd.choice([None, *[f"{k:03d}" for k in range(n // 2)]]), *r[1:]) for r in _records(n, seed, hot_share=0.1)]
+    return spark.createDataFrame(rows, ",".join(f"{c} string" for c in COLS))
+
+
+def _unlisted(df):
+    """Candidate pairs that can't be listed."""
+    pairs = blocking.candidate_pairs(df, SET, carry=COLS)
+    fail = pairs.select(*[F.raise_error(F.lit("listed")).cast(t).alias(c) for c, t in pairs.dtypes])
+    return blocking.with_candidates(fail, blocking.candidates_of(pairs))
+
+
+def test_rule_counts_without_listing_pairs(spark):
+    df = _odd_records(spark)
+    pairs = blocking.candidate_pairs(df, SET, carry=COLS)
+    want = {r.match_key: r["count"] for r in pairs.groupBy("match_key").count().collect()}
+    assert len(want) == 5
+    got = blocking.blocking_rule_counts(_unlisted(df))
+    assert {r.match_key: r.n_pairs for r in got.collect()} == want
+    assert dict(got.dtypes) == {"match_key": "int", "n_pairs": "bigint"}
+    # a filter leaves no longer all candidate pairs
+    assert {r.match_key: r.n_pairs for r in blocking.blocking_rule_counts(pairs.where("match_key > 2")).collect()} == {
+        k: n for k, n in want.items() if k > 2}
+    assert blocking.blocking_rule_counts(blocking.candidate_pairs(df.limit(0), SET, carry=COLS)).count() == 0
