@@ -174,3 +174,13 @@ def test_rule_counts_without_listing_pairs(spark):
     assert {r.match_key: r.n_pairs for r in blocking.blocking_rule_counts(pairs.where("match_key > 2")).collect()} == {
         k: n for k, n in want.items() if k > 2}
     assert blocking.blocking_rule_counts(blocking.candidate_pairs(df.limit(0), SET, carry=COLS)).count() == 0
+
+
+def test_value_pairs_without_listing_pairs(spark):
+    from linkforge.operators import comparisons
+    df = _odd_records(spark, n=200, seed=4)
+    pairs = blocking.candidate_pairs(df, SET, carry=COLS)
+    for column in ("name_norm", "zip5"):
+        want = {(r[0], r[1]) for r in pairs.select(f"{column}_l", f"{column}_r").dropna().distinct().collect()}
+        got = comparisons.jaro_winkler_pairs(_unlisted(df), column).collect()
+        assert {(r[0], r[1]) for r in got} == want and len(got) == len(want)
